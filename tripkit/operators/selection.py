@@ -187,15 +187,30 @@ def exact_quantiles(
     probabilities: Sequence[float],
     by: Sequence[str] = (),
     small_rows: int = SMALL_ROWS,
+    at_most: int | None = None,
 ) -> dict[tuple, list[float] | None]:
-    """Linearly interpolated quantiles of the non-null values, keyed (group..., column)."""
-    ranges = group_ranges(df, columns, by)
+    """Linearly interpolated quantiles of the non-null values, keyed (group..., column).
+
+    Groups of up to ``small_rows`` values use the built-in exact aggregate. ``at_most`` is
+    a row count the caller already knows, which saves the counting pass.
+    """
+    result: dict[tuple, list[float] | None] = {} if by else {(c,): None for c in columns}
+    keys, ranges = _key_names(by), {}
+    if at_most is None or at_most > small_rows:
+        ranges = group_ranges(df, columns, by)
+        at_most = max((r["n"] for r in ranges.values()), default=0)
+    if at_most <= small_rows:
+        values = F.percentile("_val", [float(p) for p in probabilities]).alias("_q")
+        rows = _long_form(df, columns, by).groupBy(*keys).agg(values).limit(MAX_GROUPS + 1).collect()
+        if len(rows) > MAX_GROUPS:
+            raise ValueError(f"order statistics take at most {MAX_GROUPS} groups")
+        result.update({tuple(r[k] for k in keys): list(r["_q"]) for r in rows})
+        return result
     positions = {key: [p * (r["n"] - 1) for p in probabilities] for key, r in ranges.items()}
     wanted = {
         key: {rank for p in ps for rank in (math.floor(p), math.ceil(p))} for key, ps in positions.items()
     }
     found = select_ranks(df, columns, wanted, ranges, by, small_rows)
-    result: dict[tuple, list[float] | None] = {} if by else {(c,): None for c in columns}
     for key, ps in positions.items():
         values = []
         for p in ps:
@@ -206,6 +221,8 @@ def exact_quantiles(
     return result
 
 
-def exact_medians(df: DataFrame, columns: Sequence[str], small_rows: int = SMALL_ROWS) -> dict[str, float | None]:
-    quantiles = exact_quantiles(df, columns, [0.5], small_rows=small_rows)
+def exact_medians(
+    df: DataFrame, columns: Sequence[str], small_rows: int = SMALL_ROWS, at_most: int | None = None
+) -> dict[str, float | None]:
+    quantiles = exact_quantiles(df, columns, [0.5], small_rows=small_rows, at_most=at_most)
     return {c: quantiles[(c,)][0] if quantiles[(c,)] else None for c in columns}

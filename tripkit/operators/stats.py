@@ -10,6 +10,8 @@ import math
 from collections.abc import Sequence
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,8 +19,6 @@ from pyspark.sql import types as T
 from tripkit.functions.geo import hex_cell
 from tripkit.operators.selection import SMALL_ROWS, exact_quantiles
 
-PAIRS_PER_PASS = 120
-
 
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
@@ -52,9 +52,9 @@ def column_types(df: DataFrame) -> DataFrame:
 
 
 def describe(
-    df: DataFrame, columns: Sequence[str] | None = None, small_rows: int = SMALL_ROWS
+    df: DataFrame, columns: Sequence[str] | None = None, small_rows: int = SMALL_ROWS, digits: int = 4
 ) -> DataFrame:
-    """Count, mean, sample std, min, exact quartiles and max per numeric column, 4 decimals."""
+    """Count, mean, sample std, min, exact quartiles and max per numeric column."""
     columns = list(columns or numeric_columns(df))
     moments = {
         "count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max,
@@ -67,7 +67,7 @@ def describe(
     rows = [(c, *(quartiles[(c,)] or [None] * 3)) for c in columns]
     parts = df.sparkSession.createDataFrame(rows, "column string, p25 double, p50 double, p75 double")
     joined = wide.join(F.broadcast(parts), "column")
-    rounded = [F.round(c, 4).alias(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")]
+    rounded = [F.round(c, digits).alias(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")]
     return joined.select("column", "count", *rounded)
 
 
@@ -108,32 +108,67 @@ def shape_statistics(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _turn(row, columns, ["skewness", "kurtosis"])
 
 
+def _pair_sums(batches, k: int):
+    """Sums over the rows where both columns of a pair are known, one set per task."""
+    first, second = np.array(list(combinations(range(k), 2)), dtype=int).reshape(-1, 2).T
+    n = np.zeros((k, k))
+    total, square, product = np.zeros((k, k)), np.zeros((k, k)), np.zeros((k, k))
+    for batch in batches:
+        values = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(float)
+        known = (~np.isnan(values)).astype(float)
+        values = np.nan_to_num(values, nan=0.0)
+        n += known.T @ known
+        total += values.T @ known  # [i, j]: sum of i where j is known
+        square += (values * values).T @ known
+        product += values.T @ values
+    i, j = first, second
+    columns = [
+        np.arange(len(i), dtype=np.int32), n[i, j], total[i, j], total[j, i], square[i, j], square[j, i],
+        product[i, j],
+    ]
+    names = ["pair", "n", "sx", "sy", "sxx", "syy", "sxy"]
+    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+
+
 def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair of columns over rows where both are known.
 
-    Lower triangle only; null where a column is constant. Pairs are aggregated in
-    groups of ``PAIRS_PER_PASS`` so generated code stays small for wide tables.
+    Lower triangle only; null where a column is constant. The pair sums of a batch are a
+    few matrix products, which Spark expressions would need hundreds of aggregates for;
+    each task hands on one row per pair. Values are centred first to keep the digits.
     """
-    pairs = [(a, b) for b, a in combinations(columns, 2)]
+    columns = list(columns)
+    pairs = [(columns[j], columns[i]) for i, j in combinations(range(len(columns)), 2)]
     doubles = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in columns])
-    tables = []
-    for start in range(0, len(pairs), PAIRS_PER_PASS):
-        chunk = pairs[start : start + PAIRS_PER_PASS]
-        aggregates = []
-        for i, (a, b) in enumerate(chunk):
-            x = F.when(F.col(b).isNotNull(), F.col(a))
-            y = F.when(F.col(a).isNotNull(), F.col(b))
-            spread = F.stddev_pop(x) * F.stddev_pop(y)
-            aggregates.append(F.try_divide(F.covar_pop(F.col(a), F.col(b)), spread).alias(f"p{i}"))
-        cells = [
-            F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"p{i}").alias("corr"))
-            for i, (a, b) in enumerate(chunk)
-        ]
-        tables.append(doubles.agg(*aggregates).select(F.inline(F.array(*cells))))
-    result = tables[0]
-    for t in tables[1:]:
-        result = result.unionAll(t)
-    return result
+    row = doubles.agg(*[
+        f(c).alias(f"{c}|{n}") for c in columns for n, f in (("mean", F.avg), ("lo", F.min), ("hi", F.max))
+    ]).first()
+    constant = [c for c in columns if row[f"{c}|lo"] == row[f"{c}|hi"]]
+    centred = doubles.select(*[(F.col(c) - F.lit(row[f"{c}|mean"] or 0.0)).alias(c) for c in columns])
+    k = len(columns)
+    sums = (
+        centred.mapInArrow(
+            lambda batches: _pair_sums(batches, k),
+            "pair int, n double, sx double, sy double, sxx double, syy double, sxy double",
+        )
+        .groupBy("pair")
+        .agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+    )
+    x_spread, y_spread = (_spread(F.col("n"), F.col(f"s{a}"), F.col(f"s{a}{a}")) for a in ("x", "y"))
+    joint = F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), F.col("n"))
+    names = df.sparkSession.createDataFrame(
+        [(i, a, b, a in constant or b in constant) for i, (a, b) in enumerate(pairs)],
+        "pair int, col_a string, col_b string, constant boolean",
+    )
+    value = F.when(~F.col("constant"), F.try_divide(joint, F.sqrt(x_spread * y_spread)))
+    # the first column of a pair (i < j) is the column of the triangle, the second its row
+    return sums.join(F.broadcast(names), "pair").select("col_a", "col_b", value.alias("corr"))
+
+
+def _spread(n: Column, total: Column, square: Column) -> Column:
+    """Sum of squared deviations, exactly 0 where only rounding is left."""
+    spread = square - F.try_divide(total * total, n)
+    return F.when(spread > square * 1e-12, spread).otherwise(0.0)
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:

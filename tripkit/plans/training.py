@@ -139,12 +139,18 @@ def draw_params(space: dict, draws: int = SEARCH_DRAWS, seed: int = SEED) -> lis
 # --------------------------------------------------------------------- training
 
 
-def assemble(df: DataFrame, features: list[str], label: str = TARGET, keep: list[str] | None = None) -> DataFrame:
-    """``features`` vector and ``label``, with a content-based row hash for folds."""
+def assemble(
+    df: DataFrame, features: list[str], label: str = TARGET, key: str | None = None,
+    keep: list[str] | None = None,
+) -> DataFrame:
+    """``features`` vector and ``label``, with the row key that folds are drawn from.
+
+    Without a key column the key is a hash of the row's own values, which is the same
+    under any partitioning or rerun.
+    """
     assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error")
-    # a hash of the row's own values: the same under any partitioning or rerun
-    key = F.xxhash64(*features, label).cast("string")
-    keyed = df.withColumn("label", F.col(label).cast("double")).withColumn("__key", key)
+    key = F.xxhash64(*features, label) if key is None else F.col(key)
+    keyed = df.withColumn("label", F.col(label).cast("double")).withColumn("__key", key.cast("string"))
     return assembler.transform(keyed).select("features", "label", "__key", *(keep or []))
 
 

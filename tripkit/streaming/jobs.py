@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tripkit.operators.monitoring import accuracy_by_window
 from tripkit.operators.quality import reasons_of, row_rules
-from tripkit.schema import ENFORCED, Thresholds
+from tripkit.schema import ENFORCED, ROW_ORDER, Thresholds
 
 SALTS = 32
 
@@ -42,13 +42,16 @@ def route(stream: DataFrame, path: str, limits: Thresholds = ENFORCED) -> Stream
     return write_stream(validate(stream, limits), path, ["is_clean"])
 
 
-def deduplicate(stream: DataFrame, key: str, at: str, delay: str = "1 hour") -> DataFrame:
+def deduplicate(
+    stream: DataFrame, key: str, at: str, delay: str = "1 hour", order: str = ROW_ORDER
+) -> DataFrame:
     """First arrival of each key; state is dropped once the watermark has passed it.
 
     Two steps keep a hot key from meeting in one task: copies are first removed per
-    (key, salt), so at most ``SALTS`` rows of a key reach the second step.
+    (key, salt), so at most ``SALTS`` rows of a key reach the second step. The salt comes
+    from the unique ``order``, so even identical copies spread, and a rerun repeats it.
     """
-    salted = stream.withColumn("__salt", F.pmod(F.xxhash64(*stream.columns), F.lit(SALTS)))
+    salted = stream.withColumn("__salt", F.pmod(F.xxhash64(order), F.lit(SALTS)))
     per_salt = salted.withWatermark(at, delay).dropDuplicatesWithinWatermark([key, "__salt"])
     return per_salt.drop("__salt").dropDuplicatesWithinWatermark([key])
 
