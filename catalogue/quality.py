@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from catalogue.sql import box, using
 from tripkit.operators import enrich, quality
 from tripkit.schema import DOCUMENTED, MIN_PASS_RATE, ROUGH
+from tripkit.session import materialize
 from tripkit.sources import derived
 
 
@@ -18,6 +19,11 @@ def clean(spark, sf):
     return quality.clean_rows(flagged(spark, sf))
 
 
+def stored_clean(spark, sf):
+    """Clean trips written once to the shared folder, for statistics that read them repeatedly."""
+    return materialize(clean(spark, sf))
+
+
 def enriched(spark, sf):
     return enrich.enrich(clean(spark, sf), derived.weather(spark, sf))
 

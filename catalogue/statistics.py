@@ -7,11 +7,12 @@ from itertools import combinations
 from pyspark.sql import functions as F
 
 from catalogue.features import BAND
-from catalogue.quality import clean, enriched
+from catalogue.quality import clean, enriched, stored_clean
 from catalogue.sql import DISTANCE, DOW, HOUR, MONTH, RUSH, WEEKEND, row_hash, using
 from tripkit.operators import sampling, stats
 from tripkit.plans import profile
 from tripkit.plans.features import build_features
+from tripkit.session import materialize
 from tripkit.sources import derived
 
 LINE_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -68,7 +69,7 @@ def skew_kurtosis(spark, sf):
 
 
 def corr_lower(spark, sf):
-    wide = profile.calendar(enriched(spark, sf))
+    wide = profile.calendar(materialize(enriched(spark, sf)))
     return rounded(stats.correlation_pairs(wide, PAIRED), ["corr"])
 
 
@@ -127,7 +128,7 @@ def histogram_sql(value: str, source: str, name: str, bins: int) -> str:
 
 
 def hist_target(spark, sf):
-    return edges(stats.histogram(clean(spark, sf), ["eta_minutes"], profile.TARGET_BINS))
+    return edges(stats.histogram(stored_clean(spark, sf), ["eta_minutes"], profile.TARGET_BINS))
 
 
 def hist_events(spark, sf):
@@ -136,7 +137,7 @@ def hist_events(spark, sf):
 
 def hist_log(spark, sf):
     """Bins of a logarithm, counted on whole bins only (edges rounded)."""
-    return edges(stats.log_histogram(clean(spark, sf), "eta_minutes", profile.TARGET_BINS))
+    return edges(stats.log_histogram(stored_clean(spark, sf), "eta_minutes", profile.TARGET_BINS))
 
 
 HIST_NUMERIC = ["passenger_count", "pickup_lat", "pickup_lon", "dropoff_lat", "dropoff_lon"]
@@ -201,7 +202,7 @@ def dense_sql(key: str, name: str, values: list[str], source: str) -> str:
 
 
 def box_by_hour(spark, sf):
-    wide = profile.calendar(clean(spark, sf))
+    wide = profile.calendar(stored_clean(spark, sf))
     return rounded(
         stats.box_statistics(wide, "hour_of_day", "eta_minutes"),
         ["q1", "median", "q3", "whisker_low", "whisker_high"],
@@ -221,7 +222,7 @@ FROM j GROUP BY hour_of_day, j.q1, j.median, j.q3""")
 
 
 def hex_density(spark, sf):
-    return rounded(stats.hex_density(clean(spark, sf), "pickup_lon", "pickup_lat"), ["center_x", "center_y"])
+    return rounded(stats.hex_density(stored_clean(spark, sf), "pickup_lon", "pickup_lat"), ["center_x", "center_y"])
 
 
 HEX_SQL = using("flagged", """

@@ -15,7 +15,7 @@ from tripkit.functions.keys import row_hash, row_uniform
 from tripkit.operators.selection import SMALL_ROWS, exact_quantiles, group_ranges, select_ranks
 from tripkit.schema import ROW_ORDER, SEED, TARGET, TEST_SIZE, VAL_SIZE
 
-SPLITS = ["train", "val", "test"]
+LAST = 2**63 - 1  # an input order no row exceeds
 
 
 # ------------------------------------------------------------------------ strata
@@ -104,17 +104,16 @@ def exact_split(
     """Stratified split with exact sizes: the smallest hashes of a stratum go to test,
     the next ones to validation. Equal hashes are told apart by the unique ``order``."""
     hashed = df.withColumn("__hash", row_hash(F.col(key), seed))
-    counts = {r[stratum]: r["n"] for r in hashed.groupBy(stratum).agg(F.count(F.lit(1)).alias("n")).collect()}
+    ranges = group_ranges(hashed, ["__hash"], [stratum])
+    counts = {k: r["n"] for (k, _), r in ranges.items()}
     if None in counts:
         raise ValueError(f"column {stratum} holds nulls")
     test, val = stratum_quotas(counts, test_size, val_size)
-    cuts = {
-        "test": _cut(hashed, stratum, order, test, small_rows),
-        "val": _cut(hashed, stratum, order, {k: test[k] + val[k] for k in counts}, small_rows),
-    }
+    ends = {k: (test[k], test[k] + val[k]) for k in counts}
+    cuts = _last_positions(hashed, stratum, order, ends, ranges, small_rows)
     position = _position(F.col("__hash"), F.col(order))
-    split = F.when(position <= _cut_point(cuts["test"], stratum), "test").when(
-        position <= _cut_point(cuts["val"], stratum), "val"
+    split = F.when(position <= _cut_point(cuts, stratum, 0), "test").when(
+        position <= _cut_point(cuts, stratum, 1), "val"
     ).otherwise("train")
     return hashed.withColumn("split", split).drop("__hash")
 
@@ -124,40 +123,45 @@ def _position(major: Column, minor: Column) -> Column:
     return F.struct(major.cast("bigint").alias("major"), minor.cast("bigint").alias("minor"))
 
 
-def _cut(df: DataFrame, stratum: str, order: str, quota: dict, small_rows: int) -> dict:
-    """Per stratum the (hash, order) of the last row inside its quota."""
-    last = {(k, "__hash"): [n - 1] for k, n in quota.items() if n > 0}
-    if not last:
-        return {}
-    ranges = group_ranges(df, ["__hash"], [stratum])
-    found = select_ranks(df, ["__hash"], last, ranges, [stratum], small_rows)
-    cuts, tied = {}, {}
-    for (key, rank), f in found.items():
-        wanted = rank - f.below
-        if f.equal == 1:
-            cuts[key[0]] = (f.value, None)
-        else:
-            tied[key[0]] = (f.value, wanted)
-    if tied:
-        # several rows share the cut hash: rank only those by their input order
-        same = F.lit(False)
-        for k, (value, _) in tied.items():
-            same = same | ((F.col(stratum) == F.lit(k)) & (F.col("__hash") == F.lit(value)))
-        ties = df.where(same)
-        tie_ranges = group_ranges(ties, [order], [stratum])
-        wanted_ranks = {(k, order): [rank] for k, (_, rank) in tied.items()}
-        for (key, _), f in select_ranks(ties, [order], wanted_ranks, tie_ranges, [stratum], small_rows).items():
-            cuts[key[0]] = (tied[key[0]][0], f.value)
-    return cuts
-
-
-def _cut_point(cuts: dict, stratum: str) -> Column:
-    """(hash, order) literal of the row's stratum; below every row where the quota is 0."""
-    largest = 2**63 - 1
+def _last_positions(
+    df: DataFrame, stratum: str, order: str, ends: dict, ranges: dict, small_rows: int
+) -> dict[tuple, tuple[int, int]]:
+    """(hash, order) of the last row before each end, keyed (stratum, number of the end).
+
+    ``ends`` counts rows from the smallest hash on; an end of 0 rows has no position.
+    """
+    wanted = {(k, "__hash"): [e - 1 for e in es if e > 0] for k, es in ends.items()}
+    found = select_ranks(df, ["__hash"], wanted, ranges, [stratum], small_rows)
+    # where several rows share the hash at an end, their input order decides
+    shared = {(k, f.value) for ((k, _), _), f in found.items() if f.equal > 1}
+    ranked: dict = {}
+    if shared:
+        here = F.lit(False)
+        for k, value in shared:
+            here = here | ((F.col(stratum) == F.lit(k)) & (F.col("__hash") == F.lit(value)))
+        ties = df.where(here)
+        tie_ranks: dict = {}
+        for ((k, _), rank), f in found.items():
+            if f.equal > 1:
+                tie_ranks.setdefault((k, f.value, order), []).append(rank - f.below)
+        by = [stratum, "__hash"]
+        ranked = select_ranks(ties, [order], tie_ranks, group_ranges(ties, [order], by), by, small_rows)
+    positions = {}
+    for k, es in ends.items():
+        for number, end in enumerate(es):
+            if end > 0:
+                f = found[(k, "__hash"), end - 1]
+                tie = LAST if f.equal == 1 else ranked[(k, f.value, order), end - 1 - f.below].value
+                positions[k, number] = (f.value, tie)
+    return positions
+
+
+def _cut_point(cuts: dict, stratum: str, number: int) -> Column:
+    """Position literal of the row's stratum; below every row where the end is 0."""
     point = _position(F.lit(-1), F.lit(0))
-    for k, (value, tie) in cuts.items():
-        here = _position(F.lit(value), F.lit(largest if tie is None else tie))
-        point = F.when(F.col(stratum) == F.lit(k), here).otherwise(point)
+    for (k, which), (value, tie) in cuts.items():
+        if which == number:
+            point = F.when(F.col(stratum) == F.lit(k), _position(F.lit(value), F.lit(tie))).otherwise(point)
     return point
 
 
@@ -179,7 +183,7 @@ def time_split(
         return df.withColumn("split", F.lit("test"))
     key = ("__at",)
     f = select_ranks(stamped, ["__at"], {key: [n_train - 1]}, ranges, (), small_rows)[key, n_train - 1]
-    last_order = 2**63 - 1
+    last_order = LAST
     if f.equal > 1:
         ties = stamped.where(F.col("__at") == F.lit(f.value))
         rank = n_train - 1 - f.below
