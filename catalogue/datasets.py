@@ -8,7 +8,7 @@ from catalogue.quality import RULES, clean, flagged
 from catalogue.sql import split_of, using
 from tripkit.operators import quality, splitting
 from tripkit.operators.content import content_hash
-from tripkit.session import shared_path
+from tripkit.session import shared_path, spread
 from tripkit.sources import derived, readers, tracking, versions
 
 HASHED = ["trip_id", "vendor_id", "pickup_datetime", "pickup_lat", "eta_minutes", "trip_duration_sec"]
@@ -19,7 +19,7 @@ def trip_hash(spark, sf):
 
 
 def lineitem_hash(spark, sf):
-    return content_hash(derived.table(spark, sf, "lineitem"))
+    return content_hash(spread(derived.table(spark, sf, "lineitem")))
 
 
 def cell(column: str, kind: str) -> str:
@@ -65,9 +65,8 @@ def version_write_read(spark, sf):
 def quarantine_write_read(spark, sf):
     """Write judged trips partitioned by outcome, and read the quarantine part back."""
     path = shared_path(spark, "ingested")
-    judged = flagged(spark, sf).withColumn("is_clean", F.size("reasons") == 0)
-    judged.write.partitionBy("is_clean").parquet(path)
-    bad = spark.read.parquet(path).where(~F.col("is_clean"))
+    quality.with_outcome(flagged(spark, sf)).write.partitionBy("outcome").parquet(path)
+    bad = spark.read.parquet(path).where(F.col("outcome") == "quarantine")
     return bad.groupBy(F.size("reasons").alias("n_reasons")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 

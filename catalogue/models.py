@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalogue.quality import clean, enriched, stored_clean
+from catalogue.quality import clean, stored_clean, stored_enriched
 from catalogue.sql import DISTANCE, HOUR, RUSH, row_hash, split_of, using
 from tripkit.operators import metrics, splitting
 from tripkit.plans import prepare, training
@@ -141,7 +141,7 @@ def search_sql() -> str:
 
 
 def prepared(spark, sf):
-    table, fitted = prepare.prepare(materialize(enriched(spark, sf)))
+    table, fitted = prepare.prepare(stored_enriched(spark, sf))
     return training.assemble(materialize(table), fitted.feature_names, keep=["split"]), fitted
 
 

@@ -28,6 +28,10 @@ def enriched(spark, sf):
     return enrich.enrich(clean(spark, sf), derived.weather(spark, sf))
 
 
+def stored_enriched(spark, sf):
+    return materialize(enriched(spark, sf))
+
+
 RULES = ["missing_gps", "invalid_timestamp", "out_of_range", "invalid_eta", "invalid_passengers", "duplicate_trip_id"]
 ANY_RULE = " OR ".join(RULES)
 REASONS = "concat_ws(',', " + ", ".join(f"CASE WHEN {r} THEN '{r}' END" for r in RULES) + ")"

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalogue.quality import enriched, stored_clean
+from catalogue.quality import stored_clean, stored_enriched
 from catalogue.sql import row_hash, split_of, using
 from tripkit.functions.keys import row_hash as hash_column
 from tripkit.operators import prep, splitting
 from tripkit.plans import first_generation, prepare
 from tripkit.schema import COORDINATES
-from tripkit.session import materialize
+from tripkit.session import spread
 from tripkit.sources import derived
 
 # ------------------------------------------------------------------------- strata
@@ -26,7 +26,7 @@ def qcut_strata(spark, sf):
 
 def qcut_strata_tied(spark, sf):
     """Quantity has 50 distinct values, so rows at an edge must fall on the same side."""
-    lines = derived.table(spark, sf, "lineitem")
+    lines = spread(derived.table(spark, sf, "lineitem"))
     return splitting.add_strata(lines, "l_quantity").groupBy("l_quantity", "stratum").agg(
         F.count(F.lit(1)).alias("n_rows"))
 
@@ -156,7 +156,7 @@ SCALED = ["l_quantity", "l_extendedprice"]
 
 def scaling(kind):
     def query(spark, sf):
-        lines = splitting.hash_split(derived.table(spark, sf, "lineitem"), "l_orderkey")
+        lines = splitting.hash_split(spread(derived.table(spark, sf, "lineitem")), "l_orderkey")
         fitted = prep.fit_scaler(lines.where(F.col("split") == "train"), SCALED, kind)
         scaled = prep.scale(lines, fitted)
         return scaled.select(
@@ -196,7 +196,7 @@ def bins_sql() -> str:
 def prepared_dataset(spark, sf):
     """All preparation steps on enriched trips: mean and deviation of every scaled feature
     per split; the train part must come out centred with unit spread."""
-    table, fitted = prepare.prepare(materialize(enriched(spark, sf)))
+    table, fitted = prepare.prepare(stored_enriched(spark, sf))
     pairs = [F.struct(F.lit(c).alias("feature"), F.col(c).alias("value")) for c in fitted.feature_names]
     return table.select("split", F.inline(F.array(*pairs))).groupBy("split", "feature").agg(
         F.count("value").alias("n_rows"), F.round(F.avg("value"), 6).alias("mean"),
@@ -220,7 +220,7 @@ def prepared_sql() -> str:
 
 
 def row_hashes(spark, sf):
-    return derived.table(spark, sf, "lineitem").groupBy(
+    return spread(derived.table(spark, sf, "lineitem")).groupBy(
         (hash_column(F.col("l_orderkey"), 42) % 100).alias("bucket")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 

@@ -7,12 +7,12 @@ from itertools import combinations
 from pyspark.sql import functions as F
 
 from catalogue.features import BAND
-from catalogue.quality import clean, enriched, stored_clean
+from catalogue.quality import clean, enriched, stored_clean, stored_enriched
 from catalogue.sql import DISTANCE, DOW, HOUR, MONTH, RUSH, WEEKEND, row_hash, using
 from tripkit.operators import sampling, stats
 from tripkit.plans import profile
 from tripkit.plans.features import build_features
-from tripkit.session import materialize
+from tripkit.session import spread
 from tripkit.sources import derived
 
 LINE_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -31,7 +31,7 @@ def rounded(df, columns, digits=6):
 
 
 def describe(spark, sf):
-    return stats.describe(derived.table(spark, sf, "lineitem"), LINE_NUMBERS)
+    return stats.describe(spread(derived.table(spark, sf, "lineitem")), LINE_NUMBERS)
 
 
 def describe_trips(spark, sf):
@@ -69,12 +69,12 @@ def skew_kurtosis(spark, sf):
 
 
 def corr_lower(spark, sf):
-    wide = profile.calendar(materialize(enriched(spark, sf)))
+    wide = profile.calendar(stored_enriched(spark, sf))
     return rounded(stats.correlation_pairs(wide, PAIRED), ["corr"])
 
 
 def corr_lower_lineitem(spark, sf):
-    return rounded(stats.correlation_pairs(derived.table(spark, sf, "lineitem"), LINE_NUMBERS), ["corr"])
+    return rounded(stats.correlation_pairs(spread(derived.table(spark, sf, "lineitem")), LINE_NUMBERS), ["corr"])
 
 
 def corr_sql(columns: list[str], source: str) -> str:
@@ -245,7 +245,7 @@ def distance_target_grid(spark, sf):
 
 
 def table_shape(spark, sf):
-    return stats.table_shape(derived.table(spark, sf, "lineitem"))
+    return stats.table_shape(spread(derived.table(spark, sf, "lineitem")))
 
 
 def seeded_sample(spark, sf):

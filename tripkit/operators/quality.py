@@ -115,6 +115,11 @@ def flag_rows(
     ).drop("__dup")
 
 
+def with_outcome(flagged: DataFrame) -> DataFrame:
+    """Add ``outcome``, the name of the table a judged row belongs to."""
+    return flagged.withColumn("outcome", F.when(F.size("reasons") == 0, "clean").otherwise("quarantine"))
+
+
 def clean_rows(flagged: DataFrame) -> DataFrame:
     return flagged.where(F.size("reasons") == 0).drop("reasons")
 

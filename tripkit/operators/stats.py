@@ -56,19 +56,21 @@ def describe(
 ) -> DataFrame:
     """Count, mean, sample std, min, exact quartiles and max per numeric column."""
     columns = list(columns or numeric_columns(df))
-    moments = {
-        "count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max,
-    }
+    moments = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
     row = df.agg(*[
         fn(F.col(c).cast("double")).alias(f"{c}|{name}") for c in columns for name, fn in moments.items()
-    ])
-    wide = _turn(row, columns, list(moments))
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], small_rows=small_rows)
-    rows = [(c, *(quartiles[(c,)] or [None] * 3)) for c in columns]
-    parts = df.sparkSession.createDataFrame(rows, "column string, p25 double, p50 double, p75 double")
-    joined = wide.join(F.broadcast(parts), "column")
-    rounded = [F.round(c, digits).alias(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")]
-    return joined.select("column", "count", *rounded)
+    ]).first()
+    known = max(row[f"{c}|count"] for c in columns)
+    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], small_rows=small_rows, at_most=known)
+    rows = [
+        (c, *[row[f"{c}|{n}"] for n in ("count", "mean", "std", "min")], *(quartiles[(c,)] or [None] * 3), row[f"{c}|max"])
+        for c in columns
+    ]
+    doubles = ["mean", "std", "min", "p25", "p50", "p75", "max"]
+    schema = "column string, count bigint, " + ", ".join(f"{c} double" for c in doubles)
+    return df.sparkSession.createDataFrame(rows, schema).select(
+        "column", "count", *[F.round(c, digits).alias(c) for c in doubles]
+    )
 
 
 def describe_approximate(df: DataFrame, columns: Sequence[str] | None = None, accuracy: int = 10_000) -> DataFrame:

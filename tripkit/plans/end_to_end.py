@@ -47,16 +47,14 @@ def ingest(
     quality.require_columns(trips)
     flagged = quality.flag_rows(enrich(trips, weather), limits)
     path = f"{base}/ingested/run={run_id}"
-    flagged.withColumn("is_clean", F.size("reasons") == 0).write.partitionBy("is_clean").mode(
-        "errorifexists"
-    ).parquet(path)
+    quality.with_outcome(flagged).write.partitionBy("outcome").mode("errorifexists").parquet(path)
     judged = spark.read.parquet(path)
     report = quality.validation_report(judged)
     report.write.mode("errorifexists").json(f"{base}/validation_reports/run={run_id}")
     row = report.first().asDict()
     quality.require_pass_rate(report, minimum)
-    clean = judged.where(F.col("is_clean")).drop("is_clean", "reasons")
-    quarantine = judged.where(~F.col("is_clean")).drop("is_clean")
+    clean = judged.where(F.col("outcome") == "clean").drop("outcome", "reasons")
+    quarantine = judged.where(F.col("outcome") == "quarantine").drop("outcome")
     return clean, quarantine, row
 
 

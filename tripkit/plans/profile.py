@@ -67,12 +67,17 @@ def profile_parts(df: DataFrame, target: str = TARGET) -> dict[str, Callable[[],
         "mean_by_hour": lambda: stats.mean_by(df, F.hour(ts), "hour", target),
         "mean_by_weekday": lambda: mean_by_weekday(df, target),
         "mean_by_month": lambda: stats.mean_by(df, F.month(ts), "month", target),
-        "mean_by_temperature": lambda: mean_by_temperature(df, target),
-        "mean_by_rain": lambda: stats.mean_by(df, weather.rain_label(F.col("precipitation")), "rain", target),
-        "mean_by_snow": lambda: stats.mean_by(df, weather.is_snowing(F.col("snow_depth")), "is_snowing", target),
         "pickup_density": lambda: stats.hex_density(df, "pickup_lon", "pickup_lat", HEX_COLUMNS),
         "box_by_hour": lambda: stats.box_statistics(wide, "hour_of_day", target),
     }
+    if "avg_temp_f" in df.columns:
+        parts["mean_by_temperature"] = lambda: mean_by_temperature(df, target)
+    if "precipitation" in df.columns:
+        rain = weather.rain_label(F.col("precipitation"))
+        parts["mean_by_rain"] = lambda: stats.mean_by(df, rain, "rain", target)
+    if "snow_depth" in df.columns:
+        snow = weather.is_snowing(F.col("snow_depth"))
+        parts["mean_by_snow"] = lambda: stats.mean_by(df, snow, "is_snowing", target)
     return parts
 
 

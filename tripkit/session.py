@@ -33,6 +33,16 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame, most: int = 16) -> DataFrame:
+    """Deal out the rows of a table that is read by fewer tasks than could work on it.
+
+    A small file with a single row group is one task however many cores are free. Tables
+    of many splits come back unchanged, so nothing large is ever shuffled for this.
+    """
+    tasks = min(df.sparkSession.sparkContext.defaultParallelism, most)
+    return df.repartition(tasks) if df.rdd.getNumPartitions() < min(tasks, 4) else df
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder."""
     shared_dir(df.sparkSession)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripkit.functions.weather import holds
+from tripkit.session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,7 +52,7 @@ def trips_of_orders(orders: DataFrame) -> DataFrame:
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trips_of_orders(table(spark, sf_dir, "orders"))
+    return trips_of_orders(spread(table(spark, sf_dir, "orders")))
 
 
 def weather_of_orders(orders: DataFrame) -> DataFrame:

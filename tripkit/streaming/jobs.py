@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tripkit.operators.monitoring import accuracy_by_window
-from tripkit.operators.quality import reasons_of, row_rules
+from tripkit.operators.quality import reasons_of, row_rules, with_outcome
 from tripkit.schema import ENFORCED, ROW_ORDER, Thresholds
 
 SALTS = 32
@@ -32,14 +32,13 @@ def write_stream(stream: DataFrame, path: str, partition_by: list[str] | None =
 
 
 def validate(stream: DataFrame, limits: Thresholds = ENFORCED) -> DataFrame:
-    """Add ``reasons`` and ``is_clean`` by the rules that judge one row at a time."""
-    judged = stream.withColumn("reasons", reasons_of(row_rules(limits)))
-    return judged.withColumn("is_clean", F.size("reasons") == 0)
+    """Add ``reasons`` and ``outcome`` by the rules that judge one row at a time."""
+    return with_outcome(stream.withColumn("reasons", reasons_of(row_rules(limits))))
 
 
 def route(stream: DataFrame, path: str, limits: Thresholds = ENFORCED) -> StreamingQuery:
     """Judge a stream and write clean and quarantined rows to separate partitions."""
-    return write_stream(validate(stream, limits), path, ["is_clean"])
+    return write_stream(validate(stream, limits), path, ["outcome"])
 
 
 def deduplicate(
@@ -51,7 +50,10 @@ def deduplicate(
     (key, salt), so at most ``SALTS`` rows of a key reach the second step. The salt comes
     from the unique ``order``, so even identical copies spread, and a rerun repeats it.
     """
-    salted = stream.withColumn("__salt", F.pmod(F.xxhash64(order), F.lit(SALTS)))
+    salted = stream.withColumns({
+        at: F.col(at).cast("timestamp"),  # watermarks need a zoned time
+        "__salt": F.pmod(F.xxhash64(order), F.lit(SALTS)),
+    })
     per_salt = salted.withWatermark(at, delay).dropDuplicatesWithinWatermark([key, "__salt"])
     return per_salt.drop("__salt").dropDuplicatesWithinWatermark([key])
 
@@ -77,7 +79,7 @@ def monitor(
     label). An actual must arrive within ``horizon`` after its prediction, which bounds the
     state of both sides.
     """
-    p = predictions.withWatermark(at, delay).alias("p")
+    p = predictions.withColumn(at, F.col(at).cast("timestamp")).withWatermark(at, delay).alias("p")
     a = deduplicate(actuals, key, "actual_at", delay).alias("a")
     span = F.expr(f"a.actual_at >= p.{at} AND a.actual_at <= p.{at} + INTERVAL {horizon}")
     joined = p.join(a, (F.col(f"p.{key}") == F.col(f"a.{key}")) & span).select(
