@@ -39,14 +39,19 @@ def grid_index(value: Column, origin: float) -> Column:
     return ((value - F.lit(origin)) / F.lit(GRID_CELL_DEG)).try_cast("int")
 
 
-def location_features(
+def distance_features(
     pickup_lat: Column, pickup_lon: Column, dropoff_lat: Column, dropoff_lon: Column
 ) -> dict[str, Column]:
     points = (pickup_lat, pickup_lon, dropoff_lat, dropoff_lon)
-    distance, bearing = haversine_km(*points), bearing_deg(*points)
+    return {"haversine_km": haversine_km(*points), "bearing_deg": bearing_deg(*points)}
+
+
+def location_features(
+    pickup_lat: Column, pickup_lon: Column, dropoff_lat: Column, dropoff_lon: Column,
+    distance: Column, bearing: Column,
+) -> dict[str, Column]:
+    """What follows from the points and from their rounded distance and bearing."""
     return {
-        "haversine_km": distance,
-        "bearing_deg": bearing,
         "bearing_sin": F.round(F.sin(F.radians(bearing)), 6),
         "bearing_cos": F.round(F.cos(F.radians(bearing)), 6),
         "pickup_grid_x": grid_index(pickup_lat, GRID_ORIGIN_LAT),

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 STEPS = 4096
-SMALL_ROWS = 2_000_000
+SMALL_ROWS = 200_000  # beyond this, narrowing is also faster than one big aggregate
 MAX_GROUPS = 10_000
 
 
@@ -37,9 +37,16 @@ def _key_names(by: Sequence[str]) -> list[str]:
     return [f"_k{i}" for i in range(len(by))] + ["_col"]
 
 
-def _long_form(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
-    """One row per group key, column name and non-null value."""
-    integral = all(isinstance(df.schema[c].dataType, T.IntegralType) for c in columns)
+def _all_integral(df: DataFrame, columns: Sequence[str]) -> bool:
+    return all(isinstance(df.schema[c].dataType, T.IntegralType) for c in columns)
+
+
+def _long_form(
+    df: DataFrame, columns: Sequence[str], by: Sequence[str], integral: bool | None = None
+) -> DataFrame:
+    """One row per group key, column name and non-null value, as bigint if all columns are."""
+    if integral is None:
+        integral = _all_integral(df, columns)
 
     def plain(c: str) -> Column:
         if integral:
@@ -86,10 +93,9 @@ def select_ranks(
     targets = [(key, rank) for key, ranks in wanted.items() for rank in sorted(set(ranks))]
     if not targets:
         return {}
-    tall, keys = _long_form(df, columns, by), _key_names(by)
     if max(ranges[key]["n"] for key, _ in targets) <= small_rows:
-        return _rank_directly(tall, keys, targets)
-    return _narrow_by_steps(tall, keys, targets, ranges)
+        return _rank_directly(_long_form(df, columns, by), _key_names(by), targets)
+    return _narrow_by_steps(df, columns, by, targets, ranges)
 
 
 def _driver_table(tall: DataFrame, keys: list[str], rows: list[tuple], extra: list[T.StructField]) -> DataFrame:
@@ -131,8 +137,11 @@ def _step_number(integral: bool) -> Column:
     return F.coalesce(position, (F.col("_val") > F.col("_lo")).cast("bigint"))
 
 
-def _narrow_by_steps(tall: DataFrame, keys: list[str], targets: list[tuple], ranges: dict) -> dict:
-    value_type = tall.schema["_val"].dataType
+def _narrow_by_steps(
+    df: DataFrame, columns: Sequence[str], by: Sequence[str], targets: list[tuple], ranges: dict
+) -> dict:
+    keys, integral = _key_names(by), _all_integral(df, columns)
+    value_type = T.LongType() if integral else T.DoubleType()
     span_fields = [
         T.StructField("_lo", value_type), T.StructField("_hi", value_type),
         T.StructField("_base", T.LongType()),
@@ -152,6 +161,8 @@ def _narrow_by_steps(tall: DataFrame, keys: list[str], targets: list[tuple], ran
                 raise ValueError(f"column {key[-1]} holds infinite values")
         if not spans:
             return found
+        # only columns that still have an open range are read again
+        tall = _long_form(df, [c for c in columns if any(k[-1] == c for k, *_ in spans)], by, integral)
         span_table = _driver_table(
             tall, keys, [(*key, lo, hi, below) for key, lo, hi, below, _ in spans], span_fields
         )
@@ -162,7 +173,7 @@ def _narrow_by_steps(tall: DataFrame, keys: list[str], targets: list[tuple], ran
         )
         counts = (
             tall.join(span_table, _same_key(keys) & F.col("_val").between(F.col("_lo"), F.col("_hi")))
-            .groupBy(*keys, "_lo", "_base", _step_number(value_type == T.LongType()).alias("_step"))
+            .groupBy(*keys, "_lo", "_base", _step_number(integral).alias("_step"))
             .agg(F.count(F.lit(1)).alias("_rows"), F.min("_val").alias("_from"), F.max("_val").alias("_to"))
         )
         # at most STEPS + 1 rows per open range
@@ -188,16 +199,17 @@ def exact_quantiles(
     by: Sequence[str] = (),
     small_rows: int = SMALL_ROWS,
     at_most: int | None = None,
+    ranges: dict[tuple, dict] | None = None,
 ) -> dict[tuple, list[float] | None]:
     """Linearly interpolated quantiles of the non-null values, keyed (group..., column).
 
-    Groups of up to ``small_rows`` values use the built-in exact aggregate. ``at_most`` is
-    a row count the caller already knows, which saves the counting pass.
+    Groups of up to ``small_rows`` values use the built-in exact aggregate. A row count
+    (``at_most``) or the ``group_ranges`` the caller already knows save the counting pass.
     """
     result: dict[tuple, list[float] | None] = {} if by else {(c,): None for c in columns}
-    keys, ranges = _key_names(by), {}
+    keys = _key_names(by)
     if at_most is None or at_most > small_rows:
-        ranges = group_ranges(df, columns, by)
+        ranges = ranges or group_ranges(df, columns, by)
         at_most = max((r["n"] for r in ranges.values()), default=0)
     if at_most <= small_rows:
         values = F.percentile("_val", [float(p) for p in probabilities]).alias("_q")

@@ -57,11 +57,19 @@ def describe(
     """Count, mean, sample std, min, exact quartiles and max per numeric column."""
     columns = list(columns or numeric_columns(df))
     moments = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    plain = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in columns}
     row = df.agg(*[
-        fn(F.col(c).cast("double")).alias(f"{c}|{name}") for c in columns for name, fn in moments.items()
+        fn(plain[c]).alias(f"{c}|{name}") for c in columns for name, fn in moments.items()
     ]).first()
-    known = max(row[f"{c}|count"] for c in columns)
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], small_rows=small_rows, at_most=known)
+    number = int if all(isinstance(df.schema[c].dataType, T.IntegralType) for c in columns) else float
+    ranges = {
+        (c,): {"n": row[f"{c}|count"], "lo": number(row[f"{c}|min"]), "hi": number(row[f"{c}|max"])}
+        for c in columns if row[f"{c}|count"]
+    }
+    largest = max((r["n"] for r in ranges.values()), default=0)
+    quartiles = exact_quantiles(
+        df, columns, [0.25, 0.5, 0.75], small_rows=small_rows, at_most=largest, ranges=ranges
+    )
     rows = [
         (c, *[row[f"{c}|{n}"] for n in ("count", "mean", "std", "min")], *(quartiles[(c,)] or [None] * 3), row[f"{c}|max"])
         for c in columns

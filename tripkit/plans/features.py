@@ -23,7 +23,12 @@ def add_time_features(df: DataFrame, at: str = "pickup_datetime") -> DataFrame:
 
 def add_location_features(df: DataFrame) -> DataFrame:
     assert_columns(df, COORDINATES)
-    return df.withColumns(geo.location_features(*[F.col(c) for c in COORDINATES]))
+    points = [F.col(c) for c in COORDINATES]
+    # two steps, so that distance and bearing are computed once per row
+    measured = df.withColumns(geo.distance_features(*points))
+    return measured.withColumns(
+        geo.location_features(*points, F.col("haversine_km"), F.col("bearing_deg"))
+    )
 
 
 def encode_store_flag(df: DataFrame) -> DataFrame:
