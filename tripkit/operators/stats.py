@@ -118,26 +118,30 @@ def shape_statistics(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _turn(row, columns, ["skewness", "kurtosis"])
 
 
-def _pair_sums(batches, k: int):
-    """Sums over the rows where both columns of a pair are known, one set per task."""
-    first, second = np.array(list(combinations(range(k), 2)), dtype=int).reshape(-1, 2).T
-    n = np.zeros((k, k))
-    total, square, product = np.zeros((k, k)), np.zeros((k, k)), np.zeros((k, k))
-    for batch in batches:
-        values = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(float)
-        known = (~np.isnan(values)).astype(float)
-        values = np.nan_to_num(values, nan=0.0)
-        n += known.T @ known
-        total += values.T @ known  # [i, j]: sum of i where j is known
-        square += (values * values).T @ known
-        product += values.T @ values
-    i, j = first, second
-    columns = [
-        np.arange(len(i), dtype=np.int32), n[i, j], total[i, j], total[j, i], square[i, j], square[j, i],
-        product[i, j],
-    ]
+def _pair_sums(k: int):
+    """Function for ``mapInArrow``: sums over the rows where both columns of a pair are
+    known, one row per pair and task. It is built here, so that it travels to the workers
+    by value and they need nothing but numpy and pyarrow."""
+    i, j = np.array(list(combinations(range(k), 2)), dtype=int).reshape(-1, 2).T
     names = ["pair", "n", "sx", "sy", "sxx", "syy", "sxy"]
-    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+
+    def sums(batches):
+        n, total, square, product = (np.zeros((k, k)) for _ in range(4))
+        for batch in batches:
+            values = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(float)
+            known = (~np.isnan(values)).astype(float)
+            values = np.nan_to_num(values, nan=0.0)
+            n += known.T @ known
+            total += values.T @ known  # [i, j]: sum of i where j is known
+            square += (values * values).T @ known
+            product += values.T @ values
+        columns = [
+            np.arange(len(i), dtype=np.int32), n[i, j], total[i, j], total[j, i], square[i, j], square[j, i],
+            product[i, j],
+        ]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+
+    return sums
 
 
 def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -155,10 +159,9 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     ]).first()
     constant = [c for c in columns if row[f"{c}|lo"] == row[f"{c}|hi"]]
     centred = doubles.select(*[(F.col(c) - F.lit(row[f"{c}|mean"] or 0.0)).alias(c) for c in columns])
-    k = len(columns)
     sums = (
         centred.mapInArrow(
-            lambda batches: _pair_sums(batches, k),
+            _pair_sums(len(columns)),
             "pair int, n double, sx double, sy double, sxx double, syy double, sxy double",
         )
         .groupBy("pair")
