@@ -90,13 +90,19 @@ def csv_write_read(spark, sf):
     return trips.drop("row_ord", "trip_duration_sec").fillna({"passenger_count": -1})
 
 
-def next_version(spark, sf):
+def version_names(spark, sf):
     """Version names from supplier keys, with names that are no version mixed in."""
-    names = derived.table(spark, sf, "supplier").select(
+    return derived.table(spark, sf, "supplier").select(
         F.when(F.col("s_suppkey") % 3 == 0, F.concat(F.lit("tmp"), F.col("s_suppkey")))
         .otherwise(F.concat(F.lit("v"), F.col("s_suppkey"))).alias("version"))
-    latest = versions.latest_version(names).withColumnRenamed("version", "latest_version")
-    return versions.next_version(names).crossJoin(F.broadcast(latest))
+
+
+def next_version(spark, sf):
+    return versions.next_version(version_names(spark, sf))
+
+
+def latest_version(spark, sf):
+    return versions.latest_version(version_names(spark, sf))
 
 
 def manifest_latest(spark, sf):
@@ -160,8 +166,9 @@ QUERIES = {
                CASE WHEN row_ord % 3 <> 0 THEN passenger_count ELSE -1 END AS passenger_count, pickup_lat, eta_minutes
         FROM trips""")),
     "next_version": (next_version, """
-        SELECT 'v' || CAST(max(s_suppkey) + 1 AS VARCHAR) AS next_version,
-               'v' || CAST(max(s_suppkey) AS VARCHAR) AS latest_version FROM supplier WHERE s_suppkey % 3 <> 0"""),
+        SELECT 'v' || CAST(max(s_suppkey) + 1 AS VARCHAR) AS next_version FROM supplier WHERE s_suppkey % 3 <> 0"""),
+    "latest_version": (latest_version, """
+        SELECT 'v' || CAST(max(s_suppkey) AS VARCHAR) AS version FROM supplier WHERE s_suppkey % 3 <> 0"""),
     "manifest_latest": (manifest_latest, """
         SELECT version_id, timestamp_utc, n_rows, source_description FROM (
           SELECT 'v_' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS version_id,

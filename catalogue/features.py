@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from catalogue.quality import enriched
 from catalogue.sql import (
-    CYCLE_COLUMNS, DISTANCE, GEO_COLUMNS, GRID_COLUMNS, STORE_FLAG, TIME_COLUMNS, WEATHER_COLUMNS, using,
+    CYCLE_COLUMNS, DISTANCE, DOW, GEO_COLUMNS, GRID_COLUMNS, HOUR, MONTH, RUSH, STORE_FLAG, TIME_COLUMNS,
+    WEATHER_COLUMNS, WEEKEND, using,
 )
 from tripkit.functions import geo, weather
 from tripkit.operators import enrich
 from tripkit.plans import features
-from tripkit.plans.first_generation import coarse_features, with_speed
+from tripkit.plans.first_generation import attach_weather, coarse_features, with_speed
 from tripkit.schema import FEATURE_ORDER
 from tripkit.sources import derived
 
@@ -63,6 +64,19 @@ def implied_speed(spark, sf):
     return table.select("row_ord", "implied_speed_kmh", "plausible_speed")
 
 
+def coarse_columns(spark, sf):
+    """Columns of the earlier job, with the daily weather in metric units carried along."""
+    weather_day = derived.weather(spark, sf).select(
+        "date", ((F.col("avg_temp_f") - 32.0) * 5.0 / 9.0).alias("temp_c"),
+        (F.col("precipitation") * 25.4).alias("precip_mm"),
+        weather.rain_label(F.col("precipitation")).alias("weather_condition"))
+    table = attach_weather(coarse_features(derived.trips(spark, sf)), weather_day)
+    return table.select(
+        "row_ord", "hour_of_day", "day_of_week", "is_weekend", "month", "is_rush_hour", "trip_distance_km",
+        F.col("trip_date").cast("string").alias("trip_date"), F.round("temp_c", 6).alias("temp_c"),
+        F.round("precip_mm", 6).alias("precip_mm"), "weather_condition")
+
+
 def weekday_names(spark, sf):
     from tripkit.functions.time import weekday_name
 
@@ -93,6 +107,13 @@ QUERIES = {
         SELECT CAST(date AS VARCHAR) AS date, {BAND} AS temp_band,
                CASE WHEN precipitation > 0.1 THEN 'Rainy' ELSE 'Dry' END AS rain FROM weather""")),
     "store_flag": (store_flag, using("trips", f"SELECT row_ord, {STORE_FLAG} AS store_and_fwd_flag FROM trips")),
+    "coarse_columns": (coarse_columns, using("trips", f"""
+        SELECT row_ord, {HOUR} AS hour_of_day, {DOW} AS day_of_week, {WEEKEND} AS is_weekend, {MONTH} AS month,
+               {RUSH} AS is_rush_hour, {DISTANCE} AS trip_distance_km,
+               CAST(CAST(pickup_datetime AS DATE) AS VARCHAR) AS trip_date,
+               round((avg_temp_f - 32) * 5 / 9, 6) AS temp_c, round(precipitation * cast(25.4 as double), 6) AS precip_mm,
+               CASE WHEN precipitation > 0.1 THEN 'Rainy' WHEN w.date IS NOT NULL THEN 'Dry' END AS weather_condition
+        {JOIN}""", "weather")),
     "weekday_names": (weekday_names, using("trips", "SELECT row_ord, dayname(pickup_datetime) AS weekday FROM trips")),
     "build_features": (build_features, using(
         "features", f"SELECT row_ord, {', '.join(FEATURE_ORDER)}, part_of_day, eta_minutes FROM features")),

@@ -111,7 +111,7 @@ def weather_dedup(spark, sf):
         F.col("o_orderkey").alias("row_ord"), F.to_date("o_orderdate").alias("date"),
         (F.col("o_totalprice") / 5000.0).alias("avg_temp_f"),
     )
-    return enrich.daily_weather(readings).withColumn("date", F.col("date").cast("string"))
+    return enrich.daily_weather(readings).orderBy("date").withColumn("date", F.col("date").cast("string"))
 
 
 def weather_left_join(spark, sf):

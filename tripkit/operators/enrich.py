@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripkit.operators.lookup import BROADCAST_ROWS, bounded_count, lookup_join
@@ -12,9 +12,9 @@ from tripkit.schema import ROW_ORDER, WEATHER_COLUMNS
 
 def first_per_key(df: DataFrame, keys: list[str], order: str = ROW_ORDER) -> DataFrame:
     """The first row of each key in input order, as a map-side combined aggregate."""
-    rest = [c for c in df.columns if c not in keys]
-    first = F.min_by(F.struct(*rest), F.col(order)).alias("__row")
-    return df.groupBy(*keys).agg(first).select(*keys, "__row.*").select(*df.columns)
+    # one min_by per column keeps fixed-width columns in hash aggregation; ``order`` is unique
+    firsts = [F.min_by(c, order).alias(c) for c in df.columns if c not in (*keys, order)]
+    return df.groupBy(*keys).agg(F.min(order).alias(order), *firsts).select(*df.columns)
 
 
 def daily_weather(df: DataFrame, order: str = ROW_ORDER) -> DataFrame:
@@ -84,8 +84,8 @@ def weather_span(weather: DataFrame) -> DataFrame:
     )
 
 
-def dense(aggregated: DataFrame, key: str, values: list, columns: dict[str, Column] | None = None) -> DataFrame:
+def dense(aggregated: DataFrame, key: str, values: list[str]) -> DataFrame:
     """Rows for a fixed list of key values in its order; absent groups come out null."""
     spark = aggregated.sparkSession
     frame = spark.createDataFrame(list(enumerate(values)), f"ordinal int, {key} string")
-    return F.broadcast(frame).join(aggregated, key, "left").select("ordinal", *aggregated.columns)
+    return frame.join(aggregated, key, "left").select("ordinal", *aggregated.columns)

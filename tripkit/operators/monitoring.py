@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripkit.operators.enrich import first_per_key
-from tripkit.operators.lookup import lookup_join
 from tripkit.operators.stats import histogram, value_ranges
 
 PSI_FLOOR = 1e-4
@@ -19,8 +18,10 @@ def join_actuals(
     predictions: DataFrame, actuals: DataFrame, key: str = "trip_id", order: str = "row_ord"
 ) -> DataFrame:
     """Inner join on the key. Actuals are reduced to their first row per key before the
-    join, so repeated keys cannot multiply rows."""
-    return lookup_join(predictions, first_per_key(actuals, [key], order).drop(order), [key], "inner")
+    join, so repeated keys cannot multiply rows. Both sides grow with the data, so nothing
+    is broadcast by hint: the reduced side is already partitioned by the key, and adaptive
+    execution splits the partition of a key that is hot among the predictions."""
+    return predictions.join(first_per_key(actuals, [key], order).drop(order), key)
 
 
 def window_metrics(error: Column) -> dict[str, Column]:

@@ -45,7 +45,7 @@ def ingest(
     """
     spark = trips.sparkSession
     quality.require_columns(trips)
-    flagged = quality.flag_rows(enrich(trips, weather), limits)
+    flagged = enrich(quality.flag_rows(trips, limits), weather)
     path = f"{base}/ingested/run={run_id}"
     quality.with_outcome(flagged).write.partitionBy("outcome").mode("errorifexists").parquet(path)
     judged = spark.read.parquet(path)

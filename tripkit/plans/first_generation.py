@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tripkit.functions import geo, time
 from tripkit.operators import prep, quality, splitting
+from tripkit.operators.lookup import lookup_join
 from tripkit.plans.profile import profile
 from tripkit.schema import COORDINATES, ROUGH, ROW_ORDER
 from tripkit.sources.versions import write_snapshot
@@ -29,6 +30,11 @@ def coarse_features(df: DataFrame) -> DataFrame:
     })
 
 
+def attach_weather(df: DataFrame, weather: DataFrame, at: str = "trip_date") -> DataFrame:
+    """Carry every column of a daily table (temp_c, precip_mm, weather_condition) by date."""
+    return lookup_join(df, weather.withColumnRenamed("date", at), [at])
+
+
 def with_speed(df: DataFrame, limit_kmh: float = 120.0) -> DataFrame:
     """Implied speed and whether it is plausible."""
     speed = geo.implied_speed_kmh(F.col("trip_distance_km"), F.col("trip_duration_sec") / 60.0)
@@ -37,18 +43,22 @@ def with_speed(df: DataFrame, limit_kmh: float = 120.0) -> DataFrame:
     )
 
 
-def split_and_bin(clean: DataFrame, test_size: float = 0.2) -> tuple[DataFrame, dict[str, list[float]]]:
+def split_and_bin(
+    clean: DataFrame, weather: DataFrame | None = None, test_size: float = 0.2
+) -> tuple[DataFrame, dict[str, list[float]]]:
     """Time split, coarse features, and location bins whose edges come from train only."""
     split = coarse_features(splitting.time_split(clean, test_size=test_size))
+    if weather is not None:
+        split = attach_weather(split, weather)
     edges = prep.fit_bins(split.where(F.col("split") == "train"), COORDINATES, LOCATION_BINS)
     return prep.apply_bins(split, edges), edges
 
 
-def run(trips: DataFrame, base: str, source: str) -> dict:
+def run(trips: DataFrame, base: str, source: str, weather: DataFrame | None = None) -> dict:
     """Validate, split by time, build features and write one snapshot per split."""
     clean = quality.rough_clean_rows(trips, ROUGH)
     report = quality.rough_report(trips, ROUGH).first().asDict()
-    table, edges = split_and_bin(clean)
+    table, edges = split_and_bin(clean, weather)
     ids = {}
     for name in ("train", "test"):
         part = table.where(F.col("split") == name).drop("split", ROW_ORDER)
