@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalogue.quality import RULES, clean, flagged
+from catalogue.quality import RULES, clean, flagged, lines
 from catalogue.sql import split_of, using
 from tripkit.operators import quality, splitting
 from tripkit.operators.content import content_hash
@@ -19,7 +19,7 @@ def trip_hash(spark, sf):
 
 
 def lineitem_hash(spark, sf):
-    return content_hash(derived.table(spark, sf, "lineitem"))
+    return content_hash(lines(spark, sf, "*"))
 
 
 def cell(column: str, kind: str) -> str:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalogue.sql import box, using
 from tripkit.operators import enrich, quality
 from tripkit.schema import DOCUMENTED, MIN_PASS_RATE, ROUGH
-from tripkit.session import materialize
+from tripkit.session import materialize, spread
 from tripkit.sources import derived
 
 
@@ -19,6 +19,16 @@ def clean(spark, sf):
     return quality.clean_rows(flagged(spark, sf))
 
 
+def lines(spark, sf, *columns):
+    """Columns of the line items, dealt out to all cores if the file is a single split."""
+    return spread(derived.table(spark, sf, "lineitem").select(*columns))
+
+
+def stored_lines(spark, sf, *columns):
+    """The same, written once for statistics that need several passes."""
+    return materialize(lines(spark, sf, *columns))
+
+
 def stored_clean(spark, sf):
     """Clean trips written once to the shared folder, for statistics that read them repeatedly."""
     return materialize(clean(spark, sf))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalogue.quality import stored_clean, stored_enriched
+from catalogue.quality import stored_clean, stored_enriched, stored_lines
 from catalogue.sql import row_hash, split_of, using
 from tripkit.functions.keys import row_hash as hash_column
 from tripkit.operators import prep, splitting
@@ -25,8 +25,7 @@ def qcut_strata(spark, sf):
 
 def qcut_strata_tied(spark, sf):
     """Quantity has 50 distinct values, so rows at an edge must fall on the same side."""
-    lines = derived.table(spark, sf, "lineitem")
-    return splitting.add_strata(lines, "l_quantity").groupBy("l_quantity", "stratum").agg(
+    return splitting.add_strata(stored_lines(spark, sf, "l_quantity"), "l_quantity").groupBy("l_quantity", "stratum").agg(
         F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -155,9 +154,10 @@ SCALED = ["l_quantity", "l_extendedprice"]
 
 def scaling(kind):
     def query(spark, sf):
-        lines = splitting.hash_split(derived.table(spark, sf, "lineitem"), "l_orderkey")
-        fitted = prep.fit_scaler(lines.where(F.col("split") == "train"), SCALED, kind)
-        scaled = prep.scale(lines, fitted)
+        table = stored_lines(spark, sf, "l_orderkey", "l_partkey", "l_linenumber", *SCALED)
+        split = splitting.hash_split(table, "l_orderkey")
+        fitted = prep.fit_scaler(split.where(F.col("split") == "train"), SCALED, kind)
+        scaled = prep.scale(split, fitted)
         return scaled.select(
             "l_orderkey", "l_partkey", "l_linenumber", "split", *[F.round(c, 6).alias(c) for c in SCALED]
         )

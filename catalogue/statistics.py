@@ -7,11 +7,12 @@ from itertools import combinations
 from pyspark.sql import functions as F
 
 from catalogue.features import BAND
-from catalogue.quality import clean, enriched, stored_clean, stored_enriched
+from catalogue.quality import clean, enriched, lines, stored_clean, stored_enriched, stored_lines
 from catalogue.sql import DISTANCE, DOW, HOUR, MONTH, RUSH, WEEKEND, row_hash, using
 from tripkit.operators import sampling, stats
 from tripkit.plans import profile
 from tripkit.plans.features import build_features
+from tripkit.session import materialize
 from tripkit.sources import derived
 
 LINE_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -30,11 +31,11 @@ def rounded(df, columns, digits=6):
 
 
 def describe(spark, sf):
-    return stats.describe(derived.table(spark, sf, "lineitem"), LINE_NUMBERS)
+    return stats.describe(stored_lines(spark, sf, *LINE_NUMBERS), LINE_NUMBERS)
 
 
 def describe_trips(spark, sf):
-    return stats.describe(derived.trips(spark, sf), TRIP_NUMBERS, digits=6)
+    return stats.describe(materialize(derived.trips(spark, sf)), TRIP_NUMBERS, digits=6)
 
 
 def describe_sql(tables: str, columns: list[str], source: str, digits: int = 4) -> str:
@@ -73,7 +74,7 @@ def corr_lower(spark, sf):
 
 
 def corr_lower_lineitem(spark, sf):
-    return rounded(stats.correlation_pairs(derived.table(spark, sf, "lineitem"), LINE_NUMBERS), ["corr"])
+    return rounded(stats.correlation_pairs(lines(spark, sf, *LINE_NUMBERS), LINE_NUMBERS), ["corr"])
 
 
 def corr_sql(columns: list[str], source: str) -> str:

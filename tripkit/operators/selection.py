@@ -203,12 +203,15 @@ def exact_quantiles(
 ) -> dict[tuple, list[float] | None]:
     """Linearly interpolated quantiles of the non-null values, keyed (group..., column).
 
-    Groups of up to ``small_rows`` values use the built-in exact aggregate. A row count
-    (``at_most``) or the ``group_ranges`` the caller already knows save the counting pass.
+    Groups of up to ``small_rows`` values use the built-in exact aggregate, larger ones
+    are narrowed down. A row count (``at_most``) or the ``group_ranges`` the caller already
+    knows save a pass.
     """
     result: dict[tuple, list[float] | None] = {} if by else {(c,): None for c in columns}
     keys = _key_names(by)
-    if at_most is None or at_most > small_rows:
+    if at_most is None:
+        at_most = df.count()
+    if at_most > small_rows:
         ranges = ranges or group_ranges(df, columns, by)
         at_most = max((r["n"] for r in ranges.values()), default=0)
     if at_most <= small_rows:
