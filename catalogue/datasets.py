@@ -78,8 +78,8 @@ def csv_write_read(spark, sf):
     path = shared_path(spark, "trips-csv")
     raw = derived.trips(spark, sf).select(
         F.col("trip_id").alias("id"), "vendor_id",
-        F.date_format("pickup_datetime", "yyyy-MM-dd HH:mm:ss").alias("pickup_datetime"),
-        F.coalesce(F.date_format("dropoff_datetime", "yyyy-MM-dd HH:mm:ss"), F.lit("not a time")).alias("dropoff_datetime"),
+        F.col("pickup_datetime").cast("string").alias("pickup_datetime"),
+        F.coalesce(F.col("dropoff_datetime").cast("string"), F.lit("not a time")).alias("dropoff_datetime"),
         F.concat(F.col("passenger_count").cast("string"), F.when(F.col("row_ord") % 3 == 0, ".7").otherwise(".0")
                  ).alias("passenger_count"),
         F.coalesce(F.col("pickup_lat").cast("string"), F.lit("n/a")).alias("pickup_latitude"),
@@ -90,6 +90,20 @@ def csv_write_read(spark, sf):
     return trips.drop("row_ord", "trip_duration_sec").fillna({"passenger_count": -1})
 
 
+def weather_csv_read(spark, sf):
+    """Order dates as a day-first weather CSV with repeats, read back one row per date."""
+    path = shared_path(spark, "weather-csv")
+    raw = derived.table(spark, sf, "orders").select(
+        F.when(F.col("o_orderkey") % 10 == 0, "31-31-2016").otherwise(F.date_format("o_orderdate", "d-M-yyyy")).alias("Date"),
+        F.dayofyear("o_orderdate").cast("string").alias(" Average Temperature "),
+        F.when(F.month("o_orderdate") % 4 == 0, "T").otherwise("0.25").alias("precipitation"))
+    raw.write.csv(path, header=True)
+    table = readers.read_weather(spark, path)
+    return table.select(
+        F.col("date").cast("string").alias("date"), "avg_temp_f",
+        F.coalesce("precipitation", F.lit(-1.0)).alias("precipitation"))
+
+
 def version_names(spark, sf):
     """Version names from supplier keys, with names that are no version mixed in."""
     return derived.table(spark, sf, "supplier").select(
@@ -165,6 +179,11 @@ QUERIES = {
         SELECT trip_id, vendor_id, pickup_datetime, dropoff_datetime,
                CASE WHEN row_ord % 3 <> 0 THEN passenger_count ELSE -1 END AS passenger_count, pickup_lat, eta_minutes
         FROM trips""")),
+    "weather_csv_read": (weather_csv_read, """
+        SELECT DISTINCT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS date,
+               cast(dayofyear(o_orderdate) as double) AS avg_temp_f,
+               CASE WHEN month(o_orderdate) % 4 = 0 THEN cast(-1 as double) ELSE cast(0.25 as double) END AS precipitation
+        FROM orders WHERE o_orderkey % 10 <> 0"""),
     "next_version": (next_version, """
         SELECT 'v' || CAST(max(s_suppkey) + 1 AS VARCHAR) AS next_version FROM supplier WHERE s_suppkey % 3 <> 0"""),
     "latest_version": (latest_version, """

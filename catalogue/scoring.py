@@ -11,9 +11,10 @@ from tripkit.operators import monitoring, quality, scoring, splitting
 from tripkit.plans import training
 from tripkit.plans.features import build_features
 from tripkit.plans.prepare import FittedPrep, fit_prep
-from tripkit.plans.score import Scorer
+from tripkit.plans.score import Scorer, load_scorer, register
 from tripkit.session import materialize, shared_path
 from tripkit.sources import derived
+from tripkit.sources.versions import write_version
 from tripkit.streaming import jobs
 
 # ----------------------------------------------------------------------- requests
@@ -28,13 +29,13 @@ def requests(spark, sf):
 
     return derived.trips(spark, sf).select(
         k.alias("request_ord"),
-        F.when(k % 53 == 0, "tomorrow").otherwise(F.date_format("pickup_datetime", "yyyy-MM-dd'T'HH:mm:ss")).alias(
-            "pickup_datetime"),
+        F.when(k % 53 == 0, "tomorrow").otherwise(
+            F.replace(F.col("pickup_datetime").cast("string"), F.lit(" "), F.lit("T"))).alias("pickup_datetime"),
         "pickup_lat", "pickup_lon", "dropoff_lat", "dropoff_lon",
         unless(4, F.col("passenger_count")).alias("passenger_count"),
         unless(6, (k % 3 + 1).cast("int")).alias("vendor_id"),
         F.when(k % 59 == 0, "Q").otherwise(F.col("store_and_fwd_flag")).alias("store_and_fwd_flag"),
-        F.when(k % 61 == 0, "later").when(k % 2 == 0, F.date_format("dropoff_datetime", "yyyy-MM-dd HH:mm:ss")).alias(
+        F.when(k % 61 == 0, "later").when(k % 2 == 0, F.col("dropoff_datetime").cast("string")).alias(
             "dropoff_datetime"),
         unless(3, (k % 90).cast("double")).alias("avg_temp_f"),
         unless(3, F.when(k % 67 == 0, -0.5).otherwise((k % 4) / 10.0)).alias("precipitation"),
@@ -107,9 +108,29 @@ def distance_scorer(spark, sf):
     return Scorer(fitted, model, "1", "v1")
 
 
+def stored_scorer(spark, sf):
+    """The same scorer after a round trip: versioned data, registered model, both loaded."""
+    base = shared_path(spark, "scorer")
+    fresh = distance_scorer(spark, sf)
+    table = splitting.hash_split(build_features(stored_clean(spark, sf)), "trip_id")
+    ready = fresh.prep.apply(table).select("haversine_km", "eta_minutes", "split")
+    version = write_version(ready, base, fresh.prep.metadata())
+    register(fresh.model, base, spark, version)
+    return load_scorer(spark, base)
+
+
 def batch_score(spark, sf):
     """Every request answered, by a prediction or by the reason it cannot be."""
-    scored = distance_scorer(spark, sf).score(requests(spark, sf), derived.weather(spark, sf))
+    return answers(distance_scorer(spark, sf), spark, sf)
+
+
+def stored_model_score(spark, sf):
+    """The same answers from a model and preparation loaded from the stores."""
+    return answers(stored_scorer(spark, sf), spark, sf)
+
+
+def answers(scorer, spark, sf):
+    scored = scorer.score(requests(spark, sf), derived.weather(spark, sf))
     return scored.select(
         "request_ord", F.coalesce(F.col("eta_minutes"), F.lit(-1.0)).alias("eta_minutes"),
         F.coalesce("input_features", F.lit(0)).alias("input_features"), "error")
@@ -271,6 +292,7 @@ QUERIES = {
         SELECT row_ord, (coalesce(x, 3) - 2) / cast(4 as double) AS by_median, (coalesce(x, 0) - 2) / cast(4 as double) AS by_zero
         FROM g""")),
     "batch_score": (batch_score, BATCH_SQL),
+    "stored_model_score": (stored_model_score, BATCH_SQL),
     "accuracy_by_window": (accuracy, using("trips", f"WITH {ACCURACY} SELECT * FROM a")),
     "retrain_trigger": (
         lambda s, d: monitoring.retrain_signal(accuracy(s, d), 30.0, 1.2).select("window_start", "rmse", "retrain"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
-from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
 from pyspark.sql import functions as F
 
 from test_preparation import trip_table

@@ -41,40 +41,43 @@ def _all_integral(df: DataFrame, columns: Sequence[str]) -> bool:
     return all(isinstance(df.schema[c].dataType, T.IntegralType) for c in columns)
 
 
+def _plain(c: str, integral: bool) -> Column:
+    """The value as bigint or double, NaN as null."""
+    if integral:
+        return F.col(c).cast("bigint")
+    return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+
+
 def _long_form(
     df: DataFrame, columns: Sequence[str], by: Sequence[str], integral: bool | None = None
 ) -> DataFrame:
     """One row per group key, column name and non-null value, as bigint if all columns are."""
     if integral is None:
         integral = _all_integral(df, columns)
-
-    def plain(c: str) -> Column:
-        if integral:
-            return F.col(c).cast("bigint")
-        return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
-
     keys = [F.col(c).alias(k) for c, k in zip(by, _key_names(by))]
     if len(columns) == 1:
-        tall = df.select(*keys, F.lit(columns[0]).alias("_col"), plain(columns[0]).alias("_val"))
+        tall = df.select(*keys, F.lit(columns[0]).alias("_col"), _plain(columns[0], integral).alias("_val"))
     else:
-        pairs = [F.struct(F.lit(c).alias("_col"), plain(c).alias("_val")) for c in columns]
+        pairs = [F.struct(F.lit(c).alias("_col"), _plain(c, integral).alias("_val")) for c in columns]
         tall = df.select(*keys, F.inline(F.array(*pairs)))
     return tall.where(F.col("_val").isNotNull())
 
 
 def group_ranges(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> dict[tuple, dict]:
     """Count, minimum and maximum of the non-null values, keyed (group..., column)."""
-    keys = _key_names(by)
-    rows = (
-        _long_form(df, columns, by)
-        .groupBy(*keys)
-        .agg(F.count("_val").alias("n"), F.min("_val").alias("lo"), F.max("_val").alias("hi"))
-        .limit(MAX_GROUPS + 1)
-        .collect()
-    )
+    integral = _all_integral(df, columns)
+    keys = [F.col(c).alias(k) for c, k in zip(by, _key_names(by))]
+    aggregates = [
+        f(_plain(c, integral)).alias(f"{i}{name}")
+        for i, c in enumerate(columns) for name, f in (("n", F.count), ("lo", F.min), ("hi", F.max))
+    ]
+    rows = df.groupBy(*keys).agg(*aggregates).limit(MAX_GROUPS + 1).collect()
     if len(rows) > MAX_GROUPS:
         raise ValueError(f"order statistics take at most {MAX_GROUPS} groups")
-    return {tuple(r[k] for k in keys): {"n": r["n"], "lo": r["lo"], "hi": r["hi"]} for r in rows}
+    return {
+        (*r[: len(by)], c): {name: r[f"{i}{name}"] for name in ("n", "lo", "hi")}
+        for r in rows for i, c in enumerate(columns) if r[f"{i}n"]
+    }
 
 
 def select_ranks(

@@ -83,7 +83,8 @@ def hash_split(
     """Independent assignment by row hash: map-only, stable when rows are added.
 
     The hash does not depend on the stratum, so every stratum is divided in the same
-    proportions up to sampling noise; use ``exact_split`` for exact sizes.
+    proportions up to sampling noise; use ``exact_split`` for exact sizes. Rows of one key
+    stay together, so a key that is not unique cannot leak from train into test.
     """
     u = row_uniform(F.col(key), seed)
     return df.withColumn(
