@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tripkit.functions.numbers import rounded
+
 # Earth radius, grid origin and grid cell size in degrees.
 EARTH_RADIUS_KM = 6371.0
 GRID_ORIGIN_LAT = 40.50
@@ -22,7 +24,7 @@ def great_circle_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> C
 
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    return F.round(great_circle_km(lat1, lon1, lat2, lon2), 4)
+    return rounded(great_circle_km(lat1, lon1, lat2, lon2), 4)
 
 
 def bearing_deg(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
@@ -31,7 +33,7 @@ def bearing_deg(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colum
     turn = F.radians(lon2 - lon1)
     east = F.sin(turn) * F.cos(to_lat)
     north = F.cos(from_lat) * F.sin(to_lat) - F.sin(from_lat) * F.cos(to_lat) * F.cos(turn)
-    return F.round((F.degrees(F.atan2(east, north)) + 360.0) % 360.0, 2)
+    return rounded((F.degrees(F.atan2(east, north)) + 360.0) % 360.0, 2)
 
 
 def grid_index(value: Column, origin: float) -> Column:
@@ -52,15 +54,15 @@ def location_features(
 ) -> dict[str, Column]:
     """What follows from the points and from their rounded distance and bearing."""
     return {
-        "bearing_sin": F.round(F.sin(F.radians(bearing)), 6),
-        "bearing_cos": F.round(F.cos(F.radians(bearing)), 6),
+        "bearing_sin": rounded(F.sin(F.radians(bearing)), 6),
+        "bearing_cos": rounded(F.cos(F.radians(bearing)), 6),
         "pickup_grid_x": grid_index(pickup_lat, GRID_ORIGIN_LAT),
         "pickup_grid_y": grid_index(pickup_lon, GRID_ORIGIN_LON),
         "dropoff_grid_x": grid_index(dropoff_lat, GRID_ORIGIN_LAT),
         "dropoff_grid_y": grid_index(dropoff_lon, GRID_ORIGIN_LON),
-        "delta_lat": F.round(dropoff_lat - pickup_lat, 6),
-        "delta_lon": F.round(dropoff_lon - pickup_lon, 6),
-        "log_haversine_km": F.round(F.log1p(distance), 6),
+        "delta_lat": rounded(dropoff_lat - pickup_lat, 6),
+        "delta_lon": rounded(dropoff_lon - pickup_lon, 6),
+        "log_haversine_km": rounded(F.log1p(distance), 6),
     }
 
 

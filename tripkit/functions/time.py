@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tripkit.functions.numbers import rounded
+
 # Monday-first names, used for dense weekday output.
 WEEKDAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
 
@@ -43,7 +45,7 @@ def part_of_day(ts: Column) -> Column:
 def cycle(value: Column, period: int) -> tuple[Column, Column]:
     """Sine and cosine of a position on a circle of ``period`` steps, 6 decimals."""
     angle = value * F.lit(2 * math.pi) / F.lit(float(period))
-    return F.round(F.sin(angle), 6), F.round(F.cos(angle), 6)
+    return rounded(F.sin(angle), 6), rounded(F.cos(angle), 6)
 
 
 def weekday_name(ts: Column) -> Column:

@@ -19,7 +19,7 @@ def canonical(df: DataFrame, column: str) -> Column:
     if isinstance(kind, T.FractionalType):
         number = value.cast("double")
         text = F.coalesce(
-            F.round(number * float(SCALE), 0).try_cast("bigint").cast("string"), number.cast("string")
+            F.rint(number * float(SCALE)).try_cast("bigint").cast("string"), number.cast("string")
         )
     elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         epoch = F.lit("1970-01-01 00:00:00").cast(kind)

@@ -80,7 +80,10 @@ def row_rules(limits: Thresholds = ENFORCED) -> dict[str, Column]:
 
 
 def reasons_of(rules: dict[str, Column]) -> Column:
-    return F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in rules.items()]))
+    """Names of the rules a row fails, in rule order."""
+    names = F.array(*[F.when(bad, F.lit(name)) for name, bad in rules.items()])
+    # array_except drops the nulls inside generated code, where a filter lambda would not run
+    return F.array_except(names, F.array(F.lit(None).cast("string")))
 
 
 def mark_duplicates(

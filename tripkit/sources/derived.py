@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripkit.functions.numbers import rounded
 from tripkit.functions.weather import holds
 from tripkit.session import spread
 
@@ -48,7 +49,7 @@ def trips_of_orders(orders: DataFrame) -> DataFrame:
         ).alias("store_and_fwd_flag"),
         (base_sec * F.when(every(211), 3).otherwise(1)).alias("trip_duration_sec"),
     )
-    return trips.withColumn("eta_minutes", F.round(F.col("trip_duration_sec") / 60, 4))
+    return trips.withColumn("eta_minutes", rounded(F.col("trip_duration_sec") / 60, 4))
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripkit.functions.numbers import rounded
 from tripkit.schema import ROW_ORDER, TRIP_RENAMES, WEATHER_RENAMES, WEATHER_SCHEMA
 
 INTEGERS = ["passenger_count", "vendor_id"]
@@ -70,7 +71,7 @@ def adapt_trips(raw: DataFrame) -> DataFrame:
     typed |= {c: to_whole(F.col(c)) for c in INTEGERS if c in df.columns}
     if "trip_duration_sec" in df.columns:
         typed["trip_duration_sec"] = to_double(F.col("trip_duration_sec")).try_cast("bigint")
-        minutes = F.round(to_double(F.col("trip_duration_sec")) / 60, 4)
+        minutes = rounded(to_double(F.col("trip_duration_sec")) / 60, 4)
         df = df.withColumn("eta_minutes", minutes)
     typed |= {c: to_double(F.col(c)) for c in DOUBLES if c in df.columns}
     return df.withColumns(typed)

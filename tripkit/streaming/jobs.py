@@ -17,6 +17,20 @@ from tripkit.schema import ENFORCED, ROW_ORDER, Thresholds
 SALTS = 32
 
 
+def stateful_session(spark: SparkSession) -> SparkSession:
+    """A session for stateful jobs with at most one state partition per core.
+
+    Every state partition costs a store and a commit per trigger, and the number is fixed
+    for the life of a query, so it should follow the cores rather than a batch default.
+    """
+    session = spark.newSession()
+    cores = spark.sparkContext.defaultParallelism
+    partitions = min(int(spark.conf.get("spark.sql.shuffle.partitions")), cores)
+    session.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    return session
+
+
 def read_table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """Files ``name`` below ``folder`` as a stream, with the schema of what is there now."""
     schema = spark.read.parquet(f"{folder}/{name}").schema
