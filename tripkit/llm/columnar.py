@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +48,15 @@ def long_array(column: pa.Array) -> np.ndarray:
     return column.to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
 
 
+def per_group(df: DataFrame, key: str, task: Callable[..., pa.Table], schema: str, **fixed: Any) -> DataFrame:
+    """``task(group, **fixed)`` for the rows of each key."""
+
+    def run(group: pa.Table) -> pa.Table:
+        return task(group, **fixed)
+
+    return df.groupBy(key).applyInArrow(run, schema)
+
+
 def pack(rising: np.ndarray) -> bytes:
     """Rising integers as differences, in byte planes that a block compressor shortens."""
     steps = np.diff(rising, prepend=0).astype("<u4")

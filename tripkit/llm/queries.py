@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripkit.llm import substring
+from tripkit.llm import projection, simhash, substring
 from tripkit.llm.ship import ship
 
 
@@ -22,6 +22,19 @@ def op1_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Links and near-duplicate class of every vector."""
+    return projection.near_duplicate_vectors(read(spark, sf, "embeddings"))
+
+
+def op8_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Fingerprint and near-duplicate class of every document."""
+    found = simhash.near_duplicates(read(spark, sf, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_substring_dedup": (op1_substring_dedup, None),
+    "op6_embedding_near_dedup": (op6_embedding_near_dedup, None),
+    "op8_simhash_near_dedup": (op8_simhash_near_dedup, None),
 }
