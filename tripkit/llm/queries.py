@@ -7,8 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripkit.llm import projection, simhash, substring
+import public_tokenizers
+from tripkit.llm import packing, projection, simhash, substring, token_files
 from tripkit.llm.ship import ship
+from tripkit.session import shared_path
+
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -22,6 +27,19 @@ def op1_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op2_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    """Place of every piece of every document in sequences of 4096 tokens."""
+    packed = packing.pack_documents(read(spark, sf, "documents"), WORD_TOKENIZER, end_id=1, capacity=4096, keep_ids=False)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op3_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Place, length and checksum of every document's ids, read back from wavelet matrix files."""
+    folder = shared_path(spark, "tokens")
+    token_files.write_tokens(read(spark, sf, "documents"), folder, BYTE_TOKENIZER, end_id=2)
+    return token_files.read_documents(spark, folder)
+
+
 def op6_embedding_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Links and near-duplicate class of every vector."""
     return projection.near_duplicate_vectors(read(spark, sf, "embeddings"))
@@ -35,6 +53,8 @@ def op8_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_substring_dedup": (op1_substring_dedup, None),
+    "op2_best_fit_packing": (op2_best_fit_packing, None),
+    "op3_token_files": (op3_token_files, None),
     "op6_embedding_near_dedup": (op6_embedding_near_dedup, None),
     "op8_simhash_near_dedup": (op8_simhash_near_dedup, None),
 }
