@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from tripkit.llm import packing, projection, simhash, substring, token_files
+from tripkit.llm import decontamination, packing, projection, simhash, substring, token_files
 from tripkit.llm.ship import ship
 from tripkit.session import shared_path
 
@@ -45,6 +45,25 @@ def op6_embedding_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return projection.near_duplicate_vectors(read(spark, sf, "embeddings"))
 
 
+def op7_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs of a document and a test item of which it contains 0.8 or more."""
+    return decontamination.contained_items(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
+
+
+#: Distinct shingles of a table's texts, words as in ``decontamination.normal_words``.
+SHINGLES = r"""
+    SELECT DISTINCT {id}, array_to_string(list_slice(w, i, i + 4), ' ') AS s
+    FROM (SELECT {id}, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM
+          (SELECT {id}, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w FROM {table}) WHERE len(w) > 0)"""
+OP7_SQL = f"""
+    WITH d AS ({SHINGLES.format(id="doc_id", table="documents")}), b AS ({SHINGLES.format(id="item_id", table="benchmark")}),
+    n AS (SELECT item_id, count(*) AS n_shingles FROM b GROUP BY item_id),
+    j AS (SELECT doc_id, item_id, count(*) AS n_shared FROM d JOIN b USING (s) GROUP BY doc_id, item_id)
+    SELECT doc_id, item_id, n_shingles, n_shared, CAST(n_shared AS DOUBLE) / n_shingles AS containment
+    FROM j JOIN n USING (item_id) WHERE CAST(n_shared AS DOUBLE) / n_shingles >= CAST(0.8 AS DOUBLE)"""
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Fingerprint and near-duplicate class of every document."""
     found = simhash.near_duplicates(read(spark, sf, "documents"))
@@ -56,5 +75,6 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op2_best_fit_packing": (op2_best_fit_packing, None),
     "op3_token_files": (op3_token_files, None),
     "op6_embedding_near_dedup": (op6_embedding_near_dedup, None),
+    "op7_benchmark_decontamination": (op7_benchmark_decontamination, OP7_SQL),
     "op8_simhash_near_dedup": (op8_simhash_near_dedup, None),
 }
