@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from tripkit.llm import decontamination, packing, projection, simhash, substring, token_files
+from tripkit.llm import decontamination, packing, projection, simhash, substring, suffix_dedup, token_files
 from tripkit.llm.ship import ship
 from tripkit.session import shared_path
 
@@ -40,6 +40,13 @@ def op3_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return token_files.read_documents(spark, folder)
 
 
+def op5_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Bytes outside repeated 400-byte strings, per document."""
+    kept = suffix_dedup.remove_repeated_bytes(read(spark, sf, "documents"), length=400)
+    return kept.select("doc_id", "n_bytes", "n_removed", (F.octet_length("spans") / 16).cast("bigint").alias("n_spans"),
+                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_embedding_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Links and near-duplicate class of every vector."""
     return projection.near_duplicate_vectors(read(spark, sf, "embeddings"))
@@ -74,6 +81,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op1_substring_dedup": (op1_substring_dedup, None),
     "op2_best_fit_packing": (op2_best_fit_packing, None),
     "op3_token_files": (op3_token_files, None),
+    "op5_suffix_dedup": (op5_suffix_dedup, None),
     "op6_embedding_near_dedup": (op6_embedding_near_dedup, None),
     "op7_benchmark_decontamination": (op7_benchmark_decontamination, OP7_SQL),
     "op8_simhash_near_dedup": (op8_simhash_near_dedup, None),
