@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from tripkit.llm import decontamination, packing, projection, simhash, substring, suffix_dedup, token_files
+from tripkit.llm import decontamination, packing, projection, simhash, substring, suffix_dedup, token_files, toxicity
 from tripkit.llm.ship import ship
 from tripkit.session import shared_path
 
@@ -40,6 +40,19 @@ def op3_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return token_files.read_documents(spark, folder)
 
 
+def held_out(column: str = "doc_id"):
+    """Rows whose labels are never learned from."""
+    return F.crc32(F.col(column).cast("string").cast("binary")) % 4 == 2
+
+
+def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """Toxicity score of every document, learned from three quarters of the labels."""
+    docs = read(spark, sf, "documents").select("doc_id", "text")
+    model = toxicity.learn(docs, read(spark, sf, "labels").where(~held_out()))
+    scored = toxicity.score(docs, model).withColumn("held_out", held_out())
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op5_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Bytes outside repeated 400-byte strings, per document."""
     kept = suffix_dedup.remove_repeated_bytes(read(spark, sf, "documents"), length=400)
@@ -81,6 +94,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op1_substring_dedup": (op1_substring_dedup, None),
     "op2_best_fit_packing": (op2_best_fit_packing, None),
     "op3_token_files": (op3_token_files, None),
+    "op4_toxicity": (op4_toxicity, None),
     "op5_suffix_dedup": (op5_suffix_dedup, None),
     "op6_embedding_near_dedup": (op6_embedding_near_dedup, None),
     "op7_benchmark_decontamination": (op7_benchmark_decontamination, OP7_SQL),
