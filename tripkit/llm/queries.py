@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from tripkit.llm import decontamination, packing, projection, simhash, substring, suffix_dedup, token_files, toxicity
+from tripkit.llm import chat, decontamination, packing, projection, simhash, substring, suffix_dedup, token_files, toxicity
 from tripkit.llm.ship import ship
 from tripkit.session import shared_path
 
@@ -90,6 +90,35 @@ def op8_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+#: The texts of the two turns of conversation -1: control strings that must come back as they were.
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+def op10_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
+    """Digests of every formatted conversation, read back from the written output."""
+    turns = read(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    control = spark.createDataFrame([(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)], turns.schema)
+    folder = shared_path(spark, "chat")
+    chat.format_conversations(turns.union(control)).write.parquet(folder)
+    return chat.digests(spark.read.parquet(folder))
+
+
+#: Parameters: the texts of conversation -1. Loss and turns follow from the table itself; the formatted
+#: length counts 24 template characters per turn, the role, the text, and one for each escape.
+OP10_SQL = f"""
+    WITH t AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+               UNION ALL SELECT -1, 0, 'user', '{CONTROL_TEXT}' UNION ALL SELECT -1, 1, 'assistant', '{CONTROL_TEXT}'),
+    e AS (SELECT *, replace(text, chr(92), chr(92) || chr(92)) AS doubled FROM t),
+    c AS (SELECT *, len(regexp_extract_all(doubled, '(<[|]im_start[|]>|<[|]im_end[|]>|<[|]endoftext[|]>|<s>|</s>|<unk>|<<SYS>>|<</SYS>>|[[]INST[]]|[[]/INST[]])'))
+                 AS n_control FROM e)
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+           CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           CAST(sum(24 + length(role) + length(doubled) + n_control) AS BIGINT) AS formatted_chars
+    FROM c GROUP BY conv_id"""
+
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_substring_dedup": (op1_substring_dedup, None),
     "op2_best_fit_packing": (op2_best_fit_packing, None),
@@ -99,4 +128,5 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op6_embedding_near_dedup": (op6_embedding_near_dedup, None),
     "op7_benchmark_decontamination": (op7_benchmark_decontamination, OP7_SQL),
     "op8_simhash_near_dedup": (op8_simhash_near_dedup, None),
+    "op10_chat_formatting": (op10_chat_formatting, OP10_SQL),
 }
