@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from tripkit.llm import chat, decontamination, packing, projection, simhash, substring, suffix_dedup, token_files, toxicity
+from tripkit.llm import chat, decontamination, packing, projection, quality, simhash, substring, suffix_dedup, token_files, toxicity
 from tripkit.llm.ship import ship
 from tripkit.session import shared_path
 
@@ -90,6 +90,20 @@ def op8_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op9_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    """Expected grade and tail probabilities of every document, learned from three quarters of the labels.
+
+    Grades: 0 for low quality, 1 for good quality but toxic, 2 for good quality. Documents are kept
+    that are likelier of grade 1 or better than not.
+    """
+    docs = read(spark, sf, "documents").select("doc_id", "text")
+    rated = read(spark, sf, "labels").where(~held_out()).withColumn("grade", F.expr("quality * (2 - coalesce(toxic, 0))"))
+    found = quality.grade(docs, quality.learn(docs, rated)).withColumn("held_out", held_out())
+    first, second = (F.coalesce(F.get("tails", k), F.lit(1.0)) for k in (F.lit(0), F.lit(1)))
+    return found.select("doc_id", "held_out", "expected_grade", first.alias("p_at_least_1"), second.alias("p_at_least_2"),
+                        (first >= 0.5).alias("kept"))
+
+
 #: The texts of the two turns of conversation -1: control strings that must come back as they were.
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
@@ -128,5 +142,6 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op6_embedding_near_dedup": (op6_embedding_near_dedup, None),
     "op7_benchmark_decontamination": (op7_benchmark_decontamination, OP7_SQL),
     "op8_simhash_near_dedup": (op8_simhash_near_dedup, None),
+    "op9_quality_classifier": (op9_quality_classifier, None),
     "op10_chat_formatting": (op10_chat_formatting, OP10_SQL),
 }
