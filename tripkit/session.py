@@ -29,8 +29,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below this application's part of the shared folder."""
+    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}"
 
 
 def spread(df: DataFrame, most: int = 16) -> DataFrame:
@@ -45,6 +49,17 @@ def spread(df: DataFrame, most: int = 16) -> DataFrame:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once to the shared folder, as Parquet, and read it back.
+
+    Later passes read only the columns and row groups they need, and a lost executor costs no
+    recomputation. The files stay until ``clear_scratch`` or the end of the folder's life.
+    """
+    path = shared_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote to the shared folder, once its results are stored elsewhere."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
