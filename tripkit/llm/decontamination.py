@@ -131,28 +131,53 @@ class Index:
 SHARED = pa.schema([("n_shingles", pa.int64()), ("n_shared", pa.int64()), ("containment", pa.float64())])
 
 
+def contained(texts: pa.Array, index: Index) -> Iterator[tuple[int, int, int, int]]:
+    """(text, item, shingles of the item, shared ones) for the items contained in each text."""
+    data, limits = buffers(texts)
+    for first, last in pieces(limits, 1 << 20):
+        part = limits[first : last + 1] - limits[first]
+        block = data[limits[first] : limits[last]]
+        hashes, text = shingle_hashes(block, part, index.n)
+        sets: dict[int, set[bytes]] = {}
+        for k, item in sorted(index.candidates(hashes, text, np.bincount(text, minlength=last - first))):
+            if k not in sets:
+                sets[k] = shingles(normal_words(block[part[k] : part[k + 1]].tobytes()), index.n)
+            n, shared = len(index.sets[item]), len(index.sets[item] & sets[k])
+            if shared / n >= index.threshold:
+                yield first + k, item, n, shared
+
+
 def contained_batches(batches: Iterator[pa.RecordBatch], index: Index, item_type: pa.DataType) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        data, limits = buffers(batch.column(1))
         rows, found = [], []
-        for first, last in pieces(limits, 1 << 20):
-            part = limits[first : last + 1] - limits[first]
-            block = data[limits[first] : limits[last]]
-            hashes, text = shingle_hashes(block, part, index.n)
-            sets: dict[int, set[bytes]] = {}
-            for k, item in sorted(index.candidates(hashes, text, np.bincount(text, minlength=last - first))):
-                if k not in sets:
-                    sets[k] = shingles(normal_words(block[part[k] : part[k + 1]].tobytes()), index.n)
-                n, shared = len(index.sets[item]), len(index.sets[item] & sets[k])
-                if shared / n >= index.threshold:
-                    rows.append(first + k)
-                    found.append((index.ids[item], n, shared, shared / n))
+        for k, item, n, shared in contained(batch.column(1), index):
+            rows.append(k)
+            found.append((index.ids[item], n, shared, shared / n))
         columns = list(zip(*found, strict=True)) if found else [[]] * 4
         yield pa.RecordBatch.from_arrays(
             [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(columns[0], item_type),
              *(pa.array(c, f.type) for c, f in zip(columns[1:], SHARED, strict=True))], names=["_id", "_item", *SHARED.names])
 
 
+def clean_batches(batches: Iterator[pa.RecordBatch], index: Index) -> Iterator[pa.RecordBatch]:
+    """Rows whose text, the first column, contains no item; without that column."""
+    for batch in batches:
+        clean = np.ones(batch.num_rows, bool)
+        clean[[k for k, *_ in contained(batch.column(0), index)]] = False
+        yield pa.RecordBatch.from_arrays(batch.columns[1:], names=batch.schema.names[1:]).filter(pa.array(clean))
+
+
+def without_items(docs: DataFrame, items: DataFrame, text_column: str = "text", item_column: str = "item_id",
+                  item_text_column: str = "text", shingle: int = 5, threshold: float = 0.8) -> DataFrame:
+    """The rows of ``docs`` that contain no item (see ``contained_items``), with all their columns."""
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    kept = docs
+    for block in item_blocks(items, item_column, item_text_column):
+        texts = kept.select(F.coalesce(F.col(text_column), F.lit("")).cast("binary").alias("_bytes"), *(F.col(f"`{c}`") for c in docs.columns))
+        kept = texts.mapInArrow(partial(clean_batches, index=Index(block, shingle, threshold)), fields)
+    return kept
+
+
 def item_blocks(items: DataFrame, id_column: str, text_column: str) -> Iterator[list[tuple]]:
     block: list[tuple] = []
     size = 0

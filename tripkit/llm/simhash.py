@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripkit.llm.columnar import buffers, pieces
+from tripkit.llm.columnar import buffers, pieces, row_keys
 from tripkit.llm.components import connected_components
 from tripkit.session import materialize
 
@@ -215,6 +215,13 @@ def fingerprint_links(classes: DataFrame, sample: int = SAMPLE, shard: int = SHA
     return rows.groupBy("shard").applyInArrow(linked, "u bigint, v bigint")
 
 
+def classes_of(found: DataFrame) -> DataFrame:
+    """(fp, class): the class of each fingerprint, named by its least member."""
+    distinct = materialize(found.select("fp").distinct())
+    parts = connected_components(fingerprint_links(distinct))
+    return distinct.join(parts, distinct["fp"] == parts["node"], "left").select("fp", F.coalesce("component", "fp").alias("class"))
+
+
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = 3) -> DataFrame:
     """One row per row of ``docs``: id, fp, component_id (the smallest id reachable by links).
 
@@ -223,10 +230,22 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     other columns are not read.
     """
     found = materialize(fingerprints(docs, id_column, text_column, shingle))
-    classes = materialize(found.groupBy("fp").agg(F.min("_id").alias("least")))
-    parts = connected_components(fingerprint_links(classes))
-    named = classes.join(parts, classes["fp"] == parts["node"], "left").select(
-        "fp", "least", F.coalesce("component", "fp").alias("component"))
-    least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    of = named.join(least, "component").select("fp", "component_id")
+    named = materialize(found.groupBy("fp").agg(F.min("_id").alias("least")).join(classes_of(found), "fp"))
+    least = named.groupBy("class").agg(F.min("least").alias("component_id"))
+    of = named.join(least, "class").select("fp", "component_id")
     return found.join(of, "fp").select(F.col("_id").alias(id_column), "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = 3) -> DataFrame:
+    """``docs`` with one row of each near-duplicate class: the one of the smallest id, null ids last.
+
+    Rows of that id are told apart by hashes of their text; of rows equal in id and text one stays.
+    Texts without words are one class, as in ``near_duplicates``. All columns stay, whatever their names.
+    """
+    keys = row_keys(id_column, text_column)
+    row = F.struct(F.col(id_column).isNull().alias("no_id"), F.col(id_column).alias("id"), *keys)
+    found = materialize(fingerprints(docs.select(row.alias("_row"), F.col(text_column).alias("_text")), "_row", "_text", shingle))
+    first = found.join(classes_of(found), "fp").groupBy("class").agg(F.min("_id").alias("row")).select("row._key_a", "row._key_b")
+    marked = docs.select(F.struct("*").alias("_doc"), *keys)
+    return (marked.join(first, ["_key_a", "_key_b"], "left_semi").groupBy("_key_a", "_key_b")
+            .agg(F.first("_doc").alias("_doc")).select("_doc.*"))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripkit.llm.columnar import keyed_texts, merge_spans
+from tripkit.llm.columnar import keyed_texts, merge_spans, row_keys
 from tripkit.llm.exchange import ddl, repeated_places
 from tripkit.llm.hashing import WORD_BASES, mix, windows_hash, word_values, words
 
@@ -35,7 +35,7 @@ def hashed_windows(data: np.ndarray, limits: np.ndarray, window: int) -> tuple:
 
 
 def kept_words(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """Each text without its repeated windows, its words joined by one space."""
+    """Each text without its repeated windows, its words joined by one space; the first column stays."""
     for batch in batches:
         columns: list[list] = [[], [], [], []]
         for text, found in zip(batch.column("_text"), batch.column("_runs"), strict=True):
@@ -53,6 +53,19 @@ def kept_words(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Re
         yield pa.RecordBatch.from_arrays([batch.column("_id"), *arrays], names=["_id", *KEPT.names])
 
 
+def kept_of(texts: DataFrame, size: int, window: int) -> DataFrame:
+    """_id and the columns of ``KEPT`` for rows of _id, _key_a, _key_b, _text; ``size`` is the text's bytes."""
+    found = repeated_places(texts, partial(hashed_windows, window=window), size // 6)
+    found = found.groupBy("_key_a", "_key_b").agg(F.max("_runs").alias("_runs"))
+    joined = texts.join(found, ["_key_a", "_key_b"], "left").select("_id", "_text", "_runs")
+    kind = texts.schema["_id"].dataType.simpleString()
+    return joined.mapInArrow(partial(kept_words, window=window), f"_id {kind}, {ddl(KEPT)}")
+
+
+def text_bytes(docs: DataFrame, text_column: str) -> int:
+    return docs.agg(F.sum(F.octet_length(text_column))).first()[0] or 0
+
+
 def remove_repeated_windows(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                             window: int = 35) -> DataFrame:
     """One row per row of ``docs``: id, n_words, n_removed, spans, kept.
@@ -63,10 +76,17 @@ def remove_repeated_windows(docs: DataFrame, id_column: str = "doc_id", text_col
     null or repeated ids make no difference, and of equal rows each counts as a place of its own.
     Other columns of ``docs`` are not read. Memory of a task grows with its longest single text.
     """
-    texts = keyed_texts(docs, id_column, text_column)
-    size = docs.agg(F.sum(F.octet_length(text_column))).first()[0] or 0
-    found = repeated_places(texts, partial(hashed_windows, window=window), size // 6)
-    found = found.groupBy("_key_a", "_key_b").agg(F.max("_runs").alias("_runs"))
-    joined = texts.join(found, ["_key_a", "_key_b"], "left").select("_id", "_text", "_runs")
-    kind = docs.schema[id_column].dataType.simpleString()
-    return joined.mapInArrow(partial(kept_words, window=window), f"_id {kind}, {ddl(KEPT)}").withColumnRenamed("_id", id_column)
+    kept = kept_of(keyed_texts(docs, id_column, text_column), text_bytes(docs, text_column), window)
+    return kept.withColumnRenamed("_id", id_column)
+
+
+def without_repeated_windows(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = 35) -> DataFrame:
+    """``docs`` with the repeated windows taken out of its texts; texts that lose nothing stay as they are.
+
+    A document that loses every word goes. All other columns stay, whatever their names.
+    """
+    texts = docs.select(F.struct("*").alias("_id"), *row_keys(id_column, text_column),
+                        F.coalesce(F.col(text_column), F.lit("")).cast("binary").alias("_text"))
+    kept = kept_of(texts, text_bytes(docs, text_column), window).where("n_removed = 0 OR kept <> ''")
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("_id")[text_column])
+    return kept.select(*(text.alias(c) if c == text_column else F.col("_id")[c].alias(c) for c in docs.columns))
