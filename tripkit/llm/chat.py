@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripkit.llm.columnar import buffers
+from tripkit.llm.columnar import buffers, typed
 
 # The template, and the control strings of common templates that a text may not hold.
 TURN, BODY, END = b"<|im_start|>", b"\n", b"<|im_end|>\n"
@@ -121,12 +121,11 @@ def format_conversations(turns: DataFrame, id_column: str = "conv_id", turn_colu
     spans [start, end) of the assistant's texts, as escaped. Other columns are not read. A task holds
     one conversation as a whole, as its formatted row does.
     """
-    kind = turns.schema[id_column].dataType.simpleString()
     rows = turns.select(F.col(id_column).alias("_id"), F.col(turn_column).alias("_turn"),
                         F.col(role_column).cast("string").alias("role"), F.col(text_column).cast("string").alias("text"))
     placed = rows.repartition("_id").sortWithinPartitions("_id", "_turn", "role", "text")
     return placed.select("_id", "role", "text").mapInArrow(
-        partial(first_marked, inner=formatted_batches), f"_id {kind}, {FORMATTED}").withColumnRenamed("_id", id_column)
+        partial(first_marked, inner=formatted_batches), typed(turns, id_column, FORMATTED)).withColumnRenamed("_id", id_column)
 
 
 def first_marked(batches: Iterator[pa.RecordBatch], inner: object) -> Iterator[pa.RecordBatch]:
@@ -180,6 +179,5 @@ def digest_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def digests(formatted: DataFrame, id_column: str = "conv_id") -> DataFrame:
     """Per formatted conversation: turns and text under the loss mask, read back and unescaped."""
-    kind = formatted.schema[id_column].dataType.simpleString()
     return formatted.select(F.col(id_column).alias("_id"), "formatted", "loss_starts", "loss_ends").mapInArrow(
-        digest_batches, f"_id {kind}, {DIGESTS}").withColumnRenamed("_id", id_column)
+        digest_batches, typed(formatted, id_column, DIGESTS)).withColumnRenamed("_id", id_column)

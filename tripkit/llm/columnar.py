@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 
 def row_keys(id_column: str, text_column: str) -> list[Column]:
@@ -26,6 +27,21 @@ def keyed_texts(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
                        F.coalesce(F.col(text_column), F.lit("")).cast("binary").alias("_text"))
 
 
+def typed(df: DataFrame, column: str, rest: str, name: str = "_id") -> StructType:
+    """Schema of a column of ``df``, whatever its type, called ``name``, and the columns that ``rest`` describes."""
+    return StructType([StructField(name, df.schema[column].dataType), *(StructType.fromDDL(rest).fields if rest else [])])
+
+
+def row_schema(df: DataFrame, first: str) -> StructType:
+    """Schema of the columns that ``first`` describes, and of whole rows of ``df`` as _row."""
+    return StructType([*StructType.fromDDL(first).fields, StructField("_row", df.schema)])
+
+
+def row_columns(df: DataFrame, *, but: str = "") -> list[Column]:
+    """The columns of ``df`` out of _row."""
+    return [F.col("_row").getField(c).alias(c) for c in df.columns if c != but]
+
+
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and limits of a binary or string array without nulls; limits start at 0."""
     wide = pa.types.is_large_binary(column.type) or pa.types.is_large_string(column.type)

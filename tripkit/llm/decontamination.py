@@ -24,8 +24,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from tripkit.llm.columnar import buffers, pieces
+from tripkit.llm.columnar import buffers, pieces, row_columns, typed
+from tripkit.llm.exchange import ddl
 from tripkit.llm.hashing import WORD_BASES, mix, word_values, windows_hash
 
 #: Bytes of item text in one block.
@@ -170,11 +172,11 @@ def clean_batches(batches: Iterator[pa.RecordBatch], index: Index) -> Iterator[p
 def without_items(docs: DataFrame, items: DataFrame, text_column: str = "text", item_column: str = "item_id",
                   item_text_column: str = "text", shingle: int = 5, threshold: float = 0.8) -> DataFrame:
     """The rows of ``docs`` that contain no item (see ``contained_items``), with all their columns."""
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     kept = docs
     for block in item_blocks(items, item_column, item_text_column):
-        texts = kept.select(F.coalesce(F.col(text_column), F.lit("")).cast("binary").alias("_bytes"), *(F.col(f"`{c}`") for c in docs.columns))
-        kept = texts.mapInArrow(partial(clean_batches, index=Index(block, shingle, threshold)), fields)
+        texts = kept.select(F.coalesce(F.col(text_column), F.lit("")).cast("binary").alias("_bytes"), F.struct("*").alias("_row"))
+        clean = partial(clean_batches, index=Index(block, shingle, threshold))
+        kept = texts.mapInArrow(clean, StructType([StructField("_row", docs.schema)])).select(*row_columns(docs))
     return kept
 
 
@@ -201,10 +203,9 @@ def contained_items(docs: DataFrame, items: DataFrame, id_column: str = "doc_id"
     contained in nothing. Equal rows of either side are reported as often as they occur; null ids
     are passed on. Other columns are not read. With no items the result is empty.
     """
-    kinds = docs.schema[id_column].dataType.simpleString(), items.schema[item_column].dataType.simpleString()
     item_type = items.select(item_column).limit(0).toArrow().schema.field(0).type
     texts = docs.select(F.col(id_column).alias("_id"), F.coalesce(F.col(text_column), F.lit("")).cast("binary").alias("_text"))
-    schema = f"_id {kinds[0]}, _item {kinds[1]}, n_shingles bigint, n_shared bigint, containment double"
+    schema = StructType([*typed(docs, id_column, "").fields, *typed(items, item_column, ddl(SHARED), "_item").fields])
     found = [texts.mapInArrow(partial(contained_batches, index=Index(block, shingle, threshold), item_type=item_type), schema)
              for block in item_blocks(items, item_column, item_text_column)]
     return reduce(DataFrame.union, found).withColumnsRenamed({"_id": id_column, "_item": item_column})

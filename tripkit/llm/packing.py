@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripkit.llm.columnar import typed
 from tripkit.llm.tokens import encoder
 from tripkit.session import materialize
 
@@ -62,8 +63,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, id_colum
     text is empty: one piece that holds the end id. Ids of documents only pass through.
     """
     texts = docs.select(F.col(id_column).alias("_id"), F.coalesce(F.col(text_column), F.lit("")).alias("_text"))
-    kind = docs.schema[id_column].dataType.simpleString()
-    schema = f"_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint" + (", ids binary" if keep_ids else "")
+    schema = typed(docs, id_column, "piece int, start bigint, length bigint, ids_crc32 bigint" + (", ids binary" if keep_ids else ""))
     return texts.mapInArrow(
         partial(piece_batches, path=tokenizer, end_id=end_id, capacity=capacity, keep_ids=keep_ids),
         schema).withColumnRenamed("_id", id_column)

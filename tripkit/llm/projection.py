@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripkit.llm.columnar import per_group
+from tripkit.llm.columnar import per_group, typed
 from tripkit.llm.components import connected_components
 from tripkit.llm.ordering import numbered
 from tripkit.session import materialize
@@ -175,9 +175,8 @@ def near_duplicate_vectors(vectors: DataFrame, id_column: str = "vec_id", vector
     vectors of their own. The component is named by its smallest id; null ids come last.
     """
     limit = float(np.arccos(cosine))
-    kind = vectors.schema[id_column].dataType.simpleString()
     units = vectors.select(F.col(id_column).alias("_id"), F.col(vector_column).cast("array<double>").alias("_vector"))
-    rows = materialize(units.mapInArrow(unit_batches, f"_id {kind}, unit binary").withColumn("node", F.md5("unit")))
+    rows = materialize(units.mapInArrow(unit_batches, typed(vectors, id_column, "unit binary")).withColumn("node", F.md5("unit")))
     points = materialize(rows.where("unit IS NOT NULL").groupBy("node").agg(
         F.first("unit").alias("unit"), F.count(F.lit(1)).alias("n"), F.min("_id").alias("least")))
     members = contract(points, cosine)

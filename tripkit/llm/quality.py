@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripkit.llm.columnar import row_columns, row_schema
+
 #: Bound of the rated rows that are learned from, in expectation; number of hashed weights.
 TRAIN_ROWS, WEIGHTS = 12_000, 1 << 16
 #: Steps, step size and weight decay of the fit.
@@ -161,9 +163,8 @@ def grade(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame
 
     A null text counts as empty, an empty one has only its length and shares. Every whole text is scored.
     """
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    found = docs.select(F.coalesce(F.col(text_column), F.lit("")).alias("tails"), *(F.col(f"`{c}`") for c in docs.columns)).mapInArrow(
-        partial(graded, model=model), f"tails array<double>, {fields}")
+    found = docs.select(F.coalesce(F.col(text_column), F.lit("")).alias("tails"), F.struct("*").alias("_row")).mapInArrow(
+        partial(graded, model=model), row_schema(docs, "tails array<double>"))
     gaps = np.diff(model.grades).tolist()
     expected = sum((F.col("tails")[k] * float(g) for k, g in enumerate(gaps)), F.lit(float(model.grades[0])))
-    return found.withColumn("expected_grade", expected)
+    return found.select(*row_columns(docs.drop("tails", "expected_grade")), "tails", expected.alias("expected_grade"))

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripkit.llm.columnar import buffers, pieces, row_keys
+from tripkit.llm.columnar import buffers, pieces, row_keys, typed
 from tripkit.llm.components import connected_components
 from tripkit.session import materialize
 
@@ -72,8 +72,7 @@ def fingerprint_batches(batches: Iterator[pa.RecordBatch], shingle: int) -> Iter
 def fingerprints(docs: DataFrame, id_column: str, text_column: str, shingle: int = 3) -> DataFrame:
     """_id and fp, the fingerprint's 64 bits as a bigint."""
     texts = docs.select(F.col(id_column).alias("_id"), F.coalesce(F.col(text_column), F.lit("")).cast("binary").alias("_text"))
-    kind = docs.schema[id_column].dataType.simpleString()
-    return texts.mapInArrow(partial(fingerprint_batches, shingle=shingle), f"_id {kind}, fp bigint")
+    return texts.mapInArrow(partial(fingerprint_batches, shingle=shingle), typed(docs, id_column, "fp bigint"))
 
 
 def distances(points: np.ndarray, vantage: np.uint64) -> np.ndarray:

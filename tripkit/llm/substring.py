@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripkit.llm.columnar import keyed_texts, merge_spans, row_keys
+from tripkit.llm.columnar import keyed_texts, merge_spans, row_keys, typed
 from tripkit.llm.exchange import ddl, repeated_places
 from tripkit.llm.hashing import WORD_BASES, mix, windows_hash, word_values, words
 
@@ -58,8 +58,7 @@ def kept_of(texts: DataFrame, size: int, window: int) -> DataFrame:
     found = repeated_places(texts, partial(hashed_windows, window=window), size // 6)
     found = found.groupBy("_key_a", "_key_b").agg(F.max("_runs").alias("_runs"))
     joined = texts.join(found, ["_key_a", "_key_b"], "left").select("_id", "_text", "_runs")
-    kind = texts.schema["_id"].dataType.simpleString()
-    return joined.mapInArrow(partial(kept_words, window=window), f"_id {kind}, {ddl(KEPT)}")
+    return joined.mapInArrow(partial(kept_words, window=window), typed(texts, "_id", ddl(KEPT)))
 
 
 def text_bytes(docs: DataFrame, text_column: str) -> int:
@@ -88,5 +87,5 @@ def without_repeated_windows(docs: DataFrame, id_column: str = "doc_id", text_co
     texts = docs.select(F.struct("*").alias("_id"), *row_keys(id_column, text_column),
                         F.coalesce(F.col(text_column), F.lit("")).cast("binary").alias("_text"))
     kept = kept_of(texts, text_bytes(docs, text_column), window).where("n_removed = 0 OR kept <> ''")
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("_id")[text_column])
-    return kept.select(*(text.alias(c) if c == text_column else F.col("_id")[c].alias(c) for c in docs.columns))
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("_id").getField(text_column))
+    return kept.select(*(text.alias(c) if c == text_column else F.col("_id").getField(c).alias(c) for c in docs.columns))

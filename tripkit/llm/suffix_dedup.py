@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripkit.llm.columnar import buffers, keyed_texts, long_array, merge_spans, per_group, pieces, row_keys, runs
+from tripkit.llm.columnar import buffers, keyed_texts, long_array, merge_spans, per_group, pieces, row_keys, runs, typed
 from tripkit.llm.exchange import STEP_BYTES, ddl, repeated_places, table
 from tripkit.llm.hashing import BYTE_BASE, WORD_BASES, mix, prefix_sums, spans_hash
 from tripkit.llm.suffixes import longest_previous
@@ -240,5 +240,4 @@ def remove_repeated_bytes(docs: DataFrame, id_column: str = "doc_id", text_colum
         partial(string_spans, length=length, keep_first=keep_first), ddl(SPANS))
     by_text = spans.union(many).groupBy("_key_a", "_key_b").agg(F.collect_list("span").alias("_spans"))
     joined = texts.join(by_text, ["_key_a", "_key_b"], "left").select("_id", "_text", "_spans")
-    kind = docs.schema[id_column].dataType.simpleString()
-    return joined.mapInArrow(kept_bytes, f"_id {kind}, {ddl(KEPT)}").withColumnRenamed("_id", id_column)
+    return joined.mapInArrow(kept_bytes, typed(docs, id_column, ddl(KEPT))).withColumnRenamed("_id", id_column)

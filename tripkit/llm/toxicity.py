@@ -26,6 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripkit.llm.columnar import row_columns, row_schema
 from tripkit.session import materialize
 
 #: Bound of labelled rows to learn from, in expectation; of terms that are considered, and of the lexicon.
@@ -296,8 +297,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
 
 def score(docs: DataFrame, model: Model, text_column: str = "text", score_column: str = "score") -> DataFrame:
     """``docs`` with the probability that a text is toxic. A null or empty text has no matches, only the bias."""
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    found = docs.select(F.coalesce(F.col(text_column), F.lit("")).alias("figures"), *(F.col(f"`{c}`") for c in docs.columns)).mapInArrow(
-        partial(figure_batches, words=model.words, stems=model.stems), f"figures array<double>, {fields}")
+    found = docs.select(F.coalesce(F.col(text_column), F.lit("")).alias("figures"), F.struct("*").alias("_row")).mapInArrow(
+        partial(figure_batches, words=model.words, stems=model.stems), row_schema(docs, "figures array<double>"))
     total = sum((F.col("figures")[k] * float(w) for k, w in enumerate(model.weights)), F.lit(0.0))
-    return found.withColumn(score_column, 1 / (1 + F.exp(-total))).drop("figures")
+    return found.select(*row_columns(docs, but=score_column), (1 / (1 + F.exp(-total))).alias(score_column))
