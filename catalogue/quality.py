@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalogue.sql import box, using
 from tripkit.operators import enrich, quality
 from tripkit.schema import DOCUMENTED, MIN_PASS_RATE, ROUGH
-from tripkit.session import materialize, spread
+from tripkit.session import materialize
 from tripkit.sources import derived
 
 
@@ -21,7 +21,7 @@ def clean(spark, sf):
 
 def lines(spark, sf, *columns):
     """Columns of the line items, dealt out to all cores if the file is a single split."""
-    return spread(derived.table(spark, sf, "lineitem").select(*columns))
+    return derived.table(spark, sf, "lineitem").select(*columns)
 
 
 def stored_lines(spark, sf, *columns):

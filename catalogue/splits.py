@@ -114,7 +114,7 @@ def ordinal_encode(spark, sf):
 def ordinal_categories(spark, sf):
     """Codes of a column with very many categories, numbered by a distributed sort."""
     return prep.fit_categories(customers(spark, sf).select(
-        F.col("c_custkey").cast("string").alias("key")), ["key"], max_rows=100)
+        F.col("c_custkey").cast("string").alias("key")), ["key"])
 
 
 def onehot_encode(spark, sf):

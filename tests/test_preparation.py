@@ -29,10 +29,9 @@ def test_quotas_add_up():
 @pytest.mark.parametrize("values", [
     np.arange(1000) / 7.0, np.repeat([1.0, 1.0, 2.0, 3.0], 250), np.r_[np.zeros(900), np.arange(100)],
 ])
-@pytest.mark.parametrize("small_rows", [10_000, 0])
-def test_strata_equal_pandas_qcut(spark, values, small_rows):
+def test_strata_equal_pandas_qcut(spark, values):
     df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(values)], "i int, eta_minutes double")
-    got = splitting.add_strata(df, small_rows=small_rows).orderBy("i").toPandas()["stratum"]
+    got = splitting.add_strata(df).orderBy("i").toPandas()["stratum"]
     want = pd.qcut(pd.Series(values), 5, labels=False, duplicates="drop")
     assert got.tolist() == want.tolist()
 
@@ -42,36 +41,33 @@ def numbered(spark, n, key="CAST(id AS STRING)"):
         F.col("id").alias("row_ord"), F.expr(key).alias("trip_id"), (F.col("id") % 3).cast("int").alias("stratum"))
 
 
-@pytest.mark.parametrize("small_rows", [100_000, 0])
-def test_exact_split_sizes_cover_and_repeat(spark, small_rows):
+def test_exact_split_sizes_cover_and_repeat(spark):
     df = numbered(spark, 1003)
-    split = splitting.exact_split(df, "trip_id", small_rows=small_rows)
+    split = splitting.exact_split(df, "trip_id")
     sizes = {r["split"]: r["n_rows"] for r in splitting.split_counts(split).collect()}
     assert sizes == splitting.split_sizes(1003)
     assert split.drop("split").exceptAll(df).isEmpty() and df.exceptAll(split.drop("split")).isEmpty()
-    again = splitting.exact_split(df.repartition(11), "trip_id", small_rows=0)
+    again = splitting.exact_split(df.repartition(11), "trip_id")
     assert split.exceptAll(again).isEmpty()
     per = split.groupBy("stratum").pivot("split").count().toPandas()
     assert (per["test"] - 1003 / 15).abs().max() <= 1.0
 
 
-@pytest.mark.parametrize("small_rows", [100_000, 0])
-def test_exact_split_when_one_key_holds_a_third_of_the_rows(spark, small_rows):
+def test_exact_split_when_one_key_holds_a_third_of_the_rows(spark):
     df = numbered(spark, 3000, "CASE WHEN id % 3 = 1 THEN 'hot' ELSE CAST(id AS STRING) END")
-    split = splitting.exact_split(df, "trip_id", small_rows=small_rows)
+    split = splitting.exact_split(df, "trip_id")
     assert {r["split"]: r["n_rows"] for r in splitting.split_counts(split).collect()} == splitting.split_sizes(3000)
     hot = split.where("trip_id = 'hot'").groupBy("split").agg(F.min("row_ord"), F.max("row_ord")).collect()
     spans = {r["split"]: (r[1], r[2]) for r in hot}
     assert spans["test"][1] < spans["val"][0] <= spans["val"][1] < spans["train"][0]
 
 
-@pytest.mark.parametrize("small_rows", [100_000, 0])
-def test_time_split_breaks_ties_by_input_order(spark, small_rows):
+def test_time_split_breaks_ties_by_input_order(spark):
     df = spark.range(100).select(
         F.col("id").alias("row_ord"),
         F.timestamp_add("DAY", F.when(F.col("id") < 30, 0).otherwise(5), F.lit("2016-01-01").cast("timestamp_ntz")
                         ).alias("pickup_datetime"))
-    split = splitting.time_split(df.repartition(7), small_rows=small_rows)
+    split = splitting.time_split(df.repartition(7))
     train = sorted(r["row_ord"] for r in split.where("split = 'train'").collect())
     assert train == list(range(80))
 
@@ -91,10 +87,9 @@ def test_hash_split_is_stable_when_rows_are_added(spark):
 def test_ordinal_codes_and_unseen(spark):
     train = spark.createDataFrame([("b",), ("a",), ("c",), (None,)], "v string")
     other = spark.createDataFrame([(0, "c"), (1, "zz"), (2, None), (3, "a")], "i int, v string")
-    for max_rows in (100, 1):
-        codes = prep.fit_categories(train, ["v"], max_rows=max_rows)
-        rows = prep.ordinal_encode(other, codes, ["v"]).orderBy("i").collect()
-        assert [r["v"] for r in rows] == [2.0, -1.0, -1.0, 0.0]
+    codes = prep.fit_categories(train, ["v"])
+    rows = prep.ordinal_encode(other, codes, ["v"]).orderBy("i").collect()
+    assert [r["v"] for r in rows] == [2.0, -1.0, -1.0, 0.0]
 
 
 def test_onehot_drops_the_first_category(spark):

@@ -34,10 +34,9 @@ def df(spark, pdf):
     return table.select(*[F.nanvl(c, F.lit(None)).alias(c) if c != "key" else F.col(c) for c in pdf.columns])
 
 
-@pytest.mark.parametrize("small_rows", [10_000, 0])
-def test_describe(df, pdf, small_rows):
+def test_describe(df, pdf):
     columns = ["a", "b", "c", "d", "flat"]
-    got = stats.describe(df, columns, small_rows=small_rows).toPandas().set_index("column")
+    got = stats.describe(df, columns).toPandas().set_index("column")
     want = pdf[columns].describe().T.round(4)
     want.columns = ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]
     np.testing.assert_allclose(got.loc[columns, want.columns], want, atol=1.01e-4)
@@ -95,9 +94,8 @@ def test_value_counts_skip_nulls(spark):
     assert [tuple(r) for r in stats.value_counts(df, ["v"]).collect()] == [("v", "x", 2), ("v", "y", 1)]
 
 
-@pytest.mark.parametrize("small_rows", [10_000, 0])
-def test_box_statistics(df, pdf, small_rows):
-    for r in stats.box_statistics(df, "key", "a", small_rows=small_rows).collect():
+def test_box_statistics(df, pdf):
+    for r in stats.box_statistics(df, "key", "a").collect():
         x = pdf.loc[pdf["key"] == r["key"], "a"].dropna()
         q1, median, q3 = np.quantile(x, [0.25, 0.5, 0.75])
         inside = x[(x >= q1 - 1.5 * (q3 - q1)) & (x <= q3 + 1.5 * (q3 - q1))]

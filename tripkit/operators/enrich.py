@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripkit.operators.lookup import BROADCAST_ROWS, bounded_count, lookup_join
+from tripkit.operators.lookup import lookup_join
 from tripkit.operators.selection import exact_medians
 from tripkit.schema import ROW_ORDER, WEATHER_COLUMNS
+from tripkit.session import materialize
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: str = ROW_ORDER) -> DataFrame:
@@ -26,24 +27,22 @@ def carried_columns(weather: DataFrame) -> list[str]:
     return [c for c in WEATHER_COLUMNS if c in weather.columns]
 
 
-def join_weather(
-    trips: DataFrame, weather: DataFrame, at: str = "pickup_datetime", counted: int | None = None
-) -> DataFrame:
+def join_weather(trips: DataFrame, weather: DataFrame, at: str = "pickup_datetime") -> DataFrame:
     """Left join on the pickup date; unmatched trips keep nulls and ``weather_matched`` false."""
     slim = weather.select(
         F.col("date").alias("__date"), *carried_columns(weather), F.lit(True).alias("__matched")
     )
-    joined = lookup_join(trips.withColumn("__date", F.to_date(at)), slim, ["__date"], counted=counted)
+    joined = lookup_join(trips.withColumn("__date", F.to_date(at)), slim, ["__date"])
     return joined.withColumn("weather_matched", F.coalesce("__matched", F.lit(False))).drop(
         "__date", "__matched"
     )
 
 
-def weather_fill(weather: DataFrame, counted: int | None = None) -> dict[str, float]:
+def weather_fill(weather: DataFrame) -> dict[str, float]:
     """Values for trips without weather: the table's median temperature, no rain, no snow."""
     fill = {c: 0.0 for c in carried_columns(weather)}
     if "avg_temp_f" in fill:
-        median = exact_medians(weather, ["avg_temp_f"], at_most=counted)["avg_temp_f"]
+        median = exact_medians(weather, ["avg_temp_f"])["avg_temp_f"]
         fill["avg_temp_f"] = 0.0 if median is None else median
     return fill
 
@@ -59,12 +58,11 @@ def without_weather(trips: DataFrame) -> DataFrame:
 
 def enrich(trips: DataFrame, weather: DataFrame | None) -> DataFrame:
     """Join and fill weather; an absent or empty table gives constant columns."""
-    days = 0 if weather is None else bounded_count(weather)
-    if days == 0:
+    if weather is not None:
+        weather = materialize(weather)  # read for the fill and for the join
+    if weather is None or weather.isEmpty():
         return without_weather(trips)
-    known = days if days <= BROADCAST_ROWS else None
-    joined = join_weather(trips, weather, counted=days)
-    return fill_weather(joined, weather_fill(weather, known)).drop("weather_matched")
+    return fill_weather(join_weather(trips, weather), weather_fill(weather)).drop("weather_matched")
 
 
 def coverage(joined: DataFrame) -> DataFrame:

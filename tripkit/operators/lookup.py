@@ -3,39 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000
 
-
-def bounded_count(lookup: DataFrame, max_rows: int = BROADCAST_ROWS) -> int:
-    """Number of rows, counted up to ``max_rows + 1`` only."""
-    return lookup.limit(max_rows + 1).count()
-
-
-def fits_broadcast(lookup: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a lookup is counted to be small enough to broadcast."""
-    return bounded_count(lookup, max_rows) <= max_rows
-
-
-def lookup_join(
-    df: DataFrame,
-    lookup: DataFrame,
-    on: list[str],
-    how: str = "left",
-    max_rows: int = BROADCAST_ROWS,
-    counted: int | None = None,
-) -> DataFrame:
+def lookup_join(df: DataFrame, lookup: DataFrame, on: list[str], how: str = "left") -> DataFrame:
     """Equi-join to a lookup whose keys are unique; null keys match null keys.
 
-    A lookup counted to be small is broadcast, so the large side is never shuffled.
-    A larger one is joined by a shuffle on the key. Since each key has one lookup row,
-    adaptive execution can split the partition of a hot key on the large side and
-    nothing is multiplied. ``counted`` is a ``bounded_count`` the caller already made.
+    Whether the lookup is broadcast is left to Spark, which knows its size in bytes. Since each
+    key has one lookup row, adaptive execution can split the partition of a hot key on the
+    large side, and nothing is multiplied.
     """
     renamed = lookup.withColumnsRenamed({c: f"__{c}" for c in on})
-    if (bounded_count(renamed, max_rows) if counted is None else counted) <= max_rows:
-        renamed = F.broadcast(renamed)
     condition = None
     for c in on:
         same = df[c].eqNullSafe(renamed[f"__{c}"])

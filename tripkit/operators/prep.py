@@ -8,13 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripkit.operators.lookup import BROADCAST_ROWS, fits_broadcast, lookup_join
-from tripkit.operators.selection import SMALL_ROWS, exact_medians, exact_quantiles
-from tripkit.session import materialize
+from tripkit.operators.lookup import lookup_join
+from tripkit.operators.ordering import numbered
+from tripkit.operators.selection import exact_medians, exact_quantiles
 
 ENCODERS = ("ordinal", "onehot")
 SCALERS = ("standard", "minmax", "robust")
-MAX_ONEHOT = 1_000
 
 
 def choose(kind: str, options: Sequence[str], what: str) -> str:
@@ -26,36 +25,23 @@ def choose(kind: str, options: Sequence[str], what: str) -> str:
 # ---------------------------------------------------------------------- encoders
 
 
-def fit_categories(train: DataFrame, columns: Sequence[str], max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def fit_categories(train: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, category, code): codes follow the sort order of a column's categories.
 
-    Codes of few categories come from one window per column. Very many categories are
-    numbered by a distributed sort instead, one partition count at a time.
+    The distinct categories are dealt out by range, sorted within partitions, and numbered by
+    one count per partition, so no column's categories meet in one task.
     """
     pairs = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("category")) for c in columns]
     distinct = (
         train.select(F.inline(F.array(*pairs))).where(F.col("category").isNotNull()).distinct()
     )
-    distinct = materialize(distinct)
-    if fits_broadcast(distinct, max_rows):
-        code = F.row_number().over(_by_category()) - 1
-        return distinct.select("column", "category", code.alias("code"))
-    numbered = distinct.orderBy("column", "category").rdd.zipWithIndex().map(lambda p: (*p[0], p[1]))
-    overall = materialize(
-        distinct.sparkSession.createDataFrame(numbered, "column string, category string, position bigint")
-    )
-    first = overall.groupBy("column").agg(F.min("position").alias("first"))
+    overall = numbered(distinct, "column", "category")
+    first = overall.groupBy("column").agg(F.min("_pos").alias("first"))  # a row per encoded column
     return overall.join(F.broadcast(first), "column").select(
-        "column", "category", (F.col("position") - F.col("first")).cast("int").alias("code")
+        "column", "category", (F.col("_pos") - F.col("first")).cast("int").alias("code")
     )
 
 
-def _by_category():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("column").orderBy("category")
-
-
 def ordinal_encode(df: DataFrame, categories: DataFrame, columns: Sequence[str], unseen: float = -1.0) -> DataFrame:
     """Replace each category by its code as a double; unseen and null become ``unseen``."""
     order = df.columns
@@ -70,15 +56,10 @@ def ordinal_encode(df: DataFrame, categories: DataFrame, columns: Sequence[str],
 
 
 def onehot_names(categories: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """Categories of each column but the first, in order; bounded by what a row can hold."""
-    rows = (
-        categories.where((F.col("code") > 0) & F.col("column").isin(list(columns)))
-        .orderBy("column", "code").limit(MAX_ONEHOT + 1).collect()
-    )
-    if len(rows) > MAX_ONEHOT:
-        raise ValueError(f"more than {MAX_ONEHOT} one-hot columns, use the ordinal encoder")
+    """Categories of each column but the first, in order: the columns that the encoded table has."""
+    chosen = categories.where((F.col("code") > 0) & F.col("column").isin(list(columns)))
     names: dict[str, list[str]] = {c: [] for c in columns}
-    for r in rows:
+    for r in sorted(chosen.collect(), key=lambda r: (r["column"], r["code"])):
         names[r["column"]].append(r["category"])
     return names
 
@@ -95,9 +76,9 @@ def onehot_encode(df: DataFrame, categories: DataFrame, columns: Sequence[str])
 # -------------------------------------------------------------------- imputation
 
 
-def fit_medians(train: DataFrame, columns: Sequence[str], small_rows: int = SMALL_ROWS) -> dict[str, float]:
+def fit_medians(train: DataFrame, columns: Sequence[str]) -> dict[str, float]:
     """Exact medians of the train rows, for every numeric column, with or without nulls."""
-    medians = exact_medians(train, list(columns), small_rows)
+    medians = exact_medians(train, list(columns))
     return {c: 0.0 if m is None else m for c, m in medians.items()}
 
 
@@ -112,12 +93,12 @@ def impute(df: DataFrame, values: dict[str, float]) -> DataFrame:
 
 
 def fit_scaler(
-    train: DataFrame, columns: Sequence[str], kind: str = "standard", small_rows: int = SMALL_ROWS
+    train: DataFrame, columns: Sequence[str], kind: str = "standard"
 ) -> dict[str, tuple[float, float]]:
     """Per column (centre, width); a constant column gets width 1 so it scales to 0."""
     choose(kind, SCALERS, "scaler")
     if kind == "robust":
-        quartiles = exact_quantiles(train, columns, [0.25, 0.5, 0.75], small_rows=small_rows)
+        quartiles = exact_quantiles(train, columns, [0.25, 0.5, 0.75])
         fitted = {c: (q[1], q[2] - q[0]) for (c,), q in ((k, v or [0.0] * 3) for k, v in quartiles.items())}
     else:
         low, width = (F.avg, F.stddev_pop) if kind == "standard" else (F.min, lambda x: F.max(x) - F.min(x))

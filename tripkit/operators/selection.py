@@ -1,27 +1,27 @@
-"""Exact order statistics that never gather a column into one task.
-
-``select_ranks`` finds the k-th smallest value of a column, for many columns, groups
-and ranks at once. Groups counted to be small are ranked over their distinct values in
-one job. Otherwise each pass cuts the open value range of every wanted rank into equal
-steps, counts the rows per step on the map side, and keeps the one step that holds the
-rank. The step shrinks to the smallest and largest value really inside it, so ties,
-outliers and hot values end the search early instead of growing a task.
+"""Exact order statistics that never gather a column, or a group, into one task.
+
+``select_ranks`` finds the k-th smallest value of a column, for many columns, groups and ranks
+at once. Each pass cuts the open value range of every wanted rank into equal steps, counts the
+rows per step on the map side, and keeps the one step that holds the rank. The step shrinks to
+the smallest and largest value really inside it, so ties, outliers and hot values end the
+search early instead of growing a task. There is one way for every size of table and any number
+of groups; ranges and ranks are tables. Infinite values stand at the ends and are counted only.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripkit.session import materialize
+
 STEPS = 4096
-SMALL_ROWS = 200_000  # beyond this, narrowing is also faster than one big aggregate
-MAX_GROUPS = 10_000
 
 
 @dataclass(frozen=True)
@@ -48,86 +48,50 @@ def _plain(c: str, integral: bool) -> Column:
     return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
 
 
-def _long_form(
-    df: DataFrame, columns: Sequence[str], by: Sequence[str], integral: bool | None = None
-) -> DataFrame:
-    """One row per group key, column name and non-null value, as bigint if all columns are."""
-    if integral is None:
-        integral = _all_integral(df, columns)
+def _is_finite(value: Column, integral: bool) -> Column:
+    return value.isNotNull() if integral else F.abs(value) < float("inf")
+
+
+def _long_form(df: DataFrame, columns: Sequence[str], by: Sequence[str], integral: bool) -> DataFrame:
+    """One row per group key, column name and finite value, as bigint if all columns are."""
     keys = [F.col(c).alias(k) for c, k in zip(by, _key_names(by))]
     if len(columns) == 1:
         tall = df.select(*keys, F.lit(columns[0]).alias("_col"), _plain(columns[0], integral).alias("_val"))
     else:
         pairs = [F.struct(F.lit(c).alias("_col"), _plain(c, integral).alias("_val")) for c in columns]
         tall = df.select(*keys, F.inline(F.array(*pairs)))
-    return tall.where(F.col("_val").isNotNull())
+    return tall.where(_is_finite(F.col("_val"), integral))
 
 
-def group_ranges(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> dict[tuple, dict]:
-    """Count, minimum and maximum of the non-null values, keyed (group..., column)."""
+def ranges_table(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Per group and column that has values: n, neg and pos infinite ones, lo and hi of the finite ones."""
     integral = _all_integral(df, columns)
     keys = [F.col(c).alias(k) for c, k in zip(by, _key_names(by))]
-    aggregates = [
-        f(_plain(c, integral)).alias(f"{i}{name}")
-        for i, c in enumerate(columns) for name, f in (("n", F.count), ("lo", F.min), ("hi", F.max))
-    ]
-    rows = df.groupBy(*keys).agg(*aggregates).limit(MAX_GROUPS + 1).collect()
-    if len(rows) > MAX_GROUPS:
-        raise ValueError(f"order statistics take at most {MAX_GROUPS} groups")
-    return {
-        (*r[: len(by)], c): {name: r[f"{i}{name}"] for name in ("n", "lo", "hi")}
-        for r in rows for i, c in enumerate(columns) if r[f"{i}n"]
-    }
-
-
-def select_ranks(
-    df: DataFrame,
-    columns: Sequence[str],
-    wanted: dict[tuple, Iterable[int]],
-    ranges: dict[tuple, dict],
-    by: Sequence[str] = (),
-    small_rows: int = SMALL_ROWS,
-) -> dict[tuple[tuple, int], Found]:
-    """Value at each wanted zero-based rank.
-
-    ``wanted`` and ``ranges`` (from ``group_ranges`` with the same columns) are keyed
-    (group..., column); the result is keyed ((group..., column), rank).
-    """
-    targets = [(key, rank) for key, ranks in wanted.items() for rank in sorted(set(ranks))]
-    if not targets:
-        return {}
-    if max(ranges[key]["n"] for key, _ in targets) <= small_rows:
-        return _rank_directly(_long_form(df, columns, by), _key_names(by), targets)
-    return _narrow_by_steps(df, columns, by, targets, ranges)
+    parts = []
+    for c in columns:
+        value = _plain(c, integral)
+        finite = F.when(_is_finite(value, integral), value)
+        infinite = [F.lit(0).cast("bigint")] * 2 if integral else [F.count_if(value == s * float("inf")) for s in (-1, 1)]
+        parts.append(F.struct(F.lit(c).alias("_col"), F.count(value).alias("n"), infinite[0].alias("neg"), infinite[1].alias("pos"),
+                              F.min(finite).alias("lo"), F.max(finite).alias("hi")))
+    rows = df.groupBy(*keys).agg(F.array(*parts).alias("_parts"))
+    return rows.select(*_key_names(by)[:-1], F.inline("_parts")).where("n > 0")
 
 
-def _driver_table(tall: DataFrame, keys: list[str], rows: list[tuple], extra: list[T.StructField]) -> DataFrame:
-    """A handful of driver rows whose key columns are the long table's, prefixed ``_t``."""
-    fields = [T.StructField(f"_t{k}", tall.schema[k].dataType) for k in keys]
-    return F.broadcast(tall.sparkSession.createDataFrame(rows, T.StructType(fields + extra)))
+def group_ranges(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> dict[tuple, dict]:
+    """``ranges_table`` on the driver, keyed (group..., column); for groups that are known to be few."""
+    keys = _key_names(by)
+    return {tuple(r[k] for k in keys): {name: r[name] for name in ("n", "neg", "pos", "lo", "hi")}
+            for r in ranges_table(df, columns, by).collect()}
 
 
-def _same_key(keys: list[str]) -> Column:
+def _on(left: DataFrame, right: DataFrame, keys: list[str]) -> tuple[DataFrame, Column]:
+    """``right`` with its keys prefixed _t, and the condition that they equal ``left``'s, nulls included."""
+    renamed = right.withColumnsRenamed({k: f"_t{k}" for k in keys})
     condition = F.col("_col") == F.col("_t_col")
     for k in keys[:-1]:
         condition = condition & F.col(k).eqNullSafe(F.col(f"_t{k}"))
-    return condition
-
-
-def _rank_directly(tall: DataFrame, keys: list[str], targets: list[tuple]) -> dict:
-    totals = tall.groupBy(*keys, "_val").agg(F.count(F.lit(1)).alias("_equal"))
-    upto = Window.partitionBy(*keys).orderBy("_val").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = totals.withColumn("_below", F.sum("_equal").over(upto) - F.col("_equal"))
-    table = _driver_table(
-        tall, keys, [(*key, rank) for key, rank in targets], [T.StructField("_rank", T.LongType())]
-    )
-    holds_rank = (F.col("_rank") >= F.col("_below")) & (
-        F.col("_rank") < F.col("_below") + F.col("_equal")
-    )
-    return {
-        (tuple(r[k] for k in keys), r["_rank"]): Found(r["_val"], r["_below"], r["_equal"])
-        for r in ranked.join(table, _same_key(keys) & holds_rank).collect()
-    }
+    return renamed, condition
 
 
 def _step_number(integral: bool) -> Column:
@@ -137,110 +101,101 @@ def _step_number(integral: bool) -> Column:
         return F.expr(f"(_val div {width}) - (_lo div {width})")
     width = F.col("_hi") / float(STEPS) - F.col("_lo") / float(STEPS)
     position = F.floor(F.try_divide(F.col("_val") - F.col("_lo"), width))
+    # differences beyond the largest double are halved first
+    wide = F.floor(F.try_divide(F.col("_val") / 2.0 - F.col("_lo") / 2.0, width / 2.0))
+    position = F.when(F.abs(F.col("_val") - F.col("_lo")) < float("inf"), position).otherwise(wide)
     return F.coalesce(position, (F.col("_val") > F.col("_lo")).cast("bigint"))
 
 
-def _narrow_by_steps(
-    df: DataFrame, columns: Sequence[str], by: Sequence[str], targets: list[tuple], ranges: dict
-) -> dict:
+def ranked_table(df: DataFrame, columns: Sequence[str], wanted: DataFrame, ranges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(keys, _col, _rank, value, below, equal) for each zero-based rank of ``wanted`` (keys, _col, _rank)."""
     keys, integral = _key_names(by), _all_integral(df, columns)
-    value_type = T.LongType() if integral else T.DoubleType()
-    span_fields = [
-        T.StructField("_lo", value_type), T.StructField("_hi", value_type),
-        T.StructField("_base", T.LongType()),
-    ]
-    found: dict = {}
-    # (key, lowest value, highest value, rows below, rows inside) -> ranks searched there
-    spans: dict[tuple, list[int]] = {}
-    for key, rank in targets:
-        r = ranges[key]
-        spans.setdefault((key, r["lo"], r["hi"], 0, r["n"]), []).append(rank)
+    kind = "bigint" if integral else "double"
+    spans, same = _on(wanted, ranges, keys)
+    at = wanted.join(spans, same)
+    result = ["_rank", F.col("value").cast(kind).alias("value"), "below", "equal"]
+    ended = at.select(*keys, "_rank", F.expr(
+        "CASE WHEN _rank < neg THEN named_struct('value', double('-Infinity'), 'below', 0L, 'equal', neg)"
+        " WHEN _rank >= n - pos THEN named_struct('value', double('Infinity'), 'below', n - pos, 'equal', pos) END").alias("_end"))
+    done = [] if integral else [ended.where("_end IS NOT NULL").select(*keys, "_rank", "_end.*").select(*keys, *result)]
+    left = at.where("_rank >= neg AND _rank < n - pos").select(
+        *keys, "_rank", F.col("lo").alias("_lo"), F.col("hi").alias("_hi"), F.col("neg").alias("_base"),
+        (F.col("n") - F.col("neg") - F.col("pos")).alias("_inside"))
     while True:
-        for (key, lo, hi, below, inside), ranks in list(spans.items()):
-            if lo == hi:
-                found.update({(key, rank): Found(lo, below, inside) for rank in ranks})
-                del spans[key, lo, hi, below, inside]
-            elif math.isinf(lo) or math.isinf(hi):
-                raise ValueError(f"column {key[-1]} holds infinite values")
-        if not spans:
-            return found
+        left = materialize(left)
+        done.append(left.where("_lo = _hi").select(*keys, "_rank", F.col("_lo").alias("value"), F.col("_base").alias("below"),
+                                                   F.col("_inside").alias("equal")))
+        left = left.where("_lo < _hi")
+        open_columns = {r["_col"] for r in left.select("_col").distinct().collect()}
+        if not open_columns:
+            return reduce(DataFrame.unionByName, done)
         # only columns that still have an open range are read again
-        tall = _long_form(df, [c for c in columns if any(k[-1] == c for k, *_ in spans)], by, integral)
-        span_table = _driver_table(
-            tall, keys, [(*key, lo, hi, below) for key, lo, hi, below, _ in spans], span_fields
-        )
-        rank_table = _driver_table(
-            tall, keys,
-            [(*key, lo, rank) for (key, lo, *_), ranks in spans.items() for rank in ranks],
-            [T.StructField("_at", value_type), T.StructField("_rank", T.LongType())],
-        )
+        tall = _long_form(df, [c for c in columns if c in open_columns], by, integral)
+        spans, same = _on(tall, left.select(*keys, "_lo", "_hi", "_base").distinct(), keys)
         counts = (
-            tall.join(span_table, _same_key(keys) & F.col("_val").between(F.col("_lo"), F.col("_hi")))
+            tall.join(spans, same & F.col("_val").between(F.col("_lo"), F.col("_hi")))
             .groupBy(*keys, "_lo", "_base", _step_number(integral).alias("_step"))
             .agg(F.count(F.lit(1)).alias("_rows"), F.min("_val").alias("_from"), F.max("_val").alias("_to"))
         )
         # at most STEPS + 1 rows per open range
         upto = Window.partitionBy(*keys, "_lo").orderBy("_step").rowsBetween(Window.unboundedPreceding, 0)
         before = counts.withColumn("_before", F.col("_base") + F.sum("_rows").over(upto) - F.col("_rows"))
-        hits = before.join(
-            rank_table,
-            _same_key(keys)
-            & (F.col("_lo") == F.col("_at"))
-            & (F.col("_rank") >= F.col("_before"))
-            & (F.col("_rank") < F.col("_before") + F.col("_rows")),
-        )
-        spans = {}
-        for r in hits.collect():
-            key = tuple(r[k] for k in keys)
-            spans.setdefault((key, r["_from"], r["_to"], r["_before"], r["_rows"]), []).append(r["_rank"])
-
-
-def exact_quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probabilities: Sequence[float],
-    by: Sequence[str] = (),
-    small_rows: int = SMALL_ROWS,
-    at_most: int | None = None,
-    ranges: dict[tuple, dict] | None = None,
-) -> dict[tuple, list[float] | None]:
-    """Linearly interpolated quantiles of the non-null values, keyed (group..., column).
-
-    Groups of up to ``small_rows`` values use the built-in exact aggregate, larger ones
-    are narrowed down. A row count (``at_most``) or the ``group_ranges`` the caller already
-    knows save a pass.
+        ranks, same = _on(before, left.select(*keys, F.col("_lo").alias("_at"), "_rank"), keys)
+        left = before.join(ranks, same & (F.col("_lo") == F.col("_at")) & (F.col("_rank") >= F.col("_before"))
+                           & (F.col("_rank") < F.col("_before") + F.col("_rows"))).select(
+            *keys, "_rank", F.col("_from").alias("_lo"), F.col("_to").alias("_hi"), F.col("_before").alias("_base"),
+            F.col("_rows").alias("_inside"))
+
+
+def select_ranks(
+    df: DataFrame, columns: Sequence[str], wanted: dict[tuple, Iterable[int]], ranges: dict[tuple, dict], by: Sequence[str] = ()
+) -> dict[tuple[tuple, int], Found]:
+    """Value at each wanted zero-based rank, for keys the driver knows already.
+
+    ``wanted`` and ``ranges`` (from ``group_ranges`` with the same columns) are keyed
+    (group..., column); the result is keyed ((group..., column), rank).
     """
+    targets = [(*key, rank) for key, ranks in wanted.items() for rank in sorted(set(ranks))]
+    if not targets:
+        return {}
+    keys = _key_names(by)
+    spark = df.sparkSession
+    fields = [T.StructField(k, df.schema[c].dataType) for k, c in zip(keys, by)] + [T.StructField("_col", T.StringType())]
+    value = T.LongType() if _all_integral(df, columns) else T.DoubleType()
+    spans = [T.StructField(c, T.LongType()) for c in ("n", "neg", "pos")] + [T.StructField(c, value) for c in ("lo", "hi")]
+    wanted_table = spark.createDataFrame(targets, T.StructType([*fields, T.StructField("_rank", T.LongType())]))
+    range_table = spark.createDataFrame([(*k, r["n"], r["neg"], r["pos"], r["lo"], r["hi"]) for k, r in ranges.items()],
+                                        T.StructType([*fields, *spans]))
+    return {(tuple(r[k] for k in keys), r["_rank"]): Found(r["value"], r["below"], r["equal"])
+            for r in ranked_table(df, columns, wanted_table, range_table, by).collect()}
+
+
+def quantile_table(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], by: Sequence[str] = (),
+                   ranges: DataFrame | None = None) -> DataFrame:
+    """(keys, _col, _q): linearly interpolated quantiles of the non-null values, per group and column."""
+    keys = _key_names(by)
+    ranges = materialize(ranges_table(df, columns, by) if ranges is None else ranges)
+    places = ranges.select(*keys, F.posexplode(F.array(*[F.lit(float(p)) * (F.col("n") - 1) for p in probabilities])).alias("_i", "_at"))
+    ends = places.select(*keys, "_i", "_at", F.floor("_at").alias("_low"), F.ceil("_at").alias("_high"))
+    wanted = ends.select(*keys, F.explode(F.array("_low", "_high")).alias("_rank")).distinct()
+    found = materialize(ranked_table(df, columns, wanted, ranges, by).select(*keys, "_rank", F.col("value").cast("double").alias("value")))
+    for end in ("_low", "_high"):
+        values, same = _on(ends, found.withColumnsRenamed({"_rank": f"{end}_rank", "value": f"{end}_value"}), keys)
+        ends = ends.join(values, same & (F.col(end) == F.col(f"{end}_rank"))).drop(*[f"_t{k}" for k in keys])
+    low, high = F.col("_low_value"), F.col("_high_value")
+    value = F.when(low == high, low).otherwise(low + (high - low) * (F.col("_at") - F.col("_low")))
+    return ends.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("_i", value.alias("_v")))), lambda s: s["_v"]).alias("_q"))
+
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], by: Sequence[str] = (),
+                    ranges: DataFrame | None = None) -> dict[tuple, list[float] | None]:
+    """``quantile_table`` on the driver, keyed (group..., column); for groups that are known to be few."""
     result: dict[tuple, list[float] | None] = {} if by else {(c,): None for c in columns}
     keys = _key_names(by)
-    if at_most is None:
-        at_most = df.count()
-    if at_most > small_rows:
-        ranges = ranges or group_ranges(df, columns, by)
-        at_most = max((r["n"] for r in ranges.values()), default=0)
-    if at_most <= small_rows:
-        values = F.percentile("_val", [float(p) for p in probabilities]).alias("_q")
-        rows = _long_form(df, columns, by).groupBy(*keys).agg(values).limit(MAX_GROUPS + 1).collect()
-        if len(rows) > MAX_GROUPS:
-            raise ValueError(f"order statistics take at most {MAX_GROUPS} groups")
-        result.update({tuple(r[k] for k in keys): list(r["_q"]) for r in rows})
-        return result
-    positions = {key: [p * (r["n"] - 1) for p in probabilities] for key, r in ranges.items()}
-    wanted = {
-        key: {rank for p in ps for rank in (math.floor(p), math.ceil(p))} for key, ps in positions.items()
-    }
-    found = select_ranks(df, columns, wanted, ranges, by, small_rows)
-    for key, ps in positions.items():
-        values = []
-        for p in ps:
-            low = float(found[key, math.floor(p)].value)
-            high = float(found[key, math.ceil(p)].value)
-            values.append(low + (high - low) * (p - math.floor(p)))
-        result[key] = values
+    result.update({tuple(r[k] for k in keys): list(r["_q"]) for r in quantile_table(df, columns, probabilities, by, ranges).collect()})
     return result
 
 
-def exact_medians(
-    df: DataFrame, columns: Sequence[str], small_rows: int = SMALL_ROWS, at_most: int | None = None
-) -> dict[str, float | None]:
-    quantiles = exact_quantiles(df, columns, [0.5], small_rows=small_rows, at_most=at_most)
+def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
+    quantiles = exact_quantiles(df, columns, [0.5])
     return {c: quantiles[(c,)][0] if quantiles[(c,)] else None for c in columns}

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripkit.functions.keys import row_hash, row_uniform
-from tripkit.operators.selection import SMALL_ROWS, exact_quantiles, group_ranges, select_ranks
+from tripkit.operators.selection import exact_quantiles, group_ranges, select_ranks
 from tripkit.schema import ROW_ORDER, SEED, TARGET, TEST_SIZE, VAL_SIZE
 
 LAST = 2**63 - 1  # an input order no row exceeds
@@ -21,9 +21,9 @@ LAST = 2**63 - 1  # an input order no row exceeds
 # ------------------------------------------------------------------------ strata
 
 
-def quantile_edges(df: DataFrame, column: str, q: int = 5, small_rows: int = SMALL_ROWS) -> list[float]:
+def quantile_edges(df: DataFrame, column: str, q: int = 5) -> list[float]:
     """Distinct quantile edges of a column, linear interpolation."""
-    edges = exact_quantiles(df, [column], [i / q for i in range(q + 1)], small_rows=small_rows)[(column,)]
+    edges = exact_quantiles(df, [column], [i / q for i in range(q + 1)])[(column,)]
     return sorted(set(edges or []))
 
 
@@ -35,8 +35,8 @@ def stratum_of(value: Column, edges: list[float]) -> Column:
     return F.when(value.isNotNull(), number)
 
 
-def add_strata(df: DataFrame, column: str = TARGET, q: int = 5, small_rows: int = SMALL_ROWS) -> DataFrame:
-    return df.withColumn("stratum", stratum_of(F.col(column), quantile_edges(df, column, q, small_rows)))
+def add_strata(df: DataFrame, column: str = TARGET, q: int = 5) -> DataFrame:
+    return df.withColumn("stratum", stratum_of(F.col(column), quantile_edges(df, column, q)))
 
 
 # ------------------------------------------------------------------------- sizes
@@ -99,8 +99,7 @@ def exact_split(
     order: str = ROW_ORDER,
     test_size: float = TEST_SIZE,
     val_size: float = VAL_SIZE,
-    seed: int = SEED,
-    small_rows: int = SMALL_ROWS,
+    seed: int = SEED
 ) -> DataFrame:
     """Stratified split with exact sizes: the smallest hashes of a stratum go to test,
     the next ones to validation. Equal hashes are told apart by the unique ``order``."""
@@ -111,7 +110,7 @@ def exact_split(
         raise ValueError(f"column {stratum} holds nulls")
     test, val = stratum_quotas(counts, test_size, val_size)
     ends = {k: (test[k], test[k] + val[k]) for k in counts}
-    cuts = _last_positions(hashed, stratum, order, ends, ranges, small_rows)
+    cuts = _last_positions(hashed, stratum, order, ends, ranges)
     position = _position(F.col("__hash"), F.col(order))
     split = F.when(position <= _cut_point(cuts, stratum, 0), "test").when(
         position <= _cut_point(cuts, stratum, 1), "val"
@@ -125,14 +124,14 @@ def _position(major: Column, minor: Column) -> Column:
 
 
 def _last_positions(
-    df: DataFrame, stratum: str, order: str, ends: dict, ranges: dict, small_rows: int
+    df: DataFrame, stratum: str, order: str, ends: dict, ranges: dict
 ) -> dict[tuple, tuple[int, int]]:
     """(hash, order) of the last row before each end, keyed (stratum, number of the end).
 
     ``ends`` counts rows from the smallest hash on; an end of 0 rows has no position.
     """
     wanted = {(k, "__hash"): [e - 1 for e in es if e > 0] for k, es in ends.items()}
-    found = select_ranks(df, ["__hash"], wanted, ranges, [stratum], small_rows)
+    found = select_ranks(df, ["__hash"], wanted, ranges, [stratum])
     # where several rows share the hash at an end, their input order decides
     shared = {(k, f.value) for ((k, _), _), f in found.items() if f.equal > 1}
     ranked: dict = {}
@@ -146,7 +145,7 @@ def _last_positions(
             if f.equal > 1:
                 tie_ranks.setdefault((k, f.value, order), []).append(rank - f.below)
         by = [stratum, "__hash"]
-        ranked = select_ranks(ties, [order], tie_ranks, group_ranges(ties, [order], by), by, small_rows)
+        ranked = select_ranks(ties, [order], tie_ranks, group_ranges(ties, [order], by), by)
     positions = {}
     for k, es in ends.items():
         for number, end in enumerate(es):
@@ -170,8 +169,7 @@ def time_split(
     df: DataFrame,
     at: str = "pickup_datetime",
     order: str = ROW_ORDER,
-    test_size: float = TEST_SIZE,
-    small_rows: int = SMALL_ROWS,
+    test_size: float = TEST_SIZE
 ) -> DataFrame:
     """Oldest rows to train, the newest ``test_size`` to test; equal times in input order."""
     stamped = df.withColumn("__at", _micros(df, at))
@@ -183,13 +181,13 @@ def time_split(
     if n_train == 0:
         return df.withColumn("split", F.lit("test"))
     key = ("__at",)
-    f = select_ranks(stamped, ["__at"], {key: [n_train - 1]}, ranges, (), small_rows)[key, n_train - 1]
+    f = select_ranks(stamped, ["__at"], {key: [n_train - 1]}, ranges, ())[key, n_train - 1]
     last_order = LAST
     if f.equal > 1:
         ties = stamped.where(F.col("__at") == F.lit(f.value))
         rank = n_train - 1 - f.below
         tie_ranges = group_ranges(ties, [order])
-        last_order = select_ranks(ties, [order], {(order,): [rank]}, tie_ranges, (), small_rows)[(order,), rank].value
+        last_order = select_ranks(ties, [order], {(order,): [rank]}, tie_ranges, ())[(order,), rank].value
     position = _position(F.col("__at"), F.col(order))
     cut = _position(F.lit(f.value), F.lit(last_order))
     return stamped.withColumn("split", F.when(position <= cut, "train").otherwise("test")).drop("__at")

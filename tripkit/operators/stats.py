@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripkit.functions.geo import hex_cell
-from tripkit.operators.selection import SMALL_ROWS, exact_quantiles
+from tripkit.operators.selection import exact_quantiles, quantile_table
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -42,17 +42,22 @@ def table_shape(df: DataFrame) -> DataFrame:
 
 
 def missing_counts(df: DataFrame) -> DataFrame:
-    """Nulls per column, every column in one pass."""
-    row = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"{c}|n_missing") for c in df.columns])
+    """Nulls and NaN per column, every column in one pass."""
+    row = df.agg(*[F.count_if(_missing(df, c)).alias(f"{c}|n_missing") for c in df.columns])
     return _turn(row, df.columns, ["n_missing"])
 
 
+def _missing(df: DataFrame, c: str) -> Column:
+    fractional = isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType))
+    return F.col(c).isNull() | F.isnan(c) if fractional else F.col(c).isNull()
+
+
 def column_types(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(df.dtypes, "column string, type string")
 
 
 def describe(
-    df: DataFrame, columns: Sequence[str] | None = None, small_rows: int = SMALL_ROWS, digits: int = 4
+    df: DataFrame, columns: Sequence[str] | None = None, digits: int = 4
 ) -> DataFrame:
     """Count, mean, sample std, min, exact quartiles and max per numeric column."""
     columns = list(columns or numeric_columns(df))
@@ -61,15 +66,7 @@ def describe(
     row = df.agg(*[
         fn(plain[c]).alias(f"{c}|{name}") for c in columns for name, fn in moments.items()
     ]).first()
-    number = int if all(isinstance(df.schema[c].dataType, T.IntegralType) for c in columns) else float
-    ranges = {
-        (c,): {"n": row[f"{c}|count"], "lo": number(row[f"{c}|min"]), "hi": number(row[f"{c}|max"])}
-        for c in columns if row[f"{c}|count"]
-    }
-    largest = max((r["n"] for r in ranges.values()), default=0)
-    quartiles = exact_quantiles(
-        df, columns, [0.25, 0.5, 0.75], small_rows=small_rows, at_most=largest, ranges=ranges
-    )
+    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
     rows = [
         (c, *[row[f"{c}|{n}"] for n in ("count", "mean", "std", "min")], *(quartiles[(c,)] or [None] * 3), row[f"{c}|max"])
         for c in columns
@@ -112,7 +109,7 @@ def kurtosis(value: Column) -> Column:
 
 def shape_statistics(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     row = df.agg(*[
-        fn(F.col(c).cast("double")).alias(f"{c}|{name}")
+        fn(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))).alias(f"{c}|{name}")
         for c in columns for name, fn in (("skewness", skewness), ("kurtosis", kurtosis))
     ])
     return _turn(row, columns, ["skewness", "kurtosis"])
@@ -270,33 +267,29 @@ def log_histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
 
 
 def mean_by(df: DataFrame, key: Column, name: str, target: str) -> DataFrame:
-    return df.groupBy(key.alias(name)).agg(F.avg(target).alias("mean_target"), F.count(target).alias("n_rows"))
+    value = F.nanvl(F.col(target).cast("double"), F.lit(None).cast("double"))
+    return df.groupBy(key.alias(name)).agg(F.avg(value).alias("mean_target"), F.count(value).alias("n_rows"))
 
 
 # ----------------------------------------------------------------- box and grids
 
 
 def box_statistics(
-    df: DataFrame, key: str, value: str, reach: float = 1.5, small_rows: int = SMALL_ROWS
+    df: DataFrame, key: str, value: str, reach: float = 1.5
 ) -> DataFrame:
-    """Quartiles, whiskers and outliers of ``value`` per group of a low-cardinality key.
+    """Quartiles, whiskers and outliers of ``value`` per group of ``key``, however many there are.
 
     Whiskers are the most extreme values within ``reach`` inter-quartile ranges of the box.
     """
-    quartiles = exact_quantiles(df, [value], [0.25, 0.5, 0.75], by=[key], small_rows=small_rows)
-    rows = []
-    for (group, _), (q1, median, q3) in quartiles.items():
-        rows.append((group, q1, median, q3, q1 - reach * (q3 - q1), q3 + reach * (q3 - q1)))
-    schema = T.StructType(
-        [T.StructField("__group", df.schema[key].dataType)]
-        + [T.StructField(n, T.DoubleType()) for n in ("q1", "median", "q3", "__low", "__high")]
-    )
-    fences = df.sparkSession.createDataFrame(rows, schema)
-    x = F.col(value)
+    q1, median, q3 = (F.get("_q", F.lit(k)) for k in range(3))
+    fences = quantile_table(df, [value], [0.25, 0.5, 0.75], by=[key]).select(
+        F.col("_k0").alias("__group"), q1.alias("q1"), median.alias("median"), q3.alias("q3"),
+        (q1 - reach * (q3 - q1)).alias("__low"), (q3 + reach * (q3 - q1)).alias("__high"))
+    x = F.nanvl(F.col(value).cast("double"), F.lit(None).cast("double"))
     inside = x.between(F.col("__low"), F.col("__high"))
     return (
         df.where(x.isNotNull())
-        .join(F.broadcast(fences), F.col(key).eqNullSafe(F.col("__group")))
+        .join(fences, F.col(key).eqNullSafe(F.col("__group")))
         .groupBy(key, "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, x)).alias("whisker_low"), F.max(F.when(inside, x)).alias("whisker_high"),
@@ -331,9 +324,9 @@ def _padded(lo: float, hi: float) -> tuple[float, float]:
 
 
 def grid_counts(df: DataFrame, group: str, x: str, y: str, x_step: float, y_step: float) -> DataFrame:
-    """Two-dimensional bin counts, per value of a grouping flag."""
+    """Two-dimensional bin counts, per value of a grouping flag; rows without both values are left out."""
     return (
-        df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+        df.where(~_missing(df, x) & ~_missing(df, y))
         .groupBy(
             group, F.floor(F.col(x) / x_step).alias("x_bin"), F.floor(F.col(y) / y_step).alias("y_bin")
         )

@@ -37,17 +37,6 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}"
 
 
-def spread(df: DataFrame, most: int = 16) -> DataFrame:
-    """Deal out the rows of a table that is read by fewer tasks than could work on it.
-
-    A small file with a single row group is one task however many cores are free. Tables
-    of many splits come back unchanged, so nothing large is ever shuffled for this. Meant
-    for scans, whose number of tasks is known without running anything.
-    """
-    tasks = min(df.sparkSession.sparkContext.defaultParallelism, most)
-    return df.repartition(tasks) if df.rdd.getNumPartitions() < min(tasks, 4) else df
-
-
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder, as Parquet, and read it back.
 
