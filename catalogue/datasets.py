@@ -23,29 +23,25 @@ def lineitem_hash(spark, sf):
 
 
 def cell(column: str, kind: str) -> str:
-    text = {
-        "double": f"CAST(CAST(round({column} * cast(1000000 as double)) AS BIGINT) AS VARCHAR)",
-        "time": f"CAST(epoch_us({column}) AS VARCHAR)",
-        "plain": f"CAST({column} AS VARCHAR)",
-    }[kind]
-    return f"coalesce({text}, '~')"
+    text = {"time": f"CAST(epoch_us({column}) AS VARCHAR)", "plain": f"CAST({column} AS VARCHAR)"}[kind]
+    return f"coalesce(length({text}) || ':' || {text}, '-')"
 
 
 def hash_sql(cells: list[str], source: str) -> str:
     return f"""
       SELECT n_rows, substr(sha256(CAST(n_rows AS VARCHAR) || '|' || CAST(total AS VARCHAR)), 1, 16) AS content_hash
       FROM (SELECT count(*) AS n_rows,
-                   sum(CAST('0x' || substr(md5(concat_ws('|', {', '.join(cells)})), 1, 15) AS BIGINT)) AS total
+                   sum(CAST('0x' || substr(md5(concat({', '.join(cells)})), 1, 15) AS BIGINT)) AS total
             FROM {source})"""
 
 
 TRIP_CELLS = [
     cell("trip_id", "plain"), cell("vendor_id", "plain"), cell("pickup_datetime", "time"),
-    cell("pickup_lat", "double"), cell("eta_minutes", "double"), cell("trip_duration_sec", "plain"),
+    cell("pickup_lat", "plain"), cell("eta_minutes", "plain"), cell("trip_duration_sec", "plain"),
 ]
 LINE_CELLS = [
     *[cell(c, "plain") for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")],
-    *[cell(c, "double") for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")],
+    *[cell(c, "plain") for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")],
     *[cell(c, "plain") for c in ("l_returnflag", "l_linestatus")], cell("l_shipdate", "time"),
 ]
 

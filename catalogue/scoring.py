@@ -234,7 +234,7 @@ ROW_REASONS = "concat_ws(',', " + ", ".join(f"CASE WHEN {r} THEN '{r}' END" for
 def stream_dedup(spark, sf):
     """Trip ids that come out of a streaming deduplication: each one once."""
     path = shared_path(spark, "stream-dedup")
-    slim = trip_stream(jobs.stateful_session(spark), sf).select("row_ord", "trip_id", "pickup_datetime")
+    slim = trip_stream(jobs.stateful_session(spark, 8), sf).select("row_ord", "trip_id", "pickup_datetime")
     kept = jobs.deduplicate(slim, "trip_id", "pickup_datetime")
     jobs.write_stream(kept.select("trip_id"), path).awaitTermination()
     return spark.read.parquet(f"{path}/data")
@@ -258,7 +258,7 @@ SELECT row_ord, round(a + b * {DISTANCE}, 4) AS prediction FROM flagged, o WHERE
 def stream_monitor(spark, sf):
     """Accuracy per day of streamed predictions joined to streamed actuals (closed windows)."""
     path = shared_path(spark, "stream-monitor")
-    session = jobs.stateful_session(spark)
+    session = jobs.stateful_session(spark, 8)
     source = trip_stream(session, sf).where(F.col("pickup_lat").isNotNull() & F.col("dropoff_datetime").isNotNull())
     log = build_features(source).select(
         F.col("trip_id"), "pickup_datetime", (F.lit(20.0) + F.col("haversine_km")).alias("prediction"))

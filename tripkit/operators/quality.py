@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripkit.functions.weather import holds
 from tripkit.operators.lookup import lookup_join
@@ -30,8 +31,15 @@ def schema_errors(df: DataFrame, required: list[str] = REQUIRED_COLUMNS) -> list
     return [f"missing required column: {c}" for c in required if c not in df.columns]
 
 
+def nan_as_null(df: DataFrame) -> DataFrame:
+    """NaN is a missing value, as it is in CSV input."""
+    numbers = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))]
+    return df.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast(df.schema[c].dataType)) for c in numbers})
+
+
 def missing_gps() -> Column:
-    return reduce(Column.__or__, [F.col(c).isNull() for c in COORDINATES])
+    """Any coordinate null or NaN."""
+    return reduce(Column.__or__, [F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).isNull() for c in COORDINATES])
 
 
 def invalid_timestamp() -> Column:

@@ -63,14 +63,17 @@ def with_defaults(requests: DataFrame) -> DataFrame:
     })
 
 
-def look_up_weather(requests: DataFrame, weather: DataFrame) -> DataFrame:
-    """Fill omitted weather fields from the daily table; given values win."""
+def look_up_weather(requests: DataFrame, weather: DataFrame, fill: dict[str, float] | None = None) -> DataFrame:
+    """Fill omitted weather fields from the daily table; given values win.
+
+    A date without weather gets ``fill``, the values that training used; without them, null.
+    """
     fields = [c for c in ("avg_temp_f", "precipitation", "snow_depth") if c in weather.columns]
     given = requests.withColumnsRenamed({c: f"__given_{c}" for c in fields}).withColumn(
         "__at", request_time(F.col("pickup_datetime"))
     )
     joined = join_weather(given, weather, at="__at")
-    filled = {c: F.coalesce(f"__given_{c}", c) for c in fields}
+    filled = {c: F.coalesce(f"__given_{c}", c, F.lit((fill or {}).get(c)).cast("double")) for c in fields}
     return joined.withColumns(filled).select(*requests.columns)
 
 

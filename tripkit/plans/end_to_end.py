@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripkit.operators import quality
-from tripkit.operators.enrich import enrich
+from tripkit.operators.enrich import enrich, weather_fill
 from tripkit.plans.prepare import prepare_and_version
 from tripkit.plans.profile import profile, write_profile
 from tripkit.plans.score import register
 from tripkit.plans.training import assemble, compare, feature_importance
 from tripkit.schema import ENFORCED, MIN_PASS_RATE, ROW_ORDER, Thresholds
+from tripkit.session import materialize
 from tripkit.sources import readers
 from tripkit.sources.tracking import log_metrics
 from tripkit.sources.versions import load_version
@@ -45,11 +46,13 @@ def ingest(
     """
     spark = trips.sparkSession
     quality.require_columns(trips)
+    trips = quality.nan_as_null(trips)
     flagged = enrich(quality.flag_rows(trips, limits), weather)
     path = f"{base}/ingested/run={run_id}"
     quality.with_outcome(flagged).write.partitionBy("outcome").mode("errorifexists").parquet(path)
     judged = spark.read.parquet(path)
-    report = quality.validation_report(judged)
+    once = quality.validation_report(judged)
+    report = spark.createDataFrame([once.first()], once.schema)
     report.write.mode("errorifexists").json(f"{base}/validation_reports/run={run_id}")
     row = report.first().asDict()
     quality.require_pass_rate(report, minimum)
@@ -78,19 +81,22 @@ def run(
         trips = readers.read_trips(spark, *([trips] if isinstance(trips, str) else trips))
     if not isinstance(weather, DataFrame):
         weather = readers.read_weather(spark, weather)
+    weather = materialize(weather)
     clean, _, report = ingest(trips, weather, base, run_id, minimum=minimum_pass_rate)
     result = RunResult(run_id, report)
     log_metrics(spark, base, run_id, "ingestion", {k: v for k, v in report.items() if k != "schema_errors"})
 
     if not skip_eda:
         tables, result.profile_failures = profile(clean.drop(ROW_ORDER))
-        write_profile(tables, f"{base}/profile/run={run_id}")
-        shape = tables["target_shape"].first()
-        log_metrics(spark, base, run_id, "eda", {
-            "target_skewness": shape["skewness"], "target_kurtosis": shape["kurtosis"],
-        })
+        result.profile_failures |= write_profile(tables, f"{base}/profile/run={run_id}")
+        if "target_shape" not in result.profile_failures:
+            shape = spark.read.json(f"{base}/profile/run={run_id}/target_shape").first().asDict()
+            log_metrics(spark, base, run_id, "eda", {
+                "target_skewness": shape.get("skewness"), "target_kurtosis": shape.get("kurtosis"),
+            })
 
-    result.version, fitted = prepare_and_version(clean, base, encoder, scaler, split_mode)
+    fill = {} if weather.isEmpty() else weather_fill(weather)
+    result.version, fitted = prepare_and_version(clean, base, encoder, scaler, split_mode, fill)
     stored = load_version(spark, base, result.version)
     meta = stored["metadata"]
     result.split_sizes = {s: meta[f"n_{s}"] for s in ("train", "val", "test")}

@@ -10,6 +10,7 @@ from tripkit.operators import prep, quality, splitting
 from tripkit.operators.lookup import lookup_join
 from tripkit.plans.profile import profile
 from tripkit.schema import COORDINATES, ROUGH, ROW_ORDER
+from tripkit.session import materialize
 from tripkit.sources.versions import write_snapshot
 
 # Fixed value: bins per coordinate axis.
@@ -50,6 +51,7 @@ def split_and_bin(
     split = coarse_features(splitting.time_split(clean, test_size=test_size))
     if weather is not None:
         split = attach_weather(split, weather)
+    split = materialize(split)
     edges = prep.fit_bins(split.where(F.col("split") == "train"), COORDINATES, LOCATION_BINS)
     return prep.apply_bins(split, edges), edges
 

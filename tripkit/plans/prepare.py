@@ -11,6 +11,7 @@ from tripkit.operators import prep, splitting
 from tripkit.operators.content import hash_text
 from tripkit.plans.features import assert_columns, build_features
 from tripkit.schema import NON_FEATURES, ROW_ORDER, SEED, TARGET, TEST_SIZE, VAL_SIZE
+from tripkit.session import materialize
 from tripkit.sources.versions import load_version, write_version
 
 
@@ -26,6 +27,7 @@ class FittedPrep:
     scaler: dict[str, tuple[float, float]]
     categories: DataFrame | None = None
     indicators: list[str] = field(default_factory=list)
+    weather_fill: dict[str, float] = field(default_factory=dict)
 
     @property
     def feature_names(self) -> list[str]:
@@ -54,6 +56,7 @@ class FittedPrep:
             "encoder_type": self.encoder,
             "medians": self.medians,
             "scaler": {c: list(v) for c, v in self.scaler.items()},
+            "weather_fill": self.weather_fill,
         }
 
 
@@ -108,7 +111,7 @@ def prepare(
     split; only the fitted statistics are restricted to train.
     """
     assert_columns(clean, [TARGET])
-    features = build_features(split_trips(clean, mode, **sizes))
+    features = materialize(build_features(split_trips(clean, mode, **sizes)))  # read by every fitting pass
     fitted = fit_prep(features.where(F.col("split") == "train"), encoder, scaler)
     table = fitted.apply(features).select(
         *fitted.feature_names, F.col(TARGET).cast("double").alias(TARGET), "split"
@@ -118,10 +121,14 @@ def prepare(
 
 def prepare_and_version(
     clean: DataFrame, base: str, encoder: str = "ordinal", scaler: str = "standard",
-    mode: str = "hash", **sizes,
+    mode: str = "hash", weather_fill: dict[str, float] | None = None, **sizes,
 ) -> tuple[str, FittedPrep]:
-    """``prepare`` and write the result as the next immutable version below ``base``."""
+    """``prepare`` and write the result as the next immutable version below ``base``.
+
+    ``weather_fill`` is what trips without weather got; scoring gives such requests the same.
+    """
     table, fitted = prepare(clean, encoder, scaler, mode, **sizes)
+    fitted.weather_fill = weather_fill or {}
     version = write_version(table, base, {**fitted.metadata(), "content_hash": hash_text(clean)})
     if fitted.categories is not None:
         fitted.categories.write.mode("errorifexists").parquet(f"{base}/{version}/categories")
@@ -140,5 +147,5 @@ def load_prep(spark: SparkSession, base: str, version: str) -> FittedPrep:
             indicators = [f"{c}_{v}" for c in categorical for v in names[c]]
     return FittedPrep(
         meta["numeric_features"], categorical, encoder, meta["scaler_type"], meta["medians"],
-        {c: (v[0], v[1]) for c, v in meta["scaler"].items()}, categories, indicators,
+        {c: (v[0], v[1]) for c, v in meta["scaler"].items()}, categories, indicators, meta["weather_fill"] or {},
     )

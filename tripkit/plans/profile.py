@@ -92,6 +92,12 @@ def profile(df: DataFrame, target: str = TARGET) -> tuple[dict[str, DataFrame],
     return tables, failures
 
 
-def write_profile(tables: dict[str, DataFrame], base: str) -> None:
+def write_profile(tables: dict[str, DataFrame], base: str) -> dict[str, str]:
+    """Write every table, and return the reason for each that could not be computed."""
+    failures = {}
     for name, table in tables.items():
-        table.write.mode("errorifexists").json(f"{base}/{name}")
+        try:
+            table.write.mode("errorifexists").json(f"{base}/{name}")
+        except Exception as error:  # tables are lazy: most failures show only here
+            failures[name] = str(error)
+    return failures

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 from dataclasses import dataclass
 
 from pyspark.ml.base import Model
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from tripkit.operators.scoring import MODEL_NAME, look_up_weather, postprocess, validate_requests, with_defaults
 from tripkit.plans.features import build_features
 from tripkit.plans.prepare import FittedPrep, load_prep
+from tripkit.session import materialize
 from tripkit.sources.tracking import (
     append_stages, next_model_version, production_version, promotion_events, read_stages,
 )
@@ -58,8 +60,10 @@ class Scorer:
         batch may be of any size.
         """
         if weather is not None:
-            requests = look_up_weather(requests, weather)
+            requests = look_up_weather(requests, weather, self.prep.weather_fill)
         checked = validate_requests(requests)
+        if not checked.isStreaming:
+            checked = materialize(checked)  # good and bad rows go two ways
         good = with_defaults(checked.where(F.size("errors") == 0).drop("errors"))
         scored = postprocess(
             self.predict(good, fill), self.model_version, self.dataset_version, len(self.prep.feature_names)
@@ -87,13 +91,19 @@ def register(model: Model, base: str, spark: SparkSession, dataset_version: str,
     return version
 
 
+def load_model(spark: SparkSession, path: str) -> Model:
+    name = DefaultParamsReader.loadMetadata(path, spark)["class"].split(".")[-1]
+    if name not in MODEL_CLASSES:  # a family outside Spark names its own class
+        module, _, name = DefaultParamsReader.loadMetadata(path, spark)["class"].rpartition(".")
+        return getattr(importlib.import_module(module), name).load(path)
+    return MODEL_CLASSES[name].load(path)
+
+
 def load_scorer(spark: SparkSession, base: str) -> Scorer:
     """The production model together with the dataset version it was trained on."""
     rows = production_version(read_stages(spark, base)).where(F.col("model") == MODEL_NAME).collect()
     if not rows:
         raise FileNotFoundError(f"no production model below {base}")
     version, dataset_version = rows[0]["version"], rows[0]["dataset_version"]
-    path = f"{base}/models/{version}"
-    name = DefaultParamsReader.loadMetadata(path, spark)["class"].split(".")[-1]
-    model = MODEL_CLASSES[name].load(path)
+    model = load_model(spark, f"{base}/models/{version}")
     return Scorer(load_prep(spark, base, dataset_version), model, str(version), dataset_version)

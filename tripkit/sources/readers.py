@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripkit.functions.numbers import rounded
+from tripkit.operators.sampling import head_rows
 from tripkit.schema import ROW_ORDER, TRIP_RENAMES, WEATHER_RENAMES, WEATHER_SCHEMA
 
 INTEGERS = ["passenger_count", "vendor_id"]
@@ -18,8 +19,22 @@ TIMES = ["pickup_datetime", "dropoff_datetime"]
 
 
 def with_row_order(df: DataFrame) -> DataFrame:
-    """Number rows in file order: increasing along one file, unique across tasks."""
-    return df.withColumn(ROW_ORDER, F.monotonically_increasing_id())
+    """Number the rows of a file scan from 0, by file name and then by place in the file.
+
+    Spark packs files into tasks by size, so task numbers say nothing about file order. Rows of one
+    split of a file stay together in a task; the driver counts the splits, a row each, and adds up
+    the rows before every one.
+    """
+    placed = df.withColumns({"__file": F.col("_metadata.file_path"), "__block": F.col("_metadata.file_block_start"),
+                             "__at": F.monotonically_increasing_id()})
+    splits = placed.groupBy("__file", "__block").agg(F.min("__at").alias("first"), F.count(F.lit(1)).alias("n")).collect()
+    rows, before = [], 0
+    for r in sorted(splits, key=lambda r: (r["__file"], r["__block"])):
+        rows.append((r["__file"], r["__block"], before - r["first"]))
+        before += r["n"]
+    shifts = df.sparkSession.createDataFrame(rows, "__file string, __block bigint, __shift bigint")
+    return placed.join(F.broadcast(shifts), ["__file", "__block"]).withColumn(
+        ROW_ORDER, F.col("__at") + F.col("__shift")).select(*df.columns, ROW_ORDER)
 
 
 def first_existing(spark: SparkSession, paths: Sequence[str]) -> str:
@@ -109,4 +124,4 @@ def read_weather(spark: SparkSession, path: str | None) -> DataFrame:
 
 def write_head_csv(df: DataFrame, path: str, n: int, order: str = ROW_ORDER) -> None:
     """The first ``n`` rows in input order as a smaller CSV with a header."""
-    df.orderBy(order).limit(n).drop(order).write.csv(path, header=True, mode="errorifexists")
+    head_rows(df, n, order).drop(order).write.csv(path, header=True, mode="errorifexists")

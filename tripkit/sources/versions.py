@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripkit.schema import TARGET
+from tripkit.session import materialize
 
 METADATA_SCHEMA = T.StructType([
     T.StructField("version", T.StringType()),
@@ -30,6 +31,7 @@ METADATA_SCHEMA = T.StructType([
     T.StructField("step_order", T.StringType()),
     T.StructField("medians", T.MapType(T.StringType(), T.DoubleType())),
     T.StructField("scaler", T.MapType(T.StringType(), T.ArrayType(T.DoubleType()))),
+    T.StructField("weather_fill", T.MapType(T.StringType(), T.DoubleType())),
 ])
 # Fixed value: order of the preparation steps, recorded with each version.
 STEP_ORDER = "split -> feature_engineering -> encode -> impute -> scale"
@@ -109,15 +111,16 @@ SNAPSHOT_SCHEMA = T.StructType([
 
 def write_snapshot(df: DataFrame, base: str, source: str, report: dict | None = None) -> str:
     """Write a table under ``v_{utc}_{hash}`` and append its manifest row."""
-    from tripkit.operators.content import digest_totals, hash_text
+    from tripkit.operators.content import digest_totals, hash_of
 
     spark, stamp = df.sparkSession, utc_now().strftime("%Y%m%dT%H%M%SZ")
-    digest = hash_text(df)
+    df = materialize(df)  # read for the hash and for the snapshot
+    totals = digest_totals(df).first()
+    digest = hash_of(totals)
     version_id = f"v_{stamp}_{digest}"
     df.write.mode("errorifexists").parquet(f"{base}/{version_id}.parquet")
-    n_rows = digest_totals(spark.read.parquet(f"{base}/{version_id}.parquet")).first()["n_rows"]
     row = (
-        version_id, stamp, f"{version_id}.parquet", n_rows, len(df.columns), df.columns, digest, source,
+        version_id, stamp, f"{version_id}.parquet", totals["n_rows"], len(df.columns), df.columns, digest, source,
         {k: float(v) for k, v in (report or {}).items()},
     )
     spark.createDataFrame([row], SNAPSHOT_SCHEMA).coalesce(1).write.mode("append").json(f"{base}/manifest")

@@ -17,15 +17,13 @@ from tripkit.schema import ENFORCED, ROW_ORDER, Thresholds
 SALTS = 32
 
 
-def stateful_session(spark: SparkSession) -> SparkSession:
-    """A session for stateful jobs with at most one state partition per core.
+def stateful_session(spark: SparkSession, partitions: int) -> SparkSession:
+    """A session for stateful jobs with ``partitions`` state partitions.
 
-    Every state partition costs a store and a commit per trigger, and the number is fixed
-    for the life of a query, so it should follow the cores rather than a batch default.
+    Every state partition costs a store and a commit per trigger, and the number is fixed for
+    the life of a query's checkpoint: choose it for the largest cluster the query shall use.
     """
     session = spark.newSession()
-    cores = spark.sparkContext.defaultParallelism
-    partitions = min(int(spark.conf.get("spark.sql.shuffle.partitions")), cores)
     session.conf.set("spark.sql.shuffle.partitions", str(partitions))
     session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     return session
@@ -58,7 +56,8 @@ def route(stream: DataFrame, path: str, limits: Thresholds = ENFORCED) -> Stream
 def deduplicate(
     stream: DataFrame, key: str, at: str, delay: str = "1 hour", order: str = ROW_ORDER
 ) -> DataFrame:
-    """First arrival of each key; state is dropped once the watermark has passed it.
+    """One row of each key, from the first trigger that has one; state is dropped once the watermark
+    has passed it. Which of the copies within a trigger stays is not defined.
 
     Two steps keep a hot key from meeting in one task: copies are first removed per
     (key, salt), so at most ``SALTS`` rows of a key reach the second step. The salt comes
@@ -79,7 +78,7 @@ def score(stream: DataFrame, scorer, weather: DataFrame | None = None) -> DataFr
     if weather is not None:
         own = [c for c in carried_columns(weather) if c in stream.columns]
         joined = join_weather(stream.drop(*own), weather).drop("weather_matched")
-        stream = joined.fillna(weather_fill(weather))
+        stream = joined.fillna(scorer.prep.weather_fill or weather_fill(weather))
     return scorer.predict(stream)
 
 
