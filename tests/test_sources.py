@@ -97,3 +97,35 @@ def test_promotion_archives_the_previous_version(spark, tmp_path):
     assert stages == {1: "Archived", 2: "Archived", 3: "Production"}
     row = tracking.production_version(tracking.read_stages(spark, base)).first()
     assert (row["version"], row["dataset_version"]) == (3, "v3")
+
+
+def test_rows_are_numbered_by_file_whatever_their_size(spark, tmp_path):
+    for name, rows in (("part-0.csv", 1), ("part-1.csv", 2001), ("part-2.csv", 3)):
+        (tmp_path / name).write_text("v\n" + "".join(f"{name}:{k}\n" for k in range(rows)))
+    numbered = readers.with_row_order(readers.read_text_csv(spark, str(tmp_path))).orderBy(readers.ROW_ORDER).collect()
+    assert [r[readers.ROW_ORDER] for r in numbered] == list(range(2005))
+    assert [r["v"] for r in numbered][:2] == ["part-0.csv:0", "part-1.csv:0"] and numbered[-1]["v"] == "part-2.csv:2"
+
+
+def test_colliding_cells_hash_apart(spark):
+    from tripkit.operators.content import hash_text
+
+    pairs = [([("a|b", "c")], [("a", "b|c")]), ([("~", "x")], [(None, "x")]), ([("-", "x")], [(None, "x")]), ([("1:a", "")], [("1", ":a")])]
+    for left, right in pairs:
+        one, two = (hash_text(spark.createDataFrame(rows, "a string, b string")) for rows in (left, right))
+        assert one != two
+    near = [spark.createDataFrame([(v,)], "x double") for v in (1e-9, 4e-7, 0.1, 0.30000000000000004, 0.3)]
+    assert len({hash_text(df) for df in near}) == 5
+    wide = [spark.sql(f"SELECT CAST('{v}' AS DECIMAL(38, 2)) AS x") for v in ("123456789012345678901.13", "123456789012345678902.00")]
+    assert hash_text(wide[0]) != hash_text(wide[1])
+
+
+def test_one_failing_table_does_not_stop_the_profile(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tripkit.plans.profile import write_profile
+
+    tables = {"good": spark.range(3), "bad": spark.range(3).select(F.raise_error(F.lit("broken part")).alias("x")), "later": spark.range(2)}
+    failures = write_profile(tables, str(tmp_path / "profile"))
+    assert list(failures) == ["bad"] and "broken part" in failures["bad"]
+    assert spark.read.json(str(tmp_path / "profile/later")).count() == 2
