@@ -17,7 +17,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tripkit.llm.columnar import row_keys
@@ -30,25 +29,25 @@ SHARD_TOKENS = 1 << 20
 
 def shard_batches(batches: Iterator[pa.RecordBatch], path: str, end_id: int, shard_tokens: int) -> Iterator[pa.RecordBatch]:
     encode, end = encoder(path).encode, np.array([end_id], "<u4").tobytes()
-    part, seq, size = TaskContext.get().partitionId(), 0, 0
+    part, before, size = TaskContext.get().partitionId(), 0, 0
     ids, texts = [], []
 
     def close() -> pa.RecordBatch:
         matrix = WaveletMatrix.build(np.frombuffer(b"".join(texts), "<u4"))
-        values = [[part], [seq], [matrix.n]]
+        values = [[part], [before], [matrix.n]]
         names = pa.chunked_array(ids).combine_chunks()
         lists = [pa.ListArray.from_arrays(pa.array([0, len(names)], pa.int32()), names),
                  pa.array([[len(t) // 4 for t in texts]], pa.list_(pa.int64()))]
         return pa.RecordBatch.from_arrays(
-            [*(pa.array(v, t) for v, t in zip(values, (pa.int32(), pa.int32(), pa.int64()), strict=True)), *lists,
-             pa.array([matrix.to_bytes()], pa.binary())], names=["part", "seq", "n_tokens", "ids", "lengths", "matrix"])
+            [*(pa.array(v, t) for v, t in zip(values, (pa.int32(), pa.int64(), pa.int64()), strict=True)), *lists,
+             pa.array([matrix.to_bytes()], pa.binary())], names=["part", "before", "n_tokens", "ids", "lengths", "matrix"])
 
     for batch in batches:
         for k, text in enumerate(batch.column(1)):
             encoded = encode(text.as_py()) + end
             if texts and size + len(encoded) // 4 > shard_tokens:
                 yield close()
-                ids, texts, size, seq = [], [], 0, seq + 1
+                ids, texts, size, before = [], [], 0, before + size
             ids.append(batch.column(0).slice(k, 1))
             texts.append(encoded)
             size += len(encoded) // 4
@@ -69,7 +68,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_c
                .repartitionByRange("_id", "_key_a", "_key_b").sortWithinPartitions("_id", "_key_a", "_key_b"))
     shards = ordered.select("_id", "_text").mapInArrow(
         partial(shard_batches, path=tokenizer, end_id=end_id, shard_tokens=shard_tokens),
-        f"part int, seq int, n_tokens bigint, ids array<{kind}>, lengths array<bigint>, matrix binary")
+        f"part int, before bigint, n_tokens bigint, ids array<{kind}>, lengths array<bigint>, matrix binary")
     shards.write.option("maxRecordsPerFile", 1).option("compression", "zstd").parquet(folder)
 
 
@@ -78,11 +77,9 @@ def read_shards(spark: SparkSession, folder: str) -> DataFrame:
     shards = spark.read.parquet(folder)
     totals = sorted(tuple(r) for r in shards.groupBy("part").agg(F.sum("n_tokens")).collect())
     firsts = accumulate([0, *(n for _, n in totals)])
+    # one row per task that wrote; a shard knows how many ids its own task wrote before it
     offsets = spark.createDataFrame([(p, first) for (p, _), first in zip(totals, firsts, strict=False)], "part int, _first bigint")
-    within = W.partitionBy("part").orderBy("seq").rowsBetween(W.unboundedPreceding, -1)
-    heads = shards.select("part", "seq", F.coalesce(F.sum("n_tokens").over(within), F.lit(0)).alias("_before"))
-    starts = heads.join(F.broadcast(offsets), "part").select("part", "seq", (F.col("_first") + F.col("_before")).alias("start"))
-    return shards.join(starts, ["part", "seq"])
+    return shards.join(F.broadcast(offsets), "part").withColumn("start", F.col("_first") + F.col("before")).drop("_first")
 
 
 def document_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -9,6 +9,7 @@ text, and any that may hold a special token, goes to the library whole. The ids
 from __future__ import annotations
 
 import re
+import struct
 from functools import lru_cache
 
 import numpy as np
@@ -24,7 +25,7 @@ BYTE_SPLIT = "ByteLevel(add_prefix_space=False, trim_offsets=True, use_regex=Tru
 LOWER_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 #: Words remembered by one task: the latest, and those met again of the ones before.
-REMEMBERED = 150_000
+REMEMBERED = 300_000
 
 #: The printable character that byte-level vocabularies write for each byte.
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -42,7 +43,7 @@ class Words(dict):
         found = self.older.pop(word, None)
         if found is None:
             printed = word.encode().decode("latin-1").translate(PRINTED)
-            found = np.array([t.id for t in self.model.tokenize(printed)], "<u4").tobytes()
+            found = struct.pack(f"<{len(ids := [t.id for t in self.model.tokenize(printed)])}I", *ids)
         if len(self) >= REMEMBERED:
             self.older = dict(self)
             self.clear()

@@ -28,11 +28,11 @@ class WaveletMatrix:
         planes = np.zeros((levels, blocks * SUPERBLOCK // 64), np.uint64)
         counts = np.zeros((levels, blocks + 1), np.uint32)
         for level in range(levels):
-            ones = (current >> (levels - 1 - level) & 1).astype(bool)
+            ones = current & current.dtype.type(1 << (levels - 1 - level)) != 0
             packed = np.packbits(ones, bitorder="little")
             planes[level].view(np.uint8)[: len(packed)] = packed
-            np.cumsum(np.bitwise_count(planes[level]).reshape(blocks, -1).sum(1, dtype=np.uint32), out=counts[level, 1:])
-            current = np.concatenate([current[~ones], current[ones]])
+            np.cumsum(np.bitwise_count(planes[level]).reshape(blocks, SUPERBLOCK // 64).sum(1, dtype=np.uint32), out=counts[level, 1:])
+            current = np.concatenate([current.take(np.flatnonzero(~ones)), current.take(np.flatnonzero(ones))])
         return cls(len(symbols), planes, counts)
 
     def to_bytes(self) -> bytes:
@@ -109,7 +109,7 @@ class WaveletMatrix:
         for level in reversed(range(self.levels)):
             ones = np.unpackbits(self.planes[level].view(np.uint8), count=self.n, bitorder="little").astype(bool)
             before = np.empty_like(symbols)
-            before[~ones] = symbols[: self.zeros[level]]
-            before[ones] = symbols[self.zeros[level] :] | symbols.dtype.type(1 << (self.levels - 1 - level))
+            before[np.flatnonzero(~ones)] = symbols[: self.zeros[level]]
+            before[np.flatnonzero(ones)] = symbols[self.zeros[level] :] | symbols.dtype.type(1 << (self.levels - 1 - level))
             symbols = before
         return symbols.astype(np.uint32)
