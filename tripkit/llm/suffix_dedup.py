@@ -132,6 +132,11 @@ def sorted_out(group: pa.Table, length: int, keep_first: bool) -> pa.Table:
     batch: list[tuple[bytes, np.ndarray]] = []
     size = 0
     for stretches in by_anchor.values():
+        if len(stretches) == 1:  # equal strings have equal anchors: none but its own copies can match
+            content, places = stretches[0]
+            if len(places) > 1:
+                found_spans(np.ones(len(content) - length + 1, bool), places[1:] if keep_first else places, length, rows)
+            continue
         batch.extend(stretches)
         size += sum(len(c) for c, _ in stretches)
         if size >= AT_ONCE:
@@ -231,7 +236,8 @@ def remove_repeated_bytes(docs: DataFrame, id_column: str = "doc_id", text_colum
     marks = marks.groupBy("_key_a", "_key_b").agg(F.max("_runs").alias("_runs"))
     stretches = materialize(ranked.join(marks, ["_key_a", "_key_b"]).mapInArrow(partial(stretch_batches, length=length), ddl(STRETCHES)))
     n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
-    crowded = stretches.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > crowd).select("anchor")
+    # eight bytes for every ``crowd`` stretches at most: broadcast, so that the stretches stay where they are
+    crowded = F.broadcast(stretches.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > crowd).select("anchor"))
     few = stretches.join(crowded, "anchor", "left_anti").withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(n)))
     spans = per_group(few, "bucket", sorted_out, ddl(SPANS), length=length, keep_first=keep_first)
     strings = stretches.join(crowded, "anchor", "left_semi").mapInArrow(partial(string_batches, length=length), ddl(STRINGS))
