@@ -38,8 +38,8 @@ LEAST_SHARE, LEAST_RATIO, STEM_GAIN = 0.9, 18.0, 1.5
 STEMS, ONE_ERROR, TWO_ERRORS = (4, 5, 6, 7, 8), 5, 9
 #: Words on either side that are a match's context; letters in which a quotation must close.
 WINDOW, QUOTE_REACH = 8, 200
-#: Distinct words and steps a task remembers.
-REMEMBERED = 300_000
+#: Distinct words, and states of the automata, that a task remembers.
+REMEMBERED, STATES = 200_000, 20_000
 
 WORD = re.compile(r"[^\W_]+")
 QUOTES = {'"': '"', "“": "”", "«": "»", "„": "“", "‘": "’"}
@@ -86,9 +86,28 @@ class Matcher:
             node = self.nodes[k]
             below = [self.allowed[self.numbers[id(c)]] for c in node.children.values()]
             self.allowed[k] = max([node.errors, 0, *below])
-        self.start = self.closed({0: 0})
-        self.steps: dict[tuple, tuple] = {}
         self.found: dict[str, int] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        """Drops all remembered states; the start is number 0."""
+        self.numbered: dict[tuple, int] = {}
+        self.states: list[tuple] = []
+        self.steps: dict[tuple[int, str], int] = {}
+        self.stem: list[bool] = []  # whether a state has read a whole stem, a whole term, a misspelled term
+        self.whole: list[bool] = []
+        self.close: list[bool] = []
+        self.number(self.closed({0: 0}))
+
+    def number(self, state: tuple) -> int:
+        found = self.numbered.get(state)
+        if found is None:
+            found = self.numbered[state] = len(self.states)
+            self.states.append(state)
+            self.stem.append(any(not used and self.nodes[k].stem for k, used in state))
+            self.whole.append(any(not used and self.nodes[k].errors >= 0 for k, used in state))
+            self.close.append(any(used <= self.nodes[k].errors for k, used in state))
+        return found
 
     def closed(self, reached: dict[int, int]) -> tuple:
         """A state: nodes with errors so far, after skipping letters of terms."""
@@ -127,21 +146,21 @@ class Matcher:
         return found
 
     def read(self, word: str) -> int:
-        state = self.start
+        if len(self.states) > STATES:
+            self.forget()
+        state = 0
         for letter in word:
-            if any(not used and self.nodes[k].stem for k, used in state):
+            if self.stem[state]:
                 return 1
             after = self.steps.get((state, letter))
             if after is None:
-                if len(self.steps) >= REMEMBERED:
-                    self.steps.clear()
-                after = self.steps[state, letter] = self.step(state, letter)
+                after = self.steps[state, letter] = self.number(self.step(self.states[state], letter))
             state = after
-            if not state:
+            if not self.states[state]:
                 return 0
-        if any(not used and (self.nodes[k].errors >= 0 or self.nodes[k].stem) for k, used in state):
+        if self.stem[state] or self.whole[state]:
             return 1
-        return 2 if any(used <= self.nodes[k].errors for k, used in state) else 0
+        return 2 if self.close[state] else 0
 
 
 def quoted(text: str, start: int, end: int) -> bool:
