@@ -3,7 +3,9 @@
 Each pass gives a vector the signs of 60 random projections as one number, so that sorting by
 it orders vectors lexicographically by concatenated random hashes; like vectors come to stand
 near each other. Sorted rows are cut into blocks, each with the first rows of the next one, and
-all pairs of a block are verified. The pairs of all passes are united.
+all pairs of a block are compared. Rows of a pass carry a sketch of 256 signs in place of the
+vector; pairs whose sketches differ too much for their angle are out, with a chance of error
+below 10**-9, the others of all passes are united and verified on the vectors.
 
 Large groups of near copies would make pairs by the square of their size. They are contracted
 first, with the same sorted passes: a vector joins a centre within half the linking angle, so
@@ -24,15 +26,15 @@ from pyspark.sql import functions as F
 
 from tripkit.llm.columnar import per_group, typed
 from tripkit.llm.components import connected_components
-from tripkit.llm.ordering import numbered
+from tripkit.operators.ordering import numbered
 from tripkit.session import materialize
 
 #: Sorted passes over the centres; passes that contract near copies before.
 PASSES, CONTRACTIONS = 16, 3
 #: Rows of a block that are compared in full, and rows of the next block that it takes in.
 BLOCK, OVERLAP = 1024, 128
-#: Random signs of a pass.
-SIGNS = 60
+#: Random signs of a pass, and of a sketch; standard deviations that a sketch may be off.
+SIGNS, SKETCH, DEVIATIONS = 60, 256, 6.0
 
 
 def unit_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -73,11 +75,25 @@ def sort_keys(batches: Iterator[pa.RecordBatch], turns: range) -> Iterator[pa.Re
                                                  names=[*part.schema.names, "turn", "dim", "key"])
 
 
-def blocked(centres: DataFrame, turns: range, overlap: int) -> DataFrame:
-    """Rows in sorted order per turn, dealt to blocks; ``lead`` marks a row of the next block."""
+def sketched(batches: Iterator[pa.RecordBatch], turns: range) -> Iterator[pa.RecordBatch]:
+    """A sketch and a sort key of every row, once per turn, in place of its vector."""
+    for batch in sort_keys(batches, turns):
+        x = matrix(batch.column("unit"))
+        planes = np.random.default_rng(1 << 21).standard_normal((x.shape[1], SKETCH))
+        bits = np.packbits(x @ planes > 0, axis=1)
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("cid", "radius", "turn", "dim", "key")), pa.array(list(map(bytes, bits)), pa.binary())],
+                                         names=["cid", "radius", "turn", "dim", "key", "sketch"])
+
+
+def keyed(centres: DataFrame, turn: int) -> DataFrame:
+    """``centres`` with their sort key of one turn."""
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in centres.schema)
-    keyed = centres.mapInArrow(partial(sort_keys, turns=turns), f"{fields}, turn int, dim int, key bigint")
-    placed = numbered(keyed, "turn", "dim", "key", "node").withColumn("block", F.expr(f"_pos div {BLOCK}"))
+    return centres.mapInArrow(partial(sort_keys, turns=range(turn, turn + 1)), f"{fields}, turn int, dim int, key bigint")
+
+
+def blocked(rows: DataFrame, name: str, overlap: int) -> DataFrame:
+    """Rows in sorted order per turn, dealt to blocks; ``lead`` marks a row of the next block."""
+    placed = numbered(rows, "turn", "dim", "key", name).withColumn("block", F.expr(f"_pos div {BLOCK}"))
     own = placed.withColumn("lead", F.lit(False))
     if not overlap:
         return own
@@ -85,21 +101,20 @@ def blocked(centres: DataFrame, turns: range, overlap: int) -> DataFrame:
                            .withColumn("lead", F.lit(True)))
 
 
-def slots(group: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def slots(group: pa.Table) -> Iterator[np.ndarray]:
     """Rows of a block that may be compared: same pass and same number of components."""
     kind = group.column("turn").to_numpy().astype(np.int64) << 32 | group.column("dim").to_numpy()
     for k in np.unique(kind):
-        rows = np.flatnonzero(kind == k)
-        yield rows, matrix(group.column("unit").take(pa.array(rows)))
+        yield np.flatnonzero(kind == k)
 
 
 def attached(group: pa.Table, near: float) -> pa.Table:
     """Each centre of a block and the centre that takes it in: heavier ones first, then by name."""
     out_from, out_to = [], []
     names, weights = np.array(group.column("node").to_pylist(), object), group.column("n").to_numpy()
-    for rows, x in slots(group):
-        order = np.lexsort((names[rows], -weights[rows]))
-        rows, x = rows[order], x[order]
+    for rows in slots(group):
+        rows = rows[np.lexsort((names[rows], -weights[rows]))]
+        x = matrix(group.column("unit").take(pa.array(rows)))
         free = np.ones(len(rows), bool)
         for k in range(len(rows)):
             if free[k]:
@@ -136,9 +151,8 @@ def contract(points: DataFrame, cosine: float) -> DataFrame:
     for turn in range(CONTRACTIONS):
         weights = members.groupBy("leader").agg(F.sum("n").alias("n")).withColumnRenamed("leader", "node")
         centres = points.select("node", "unit").join(weights, "node")
-        first = (1 << 20) + turn  # projections that no later pass uses
-        moves = materialize(per_group(blocked(centres, range(first, first + 1), 0), "block", attached,
-                                      "leader string, to string", near=near))
+        placed = blocked(keyed(centres, (1 << 20) + turn), "node", 0)  # projections that no later pass uses
+        moves = materialize(per_group(placed, "block", attached, "leader string, to string", near=near))
         moving = members.join(moves, "leader")
         tried = with_angles(moving.join(points.select("node", F.col("unit").alias("x")), "node")
                             .join(points.select(F.col("node").alias("to"), F.col("unit").alias("y")), "to")
@@ -150,19 +164,20 @@ def contract(points: DataFrame, cosine: float) -> DataFrame:
 
 
 def compared(group: pa.Table, limit: float) -> pa.Table:
-    """Pairs of centres of a block whose classes may hold a link."""
-    names, radius = np.array(group.column("node").to_pylist(), object), group.column("radius").to_numpy()
+    """Pairs of centres of a block whose classes may hold a link, by their sketches."""
+    names, radius = group.column("cid").to_numpy(), group.column("radius").to_numpy()
     lead = np.asarray(group.column("lead"))
-    out: list[list] = [[], [], []]
-    for rows, x in slots(group):
-        angle = np.arccos(np.clip(x @ x.T, -1, 1))
-        reach = limit + radius[rows][:, None] + radius[rows][None, :] + 1e-7
-        a, b = np.nonzero(np.triu(angle <= reach, 1) & ~(lead[rows][:, None] & lead[rows][None, :]))
-        cosine = np.einsum("ij,ij->i", x[a], x[b])
-        low, high = np.minimum(names[rows[a]], names[rows[b]]), np.maximum(names[rows[a]], names[rows[b]])
-        for column, values in zip(out, (low, high, cosine), strict=True):
-            column.extend(values.tolist())
-    return pa.table({"a": pa.array(out[0], pa.string()), "b": pa.array(out[1], pa.string()), "cosine": pa.array(out[2], pa.float64())})
+    out = []
+    for rows in slots(group):
+        bits = np.frombuffer(b"".join(x.as_py() for x in group.column("sketch").take(pa.array(rows))), np.uint64).reshape(len(rows), -1)
+        differ = np.zeros((len(rows), len(rows)), np.int16)
+        for k in range(bits.shape[1]):
+            differ += np.bitwise_count(bits[:, None, k] ^ bits[None, :, k])
+        share = np.minimum((limit + radius[rows][:, None] + radius[rows][None, :]) / np.pi, 1.0)
+        most = SKETCH * share + DEVIATIONS * np.sqrt(SKETCH * share * (1 - share))
+        a, b = np.nonzero(np.triu(differ <= most, 1) & ~(lead[rows][:, None] & lead[rows][None, :]))
+        out.append((np.minimum(names[rows[a]], names[rows[b]]), np.maximum(names[rows[a]], names[rows[b]])))
+    return pa.table({"a_id": np.concatenate([x for x, _ in out]), "b_id": np.concatenate([y for _, y in out])})
 
 
 def near_duplicate_vectors(vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding",
@@ -180,17 +195,20 @@ def near_duplicate_vectors(vectors: DataFrame, id_column: str = "vec_id", vector
     points = materialize(rows.where("unit IS NOT NULL").groupBy("node").agg(
         F.first("unit").alias("unit"), F.count(F.lit(1)).alias("n"), F.min("_id").alias("least")))
     members = contract(points, cosine)
-    classes = materialize(members.groupBy("leader").agg(
-        F.sum("n").alias("n"), F.max("angle").alias("radius"), F.min("least").alias("least")))
-    centres = points.select("node", "unit").join(classes.select(F.col("leader").alias("node"), "radius"), "node")
-    found = per_group(blocked(centres, range(passes), OVERLAP), "block", compared,
-                      "a string, b string, cosine double", limit=limit)
-    sides = {s: classes.select(F.col("leader").alias(s), F.col("n").alias(f"n_{s}"), F.col("radius").alias(f"r_{s}")) for s in "ab"}
-    pairs = found.groupBy("a", "b").agg(F.max("cosine").alias("cosine")).join(sides["a"], "a").join(sides["b"], "b")
+    classes = members.groupBy("leader").agg(F.sum("n").alias("n"), F.max("angle").alias("radius"), F.min("least").alias("least"))
+    centres = materialize(classes.join(points.select(F.col("node").alias("leader"), "unit"), "leader")
+                          .withColumn("cid", F.monotonically_increasing_id()))
+    passed = centres.select("cid", "radius", "unit").mapInArrow(
+        partial(sketched, turns=range(passes)), "cid bigint, radius double, turn int, dim int, key bigint, sketch binary")
+    found = per_group(blocked(passed, "cid", OVERLAP), "block", compared, "a_id bigint, b_id bigint", limit=limit)
+    sides = {s: centres.select(F.col("cid").alias(f"{s}_id"), F.col("leader").alias(s), F.col("n").alias(f"n_{s}"),
+                               F.col("radius").alias(f"r_{s}"), F.col("unit").alias(u)) for s, u in zip("ab", "xy", strict=True)}
+    verified = with_angles(found.distinct().join(sides["a"], "a_id").join(sides["b"], "b_id").drop("a_id", "b_id"))
     exact = F.expr("r_a = 0 AND r_b = 0")
-    widest = F.acos(F.least(F.greatest("cosine", F.lit(-1.0)), F.lit(1.0))) + F.col("r_a") + F.col("r_b")
-    pairs = materialize(pairs.withColumn("whole", F.when(exact, F.col("cosine") >= cosine).otherwise(widest <= limit - 1e-7))
-                        .where("whole OR NOT (r_a = 0 AND r_b = 0)"))
+    widest = F.col("angle") + F.col("r_a") + F.col("r_b")
+    nearest = F.col("angle") - F.col("r_a") - F.col("r_b")
+    pairs = materialize(verified.withColumn("whole", F.when(exact, F.col("cosine") >= cosine).otherwise(widest <= limit - 1e-7))
+                        .where(F.col("whole") | (~exact & (nearest <= limit + 1e-7))))
 
     by_class = (pairs.where("whole").selectExpr("a AS leader", "n_b AS more").union(pairs.where("whole").selectExpr("b", "n_a"))
                 .groupBy("leader").agg(F.sum("more").alias("more")))
@@ -203,7 +221,7 @@ def near_duplicate_vectors(vectors: DataFrame, id_column: str = "vec_id", vector
                .groupBy("node").agg(F.sum("extra").alias("extra")))
     edges = pairs.where("whole").selectExpr("a AS u", "b AS v").union(single.selectExpr("a", "b"))
     parts = connected_components(edges).withColumnRenamed("node", "leader")
-    named = classes.join(parts, "leader", "left").withColumn("component", F.coalesce("component", "leader"))
+    named = centres.join(parts, "leader", "left").withColumn("component", F.coalesce("component", "leader"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     of_class = named.join(least, "component").join(by_class, "leader", "left").select(
         "leader", "component_id", (F.col("n") - 1 + F.coalesce("more", F.lit(0))).alias("of_class"))
