@@ -1,0 +1,80 @@
+"""Sets of shingles that are alike, and the pipeline's near-copy stage, against comparing all pairs."""
+
+from __future__ import annotations
+
+import random
+import sys
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from tripkit.llm import alike
+from tripkit.llm.components import connected_components
+
+sys.path.insert(0, __file__.rsplit("/", 1)[0])
+
+from test_near_duplicates import fingerprint, least_reachable  # noqa: E402
+
+
+def shingles(text):
+    words = (text or "").encode().lower().split()
+    return {b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def alike_pairs(texts):
+    sets = [shingles(t) for t in texts]
+    return [(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets[:i]) if a and b and len(a & b) >= 0.8 * len(a | b)]
+
+
+@pytest.fixture(scope="module")
+def texts():
+    """Near copies of several bases from few to many edits, a dense group, texts that share a passage, odd ones."""
+    rng = random.Random(8)
+    word = lambda: f"w{rng.randrange(3000)}"
+    out = []
+    for group, copies in [*((k, 6) for k in range(25)), (25, 120)]:
+        base = [word() for _ in range(rng.randrange(20, 160))] if group < 25 else [word() for _ in range(150)]
+        for _ in range(copies):
+            words = list(base)
+            for _ in range(rng.randrange(5)):
+                words[rng.randrange(len(words))] = word()
+            out.append(" ".join(words[rng.randrange(3) :]))
+    passage = " ".join(word() for _ in range(40))
+    out += [f"{' '.join(word() for _ in range(rng.randrange(2, 30)))} {passage}" for _ in range(60)]
+    return [*out, *out[:9], None, "", " \t", "one", "ONE", "a b c d", "a b c d e", "a b c d e f"]
+
+
+def test_links_connect_all_pairs_that_are_alike(spark, texts):
+    names = [alike.set_name(alike.shingle_set((t or "").encode(), 5)) for t in texts]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)
+    links = alike.alike_links(docs, "text", 5, 80)
+    part = {r.node: r.component for r in connected_components(links).collect()}
+    label = least_reachable(len(texts), alike_pairs(texts))
+    got, want = {}, {}
+    for k, name in enumerate(names):
+        got.setdefault(k if name is None else (part.get(name, name),), set()).add(k)
+        want.setdefault(label[k], set()).add(k)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+    assert alike.alike_links(docs.limit(0), "text", 5, 80).count() == 0
+
+
+@pytest.mark.parametrize("n", range(1, 60))
+def test_prefixes_of_sets_that_are_alike_meet(n):
+    """Sets that share as few members as they may, the shared ones last in the order."""
+    none = np.zeros(0, np.uint64)
+    for m in range(n, n * 5 // 4 + 1):
+        shared = -(-80 * (n + m) // 180)
+        common = np.arange(10_000, 10_000 + shared, dtype=np.uint64)
+        a, b = (np.r_[np.arange(s, s + k - shared, dtype=np.uint64), common] for s, k in ((0, n), (5000, m)))
+        assert shared > n or set(alike.prefix(a, 80, none, none).tolist()) & set(alike.prefix(b, 80, none, none).tolist())
+
+
+def test_stage_keeps_one_of_each_class(spark, texts, sf_dir):
+    prints = np.array([fingerprint(t) for t in texts], np.uint64)
+    bits = [(i, j) for i in range(len(texts)) for j in range(i) if (prints[i] ^ prints[j]).item().bit_count() <= 2]
+    label = least_reachable(len(texts), alike_pairs(texts) + bits)
+    assert len(set(label)) < len(set(least_reachable(len(texts), bits)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    kept = corpus_pipeline.remove_near_copies(spark, docs, sf_dir)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(label))

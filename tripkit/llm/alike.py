@@ -1,0 +1,133 @@
+"""Texts whose sets of word shingles have a Jaccard similarity of at least a given percentage: all of them.
+
+Shingles are put into one order, the same for all texts: those that a sample finds common come
+last, otherwise by hash. Two sets that are alike share a shingle among the first
+``n - ceil(percent * n / 100) + 1`` of each (prefix filter), so texts are joined on those alone and
+every pair is then verified on the whole sets. First each text is held against one text of each
+prefix shingle it has; what that connects need not be compared again, so a large group of near
+copies costs rows by its size. Only pairs still apart are then compared each with each.
+
+Sets hold 64-bit hashes of shingles; a set goes by a 64-bit hash of them, a text by one of its own.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from functools import partial
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tripkit.llm.columnar import buffers
+from tripkit.llm.components import connected_components
+from tripkit.session import materialize
+
+#: Texts of the sample that tells common shingles, and shingles told: these order prefixes, no result hangs on them.
+SAMPLE, COMMON = 2000, 50_000
+
+
+def shingle_set(text: bytes, shingle: int) -> np.ndarray:
+    """Rising distinct hashes of a text's shingles: words, A-Z lower-cased; fewer words are one shingle."""
+    parts = text.lower().split()
+    if not parts:
+        return np.zeros(0, np.uint64)
+    hashes = [xxhash.xxh64_intdigest(b" ".join(parts[i : i + shingle]), 42) for i in range(max(1, len(parts) - shingle + 1))]
+    return np.unique(np.array(hashes, np.uint64))
+
+
+def set_name(members: np.ndarray) -> int | None:
+    """The set's name, a bigint; None for an empty set."""
+    return int(np.array(xxhash.xxh64_intdigest(members.tobytes(), 7), np.uint64).view(np.int64)) if len(members) else None
+
+
+def texts_of(batch: pa.RecordBatch, column: int) -> Iterator[bytes]:
+    data, limits = buffers(batch.column(column))
+    return (data[a:b].tobytes() for a, b in zip(limits[:-1].tolist(), limits[1:].tolist(), strict=True))
+
+
+def set_batches(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for first in range(0, len(batch), 256):
+            found = [shingle_set(t, shingle) for t in texts_of(batch.slice(first, 256), 0)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([set_name(x) for x in found], pa.int64()), pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64()))],
+                names=["node", "members"])
+
+
+def prefix(members: np.ndarray, percent: int, common: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The first members in the common order, one of which any set that is alike has among its own first ones."""
+    n = len(members)
+    if len(common):
+        place = np.minimum(np.searchsorted(common, members), len(common) - 1)
+        members = members[np.lexsort((members, np.where(common[place] == members, weights[place], 0)))]
+    return members[: n + (-percent * n) // 100 + 1]
+
+
+def prefix_batches(batches: Iterator[pa.RecordBatch], shingle: int, percent: int, common: np.ndarray,
+                   weights: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Texts and their hashes to a row each: prefix shingles, name and size of the set, hash of the text."""
+    for batch in batches:
+        for first in range(0, len(batch), 256):
+            part = batch.slice(first, 256)
+            sets = [shingle_set(t, shingle) for t in texts_of(part, 0)]
+            firsts = [prefix(x, percent, common, weights).view(np.int64) for x in sets]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(firsts, pa.list_(pa.int64())), pa.array([set_name(x) for x in sets], pa.int64()), pa.array([len(x) for x in sets], pa.int64()),
+                 part.column(1)], names=["firsts", "node", "n", "text_hash"])
+
+
+def common_shingles(texts: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles of several texts of a sample, rising, and of how many."""
+    share = min(1.0, SAMPLE / max(1, texts.count()))
+    drawn = texts.where(F.pmod("text_hash", F.lit(1_000_000)) < round(share * 1_000_000)).select("_text").distinct()
+    found = (drawn.mapInArrow(partial(set_batches, shingle=shingle), "node bigint, members array<bigint>")
+             .select(F.explode("members").alias("x")).groupBy("x").agg(F.count(F.lit(1)).alias("n")).where("n > 2")
+             .orderBy(F.desc("n"), "x").limit(COMMON).collect())
+    values = np.array([r.x for r in found], np.int64).view(np.uint64)
+    order = np.argsort(values)
+    return values[order], np.array([r.n for r in found], np.int64)[order]
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) whose sets are alike."""
+    left = pairs.join(sets.select(F.col("node").alias("u"), F.col("members").alias("a")), "u")
+    both = left.join(sets.select(F.col("node").alias("v"), F.col("members").alias("b")), "v")
+    shared = F.size(F.array_intersect("a", "b")).cast("bigint")
+    return both.where(100 * shared >= percent * (F.size("a") + F.size("b") - shared)).select("u", "v")
+
+
+def alike_links(docs: DataFrame, text_column: str, shingle: int, percent: int) -> DataFrame:
+    """Edges (u, v) of set names that connect what pairs of similarity ``percent`` / 100 or more connect."""
+    texts = docs.select(F.col(text_column).cast("binary").alias("_text"), F.xxhash64(F.lit(3), text_column).alias("text_hash")).where("_text IS NOT NULL")
+    common, weights = common_shingles(texts, shingle)
+    named = materialize(texts.mapInArrow(
+        partial(prefix_batches, shingle=shingle, percent=percent, common=common, weights=weights),
+        "firsts array<bigint>, node bigint, n bigint, text_hash bigint").where("node IS NOT NULL"))
+    names = materialize(named.groupBy("node").agg(F.min("n").alias("n"), F.min("text_hash").alias("text_hash")))
+    firsts = named.select(F.explode("firsts").alias("first"), "node")
+    shared = firsts.groupBy("first").agg(F.min("node").alias("head"), F.max("node").alias("_last")).where("head < _last").drop("_last")
+    members = materialize(firsts.join(shared, "first").distinct())
+    sizes = names.select("node", "n")
+
+    def checked(pairs: DataFrame) -> DataFrame:
+        """The pairs that are alike, by their sizes first; sets are made of one text of each name they hold."""
+        for x in "uv":
+            pairs = pairs.join(sizes.toDF(x, f"n_{x}"), x)
+        pairs = materialize(pairs.where(100 * F.least("n_u", "n_v") >= percent * F.greatest("n_u", "n_v")).select("u", "v"))
+        needed = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(names, "node").select("text_hash").distinct()
+        sets = materialize(texts.join(needed, "text_hash", "left_semi").dropDuplicates(["text_hash"]).select("_text")
+                           .mapInArrow(partial(set_batches, shingle=shingle), "node bigint, members array<bigint>"))
+        return materialize(verified(pairs, sets, percent))
+
+    stars = checked(members.where("node <> head").select(F.col("node").alias("u"), F.col("head").alias("v")).distinct())
+    parts = connected_components(stars)
+    placed = members.join(parts, "node", "left").select("first", "node", F.coalesce("component", "node").alias("part"))
+    apart = placed.groupBy("first").agg(F.min("part").alias("_a"), F.max("part").alias("_b")).where("_a < _b").select("first")
+    placed = materialize(placed.join(apart, "first", "left_semi").join(sizes, "node"))
+    a, b = (placed.select("first", F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("part").alias(f"part_{x}")) for x in "uv")
+    rest = (a.join(b, "first").where("u < v AND part_u <> part_v")
+            .where(100 * F.least("n_u", "n_v") >= percent * F.greatest("n_u", "n_v")).select("u", "v").distinct())
+    return stars.union(checked(rest))
