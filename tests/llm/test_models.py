@@ -71,6 +71,20 @@ def test_toxicity_learns_words_stems_and_finds_misspellings(spark, corpus):
     assert got[None] == got[""] < got["a zorgn"] and got["zorgon "] > 0.9
 
 
+def test_toxicity_learns_terms_that_many_others_outnumber(spark):
+    """20,100 words are in every text and 2,100 in every toxic one; one telling word is in half of those."""
+    rng = random.Random(6)
+    common, telling = [f"{k:04x}" for k in range(20_100)], [f"zz{k:03x}" for k in range(2100)]
+    rows = []
+    for k in range(60):
+        words = common + telling * (k % 2) + ["zorgon"] * (k % 4 == 1)
+        rng.shuffle(words)
+        rows.append((k, " ".join(words), k % 2))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int").repartition(4)
+    model = toxicity.learn(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    assert {"zorgon", *telling} == set(model.words) and model.stems == []
+
+
 def test_toxicity_without_labels(corpus):
     docs = corpus.select("doc_id", "text")
     for labels in (corpus.limit(0), corpus.selectExpr("CAST(NULL AS BIGINT) AS doc_id", "toxic"), corpus.selectExpr("doc_id", "CAST(NULL AS INT) AS toxic"),

@@ -13,7 +13,6 @@ document go into a logistic score, fitted to the labels around prior weights.
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -23,14 +22,14 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripkit.llm.columnar import row_columns, row_schema
 from tripkit.session import materialize
 
-#: Bound of labelled rows to learn from, in expectation; of terms that are considered, and of the lexicon.
-TRAIN_ROWS, CANDIDATES, LEXICON = 20_000, 20_000, 2_000
+#: Bound of labelled rows to learn from, in expectation.
+TRAIN_ROWS = 20_000
 #: This share of the documents a term is in are toxic; least log-likelihood ratio of a term, so that
 #: one in some 10**5 passes by chance; a stem is in this many times the documents of any one word on it.
 LEAST_SHARE, LEAST_RATIO, STEM_GAIN = 0.9, 18.0, 1.5
@@ -202,14 +201,15 @@ def terms_of(text: str) -> set[str]:
     return {w for w in words if len(w) > 2} | {w[:n] + "*" for w in words for n in STEMS if len(w) > n}
 
 
-def term_counts(batches: Iterator[pa.RecordBatch], wanted: frozenset[str] | None) -> Iterator[pa.RecordBatch]:
-    """In how many texts of a partition each term occurs, all terms or the wanted ones."""
+def term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many toxic and clean texts of a batch (_text, _label) each term occurs."""
     for batch in batches:
-        counts: Counter = Counter()
-        for text in batch.column(0).to_pylist():
-            found = terms_of(text)
-            counts.update(found if wanted is None else found & wanted)
-        yield pa.RecordBatch.from_pydict({"term": list(counts), "n": pa.array(counts.values(), pa.int64())})
+        counts = Counter(), Counter()
+        for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            counts[label].update(terms_of(text))
+        terms = list(counts[0] | counts[1])
+        yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), *(pa.array([c[t] for t in terms], pa.int64()) for c in counts)],
+                                         names=["term", "clean", "toxic"])
 
 
 def copy_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,27 +224,28 @@ def copy_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=[*batch.schema.names, "_m1", "_m2"])
 
 
-def ratio(a: int, b: int, toxic: int, clean: int) -> float:
-    """Log-likelihood ratio of a term in a of the toxic and b of the clean documents."""
-    total = 0.0
-    for seen, of in ((a, toxic), (b, clean)):
-        expected = (a + b) * of / (toxic + clean)
-        total += 2 * seen * math.log(seen / expected) if seen else 0.0
+def ratio(toxic: int, clean: int) -> Column:
+    """Log-likelihood ratio of a term in columns ``toxic`` and ``clean`` of so many documents."""
+    total = F.lit(0.0)
+    for seen, of in ((F.col("toxic"), toxic), (F.col("clean"), clean)):
+        expected = (F.col("toxic") + F.col("clean")) * F.lit(of / max(1, toxic + clean))
+        total = total + F.when(seen > 0, 2 * seen * F.ln(seen / expected)).otherwise(0.0)
     return total
 
 
-def chosen_terms(inside: dict[str, int], outside: dict[str, int], toxic: int, clean: int) -> tuple[list[str], list[str]]:
-    """Words and stems of the lexicon, the most telling first."""
-    strength = {t: ratio(n, outside.get(t, 0), toxic, clean) for t, n in inside.items()
-                if n >= LEAST_SHARE * (n + outside.get(t, 0))}
-    telling = sorted((t for t, r in strength.items() if r >= LEAST_RATIO), key=lambda t: (-strength[t], t))[:LEXICON]
-    most: Counter = Counter()
-    for term, n in inside.items():
-        if not term.endswith("*"):
-            for size in STEMS:
-                most[term[:size]] = max(most[term[:size]], n)
-    return ([t for t in telling if not t.endswith("*")],
-            [t[:-1] for t in telling if t.endswith("*") and inside[t] >= STEM_GAIN * most[t[:-1]]])
+def chosen_terms(texts: DataFrame, toxic: int, clean: int) -> tuple[list[str], list[str]]:
+    """Words and stems of the lexicon, the most telling first: all that pass the tests of share, ratio and gain."""
+    counts = materialize(texts.select("_text", "_label").mapInArrow(term_counts, "term string, clean bigint, toxic bigint").groupBy("term")
+                         .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).where("toxic > 1"))
+    telling = (counts.where(F.col("toxic") >= LEAST_SHARE * (F.col("toxic") + F.col("clean")))
+               .withColumn("strength", ratio(toxic, clean)).where(F.col("strength") >= LEAST_RATIO))
+    most = (counts.where("NOT endswith(term, '*')")
+            .select(F.explode(F.array(*(F.substring("term", 1, n) for n in STEMS))).alias("stem"), "toxic")
+            .groupBy("stem").agg(F.max("toxic").alias("most")))
+    words = telling.where("NOT endswith(term, '*')").select("term", "strength")
+    stems = (telling.where("endswith(term, '*')").withColumn("stem", F.expr("substring(term, 1, length(term) - 1)")).join(most, "stem", "left")
+             .where(F.col("toxic") >= STEM_GAIN * F.coalesce("most", F.lit(0))).select(F.col("stem").alias("term"), "strength"))
+    return tuple([r.term for r in sorted(found.collect(), key=lambda r: (-r.strength, r.term))] for found in (words, stems))
 
 
 def fit(inputs: np.ndarray, labels: np.ndarray) -> np.ndarray:
@@ -301,14 +302,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
                        .join(F.broadcast(drawn), id_column).select("_text", "_label"))
     single = materialize(rows.mapInArrow(copy_marks, "_text string, _label int, _m1 bigint, _m2 bigint")
                          .dropDuplicates(["_m1"]).dropDuplicates(["_m2"]).select("_text", "_label"))
-    toxic, clean = (single.where(F.col("_label") == k).select("_text") for k in (1, 0))
     sizes = {r._label: r["count"] for r in single.groupBy("_label").count().collect()}
-    common = (toxic.mapInArrow(partial(term_counts, wanted=None), "term string, n bigint").groupBy("term")
-              .agg(F.sum("n").alias("n")).where("n > 1").orderBy(F.desc("n"), "term").limit(CANDIDATES).collect())
-    inside = {r.term: r.n for r in common}
-    outside = {r.term: r.n for r in clean.mapInArrow(partial(term_counts, wanted=frozenset(inside)), "term string, n bigint")
-               .groupBy("term").agg(F.sum("n").alias("n")).collect()}
-    words, stems = chosen_terms(inside, outside, sizes.get(1, 0), sizes.get(0, 0))
+    words, stems = chosen_terms(single.where("_label IN (0, 1)"), sizes.get(1, 0), sizes.get(0, 0))
     seen = rows.mapInArrow(partial(figure_batches, words=words, stems=stems), "figures array<double>, _label int").collect()
     inputs = np.array([r.figures for r in seen]).reshape(-1, len(PRIOR))
     return Model(words, stems, fit(inputs, np.array([r._label for r in seen], float)))
