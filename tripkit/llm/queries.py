@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from tripkit.llm import chat, decontamination, packing, projection, quality, simhash, substring, suffix_dedup, token_files, toxicity
+from tripkit.llm import alignment, chat, decontamination, packing, projection, quality, simhash, substring, suffix_dedup, token_files, toxicity
 from tripkit.llm.ship import ship
 from tripkit.session import shared_path
 
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+PIECE_TOKENIZER = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -133,6 +134,12 @@ OP10_SQL = f"""
     FROM c GROUP BY conv_id"""
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    """Groups and links of two tokenizers' ids in every document, weighed by counts over all documents."""
+    found = alignment.align(read(spark, sf, "documents"), BYTE_TOKENIZER, PIECE_TOKENIZER)
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_substring_dedup": (op1_substring_dedup, None),
     "op2_best_fit_packing": (op2_best_fit_packing, None),
@@ -144,4 +151,5 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_simhash_near_dedup": (op8_simhash_near_dedup, None),
     "op9_quality_classifier": (op9_quality_classifier, None),
     "op10_chat_formatting": (op10_chat_formatting, OP10_SQL),
+    "op11_cross_tokenizer_alignment": (op11_cross_tokenizer_alignment, None),
 }
