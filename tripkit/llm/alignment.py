@@ -36,9 +36,9 @@ from tripkit.llm.tokens import BYTE_WORDS, PLAIN, Encoder
 from tripkit.session import materialize
 
 #: Bytes of text whose pairs a task gathers before it closes a chunk.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 #: Stretches that are aligned, or gathered for their documents, at a time.
-STEP_STRETCHES = 100_000
+STEP_STRETCHES = 50_000
 #: Bytes whose ends are held in dictionaries at a time: equal ends fall into the same step.
 STEP_BYTES = 1 << 20
 #: Links of a group from which its ids are counted before they are paired.

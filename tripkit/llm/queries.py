@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from tripkit.llm import alignment, chat, decontamination, packing, projection, quality, simhash, substring, suffix_dedup, token_files, toxicity
+from tripkit.llm import alignment, chat, decontamination, packing, projection, quality, secret_scan, simhash, substring, suffix_dedup, token_files, toxicity
 from tripkit.llm.ship import ship
 from tripkit.session import shared_path
 
@@ -140,6 +140,16 @@ def op11_cross_tokenizer_alignment(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 
+def op12_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Secrets of every document: known forms, and runs that the models find likelier drawn at random."""
+    docs = read(spark, sf, "documents").select("doc_id", "text")
+    found = secret_scan.find_secrets(docs, secret_scan.learn(secret_scan.labelled_strings(docs)))
+    spans, listed = F.col("spans"), secret_scan.listed
+    return found.select("doc_id", *(secret_scan.count_of(spans, k).alias(f"n_{k}") for k in secret_scan.KINDS[:3]),
+                        F.sha2(listed(F.filter(spans, lambda s: s["kind"] != secret_scan.KINDS[3])).cast("binary"), 256).alias("base_sha256"),
+                        listed(spans).alias("spans"), secret_scan.count_of(spans, secret_scan.KINDS[3]).alias("n_random"))
+
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_substring_dedup": (op1_substring_dedup, None),
     "op2_best_fit_packing": (op2_best_fit_packing, None),
@@ -152,4 +162,5 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op9_quality_classifier": (op9_quality_classifier, None),
     "op10_chat_formatting": (op10_chat_formatting, OP10_SQL),
     "op11_cross_tokenizer_alignment": (op11_cross_tokenizer_alignment, None),
+    "op12_secret_scan": (op12_secret_scan, None),
 }
