@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from tripkit.llm import alignment, chat, decontamination, packing, projection, quality, secret_scan, simhash, substring, suffix_dedup, token_files, toxicity
+from tripkit.llm import alignment, chat, decontamination, packing, prefix_trie, projection, quality, secret_scan, simhash, substring, suffix_dedup, token_files, toxicity
 from tripkit.llm.ship import ship
-from tripkit.session import shared_path
+from tripkit.session import materialize, shared_path
 
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -150,6 +150,52 @@ def op12_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
                         listed(spans).alias("spans"), secret_scan.count_of(spans, secret_scan.KINDS[3]).alias("n_random"))
 
 
+#: Conversations of one block of so many ids begin with up to five turns of the block's first one.
+BLOCK_IDS, MOST_BORROWED = 100, 6
+
+
+def rebuilt_conversations(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Turns of every conversation behind the first h of its block's first conversation, h by its id; all ids."""
+    own = Window.partitionBy("conv_id").orderBy(F.asc_nulls_first("turn"), "role", "text")
+    given = turns.where("conv_id IS NOT NULL").select("conv_id", "turn", *(F.coalesce(c, F.lit("")).alias(c) for c in ("role", "text")))
+    numbered = materialize(given.select("conv_id", (F.row_number().over(own) - 1).alias("turn"), "role", "text"))
+    h = F.crc32(F.col("conv_id").cast("string").cast("binary")) % MOST_BORROWED
+    kept = numbered.where(F.col("turn") >= h)
+    ids = numbered.where("turn = 0").select("conv_id")
+    wanted = ids.select(F.col("conv_id").alias("_own"), (F.col("conv_id") - F.col("conv_id") % BLOCK_IDS).alias("conv_id"), h.alias("_h"))
+    lent = numbered.where((F.col("turn") < MOST_BORROWED - 1) & (F.col("conv_id") % BLOCK_IDS == 0))
+    borrowed = lent.join(wanted, "conv_id").where("turn < _h").select(F.col("_own").alias("conv_id"), "turn", "role", "text")
+    return kept.unionByName(borrowed), ids
+
+
+def op13_conversation_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    turns, ids = rebuilt_conversations(read(spark, sf, "conversations").select("conv_id", "turn", "role", "text"))
+    return prefix_trie.prefix_nodes(materialize(turns), ids)
+
+
+#: CRC-32 of a string's bytes, bit by bit.
+CRC32_SQL = """xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+    lambda crc, byte: list_reduce([xor(crc, byte)] || [0::BIGINT, 0, 0, 0, 0, 0, 0, 0], lambda x, unused: xor(x >> 1, (x & 1) * 3988292384))), 4294967295::BIGINT)"""
+OP13_SQL = f"""
+    WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                      row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS p
+               FROM conversations WHERE conv_id IS NOT NULL),
+    c AS (SELECT conv_id, {CRC32_SQL} % 6 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+    s AS (SELECT c.conv_id, p, role, text FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 100 AND p < h
+          UNION ALL SELECT c.conv_id, p, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND p >= h),
+    q AS (SELECT c.conv_id, coalesce(list([role, text] ORDER BY p) FILTER (p IS NOT NULL), []) AS path FROM c LEFT JOIN s ON s.conv_id = c.conv_id GROUP BY c.conv_id),
+    m AS (SELECT conv_id, d, path[1:d] AS node, len(path) = d AS at_end FROM (SELECT *, unnest(range(len(path) + 1)) AS d FROM q)),
+    n AS (SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(length(node[-1][2]), 0) AS size,
+                 sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (at_end), '')) AS ends_sha256 FROM m GROUP BY node, d),
+    k AS (SELECT node[1:d - 1] AS node, d - 1 AS d, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1, 2),
+    f AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k ON n.d = k.d AND n.node = k.node),
+    u AS (SELECT a AS d, node[1:a] AS node, sum((n_convs - 1) * size) AS saved, count(*) FILTER (n_children = 0) AS n_leaves
+          FROM (SELECT *, unnest(range(d + 1)) AS a FROM f) GROUP BY 1, 2)
+    SELECT f.conv_id, CAST(f.d AS BIGINT) AS depth, o.conv_id AS parent_conv_id, f.n_convs, f.n_children, u.n_leaves, CAST(u.saved AS BIGINT) AS saved_tokens, f.ends_sha256
+    FROM f JOIN u ON u.d = f.d AND u.node = f.node LEFT JOIN n AS o ON f.d > 0 AND o.d = f.d - 1 AND o.node = f.node[1:f.d - 1]"""
+
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_substring_dedup": (op1_substring_dedup, None),
     "op2_best_fit_packing": (op2_best_fit_packing, None),
@@ -163,4 +209,5 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op10_chat_formatting": (op10_chat_formatting, OP10_SQL),
     "op11_cross_tokenizer_alignment": (op11_cross_tokenizer_alignment, None),
     "op12_secret_scan": (op12_secret_scan, None),
+    "op13_conversation_prefix_trie": (op13_conversation_prefix_trie, OP13_SQL),
 }
