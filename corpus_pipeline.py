@@ -20,9 +20,9 @@ def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of SimHash links and of five-word Jaccard similarities of 0.8 or more."""
+    """One document of each class of SimHash links: fingerprints of three-word shingles that differ in at most two bits."""
     queries.ship(spark)
-    return simhash.one_of_each(docs, alike_shingle=5, percent=80).select(*docs.columns)
+    return simhash.one_of_each(docs, shingle=3).select(*docs.columns)
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
