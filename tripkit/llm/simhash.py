@@ -22,7 +22,6 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripkit.llm import alike
 from tripkit.llm.columnar import buffers, pieces, row_keys, typed
 from tripkit.llm.components import connected_components
 from tripkit.session import materialize
@@ -236,49 +235,17 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     return found.join(of, "fp").select(F.col("_id").alias(id_column), "fp", "component_id")
 
 
-def fingerprints_and_sets(docs: DataFrame, text_column: str, shingle: int, alike_shingle: int) -> DataFrame:
-    """Distinct fp and node, the name of the text's set of shingles of the second size; no row for a text without words."""
-    texts = docs.select(F.coalesce(F.col(text_column), F.lit("")).cast("binary").alias("_text"))
-    return texts.mapInArrow(partial(named_batches, shingle=shingle, alike_shingle=alike_shingle), "fp bigint, node bigint").where(
-        "node IS NOT NULL").distinct()
-
-
-def named_batches(batches: Iterator[pa.RecordBatch], shingle: int, alike_shingle: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for first in range(0, len(batch), 256):
-            texts = list(alike.texts_of(batch.slice(first, 256), 0))
-            names = [alike.set_name(alike.shingle_set(t, alike_shingle)) for t in texts]
-            yield pa.RecordBatch.from_arrays([pa.array(text_fingerprints(texts, shingle).view(np.int64)), pa.array(names, pa.int64())],
-                                             names=["fp", "node"])
-
-
-def united(classes: DataFrame, docs: DataFrame, text_column: str, shingle: int, alike_shingle: int, percent: int) -> DataFrame:
-    """(fp, class): ``classes`` joined wherever texts of two of them are alike."""
-    classes = materialize(classes)
-    parts = connected_components(alike.alike_links(docs, text_column, alike_shingle, percent))
-    named = fingerprints_and_sets(docs, text_column, shingle, alike_shingle).join(classes, "fp").join(parts, "node", "left")
-    named = materialize(named.select("class", F.coalesce("component", "node").alias("part")).distinct())
-    least = named.groupBy("part").agg(F.min("class").alias("least"))
-    joined = connected_components(named.join(least, "part").select(F.col("class").alias("u"), F.col("least").alias("v")))
-    return classes.join(joined, classes["class"] == joined["node"], "left").select("fp", F.coalesce("component", "class").alias("class"))
-
-
-def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = 3,
-                alike_shingle: int = 5, percent: int | None = None) -> DataFrame:
+def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = 3) -> DataFrame:
     """``docs`` with one row of each near-duplicate class: the one of the smallest id, null ids last.
 
-    With ``percent``, texts whose sets of ``alike_shingle``-word shingles have that Jaccard similarity
-    or more are of one class too. Rows of that id are told apart by hashes of their text; of rows
-    equal in id and text one stays. Texts without words are one class, as in ``near_duplicates``.
+    Rows of that id are told apart by hashes of their text; of rows equal in id and text one stays.
+    Texts without words are one class, as in ``near_duplicates``.
     All columns stay, whatever their names.
     """
     keys = row_keys(id_column, text_column)
     row = F.struct(F.col(id_column).isNull().alias("no_id"), F.col(id_column).alias("id"), *keys)
     found = materialize(fingerprints(docs.select(row.alias("_row"), F.col(text_column).alias("_text")), "_row", "_text", shingle))
-    classes = classes_of(found)
-    if percent is not None:
-        classes = united(classes, docs, text_column, shingle, alike_shingle, percent)
-    first = found.join(classes, "fp").groupBy("class").agg(F.min("_id").alias("row")).select("row._key_a", "row._key_b")
+    first = found.join(classes_of(found), "fp").groupBy("class").agg(F.min("_id").alias("row")).select("row._key_a", "row._key_b")
     marked = docs.select(F.struct("*").alias("_doc"), *keys)
     return (marked.join(first, ["_key_a", "_key_b"], "left_semi").groupBy("_key_a", "_key_b")
             .agg(F.first("_doc").alias("_doc")).select("_doc.*"))
