@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tripkit.operators.lookup import lookup_join
 from tripkit.operators.selection import exact_medians
 from tripkit.schema import ROW_ORDER, WEATHER_COLUMNS
+from tripkit.session import materialize
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: str = ROW_ORDER) -> DataFrame:
@@ -58,9 +59,12 @@ def without_weather(trips: DataFrame) -> DataFrame:
 def enrich(trips: DataFrame, weather: DataFrame | None) -> DataFrame:
     """Join and fill weather; an absent or empty table gives constant columns.
 
-    The table is read for the fill and for the join, so it should be stored.
+    The table is read for the fill and for the join, so it is stored first.
     """
-    if weather is None or weather.isEmpty():
+    if weather is None:
+        return without_weather(trips)
+    weather = materialize(weather)
+    if weather.isEmpty():
         return without_weather(trips)
     return fill_weather(join_weather(trips, weather), weather_fill(weather)).drop("weather_matched")
 

@@ -1,27 +1,36 @@
 """Exact order statistics that never gather a column, or a group, into one task.
 
-``select_ranks`` finds the k-th smallest value of a column, for many columns, groups and ranks
-at once. Each pass cuts the open value range of every wanted rank into equal steps, counts the
-rows per step on the map side, and keeps the one step that holds the rank. The step shrinks to
-the smallest and largest value really inside it, so ties, outliers and hot values end the
-search early instead of growing a task. There is one way for every size of table and any number
-of groups; ranges and ranks are tables. Infinite values stand at the ends and are counted only.
+A first scan takes counts, ends and a mergeable quantile sketch of every column, whose error bound
+brackets each wanted quantile between two values. Each further pass cuts the open range of every wanted
+rank into equal steps, counts the rows per step on the map side, and keeps the one step that holds the
+rank. What lies below and above a bracket is counted too, so the pass proves the rank, and a bracket that
+failed only costs another pass. A step shrinks to the smallest and largest value really inside it, so
+ties, outliers and hot values end the search early instead of growing a task.
+
+There is one way for every size of table. Columns without groups follow from parameters: their ranges are
+literals of the plan, and a pass is one job that hands the driver a bounded number of counters. Groups
+come from the data: their ranges are tables, persisted from pass to pass. Infinite values stand at the
+ends and are counted only.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripkit.session import materialize
-
-STEPS = 4096
+#: Equal steps of a range: of groups, where they stay in the cluster, and of literals, whose counters go to the driver.
+STEPS, LITERAL_STEPS = 4096, 1024
+#: Size of the sketches, and the share of rows by which a bracket reaches beyond its quantile: twice the error that
+#: sketches of that size exceed once in a hundred times.
+SKETCH, REACH = 1000, 0.006
 
 
 @dataclass(frozen=True)
@@ -63,17 +72,37 @@ def _long_form(df: DataFrame, columns: Sequence[str], by: Sequence[str], integra
     return tall.where(_is_finite(F.col("_val"), integral))
 
 
-def ranges_table(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Per group and column that has values: n, neg and pos infinite ones, lo and hi of the finite ones."""
+def _summary(c: str, integral: bool) -> list[Column]:
+    """n, neg and pos infinite values, lo and hi of the finite ones of a column, as aggregates."""
+    value = _plain(c, integral)
+    finite = F.when(_is_finite(value, integral), value)
+    infinite = [F.lit(0).cast("bigint")] * 2 if integral else [F.count_if(value == s * float("inf")) for s in (-1, 1)]
+    return [F.count(value).alias("n"), infinite[0].alias("neg"), infinite[1].alias("pos"), F.min(finite).alias("lo"), F.max(finite).alias("hi")]
+
+
+def _brackets(c: str, integral: bool, probabilities: Sequence[float]) -> Column:
+    """Two values per probability between which a sketch of the finite values has the quantile, one after the other, as an aggregate."""
+    value = _plain(c, integral)
+    finite = F.when(_is_finite(value, integral), value)
+    kind = "bigint" if integral else "double"
+    sketch = getattr(F, f"kll_sketch_agg_{kind}")(finite, F.lit(SKETCH))
+    quantile = getattr(F, f"kll_sketch_get_quantile_{kind}")
+    ends = [min(max(p + s * REACH, 0.0), 1.0) for p in probabilities for s in (-1, 1)]
+    found = quantile(sketch, F.array(*map(F.lit, ends)))
+    # among few values neighbouring ranks lie further apart than the reach
+    wide = F.flatten(F.array_repeat(F.array(F.min(finite), F.max(finite)), len(probabilities)))
+    return F.when(F.count(finite) > int(2 / REACH), found).when(F.count(finite) > 0, wide)
+
+
+def ranges_table(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), probabilities: Sequence[float] = ()) -> DataFrame:
+    """Per group and column that has values: n, neg and pos infinite ones, lo and hi of the finite ones.
+
+    With ``probabilities`` also ``brackets``, in their order.
+    """
     integral = _all_integral(df, columns)
     keys = [F.col(c).alias(k) for c, k in zip(by, _key_names(by))]
-    parts = []
-    for c in columns:
-        value = _plain(c, integral)
-        finite = F.when(_is_finite(value, integral), value)
-        infinite = [F.lit(0).cast("bigint")] * 2 if integral else [F.count_if(value == s * float("inf")) for s in (-1, 1)]
-        parts.append(F.struct(F.lit(c).alias("_col"), F.count(value).alias("n"), infinite[0].alias("neg"), infinite[1].alias("pos"),
-                              F.min(finite).alias("lo"), F.max(finite).alias("hi")))
+    more = [lambda c: _brackets(c, integral, probabilities).alias("brackets")] if probabilities else []
+    parts = [F.struct(F.lit(c).alias("_col"), *_summary(c, integral), *(m(c) for m in more)) for c in columns]
     rows = df.groupBy(*keys).agg(F.array(*parts).alias("_parts"))
     return rows.select(*_key_names(by)[:-1], F.inline("_parts")).where("n > 0")
 
@@ -108,7 +137,11 @@ def _step_number(integral: bool) -> Column:
 
 
 def ranked_table(df: DataFrame, columns: Sequence[str], wanted: DataFrame, ranges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """(keys, _col, _rank, value, below, equal) for each zero-based rank of ``wanted`` (keys, _col, _rank)."""
+    """(keys, _col, _rank, value, below, equal) for each zero-based rank of ``wanted`` (keys, _col, _rank).
+
+    ``wanted`` may bring a bracket (_from, _to) of its rank. The result is persisted; it is small beside ``df``.
+    """
+    bracketed = "_from" in wanted.columns
     keys, integral = _key_names(by), _all_integral(df, columns)
     kind = "bigint" if integral else "double"
     spans, same = _on(wanted, ranges, keys)
@@ -119,32 +152,110 @@ def ranked_table(df: DataFrame, columns: Sequence[str], wanted: DataFrame, range
         " WHEN _rank >= n - pos THEN named_struct('value', double('Infinity'), 'below', n - pos, 'equal', pos) END").alias("_end"))
     done = [] if integral else [ended.where("_end IS NOT NULL").select(*keys, "_rank", "_end.*").select(*keys, *result)]
     left = at.where("_rank >= neg AND _rank < n - pos").select(
-        *keys, "_rank", F.col("lo").alias("_lo"), F.col("hi").alias("_hi"), F.col("neg").alias("_base"),
-        (F.col("n") - F.col("neg") - F.col("pos")).alias("_inside"))
+        *keys, "_rank", *([F.col("_from").alias("_lo"), F.col("_to").alias("_hi")] if bracketed else [F.col("lo").alias("_lo"), F.col("hi").alias("_hi")]),
+        F.col("neg").alias("_base"), (F.col("n") - F.col("neg") - F.col("pos")).alias("_inside"),
+        (F.col("_from").eqNullSafe(F.col("lo")) & F.col("_to").eqNullSafe(F.col("hi")) if bracketed else F.lit(True)).alias("_sure"))
     while True:
-        left = materialize(left)
-        done.append(left.where("_lo = _hi").select(*keys, "_rank", F.col("_lo").alias("value"), F.col("_base").alias("below"),
-                                                   F.col("_inside").alias("equal")))
-        left = left.where("_lo < _hi")
+        left = left.persist()
+        done.append(left.where("_sure AND _lo = _hi").select(*keys, "_rank", F.col("_lo").alias("value"), F.col("_base").alias("below"),
+                                                             F.col("_inside").alias("equal")))
+        left = left.where("NOT _sure OR _lo < _hi")
         open_columns = {r["_col"] for r in left.select("_col").distinct().collect()}
         if not open_columns:
             return reduce(DataFrame.unionByName, done)
         # only columns that still have an open range are read again
         tall = _long_form(df, [c for c in columns if c in open_columns], by, integral)
-        spans, same = _on(tall, left.select(*keys, "_lo", "_hi", "_base").distinct(), keys)
+        spans, same = _on(tall, left.select(*keys, "_lo", "_hi", "_base", "_sure").distinct(), keys)
+        # of a bracket that is not proven yet, what lies below and above are steps too
+        step = F.when(F.col("_val") < F.col("_lo"), -1).when(F.col("_val") > F.col("_hi"), STEPS + 2).otherwise(_step_number(integral))
         counts = (
-            tall.join(spans, same & F.col("_val").between(F.col("_lo"), F.col("_hi")))
-            .groupBy(*keys, "_lo", "_base", _step_number(integral).alias("_step"))
+            tall.join(spans, same & (~F.col("_sure") | F.col("_val").between(F.col("_lo"), F.col("_hi"))))
+            .groupBy(*keys, "_lo", "_hi", "_base", step.alias("_step"))
             .agg(F.count(F.lit(1)).alias("_rows"), F.min("_val").alias("_from"), F.max("_val").alias("_to"))
         )
-        # at most STEPS + 1 rows per open range
-        upto = Window.partitionBy(*keys, "_lo").orderBy("_step").rowsBetween(Window.unboundedPreceding, 0)
+        # at most STEPS + 3 rows per open range
+        upto = Window.partitionBy(*keys, "_lo", "_hi").orderBy("_step").rowsBetween(Window.unboundedPreceding, 0)
         before = counts.withColumn("_before", F.col("_base") + F.sum("_rows").over(upto) - F.col("_rows"))
-        ranks, same = _on(before, left.select(*keys, F.col("_lo").alias("_at"), "_rank"), keys)
-        left = before.join(ranks, same & (F.col("_lo") == F.col("_at")) & (F.col("_rank") >= F.col("_before"))
+        ranks, same = _on(before, left.select(*keys, F.col("_lo").alias("_at"), F.col("_hi").alias("_end"), "_rank"), keys)
+        left = before.join(ranks, same & (F.col("_lo") == F.col("_at")) & (F.col("_hi") == F.col("_end")) & (F.col("_rank") >= F.col("_before"))
                            & (F.col("_rank") < F.col("_before") + F.col("_rows"))).select(
             *keys, "_rank", F.col("_from").alias("_lo"), F.col("_to").alias("_hi"), F.col("_before").alias("_base"),
-            F.col("_rows").alias("_inside"))
+            F.col("_rows").alias("_inside"), F.lit(True).alias("_sure"))
+
+
+@dataclass(frozen=True)
+class _Open:
+    """A range that holds wanted ranks of a column; ``inside`` rows once that is proven."""
+
+    column: str
+    lo: Any
+    hi: Any
+    base: int
+    inside: int | None
+    ranks: tuple[int, ...]
+
+
+def _literal_step(o: _Open, integral: bool) -> Column:
+    """Number of the step that holds a row's value, null outside of a proven range; monotone."""
+    value, n = _plain(o.column, integral), LITERAL_STEPS
+    if integral:
+        width = _towards_zero(o.hi, n) - _towards_zero(o.lo, n) + 1
+        step = F.expr(f"CAST(`{o.column}` AS BIGINT) DIV {width}L") - F.lit(_towards_zero(o.lo, width))
+    else:
+        width = o.hi / n - o.lo / n
+        if width > 0 and o.hi - o.lo < float("inf"):
+            step = F.floor((value - F.lit(o.lo)) / F.lit(width))
+        elif width > 0:  # differences beyond the largest double are halved first
+            step = F.floor((value / 2.0 - F.lit(o.lo / 2.0)) / F.lit(width / 2.0))
+        else:
+            step = (value > F.lit(o.lo)).cast("bigint")
+    below, above = value < F.lit(o.lo), value > F.lit(o.hi)
+    if o.inside is None:
+        return F.when(below, F.lit(-1)).when(above, F.lit(n + 2)).when(_is_finite(value, integral), step)
+    return F.when(~below & ~above, step)
+
+
+def _towards_zero(a: int, b: int) -> int:
+    return abs(a) // b * (1 if a >= 0 else -1)
+
+
+def _literal_ranks(df: DataFrame, open_ranges: Iterable[_Open], integral: bool) -> dict[tuple[str, int], Found]:
+    """Narrows ranges of columns, whose number follows from parameters, until each is one value."""
+    found: dict[tuple[str, int], Found] = {}
+    todo = list(open_ranges)
+    while True:
+        for o in todo:
+            if o.inside is not None and o.lo == o.hi:
+                found.update({(o.column, rank): Found(o.lo, o.base, o.inside) for rank in o.ranks})
+        todo = [o for o in todo if o.inside is None or o.lo != o.hi]
+        if not todo:
+            return found
+        cells = [F.struct(F.lit(k).alias("range"), _literal_step(o, integral).cast("bigint").alias("step"), _plain(o.column, integral).alias("value"))
+                 for k, o in enumerate(todo)]
+        counts = (df.select(F.inline(F.array(*cells))).where(F.col("step").isNotNull() & _is_finite(F.col("value"), integral)).groupBy("range", "step")
+                  .agg(F.count(F.lit(1)).alias("rows"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+                  .toArrow().sort_by([("range", "ascending"), ("step", "ascending")]))  # LITERAL_STEPS + 3 rows per range at most
+        number, rows = (np.asarray(counts.column(c)) for c in ("range", "rows"))
+        ends = [counts.column(c).to_pylist() for c in ("lo", "hi")]
+        limits, before = np.searchsorted(number, np.arange(len(todo) + 1)), todo
+        todo = []
+        for k, o in enumerate(before):
+            upto = o.base + np.cumsum(rows[limits[k] : limits[k + 1]])
+            held: dict[int, list[int]] = {}
+            for rank in o.ranks:
+                held.setdefault(int(np.searchsorted(upto, rank, "right")), []).append(rank)
+            for at, ranks in held.items():
+                row = int(limits[k]) + at
+                todo.append(_Open(o.column, ends[0][row], ends[1][row], int(upto[at] - rows[row]), int(rows[row]), tuple(ranks)))
+
+
+def _ended(rank: int, span: dict) -> Found | None:
+    """A rank that an infinite value holds."""
+    if rank < span["neg"]:
+        return Found(-float("inf"), 0, span["neg"])
+    if rank >= span["n"] - span["pos"]:
+        return Found(float("inf"), span["n"] - span["pos"], span["pos"])
+    return None
 
 
 def select_ranks(
@@ -158,6 +269,12 @@ def select_ranks(
     targets = [(*key, rank) for key, ranks in wanted.items() for rank in sorted(set(ranks))]
     if not targets:
         return {}
+    if not by:
+        ended = {((c,), rank): end for c, rank in targets if (end := _ended(rank, ranges[(c,)]))}
+        spans = {c: ranges[(c,)] for c, _ in targets}
+        inner = {c: tuple(rank for own, rank in targets if own == c and ((c,), rank) not in ended) for c in spans}
+        todo = [_Open(c, r["lo"], r["hi"], r["neg"], r["n"] - r["neg"] - r["pos"], inner[c]) for c, r in spans.items() if inner[c]]
+        return ended | {((c,), rank): f for (c, rank), f in _literal_ranks(df, todo, _all_integral(df, columns)).items()}
     keys = _key_names(by)
     spark = df.sparkSession
     fields = [T.StructField(k, df.schema[c].dataType) for k, c in zip(keys, by)] + [T.StructField("_col", T.StringType())]
@@ -170,15 +287,16 @@ def select_ranks(
             for r in ranked_table(df, columns, wanted_table, range_table, by).collect()}
 
 
-def quantile_table(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], by: Sequence[str] = (),
-                   ranges: DataFrame | None = None) -> DataFrame:
+def quantile_table(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], by: Sequence[str]) -> DataFrame:
     """(keys, _col, _q): linearly interpolated quantiles of the non-null values, per group and column."""
     keys = _key_names(by)
-    ranges = materialize(ranges_table(df, columns, by) if ranges is None else ranges)
-    places = ranges.select(*keys, F.posexplode(F.array(*[F.lit(float(p)) * (F.col("n") - 1) for p in probabilities])).alias("_i", "_at"))
-    ends = places.select(*keys, "_i", "_at", F.floor("_at").alias("_low"), F.ceil("_at").alias("_high"))
-    wanted = ends.select(*keys, F.explode(F.array("_low", "_high")).alias("_rank")).distinct()
-    found = materialize(ranked_table(df, columns, wanted, ranges, by).select(*keys, "_rank", F.col("value").cast("double").alias("value")))
+    ranges = ranges_table(df, columns, by, probabilities).persist()
+    places = ranges.select(*keys, F.posexplode(F.array(*[F.lit(float(p)) * (F.col("n") - 1) for p in probabilities])).alias("_i", "_at"), "brackets")
+    bracket = [F.get("brackets", 2 * F.col("_i") + k).alias(name) for k, name in enumerate(("_from", "_to"))]
+    ends = places.select(*keys, "_i", "_at", F.floor("_at").alias("_low"), F.ceil("_at").alias("_high"), *bracket)
+    wanted = ends.select(*keys, F.explode(F.array("_low", "_high")).alias("_rank"), "_from", "_to").groupBy(*keys, "_rank").agg(
+        F.min("_from").alias("_from"), F.max("_to").alias("_to"))
+    found = ranked_table(df, columns, wanted, ranges, by).select(*keys, "_rank", F.col("value").cast("double").alias("value"))
     for end in ("_low", "_high"):
         values, same = _on(ends, found.withColumnsRenamed({"_rank": f"{end}_rank", "value": f"{end}_value"}), keys)
         ends = ends.join(values, same & (F.col(end) == F.col(f"{end}_rank"))).drop(*[f"_t{k}" for k in keys])
@@ -187,15 +305,41 @@ def quantile_table(df: DataFrame, columns: Sequence[str], probabilities: Sequenc
     return ends.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("_i", value.alias("_v")))), lambda s: s["_v"]).alias("_q"))
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], by: Sequence[str] = (),
-                    ranges: DataFrame | None = None) -> dict[tuple, list[float] | None]:
-    """``quantile_table`` on the driver, keyed (group..., column); for groups that are known to be few."""
-    result: dict[tuple, list[float] | None] = {} if by else {(c,): None for c in columns}
+def scan_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], more: Sequence[Column] = ()) -> tuple[dict[str, list[float] | None], Row]:
+    """Linearly interpolated quantiles of each column, and a row of other aggregates taken in the first scan."""
+    integral = _all_integral(df, columns)
+    parts = [F.struct(*_summary(c, integral), _brackets(c, integral, probabilities).alias("brackets")).alias(f"_s{k}") for k, c in enumerate(columns)]
+    row = df.agg(*parts, *more).first()
+    places, found, todo = {}, {}, []
+    for k, c in enumerate(columns):
+        span = row[f"_s{k}"].asDict()
+        if not span["n"]:
+            continue
+        places[c] = [float(p) * (span["n"] - 1) for p in probabilities]
+        for i, at in enumerate(places[c]):
+            ranks = {math.floor(at), math.ceil(at)}
+            ended = {(c, r): end for r in ranks if (end := _ended(r, span))}
+            found |= ended
+            inner = tuple(r for r in ranks if (c, r) not in ended)
+            if inner:
+                lo, hi = span["brackets"][2 * i : 2 * i + 2]
+                proven = (lo, hi) == (span["lo"], span["hi"])
+                todo.append(_Open(c, lo, hi, span["neg"], span["n"] - span["neg"] - span["pos"] if proven else None, inner))
+    found |= _literal_ranks(df, todo, integral)
+    result: dict[str, list[float] | None] = dict.fromkeys(columns)
+    for c, own in places.items():
+        ends = [(float(found[c, math.floor(at)].value), float(found[c, math.ceil(at)].value), at - math.floor(at)) for at in own]
+        result[c] = [low if low == high else low + (high - low) * share for low, high, share in ends]
+    return result, row
+
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], by: Sequence[str] = ()) -> dict[tuple, list[float] | None]:
+    """Quantiles on the driver, keyed (group..., column); groups must be known to be few."""
+    if not by:
+        return {(c,): q for c, q in scan_quantiles(df, columns, probabilities)[0].items()}
     keys = _key_names(by)
-    result.update({tuple(r[k] for k in keys): list(r["_q"]) for r in quantile_table(df, columns, probabilities, by, ranges).collect()})
-    return result
+    return {tuple(r[k] for k in keys): list(r["_q"]) for r in quantile_table(df, columns, probabilities, by).collect()}
 
 
 def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
-    quantiles = exact_quantiles(df, columns, [0.5])
-    return {c: quantiles[(c,)][0] if quantiles[(c,)] else None for c in columns}
+    return {c: q and q[0] for c, q in scan_quantiles(df, columns, [0.5])[0].items()}

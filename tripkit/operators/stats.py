@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripkit.functions.geo import hex_cell
-from tripkit.operators.selection import exact_quantiles, quantile_table
+from tripkit.operators.selection import quantile_table, scan_quantiles
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -63,12 +63,11 @@ def describe(
     columns = list(columns or numeric_columns(df))
     moments = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
     plain = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in columns}
-    row = df.agg(*[
+    quartiles, row = scan_quantiles(df, columns, [0.25, 0.5, 0.75], [
         fn(plain[c]).alias(f"{c}|{name}") for c in columns for name, fn in moments.items()
-    ]).first()
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
+    ])
     rows = [
-        (c, *[row[f"{c}|{n}"] for n in ("count", "mean", "std", "min")], *(quartiles[(c,)] or [None] * 3), row[f"{c}|max"])
+        (c, *[row[f"{c}|{n}"] for n in ("count", "mean", "std", "min")], *(quartiles[c] or [None] * 3), row[f"{c}|max"])
         for c in columns
     ]
     doubles = ["mean", "std", "min", "p25", "p50", "p75", "max"]
