@@ -7,10 +7,9 @@ rank. What lies below and above a bracket is counted too, so the pass proves the
 failed only costs another pass. A step shrinks to the smallest and largest value really inside it, so
 ties, outliers and hot values end the search early instead of growing a task.
 
-There is one way for every size of table. Columns without groups follow from parameters: their ranges are
-literals of the plan, and a pass is one job that hands the driver a bounded number of counters. Groups
-come from the data: their ranges are tables, persisted from pass to pass. Infinite values stand at the
-ends and are counted only.
+There is one way for every size of table. Columns without groups follow from parameters: the driver holds
+their ranges, and a pass is one job that hands it a bounded number of counters. Groups come from the data:
+their ranges are tables, persisted from pass to pass. Infinite values stand at the ends and are counted only.
 """
 
 from __future__ import annotations
@@ -26,8 +25,8 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Equal steps of a range: of groups, where they stay in the cluster, and of literals, whose counters go to the driver.
-STEPS, LITERAL_STEPS = 4096, 1024
+#: Equal steps of a range.
+STEPS = 2048
 #: Size of the sketches, and the share of rows by which a bracket reaches beyond its quantile: twice the error that
 #: sketches of that size exceed once in a hundred times.
 SKETCH, REACH = 1000, 0.006
@@ -62,36 +61,35 @@ def _is_finite(value: Column, integral: bool) -> Column:
 
 
 def _long_form(df: DataFrame, columns: Sequence[str], by: Sequence[str], integral: bool) -> DataFrame:
-    """One row per group key, column name and finite value, as bigint if all columns are."""
+    """One row per group key, column name and known value, as bigint if all columns are."""
     keys = [F.col(c).alias(k) for c, k in zip(by, _key_names(by))]
     if len(columns) == 1:
         tall = df.select(*keys, F.lit(columns[0]).alias("_col"), _plain(columns[0], integral).alias("_val"))
     else:
         pairs = [F.struct(F.lit(c).alias("_col"), _plain(c, integral).alias("_val")) for c in columns]
         tall = df.select(*keys, F.inline(F.array(*pairs)))
-    return tall.where(_is_finite(F.col("_val"), integral))
+    return tall.where("_val IS NOT NULL")
 
 
-def _summary(c: str, integral: bool) -> list[Column]:
-    """n, neg and pos infinite values, lo and hi of the finite ones of a column, as aggregates."""
-    value = _plain(c, integral)
-    finite = F.when(_is_finite(value, integral), value)
-    infinite = [F.lit(0).cast("bigint")] * 2 if integral else [F.count_if(value == s * float("inf")) for s in (-1, 1)]
-    return [F.count(value).alias("n"), infinite[0].alias("neg"), infinite[1].alias("pos"), F.min(finite).alias("lo"), F.max(finite).alias("hi")]
+def _summary(integral: bool, probabilities: Sequence[float] = ()) -> list[Column]:
+    """n, neg and pos infinite values, lo and hi of the finite ones of _val, as aggregates.
 
-
-def _brackets(c: str, integral: bool, probabilities: Sequence[float]) -> Column:
-    """Two values per probability between which a sketch of the finite values has the quantile, one after the other, as an aggregate."""
-    value = _plain(c, integral)
+    With ``probabilities`` also ``brackets``: two values for each, one after the other, between which a
+    sketch of the finite values has the quantile.
+    """
+    value = F.col("_val")
     finite = F.when(_is_finite(value, integral), value)
-    kind = "bigint" if integral else "double"
-    sketch = getattr(F, f"kll_sketch_agg_{kind}")(finite, F.lit(SKETCH))
-    quantile = getattr(F, f"kll_sketch_get_quantile_{kind}")
-    ends = [min(max(p + s * REACH, 0.0), 1.0) for p in probabilities for s in (-1, 1)]
-    found = quantile(sketch, F.array(*map(F.lit, ends)))
-    # among few values neighbouring ranks lie further apart than the reach
-    wide = F.flatten(F.array_repeat(F.array(F.min(finite), F.max(finite)), len(probabilities)))
-    return F.when(F.count(finite) > int(2 / REACH), found).when(F.count(finite) > 0, wide)
+    infinite = [F.lit(0).cast("bigint")] * 2 if integral else [F.count_if(value == s * float("inf")) for s in (-1, 1)]
+    found = [F.count(value).alias("n"), infinite[0].alias("neg"), infinite[1].alias("pos"), F.min(finite).alias("lo"), F.max(finite).alias("hi")]
+    if probabilities:
+        kind = "bigint" if integral else "double"
+        sketch = getattr(F, f"kll_sketch_agg_{kind}")(finite, F.lit(SKETCH))
+        ends = F.array(*(F.lit(min(max(p + s * REACH, 0.0), 1.0)) for p in probabilities for s in (-1, 1)))
+        between = getattr(F, f"kll_sketch_get_quantile_{kind}")(sketch, ends)
+        # among few values neighbouring ranks lie further apart than the reach
+        wide = F.flatten(F.array_repeat(F.array(F.min(finite), F.max(finite)), len(probabilities)))
+        found.append(F.when(F.count(finite) > int(2 / REACH), between).when(F.count(finite) > 0, wide).alias("brackets"))
+    return found
 
 
 def ranges_table(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), probabilities: Sequence[float] = ()) -> DataFrame:
@@ -100,11 +98,7 @@ def ranges_table(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (),
     With ``probabilities`` also ``brackets``, in their order.
     """
     integral = _all_integral(df, columns)
-    keys = [F.col(c).alias(k) for c, k in zip(by, _key_names(by))]
-    more = [lambda c: _brackets(c, integral, probabilities).alias("brackets")] if probabilities else []
-    parts = [F.struct(F.lit(c).alias("_col"), *_summary(c, integral), *(m(c) for m in more)) for c in columns]
-    rows = df.groupBy(*keys).agg(F.array(*parts).alias("_parts"))
-    return rows.select(*_key_names(by)[:-1], F.inline("_parts")).where("n > 0")
+    return _long_form(df, columns, by, integral).groupBy(*_key_names(by)).agg(*_summary(integral, probabilities))
 
 
 def group_ranges(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> dict[tuple, dict]:
@@ -136,6 +130,11 @@ def _step_number(integral: bool) -> Column:
     return F.coalesce(position, (F.col("_val") > F.col("_lo")).cast("bigint"))
 
 
+def _step(integral: bool) -> Column:
+    """The step, or one before or behind all of them for a value outside of its range."""
+    return F.when(F.col("_val") < F.col("_lo"), -1).when(F.col("_val") > F.col("_hi"), STEPS + 2).otherwise(_step_number(integral))
+
+
 def ranked_table(df: DataFrame, columns: Sequence[str], wanted: DataFrame, ranges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """(keys, _col, _rank, value, below, equal) for each zero-based rank of ``wanted`` (keys, _col, _rank).
 
@@ -164,13 +163,12 @@ def ranked_table(df: DataFrame, columns: Sequence[str], wanted: DataFrame, range
         if not open_columns:
             return reduce(DataFrame.unionByName, done)
         # only columns that still have an open range are read again
-        tall = _long_form(df, [c for c in columns if c in open_columns], by, integral)
+        tall = _long_form(df, [c for c in columns if c in open_columns], by, integral).where(_is_finite(F.col("_val"), integral))
         spans, same = _on(tall, left.select(*keys, "_lo", "_hi", "_base", "_sure").distinct(), keys)
         # of a bracket that is not proven yet, what lies below and above are steps too
-        step = F.when(F.col("_val") < F.col("_lo"), -1).when(F.col("_val") > F.col("_hi"), STEPS + 2).otherwise(_step_number(integral))
         counts = (
             tall.join(spans, same & (~F.col("_sure") | F.col("_val").between(F.col("_lo"), F.col("_hi"))))
-            .groupBy(*keys, "_lo", "_hi", "_base", step.alias("_step"))
+            .groupBy(*keys, "_lo", "_hi", "_base", _step(integral).alias("_step"))
             .agg(F.count(F.lit(1)).alias("_rows"), F.min("_val").alias("_from"), F.max("_val").alias("_to"))
         )
         # at most STEPS + 3 rows per open range
@@ -195,32 +193,9 @@ class _Open:
     ranks: tuple[int, ...]
 
 
-def _literal_step(o: _Open, integral: bool) -> Column:
-    """Number of the step that holds a row's value, null outside of a proven range; monotone."""
-    value, n = _plain(o.column, integral), LITERAL_STEPS
-    if integral:
-        width = _towards_zero(o.hi, n) - _towards_zero(o.lo, n) + 1
-        step = F.expr(f"CAST(`{o.column}` AS BIGINT) DIV {width}L") - F.lit(_towards_zero(o.lo, width))
-    else:
-        width = o.hi / n - o.lo / n
-        if width > 0 and o.hi - o.lo < float("inf"):
-            step = F.floor((value - F.lit(o.lo)) / F.lit(width))
-        elif width > 0:  # differences beyond the largest double are halved first
-            step = F.floor((value / 2.0 - F.lit(o.lo / 2.0)) / F.lit(width / 2.0))
-        else:
-            step = (value > F.lit(o.lo)).cast("bigint")
-    below, above = value < F.lit(o.lo), value > F.lit(o.hi)
-    if o.inside is None:
-        return F.when(below, F.lit(-1)).when(above, F.lit(n + 2)).when(_is_finite(value, integral), step)
-    return F.when(~below & ~above, step)
-
-
-def _towards_zero(a: int, b: int) -> int:
-    return abs(a) // b * (1 if a >= 0 else -1)
-
-
-def _literal_ranks(df: DataFrame, open_ranges: Iterable[_Open], integral: bool) -> dict[tuple[str, int], Found]:
+def _narrowed(df: DataFrame, open_ranges: Iterable[_Open], integral: bool) -> dict[tuple[str, int], Found]:
     """Narrows ranges of columns, whose number follows from parameters, until each is one value."""
+    kind = "bigint" if integral else "double"
     found: dict[tuple[str, int], Found] = {}
     todo = list(open_ranges)
     while True:
@@ -230,12 +205,15 @@ def _literal_ranks(df: DataFrame, open_ranges: Iterable[_Open], integral: bool)
         todo = [o for o in todo if o.inside is None or o.lo != o.hi]
         if not todo:
             return found
-        cells = [F.struct(F.lit(k).alias("range"), _literal_step(o, integral).cast("bigint").alias("step"), _plain(o.column, integral).alias("value"))
-                 for k, o in enumerate(todo)]
-        counts = (df.select(F.inline(F.array(*cells))).where(F.col("step").isNotNull() & _is_finite(F.col("value"), integral)).groupBy("range", "step")
-                  .agg(F.count(F.lit(1)).alias("rows"), F.min("value").alias("lo"), F.max("value").alias("hi"))
-                  .toArrow().sort_by([("range", "ascending"), ("step", "ascending")]))  # LITERAL_STEPS + 3 rows per range at most
-        number, rows = (np.asarray(counts.column(c)) for c in ("range", "rows"))
+        spans = df.sparkSession.createDataFrame([(k, o.column, o.lo, o.hi, o.inside is not None) for k, o in enumerate(todo)],
+                                                f"_range int, _of string, _lo {kind}, _hi {kind}, _sure boolean")
+        tall = _long_form(df, sorted({o.column for o in todo}), (), integral).where(_is_finite(F.col("_val"), integral))
+        here = (F.col("_col") == F.col("_of")) & (~F.col("_sure") | F.col("_val").between(F.col("_lo"), F.col("_hi")))
+        # a row per range, and STEPS + 3 rows per range at most to the driver
+        counts = (tall.join(F.broadcast(spans), here).groupBy("_range", _step(integral).alias("_step"))
+                  .agg(F.count(F.lit(1)).alias("rows"), F.min("_val").alias("lo"), F.max("_val").alias("hi"))
+                  .toArrow().sort_by([("_range", "ascending"), ("_step", "ascending")]))
+        number, rows = (np.asarray(counts.column(c)) for c in ("_range", "rows"))
         ends = [counts.column(c).to_pylist() for c in ("lo", "hi")]
         limits, before = np.searchsorted(number, np.arange(len(todo) + 1)), todo
         todo = []
@@ -249,7 +227,7 @@ def _literal_ranks(df: DataFrame, open_ranges: Iterable[_Open], integral: bool)
                 todo.append(_Open(o.column, ends[0][row], ends[1][row], int(upto[at] - rows[row]), int(rows[row]), tuple(ranks)))
 
 
-def _ended(rank: int, span: dict) -> Found | None:
+def _ended(rank: int, span: dict | Row) -> Found | None:
     """A rank that an infinite value holds."""
     if rank < span["neg"]:
         return Found(-float("inf"), 0, span["neg"])
@@ -274,7 +252,7 @@ def select_ranks(
         spans = {c: ranges[(c,)] for c, _ in targets}
         inner = {c: tuple(rank for own, rank in targets if own == c and ((c,), rank) not in ended) for c in spans}
         todo = [_Open(c, r["lo"], r["hi"], r["neg"], r["n"] - r["neg"] - r["pos"], inner[c]) for c, r in spans.items() if inner[c]]
-        return ended | {((c,), rank): f for (c, rank), f in _literal_ranks(df, todo, _all_integral(df, columns)).items()}
+        return ended | {((c,), rank): f for (c, rank), f in _narrowed(df, todo, _all_integral(df, columns)).items()}
     keys = _key_names(by)
     spark = df.sparkSession
     fields = [T.StructField(k, df.schema[c].dataType) for k, c in zip(keys, by)] + [T.StructField("_col", T.StringType())]
@@ -305,16 +283,13 @@ def quantile_table(df: DataFrame, columns: Sequence[str], probabilities: Sequenc
     return ends.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("_i", value.alias("_v")))), lambda s: s["_v"]).alias("_q"))
 
 
-def scan_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], more: Sequence[Column] = ()) -> tuple[dict[str, list[float] | None], Row]:
-    """Linearly interpolated quantiles of each column, and a row of other aggregates taken in the first scan."""
+def scan_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float],
+                   more: Sequence[Column] = ()) -> tuple[dict[str, list[float] | None], dict[str, Row]]:
+    """Linearly interpolated quantiles of each column, and the row of its first scan: ``more`` aggregates of _val among others."""
     integral = _all_integral(df, columns)
-    parts = [F.struct(*_summary(c, integral), _brackets(c, integral, probabilities).alias("brackets")).alias(f"_s{k}") for k, c in enumerate(columns)]
-    row = df.agg(*parts, *more).first()
+    scanned = {r["_col"]: r for r in _long_form(df, columns, (), integral).groupBy("_col").agg(*_summary(integral, probabilities), *more).collect()}
     places, found, todo = {}, {}, []
-    for k, c in enumerate(columns):
-        span = row[f"_s{k}"].asDict()
-        if not span["n"]:
-            continue
+    for c, span in scanned.items():
         places[c] = [float(p) * (span["n"] - 1) for p in probabilities]
         for i, at in enumerate(places[c]):
             ranks = {math.floor(at), math.ceil(at)}
@@ -325,12 +300,12 @@ def scan_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequenc
                 lo, hi = span["brackets"][2 * i : 2 * i + 2]
                 proven = (lo, hi) == (span["lo"], span["hi"])
                 todo.append(_Open(c, lo, hi, span["neg"], span["n"] - span["neg"] - span["pos"] if proven else None, inner))
-    found |= _literal_ranks(df, todo, integral)
+    found |= _narrowed(df, todo, integral)
     result: dict[str, list[float] | None] = dict.fromkeys(columns)
     for c, own in places.items():
         ends = [(float(found[c, math.floor(at)].value), float(found[c, math.ceil(at)].value), at - math.floor(at)) for at in own]
         result[c] = [low if low == high else low + (high - low) * share for low, high, share in ends]
-    return result, row
+    return result, scanned
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], by: Sequence[str] = ()) -> dict[tuple, list[float] | None]:

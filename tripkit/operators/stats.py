@@ -61,15 +61,12 @@ def describe(
 ) -> DataFrame:
     """Count, mean, sample std, min, exact quartiles and max per numeric column."""
     columns = list(columns or numeric_columns(df))
-    moments = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
-    plain = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in columns}
-    quartiles, row = scan_quantiles(df, columns, [0.25, 0.5, 0.75], [
-        fn(plain[c]).alias(f"{c}|{name}") for c in columns for name, fn in moments.items()
-    ])
-    rows = [
-        (c, *[row[f"{c}|{n}"] for n in ("count", "mean", "std", "min")], *(quartiles[c] or [None] * 3), row[f"{c}|max"])
-        for c in columns
-    ]
+    moments = [f("_val").cast("double").alias(name) for name, f in (("mean", F.avg), ("std", F.stddev_samp), ("min", F.min), ("max", F.max))]
+    quartiles, scanned = scan_quantiles(df, columns, [0.25, 0.5, 0.75], moments)
+    rows = []
+    for c in columns:
+        row = scanned[c].asDict() if c in scanned else {}
+        rows.append((c, row.get("n", 0), *(row.get(n) for n in ("mean", "std", "min")), *(quartiles[c] or [None] * 3), row.get("max")))
     doubles = ["mean", "std", "min", "p25", "p50", "p75", "max"]
     schema = "column string, count bigint, " + ", ".join(f"{c} double" for c in doubles)
     return df.sparkSession.createDataFrame(rows, schema).select(
