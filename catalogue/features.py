@@ -35,8 +35,7 @@ def geo_features(spark, sf):
 
 
 def grid_cells(spark, sf):
-    known = derived.trips(spark, sf).where(F.col("pickup_lat").isNotNull())
-    return features.add_location_features(known).select("row_ord", *GRID)
+    return features.add_location_features(derived.trips(spark, sf)).select("row_ord", *GRID)
 
 
 def weather_flags(spark, sf):
@@ -101,7 +100,7 @@ QUERIES = {
     "cyclical_features": (cyclical_features, using("trips", f"SELECT row_ord, {CYCLE_COLUMNS} FROM trips")),
     "geo_features": (geo_features, using("trips", f"SELECT row_ord, {GEO_COLUMNS} FROM trips")),
     "great_circle": (great_circle, using("trips", f"SELECT row_ord, {DISTANCE} AS km FROM trips")),
-    "grid_cells": (grid_cells, using("trips", f"SELECT row_ord, {GRID_COLUMNS} FROM trips WHERE pickup_lat IS NOT NULL")),
+    "grid_cells": (grid_cells, using("trips", f"SELECT row_ord, {GRID_COLUMNS} FROM trips")),
     "weather_flags": (weather_flags, using("trips", f"SELECT row_ord, {WEATHER_COLUMNS} {JOIN}", "weather")),
     "weather_bands": (weather_bands, using("weather", f"""
         SELECT CAST(date AS VARCHAR) AS date, {BAND} AS temp_band,

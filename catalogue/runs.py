@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalogue.quality import ROUGH_BAD, RULES, stored_enriched
+from catalogue.profiles import SHAPES
+from catalogue.quality import ROUGH_BAD, RULES
 from catalogue.sql import using
 from tripkit.plans import end_to_end, first_generation, training
-from tripkit.plans.profile import profile, profile_parts
 from tripkit.plans.score import load_scorer
 from tripkit.session import shared_path
 from tripkit.sources import derived, tracking, versions
@@ -57,8 +54,7 @@ def whole_run(spark, sf):
     board = [r["val_rmse"] for r in result.comparison.leaderboard.collect()]
     lowest = min(r.metrics.where("split = 'val'").first()["rmse"] for r in result.comparison.results)
     logged = {(r["stage"], r["key"]): r["value"] for r in tracking.read_metrics(spark, base).collect()}
-    profiled = [n for n in profile_parts(derived.trips(spark, sf).withColumns(
-        {c: F.lit(0.0) for c in ("avg_temp_f", "precipitation", "snow_depth")})) if spark.read.json(f"{base}/profile/run={run}/{n}").columns]
+    profiled = [n for n in SHAPES if spark.read.json(f"{base}/profile/run={run}/{n}").columns]
     facts = {
         **{c: stored[c] for c in ("total_rows", "clean_rows", "quarantine_rows")},
         **{f"n_{s}": n for s, n in result.split_sizes.items()},
@@ -84,14 +80,6 @@ def first_generation_run(spark, sf):
         F.col("validation_report")["total_rows_dropped"].cast("bigint").alias("total_rows_dropped"))
 
 
-def profile_tables(spark, sf):
-    """Every exploratory table of the clean trips, with the number of rows it has."""
-    tables, failures = profile(stored_enriched(spark, sf))
-    counted = [t.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("name"), "n_rows") for n, t in tables.items()]
-    failed = spark.createDataFrame([(n, -1) for n in failures], "name string, n_rows bigint")
-    return reduce(DataFrame.unionByName, [*counted, failed])
-
-
 QUERIES = {
     "batch_run": (batch_run, using("flagged", f"""
         WITH n AS (SELECT count(*) AS n, CAST(ceil(cast(0.2 as double) * count(*)) AS BIGINT) AS n_test FROM clean),
@@ -106,7 +94,6 @@ QUERIES = {
         SELECT 'orders_train_split' AS source_description, n - n_test AS n_rows, CAST(23 AS INTEGER) AS n_columns,
                dropped AS total_rows_dropped FROM s
         UNION ALL SELECT 'orders_test_split', n_test, CAST(23 AS INTEGER), dropped FROM s""")),
-    "profile_tables": (profile_tables, None),
     "whole_run": (whole_run, using("flagged", f"""
         WITH n AS (SELECT count(*) AS n, CAST(ceil(cast(0.2 as double) * count(*)) AS BIGINT) AS n_test FROM clean),
         v AS (SELECT n, n_test, CAST(ceil(cast(0.125 as double) * (n - n_test)) AS BIGINT) AS n_val FROM n)

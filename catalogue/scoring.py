@@ -80,7 +80,7 @@ def request_validation(spark, sf):
 
 
 def request_defaults(spark, sf):
-    filled = scoring.with_defaults(requests(spark, sf).where(F.col("request_ord") % 53 != 0))
+    filled = scoring.with_defaults(requests(spark, sf))
     return filled.select(
         "request_ord", "pickup_datetime", "dropoff_datetime", "passenger_count", "vendor_id", "store_and_fwd_flag",
         "avg_temp_f", "precipitation", "snow_depth")
@@ -160,7 +160,7 @@ def fill_modes(spark, sf):
 
 
 def prediction_log(spark, sf):
-    table = build_features(derived.trips(spark, sf).where(F.col("pickup_lat").isNotNull()))
+    table = build_features(derived.trips(spark, sf))
     return table.select("trip_id", "pickup_datetime", (F.lit(20.0) + F.sqrt("haversine_km")).alias("prediction"))
 
 
@@ -176,9 +176,8 @@ def accuracy(spark, sf):
 ACCURACY = f"""
 first AS (SELECT trip_id, label FROM (SELECT trip_id, eta_minutes AS label,
           row_number() OVER (PARTITION BY trip_id ORDER BY row_ord) AS rn FROM trips) WHERE rn = 1),
-j AS (SELECT t.pickup_datetime, 20 + sqrt({DISTANCE}) - label AS e FROM trips t JOIN first USING (trip_id)
-      WHERE t.pickup_lat IS NOT NULL),
-a AS (SELECT CAST(date_trunc('day', pickup_datetime) AS TIMESTAMP) AS window_start, count(*) AS n_rows,
+j AS (SELECT t.pickup_datetime, 20 + sqrt({DISTANCE}) - label AS e FROM trips t JOIN first USING (trip_id)),
+a AS (SELECT CAST(date_trunc('day', pickup_datetime) AS TIMESTAMP) AS window_start, count(e) AS n_rows,
              round(avg(abs(e)), 6) AS mae, round(sqrt(avg(e * e)), 6) AS rmse, round(avg(e), 6) AS bias
       FROM j GROUP BY 1)"""
 
@@ -277,7 +276,7 @@ QUERIES = {
                coalesce(passenger_count, 1) AS passenger_count, coalesce(vendor_id, 1) AS vendor_id,
                coalesce(store_and_fwd_flag, 'N') AS store_and_fwd_flag, coalesce(avg_temp_f, 0) AS avg_temp_f,
                coalesce(precipitation, 0) AS precipitation, cast(0 as double) AS snow_depth
-        FROM req WHERE request_ord % 53 <> 0""")),
+        FROM req""")),
     "request_weather": (request_weather, using("trips", f"""
         WITH {REQUESTS}
         SELECT request_ord, coalesce(r.avg_temp_f, w.avg_temp_f) AS avg_temp_f,

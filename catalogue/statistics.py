@@ -117,10 +117,10 @@ def edges(df):
     return rounded(df, ["bin_low", "bin_high"])
 
 
-def histogram_sql(value: str, source: str, name: str, bins: int) -> str:
+def histogram_sql(value: str, source: str, name: str, bins: int, digits: int = 6) -> str:
     return f"""
-      SELECT '{name}' AS "column", bin, round(lo + bin * ((hi - lo) / {bins}), 6) AS bin_low,
-             round(lo + (bin + 1) * ((hi - lo) / {bins}), 6) AS bin_high, count(*) AS n_rows
+      SELECT '{name}' AS "column", bin, round(lo + bin * ((hi - lo) / {bins}), {digits}) AS bin_low,
+             round(lo + (bin + 1) * ((hi - lo) / {bins}), {digits}) AS bin_high, count(*) AS n_rows
       FROM (SELECT CAST(least(floor((x - lo) * cast({bins} as double) / (hi - lo)), {bins - 1}) AS INTEGER) AS bin, lo, hi
             FROM (SELECT cast({value} as double) AS x FROM {source} WHERE {value} IS NOT NULL),
                  (SELECT min(cast({value} as double)) AS lo, max(cast({value} as double)) AS hi FROM {source}))

@@ -159,3 +159,44 @@ def test_profile_goes_on_after_a_failing_part(spark, sf_dir):
     tables, failures = profile(trips)
     assert "pickup_density" in failures and "mean_by_hour" in tables
     assert tables["mean_by_weekday"].count() == 7
+
+
+def test_counted_tables_equal_those_of_their_own_scans(spark, sf_dir):
+    from tripkit.functions import time, weather
+    from tripkit.operators import stats
+    from tripkit.plans import profile as plan
+    from tripkit.sources import derived
+
+    trips = derived.trips(spark, sf_dir).withColumns({
+        "avg_temp_f": F.when(F.col("row_ord") % 7 != 0, (F.col("row_ord") % 90).cast("double")), "precipitation": F.lit(0.3), "snow_depth": F.lit(0.0),
+        "eta_minutes": F.when(F.col("row_ord") % 5 != 0, F.col("eta_minutes")).when(F.col("row_ord") % 10 == 0, float("nan"))})
+    tables, failures = profile(trips)
+    assert not failures
+    wide, ts = plan.calendar(trips), F.col("pickup_datetime")
+    plotted = [c for c in plan.PROFILE_NUMERICS if c in wide.columns and c != "is_weekend"]
+    own = {
+        "shape": stats.table_shape(trips), "missing": stats.missing_counts(trips), "target_shape": stats.shape_statistics(trips, ["eta_minutes"]),
+        "target_histogram": stats.histogram(trips, ["eta_minutes"], plan.TARGET_BINS), "target_log_histogram": stats.log_histogram(trips, "eta_minutes", plan.TARGET_BINS),
+        "numeric_histograms": stats.histogram(wide, plotted, plan.NUMERIC_BINS), "value_counts": stats.value_counts(trips, ["vendor_id", "store_and_fwd_flag"]),
+        "distance_target": stats.grid_counts(plan.with_distance(trips).withColumn("is_rush_hour", time.is_rush_hour(ts)), "is_rush_hour", "haversine_km", "eta_minutes", 1.0, 5.0),
+        "mean_by_hour": stats.mean_by(trips, F.hour(ts), "hour", "eta_minutes"), "mean_by_weekday": plan.mean_by_weekday(trips),
+        "mean_by_temperature": plan.mean_by_temperature(trips), "mean_by_rain": stats.mean_by(trips, weather.rain_label(F.col("precipitation")), "rain", "eta_minutes"),
+        "pickup_density": stats.hex_density(trips, "pickup_lon", "pickup_lat", plan.HEX_COLUMNS),
+    }
+
+    def rows(df):
+        return sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in map(tuple, df.collect()))
+
+    for name, table in own.items():
+        assert tables[name].columns == table.columns and str(rows(tables[name])) == str(rows(table)), name
+
+
+def test_a_failing_value_stops_one_counted_table_only(spark):
+    """What fails in the one scan is found by scans of the tables one by one."""
+    from tripkit.plans import profile as plan
+
+    trips = spark.createDataFrame([("x", 5.0), ("1", 7.0)], "code string, eta_minutes double")
+    good, bad = plan.cell("good", x=F.col("eta_minutes")), plan.cell("bad", part=F.expr("CAST(CAST(code AS INT) AS STRING)"))
+    sources, failures = plan.counted_sources(trips, {"good": [good], "bad": [bad], "other": []}, {"other": "good"})
+    assert list(failures) == ["bad"] and sources.keys() == {"good", "other"}
+    assert [(r.family, r.n, r.s1) for r in sources["other"].collect()] == [("good", 2, 12.0)]

@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from itertools import combinations
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -43,11 +44,11 @@ def table_shape(df: DataFrame) -> DataFrame:
 
 def missing_counts(df: DataFrame) -> DataFrame:
     """Nulls and NaN per column, every column in one pass."""
-    row = df.agg(*[F.count_if(_missing(df, c)).alias(f"{c}|n_missing") for c in df.columns])
+    row = df.agg(*[F.count_if(missing(df, c)).alias(f"{c}|n_missing") for c in df.columns])
     return _turn(row, df.columns, ["n_missing"])
 
 
-def _missing(df: DataFrame, c: str) -> Column:
+def missing(df: DataFrame, c: str) -> Column:
     fractional = isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType))
     return F.col(c).isNull() | F.isnan(c) if fractional else F.col(c).isNull()
 
@@ -191,13 +192,13 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 # ------------------------------------------------------------------- histograms
 
 
-def value_ranges(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float] | None]:
-    """Minimum and maximum per column, one pass, one driver row."""
+def value_ranges(df: DataFrame, columns: Sequence[str], more: Column | None = None) -> Any:
+    """Minimum and maximum per column, one pass, one driver row; with another aggregate, a pair of them and it."""
     value = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in columns}
-    row = df.agg(*[f(value[c]).alias(f"{c}|{n}") for c in columns for n, f in (("lo", F.min), ("hi", F.max))]).first()
-    return {
-        c: None if row[f"{c}|lo"] is None else (row[f"{c}|lo"], row[f"{c}|hi"]) for c in columns
-    }
+    ends = [f(value[c]).alias(f"{c}|{n}") for c in columns for n, f in (("lo", F.min), ("hi", F.max))]
+    row = df.agg(*ends, *([] if more is None else [more.alias("|more")])).first()
+    ranges = {c: None if row[f"{c}|lo"] is None else (row[f"{c}|lo"], row[f"{c}|hi"]) for c in columns}
+    return ranges if more is None else (ranges, row["|more"])
 
 
 def bin_number(value: Column, lo: Column, hi: Column, bins: int) -> Column:
@@ -240,13 +241,17 @@ def histogram(
         .groupBy("column", "bin")
         .agg(F.count(F.lit(1)).alias("n_rows"))
     )
+    return with_edges(counted, {c: ranges[c] for c in known}, bins)
+
+
+def with_edges(counted: DataFrame, ranges: dict[str, tuple[float, float] | None], bins: int) -> DataFrame:
+    """(column, bin, n_rows) with the edges of the bins."""
     edges = []
-    for c in known:
-        lo, hi = ranges[c]
-        if lo == hi:
-            lo, hi = lo - 0.5, hi + 0.5
-        edges.append((c, lo, (hi - lo) / bins))
-    table = df.sparkSession.createDataFrame(edges, "column string, lo double, width double")
+    for c, span in ranges.items():
+        if span:
+            lo, hi = span if span[0] != span[1] else padded(*span)
+            edges.append((c, lo, (hi - lo) / bins))
+    table = counted.sparkSession.createDataFrame(edges, "column string, lo double, width double")
     return counted.join(F.broadcast(table), "column").select(
         "column", "bin",
         (F.col("lo") + F.col("bin") * F.col("width")).alias("bin_low"),
@@ -301,28 +306,33 @@ def hex_density(df: DataFrame, x: str, y: str, columns: int = 50, min_count: int
         return df.sparkSession.createDataFrame(
             [], "lattice int, cell_x bigint, cell_y bigint, n_rows bigint, center_x double, center_y double"
         )
-    (x0, x1), (y0, y1) = (_padded(*ranges[c]) for c in (x, y))
+    (x0, x1), (y0, y1) = (padded(*ranges[c]) for c in (x, y))
     lattice, col, row = hex_cell(F.col(x), F.col(y), (x0, x1), (y0, y1), columns)
-    rows = int(columns / math.sqrt(3))
-    half = F.col("lattice") / 2.0
-    return (
+    cells = (
         df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
         .groupBy(lattice.alias("lattice"), col.alias("cell_x"), row.alias("cell_y"))
         .agg(F.count(F.lit(1)).alias("n_rows"))
         .where(F.col("n_rows") >= min_count)
-        .withColumn("center_x", F.lit(x0) + (F.col("cell_x") + half) * ((x1 - x0) / columns))
-        .withColumn("center_y", F.lit(y0) + (F.col("cell_y") + half) * ((y1 - y0) / rows))
     )
+    return with_centres(cells, (x0, x1), (y0, y1), columns)
+
+
+def with_centres(cells: DataFrame, x_range: tuple[float, float], y_range: tuple[float, float], columns: int) -> DataFrame:
+    """Hexagonal cells with their centres."""
+    (x0, x1), (y0, y1) = x_range, y_range
+    half, rows = F.col("lattice") / 2.0, int(columns / math.sqrt(3))
+    return cells.withColumn("center_x", F.lit(x0) + (F.col("cell_x") + half) * ((x1 - x0) / columns)).withColumn(
+        "center_y", F.lit(y0) + (F.col("cell_y") + half) * ((y1 - y0) / rows))
 
 
-def _padded(lo: float, hi: float) -> tuple[float, float]:
+def padded(lo: float, hi: float) -> tuple[float, float]:
     return (lo - 0.5, hi + 0.5) if lo == hi else (lo, hi)
 
 
 def grid_counts(df: DataFrame, group: str, x: str, y: str, x_step: float, y_step: float) -> DataFrame:
     """Two-dimensional bin counts, per value of a grouping flag; rows without both values are left out."""
     return (
-        df.where(~_missing(df, x) & ~_missing(df, y))
+        df.where(~missing(df, x) & ~missing(df, y))
         .groupBy(
             group, F.floor(F.col(x) / x_step).alias("x_bin"), F.floor(F.col(y) / y_step).alias("y_bin")
         )

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripkit.functions import time, weather
-from tripkit.functions.geo import great_circle_km
+from tripkit.functions.geo import great_circle_km, hex_cell
 from tripkit.operators import stats
 from tripkit.operators.enrich import dense
 from tripkit.schema import COORDINATES, PROFILE_CATEGORICALS, PROFILE_NUMERICS, TARGET
+from tripkit.session import materialize
 
 # Bin counts of the distribution tables and the hexagon grid.
 TARGET_BINS, NUMERIC_BINS, HEX_COLUMNS = 60, 40, 50
@@ -42,53 +44,192 @@ def mean_by_temperature(df: DataFrame, target: str = TARGET) -> DataFrame:
     return dense(means, "temp_band", [name for name, _, _ in weather.TEMPERATURE_BANDS])
 
 
-def profile_parts(df: DataFrame, target: str = TARGET) -> dict[str, Callable[[], DataFrame]]:
-    """Builders of all statistics of a clean trip table, by name."""
-    wide = calendar(df)
-    ts = F.col("pickup_datetime")
-    numeric = [c for c in PROFILE_NUMERICS if c in wide.columns]
-    plotted = [c for c in numeric if c != "is_weekend"]
+# ------------------------------------------------------------- tables from one scan
+#
+# Most tables count rows, or add up the target, per group or bin. Their rows are tagged with the table they
+# count for and go through one aggregation: tables read its few counters, not the trips.
+
+
+def cell(family: str, column: str | None = None, part: Column | None = None, bin: Column | None = None,
+         bin2: Column | None = None, x: Column | None = None, where: Column | None = None) -> Column:
+    """One tagged row of a family of counters; null where it does not count."""
+    values = {"family": (F.lit(family), "string"), "column": (F.lit(column), "string"), "part": (part, "string"), "bin": (bin, "bigint"),
+              "bin2": (bin2, "bigint"), "x": (x, "double")}
+    row = F.struct(*((F.lit(None) if v is None else v).cast(kind).alias(name) for name, (v, kind) in values.items()))
+    return row if where is None else F.when(where, row)
+
+
+def counters(df: DataFrame, cells: list[Column]) -> DataFrame:
+    """n rows, known values of x and the sums of its first four powers, per family, column, part and bins; written once."""
+    x = F.col("x")
+    tagged = df.select(F.inline(F.array(*cells))).where("family IS NOT NULL")
+    return materialize(tagged.groupBy("family", "column", "part", "bin", "bin2").agg(
+        F.count(F.lit(1)).alias("n"), F.count(x).alias("known"), *(F.sum(F.pow(x, F.lit(k))).alias(f"s{k}") for k in range(1, 5))))
+
+
+@dataclass(frozen=True)
+class Counted:
+    """A table made of counters: their cells, and how the table reads them."""
+
+    cells: Callable[[], list[Column]]
+    table: Callable[[DataFrame], DataFrame]
+
+
+def binned_cells(df: DataFrame, family: str, columns: list[str], bins: int, ranges: dict, value: Callable[[Column], Column] = F.col) -> list[Column]:
+    out = []
+    for c in columns:
+        if ranges.get(c):
+            number = stats.bin_number(value(c).cast("double"), F.lit(ranges[c][0]), F.lit(ranges[c][1]), bins)
+            out.append(cell(family, c, bin=number, where=number.isNotNull()))
+    return out
+
+
+def means(key: str, kind: str) -> Callable[[DataFrame], DataFrame]:
+    return lambda t: t.select(F.col("part").cast(kind).alias(key), F.try_divide("s1", "known").alias("mean_target"), F.col("known").alias("n_rows"))
+
+
+def shape_of_sums(target: str) -> Callable[[DataFrame], DataFrame]:
+    """Skewness and kurtosis from sums of powers of values about a middle that is near their mean."""
+    n, (m, m2, m3, m4) = F.col("known").cast("double"), (F.try_divide(f"s{k}", "known") for k in range(1, 5))
+    v = m2 - m * m
+    skew = F.try_divide(m3 - 3 * m * m2 + 2 * m * m * m, F.pow(v, F.lit(1.5)))
+    excess = F.try_divide(m4 - 4 * m * m3 + 6 * m * m * m2 - 3 * m * m * m * m, v * v) - 3
+    spread = v > m2 * 1e-12
+    return lambda t: t.select(
+        F.lit(target).alias("column"),
+        F.when((n > 2) & spread, skew * F.sqrt(n * (n - 1)) / F.nullif(n - 2, F.lit(0.0))).alias("skewness"),
+        F.when((n > 3) & spread, F.try_divide(n - 1, (n - 2) * (n - 3)) * ((n + 1) * excess + 6)).alias("kurtosis"))
+
+
+def counted_tables(df: DataFrame, wide: DataFrame, ranges: dict, middle: float, target: str) -> dict[str, Counted]:
+    """The tables that come from counters, by name. ``wide`` has the columns that cells refer to."""
+    ts, y = F.col("pickup_datetime"), F.nanvl(F.col(target).cast("double"), F.lit(None).cast("double"))
+    names = df.sparkSession.createDataFrame([(c,) for c in df.columns], "column string")
+    plotted = [c for c in PROFILE_NUMERICS if c in wide.columns and c != "is_weekend"]
     categorical = [c for c in PROFILE_CATEGORICALS if c in df.columns]
-    rush = time.is_rush_hour(ts)
-    parts = {
-        "shape": lambda: stats.table_shape(df),
-        "types": lambda: stats.column_types(df),
-        "missing": lambda: stats.missing_counts(df),
-        "describe": lambda: stats.describe(df),
-        "target_shape": lambda: stats.shape_statistics(df, [target]),
-        "target_histogram": lambda: stats.histogram(df, [target], TARGET_BINS),
-        "target_log_histogram": lambda: stats.log_histogram(df, target, TARGET_BINS),
-        "numeric_histograms": lambda: stats.histogram(wide, plotted, NUMERIC_BINS),
-        "value_counts": lambda: stats.value_counts(df, categorical),
-        "correlation": lambda: stats.correlation_pairs(wide, [*numeric, target]),
-        "distance_target": lambda: stats.grid_counts(
-            with_distance(df).withColumn("is_rush_hour", rush), "is_rush_hour", "haversine_km", target, 1.0, 5.0
-        ),
-        "mean_by_hour": lambda: stats.mean_by(df, F.hour(ts), "hour", target),
-        "mean_by_weekday": lambda: mean_by_weekday(df, target),
-        "mean_by_month": lambda: stats.mean_by(df, F.month(ts), "month", target),
-        "pickup_density": lambda: stats.hex_density(df, "pickup_lon", "pickup_lat", HEX_COLUMNS),
-        "box_by_hour": lambda: stats.box_statistics(wide, "hour_of_day", target),
+    log = f"log1p_{target}"
+    known = [~stats.missing(wide, c) for c in ("haversine_km", target)]
+
+    def missing(t: DataFrame) -> DataFrame:
+        found = t.groupBy("column").agg(F.sum(F.when(F.col("bin") == 1, F.col("n"))).alias("_n"))
+        return names.join(found, "column", "left").select("column", F.coalesce("_n", F.lit(0)).alias("n_missing"))
+
+    def shape(t: DataFrame) -> DataFrame:
+        rows = t.where(F.col("column") == df.columns[0]).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"))
+        return rows.withColumn("n_columns", F.lit(len(df.columns)))
+
+    def edged(bins: int) -> Callable[[DataFrame], DataFrame]:
+        return lambda t: stats.with_edges(t.select("column", F.col("bin").cast("int").alias("bin"), F.col("n").alias("n_rows")), ranges, bins)
+
+    def density() -> list[Column]:
+        spans = [stats.padded(*ranges[c]) for c in ("pickup_lon", "pickup_lat")]
+        lattice, x, row = hex_cell(F.col("pickup_lon"), F.col("pickup_lat"), *spans, HEX_COLUMNS)
+        return [cell("pickup_density", part=lattice, bin=x, bin2=row, where=F.col("pickup_lon").isNotNull() & F.col("pickup_lat").isNotNull())]
+
+    def centres(t: DataFrame) -> DataFrame:
+        spans = [stats.padded(*ranges[c]) for c in ("pickup_lon", "pickup_lat")]
+        cells = t.select(F.col("part").cast("int").alias("lattice"), F.col("bin").alias("cell_x"), F.col("bin2").alias("cell_y"), F.col("n").alias("n_rows"))
+        return stats.with_centres(cells, *spans, HEX_COLUMNS)
+
+    def mean(name: str, key: Column, to: Callable[[DataFrame], DataFrame], where: Column | None = None) -> Counted:
+        return Counted(lambda: [cell(name, part=key, x=y, where=where)], to)
+
+    band = weather.temperature_band(F.col("avg_temp_f"))
+    tables = {
+        "missing": Counted(lambda: [cell("missing", c, bin=stats.missing(wide, c).cast("int")) for c in df.columns], missing),
+        "target_shape": Counted(lambda: [cell("target_shape", target, x=y - F.lit(middle))], shape_of_sums(target)),
+        "target_histogram": Counted(lambda: binned_cells(wide, "target_histogram", [target], TARGET_BINS, ranges), edged(TARGET_BINS)),
+        "target_log_histogram": Counted(
+            lambda: binned_cells(wide, "target_log_histogram", [log], TARGET_BINS, ranges, lambda c: F.log1p(target)), edged(TARGET_BINS)),
+        "numeric_histograms": Counted(lambda: binned_cells(wide, "numeric_histograms", plotted, NUMERIC_BINS, ranges), edged(NUMERIC_BINS)),
+        "value_counts": Counted(
+            lambda: [cell("value_counts", c, part=F.col(c), where=F.col(c).isNotNull()) for c in categorical],
+            lambda t: t.select("column", F.col("part").alias("value"), F.col("n").alias("n_rows")).orderBy("column", F.desc("n_rows"), "value")),
+        "distance_target": Counted(
+            lambda: [cell("distance_target", part=time.is_rush_hour(ts), bin=F.floor(F.col("haversine_km") / 1.0), bin2=F.floor(F.col(target) / 5.0),
+                          where=known[0] & known[1])],
+            lambda t: t.select(F.col("part").cast("int").alias("is_rush_hour"), F.col("bin").alias("x_bin"), F.col("bin2").alias("y_bin"), F.col("n").alias("n_rows"))),
+        "mean_by_hour": mean("mean_by_hour", F.hour(ts), means("hour", "int")),
+        "mean_by_weekday": mean("mean_by_weekday", time.weekday_name(ts), lambda t: dense(means("weekday", "string")(t), "weekday", time.WEEKDAYS)),
+        "mean_by_month": mean("mean_by_month", F.month(ts), means("month", "int")),
+        "pickup_density": Counted(density, centres),
+        "shape": Counted(list, shape),
     }
     if "avg_temp_f" in df.columns:
-        parts["mean_by_temperature"] = lambda: mean_by_temperature(df, target)
+        bands = [name for name, _, _ in weather.TEMPERATURE_BANDS]
+        tables["mean_by_temperature"] = mean("mean_by_temperature", band, lambda t: dense(means("temp_band", "string")(t), "temp_band", bands), band.isNotNull())
     if "precipitation" in df.columns:
-        rain = weather.rain_label(F.col("precipitation"))
-        parts["mean_by_rain"] = lambda: stats.mean_by(df, rain, "rain", target)
+        tables["mean_by_rain"] = mean("mean_by_rain", weather.rain_label(F.col("precipitation")), means("rain", "string"))
     if "snow_depth" in df.columns:
-        snow = weather.is_snowing(F.col("snow_depth"))
-        parts["mean_by_snow"] = lambda: stats.mean_by(df, snow, "is_snowing", target)
-    return parts
+        tables["mean_by_snow"] = mean("mean_by_snow", weather.is_snowing(F.col("snow_depth")), means("is_snowing", "int"))
+    return tables
+
+
+#: Tables that read the counters of another one.
+SHARED = {"shape": "missing"}
+
+
+def counted_sources(df: DataFrame, cells: dict[str, list[Column]], shared: dict[str, str]) -> tuple[dict[str, DataFrame], dict[str, str]]:
+    """Counters of each table, all from one scan, or from scans of their own if a cell fails on some value."""
+    try:
+        counted = counters(df, [c for own in cells.values() for c in own])
+        return dict.fromkeys(cells, counted), {}
+    except Exception:  # find out which
+        sources, failures = {}, {}
+    for name, own in cells.items():
+        try:
+            if own:
+                sources[name] = counters(df, own)
+        except Exception as error:
+            failures[name] = str(error)
+    sources |= {name: sources[of] for name, of in shared.items() if name in cells and of in sources}
+    return sources, failures
 
 
 def profile(df: DataFrame, target: str = TARGET) -> tuple[dict[str, DataFrame], dict[str, str]]:
-    """All statistics as tables, and the reason for each part that could not be built."""
-    tables, failures = {}, {}
-    for name, build in profile_parts(df, target).items():
+    """All statistics of a clean trip table, by name, and the reason for each that could not be built.
+
+    One scan takes the ranges of all columns, a second one all counters. Quartiles (describe, boxes) are
+    narrowed by passes of their own, and pair sums of the correlations by one. A table whose cells cannot be
+    analysed is left out of the scan; should the scan fail, each table's counters are taken alone.
+    """
+    failures: dict[str, str] = {}
+    wide = calendar(df)
+    try:
+        wide = with_distance(wide)
+    except Exception as error:  # without coordinates there is no distance
+        failures["distance_target"] = str(error)
+        wide = wide.withColumn("haversine_km", F.lit(None).cast("double"))
+    log = f"log1p_{target}"
+    numeric = [c for c in PROFILE_NUMERICS if c in calendar(df).columns]
+    spanned = list(dict.fromkeys([c for c in [*numeric, target, "pickup_lon", "pickup_lat"] if c in wide.columns]))
+    ranges, mean = stats.value_ranges(wide.withColumn(log, F.log1p(target)), [*spanned, log], F.avg(F.nanvl(F.col(target).cast("double"), F.lit(None).cast("double"))))
+    tables: dict[str, DataFrame] = {}
+    found = counted_tables(df, wide, ranges, mean or 0.0, target)
+    cells: dict[str, list[Column]] = {}
+    for name, own in found.items():
+        if name in failures:
+            continue
         try:
-            tables[name] = build()
+            cells[name] = own.cells()
+            wide.select(*(c.alias(f"c{k}") for k, c in enumerate(cells[name])))
         except Exception as error:  # one failing part must not stop the others
             failures[name] = str(error)
+            cells.pop(name, None)
+    sources, failed = counted_sources(wide, cells, SHARED)
+    failures |= failed
+    builders = {name: (lambda t=found[name].table, s=source, f=SHARED.get(name, name): t(s.where(F.col("family") == f)))
+                for name, source in sources.items()}
+    builders |= {
+        "types": lambda: stats.column_types(df), "describe": lambda: stats.describe(df),
+        "correlation": lambda: stats.correlation_pairs(calendar(df), [*numeric, target]),
+        "box_by_hour": lambda: stats.box_statistics(calendar(df), "hour_of_day", target),
+    }
+    for name, build in builders.items():
+        try:
+            tables[name] = build()
+        except Exception as error:
+            failures[name] = str(error)
     return tables, failures
 
 

@@ -9,12 +9,6 @@ from pyspark.sql import types as T
 # ---------------------------------------------------------------------------
 # Published input format, feature order and thresholds.
 # ---------------------------------------------------------------------------
-RAW_TRIP_COLUMNS = [
-    "id", "vendor_id", "pickup_datetime", "dropoff_datetime", "passenger_count",
-    "pickup_longitude", "pickup_latitude", "dropoff_longitude", "dropoff_latitude",
-    "store_and_fwd_flag", "trip_duration",
-]
-
 TRIP_RENAMES = {
     "id": "trip_id",
     "pickup_longitude": "pickup_lon",
@@ -74,8 +68,6 @@ WEATHER_COLUMNS = ["avg_temp_f", "precipitation", "snow_depth", "snow_fall"]
 
 ROW_ORDER = "row_ord"
 
-RAW_TRIP_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in RAW_TRIP_COLUMNS])
-
 WEATHER_SCHEMA = T.StructType(
     [T.StructField("date", T.DateType())]
     + [
@@ -126,4 +118,3 @@ ROUGH = Thresholds(
     lat=(40.4, 41.0), lon=(-74.3, -73.6),
     min_duration_sec=30, max_duration_sec=21600, max_passengers=6,
 )
-PROFILES = {"enforced": ENFORCED, "documented": DOCUMENTED, "rough": ROUGH}
