@@ -9,6 +9,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -19,6 +20,7 @@ from tripkit.llm.tokens import encoder
 from tripkit.llm.wavelet import WaveletMatrix
 from tripkit.session import shared_path
 
+LIBRARIES: dict = {}
 PATHS = [public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json")]
 LETTERS = "ab zé'ÉÀß \t\n\r.,!?'sStT09<|>½²ªº \u0085 ́日ſİ"
 
@@ -133,3 +135,13 @@ def test_items_that_cannot_be_joined_stay_apart(spark):
 
 def test_packing_nothing(no_docs):
     assert packing.pack_documents(no_docs, PATHS[1]).collect() == []
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.lists(st.sampled_from(
+    ["a", " ", "  ", "\n", "\r\n", "\t", "eau", "É", "日本", "😀", "<|endoftext|>", "<|", "'s", "12", "\x00", "\u3000", "\xa0", "\x1c", "."]), max_size=10).map("".join)), max_size=6))
+def test_columns_of_texts(texts):
+    for path in PATHS:
+        library = LIBRARIES.setdefault(path, Tokenizer.from_file(path))
+        ids, limits = encoder(path).encode_column(pa.array(texts, pa.string()))
+        assert [ids[a:b].tolist() for a, b in zip(limits, limits[1:], strict=False)] == [library.encode(t or "", add_special_tokens=False).ids for t in texts]

@@ -15,43 +15,50 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripkit.llm.columnar import row_keys
+from tripkit.llm.columnar import pieces, row_keys
 from tripkit.llm.tokens import encoder
 from tripkit.llm.wavelet import WaveletMatrix
 
 #: Ids of a shard; a longer document has a shard of its own.
 SHARD_TOKENS = 1 << 20
+#: Bytes of text that are encoded at a time.
+STEP_BYTES = 8 << 20
 
 
 def shard_batches(batches: Iterator[pa.RecordBatch], path: str, end_id: int, shard_tokens: int) -> Iterator[pa.RecordBatch]:
-    encode, end = encoder(path).encode, np.array([end_id], "<u4").tobytes()
-    part, before, size = TaskContext.get().partitionId(), 0, 0
-    ids, texts = [], []
+    own, part, before, size = encoder(path), TaskContext.get().partitionId(), 0, 0
+    ids: list[pa.Array] = []
+    tokens: list[np.ndarray] = []
+    counts: list[int] = []
 
     def close() -> pa.RecordBatch:
-        matrix = WaveletMatrix.build(np.frombuffer(b"".join(texts), "<u4"))
+        matrix = WaveletMatrix.build(np.concatenate(tokens))
         values = [[part], [before], [matrix.n]]
         names = pa.chunked_array(ids).combine_chunks()
-        lists = [pa.ListArray.from_arrays(pa.array([0, len(names)], pa.int32()), names),
-                 pa.array([[len(t) // 4 for t in texts]], pa.list_(pa.int64()))]
+        lists = [pa.ListArray.from_arrays(pa.array([0, len(names)], pa.int32()), names), pa.array([counts], pa.list_(pa.int64()))]
         return pa.RecordBatch.from_arrays(
             [*(pa.array(v, t) for v, t in zip(values, (pa.int32(), pa.int64(), pa.int64()), strict=True)), *lists,
              pa.array([matrix.to_bytes()], pa.binary())], names=["part", "before", "n_tokens", "ids", "lengths", "matrix"])
 
     for batch in batches:
-        for k, text in enumerate(batch.column(1)):
-            encoded = encode(text.as_py()) + end
-            if texts and size + len(encoded) // 4 > shard_tokens:
-                yield close()
-                ids, texts, size, before = [], [], 0, before + size
-            ids.append(batch.column(0).slice(k, 1))
-            texts.append(encoded)
-            size += len(encoded) // 4
-    if texts:
+        sizes = pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64)
+        for low, high in pieces(np.r_[0, np.cumsum(sizes)], STEP_BYTES):
+            found, limits = own.encode_column(batch.column(1).slice(low, high - low))
+            for k in range(high - low):
+                encoded = np.append(found[limits[k] : limits[k + 1]], np.uint32(end_id)).astype(np.uint32)
+                if tokens and size + len(encoded) > shard_tokens:
+                    yield close()
+                    ids, tokens, counts, size, before = [], [], [], 0, before + size
+                ids.append(batch.column(0).slice(low + k, 1))
+                tokens.append(encoded)
+                counts.append(len(encoded))
+                size += len(encoded)
+    if tokens:
         yield close()
 
 
