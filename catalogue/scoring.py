@@ -15,7 +15,7 @@ from tripkit.plans.score import Scorer, load_scorer, register
 from tripkit.session import materialize, shared_path
 from tripkit.sources import derived
 from tripkit.sources.versions import write_version
-from tripkit.streaming import jobs
+from tripkit.streaming import jobs, partials
 
 # ----------------------------------------------------------------------- requests
 
@@ -255,17 +255,22 @@ SELECT row_ord, round(a + b * {DISTANCE}, 4) AS prediction FROM flagged, o WHERE
 
 
 def stream_monitor(spark, sf):
-    """Accuracy per day of streamed predictions joined to streamed actuals (closed windows)."""
+    """Accuracy per day of streamed predictions joined to streamed actuals, from sums appended by each trigger."""
     path = shared_path(spark, "stream-monitor")
     session = jobs.stateful_session(spark, 8)
-    source = trip_stream(session, sf).where(F.col("pickup_lat").isNotNull() & F.col("dropoff_datetime").isNotNull())
-    log = build_features(source).select(
-        F.col("trip_id"), "pickup_datetime", (F.lit(20.0) + F.col("haversine_km")).alias("prediction"))
-    seen = trip_stream(session, sf).where(F.col("dropoff_datetime") > F.col("pickup_datetime")).select(
-        "row_ord", "trip_id", F.col("dropoff_datetime").alias("actual_at"), F.col("eta_minutes").alias("label"))
-    jobs.write_stream(jobs.monitor(log, seen, "trip_id", "pickup_datetime"), path).awaitTermination()
-    return spark.read.parquet(f"{path}/data")
+    source = trip_stream(session, sf)
+    log = build_features(source).select("row_ord", "pickup_datetime", (F.lit(20.0) + F.sqrt("haversine_km")).alias("prediction"))
+    seen = source.select("row_ord", F.col("dropoff_datetime").alias("actual_at"), F.col("eta_minutes").alias("label"))
+    partials.monitor_windows(log, seen, "row_ord", "pickup_datetime", path).awaitTermination()
+    return partials.read_windows(spark, path, 6)
+
 
+#: An actual counts within a day of its prediction; a trip without a pickup place has no prediction, but a window.
+STREAM_MONITOR_SQL = using("trips", f"""
+SELECT CAST(date_trunc('day', pickup_datetime) AS TIMESTAMP) AS window_start, count(e) AS n_rows,
+       round(avg(abs(e)), 6) AS mae, round(sqrt(avg(e * e)), 6) AS rmse, round(avg(e), 6) AS bias
+FROM (SELECT pickup_datetime, 20 + sqrt({DISTANCE}) - eta_minutes AS e FROM trips
+      WHERE dropoff_datetime BETWEEN pickup_datetime AND pickup_datetime + INTERVAL 1 DAY) GROUP BY 1""")
 
 QUERIES = {
     "request_validation": (request_validation, using("trips", f"""
@@ -303,5 +308,5 @@ QUERIES = {
         FROM flagged GROUP BY 1, 2""")),
     "stream_dedup": (stream_dedup, using("trips", "SELECT DISTINCT trip_id FROM trips")),
     "stream_score": (stream_score, STREAM_SCORE_SQL),
-    "stream_monitor": (stream_monitor, None),
+    "stream_monitor": (stream_monitor, STREAM_MONITOR_SQL),
 }
