@@ -161,7 +161,19 @@ METRICS_SQL = using("flagged", "\nUNION ALL ".join(
         ("clean_rows", f"NOT ({' OR '.join(RULES)})"), ("quarantine_rows", " OR ".join(RULES)),
     ]))
 
+HEAD = ["trip_id", "vendor_id", "passenger_count", "trip_duration_sec"]
+
+
+def head_csv(spark, sf):
+    """The first 100 trips in input order, written as a smaller CSV with a header and read back as text."""
+    path = shared_path(spark, "head")
+    readers.write_head_csv(derived.trips(spark, sf).select("row_ord", *HEAD), path, 100)
+    return spark.read.csv(path, header=True)
+
+
 QUERIES = {
+    "head_csv": (head_csv, using("trips", f"""
+        SELECT {', '.join(f'CAST({c} AS VARCHAR) AS {c}' for c in HEAD)} FROM trips ORDER BY row_ord LIMIT 100""")),
     "content_hash": (trip_hash, using("trips", hash_sql(TRIP_CELLS, "trips"))),
     "content_hash_lineitem": (lineitem_hash, hash_sql(LINE_CELLS, "lineitem")),
     "version_write_read": (version_write_read, using("flagged", f"""

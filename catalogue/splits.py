@@ -10,6 +10,7 @@ from tripkit.functions.keys import row_hash as hash_column
 from tripkit.operators import prep, splitting
 from tripkit.plans import first_generation, prepare
 from tripkit.schema import COORDINATES
+from tripkit.session import materialize
 from tripkit.sources import derived
 
 # ------------------------------------------------------------------------- strata
@@ -123,6 +124,14 @@ def onehot_encode(spark, sf):
     return prep.onehot_encode(df, codes, ["c_mktsegment"]).drop("c_acctbal")
 
 
+def onehot_sparse(spark, sf):
+    """As many categories as train customers, beside the segments."""
+    df = customers(spark, sf).withColumn("key", F.col("c_custkey").cast("string"))
+    codes = materialize(prep.fit_categories(train_without(df, "FURNITURE"), ["c_mktsegment", "key"]))
+    return prep.onehot_sparse(df, codes, ["c_mktsegment", "key"]).select(
+        "c_custkey", F.col("onehot.size").alias("size"), F.array_join("onehot.indices", ",").alias("indices"))
+
+
 CUSTOMERS = f"c AS (SELECT c_custkey, c_mktsegment, c_acctbal, {split_of('c_custkey')} AS split FROM customer)"
 CODES = ("k AS (SELECT c_mktsegment AS seg, row_number() OVER (ORDER BY c_mktsegment) - 1 AS code FROM"
          " (SELECT DISTINCT c_mktsegment FROM c WHERE split = 'train' AND c_mktsegment <> 'FURNITURE'))")
@@ -248,6 +257,14 @@ QUERIES = {
     "onehot_encode": (onehot_encode, f"""
         WITH {CUSTOMERS} SELECT c_custkey, split,
           {', '.join(f"cast(c_mktsegment = '{s}' as double) AS c_mktsegment_{s}" for s in SEGMENTS)} FROM c"""),
+    "onehot_sparse": (onehot_sparse, f"""
+        WITH {CUSTOMERS}, t AS (SELECT c_custkey, c_mktsegment FROM c WHERE split = 'train' AND c_mktsegment <> 'FURNITURE'),
+        s AS (SELECT c_mktsegment, row_number() OVER (ORDER BY c_mktsegment) - 2 AS i FROM (SELECT DISTINCT c_mktsegment FROM t)),
+        k AS (SELECT c_custkey, row_number() OVER (ORDER BY CAST(c_custkey AS VARCHAR)) - 2 AS i FROM t),
+        n AS (SELECT (SELECT count(*) - 1 FROM s) AS a, (SELECT count(*) - 1 FROM k) AS b)
+        SELECT c.c_custkey, CAST(a + b AS INTEGER) AS size,
+               concat_ws(',', CASE WHEN s.i >= 0 THEN s.i END, CASE WHEN k.i >= 0 THEN a + k.i END) AS indices
+        FROM c CROSS JOIN n LEFT JOIN s ON s.c_mktsegment = c.c_mktsegment LEFT JOIN k ON k.c_custkey = c.c_custkey"""),
     "median_impute": (median_impute, IMPUTE_SQL),
     "standard_scale": (scaling("standard"), scale_sql("avg({c})", "stddev_pop({c})")),
     "minmax_scale": (scaling("minmax"), scale_sql("min({c})", "(max({c}) - min({c}))")),

@@ -100,6 +100,27 @@ def test_onehot_drops_the_first_category(spark):
     assert [tuple(r)[1:] for r in table.collect()] == [(0, 0), (0, 1), (0, 0), (0, 0)]
 
 
+def test_sparse_onehot_equals_the_wide_form(spark):
+    train = spark.createDataFrame([("b", "x"), ("a", "y"), ("c", None), ("b", "z")], "v string, w string")
+    other = spark.createDataFrame([(0, "a", "z", 1), (1, "c", "x", 2), (2, "zz", "y", 3), (3, None, None, 4), (3, "b", "z", 5)], "i int, v string, w string, onehot int")
+    codes = prep.fit_categories(train, ["v", "w"])
+    wide = prep.onehot_encode(other, codes, ["v", "w"]).orderBy("onehot").drop("i", "onehot").collect()
+    table = prep.onehot_sparse(other, codes, ["v", "w"], "ones").orderBy("onehot")
+    assert table.columns == ["i", "onehot", "ones"]
+    got = [r.ones for r in table.collect()]
+    assert [[float(k in o.indices) for k in range(o.size)] for o in got] == [list(r) for r in wide]
+    assert all(o.indices == sorted(o.indices) for o in got)
+    nothing = prep.onehot_sparse(other, codes.limit(0), ["v"], "ones").first().ones
+    assert (nothing.size, nothing.indices) == (0, [])
+
+
+def test_sparse_onehot_of_very_many_categories(spark):
+    df = spark.range(100_000).selectExpr("id", "CAST(id AS STRING) AS v")
+    table = prep.onehot_sparse(df, prep.fit_categories(df, ["v"]), ["v"])
+    row = table.agg(F.count_distinct("onehot.indices").alias("n"), F.max(F.size("onehot.indices")).alias("most"), F.max("onehot.size").alias("size")).first()
+    assert (row.n, row.most, row.size) == (100_000, 1, 99_999)
+
+
 def test_unknown_choices_are_errors(spark):
     df = spark.createDataFrame([(1.0,)], "x double")
     with pytest.raises(ValueError, match="unknown scaler 'log'"):

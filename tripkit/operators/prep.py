@@ -73,6 +73,34 @@ def onehot_encode(df: DataFrame, categories: DataFrame, columns: Sequence[str])
     return df.withColumns(indicators).drop(*columns) if indicators else df.drop(*columns)
 
 
+def onehot_sizes(categories: DataFrame, columns: Sequence[str]) -> dict[str, int]:
+    """Number of indicators of each column: its categories but the first. One row per encoded column comes to the driver."""
+    chosen = categories.where(F.col("column").isin(list(columns))).groupBy("column").agg(F.max("code").alias("size"))
+    found = {r["column"]: r["size"] for r in chosen.collect()}
+    return {c: found.get(c, 0) for c in columns}
+
+
+def onehot_sparse(df: DataFrame, categories: DataFrame, columns: Sequence[str], name: str = "onehot") -> DataFrame:
+    """The indicators of ``onehot_encode`` as one sparse vector: ``name`` with its size and the rising indices of its ones.
+
+    The plan has one join per column however many categories it has, and a row carries at most one index per column.
+    The first category, unseen ones and nulls have none. The indicator of category ``code`` of a column stands
+    ``code - 1`` places behind the indicators of the columns before it.
+    """
+    sizes = onehot_sizes(categories, columns)
+    rest = [c for c in df.columns if c not in columns and c != name]
+    indices, first = [], 0
+    for k, c in enumerate(columns):
+        codes = categories.where((F.col("column") == c) & (F.col("code") > 0)).select(
+            F.col("category").alias("__category"), (F.col("code") - 1 + first).cast("int").alias(f"__index{k}"))
+        df = lookup_join(df.withColumn("__category", F.col(c).cast("string")), codes, ["__category"]).drop("__category")
+        indices.append(F.col(f"__index{k}"))
+        first += sizes[c]
+    # array_except drops the nulls inside generated code and keeps the order
+    ones = F.array_except(F.array(*indices).cast("array<int>"), F.array(F.lit(None).cast("int")))
+    return df.select(*(F.col(f"`{c}`") for c in rest), F.struct(F.lit(first).alias("size"), ones.alias("indices")).alias(name))
+
+
 # -------------------------------------------------------------------- imputation
 
 
