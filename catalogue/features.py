@@ -35,7 +35,9 @@ def geo_features(spark, sf):
 
 
 def grid_cells(spark, sf):
-    return features.add_location_features(derived.trips(spark, sf)).select("row_ord", *GRID)
+    """Grid cells of every trip, null without a place; as doubles, which hold nulls in any reader."""
+    cells = features.add_location_features(derived.trips(spark, sf))
+    return cells.select("row_ord", *(F.col(c).cast("double").alias(c) for c in GRID))
 
 
 def weather_flags(spark, sf):
@@ -100,7 +102,8 @@ QUERIES = {
     "cyclical_features": (cyclical_features, using("trips", f"SELECT row_ord, {CYCLE_COLUMNS} FROM trips")),
     "geo_features": (geo_features, using("trips", f"SELECT row_ord, {GEO_COLUMNS} FROM trips")),
     "great_circle": (great_circle, using("trips", f"SELECT row_ord, {DISTANCE} AS km FROM trips")),
-    "grid_cells": (grid_cells, using("trips", f"SELECT row_ord, {GRID_COLUMNS} FROM trips")),
+    "grid_cells": (grid_cells, using("trips", f"""
+        SELECT row_ord, {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in GRID)} FROM (SELECT row_ord, {GRID_COLUMNS} FROM trips)""")),
     "weather_flags": (weather_flags, using("trips", f"SELECT row_ord, {WEATHER_COLUMNS} {JOIN}", "weather")),
     "weather_bands": (weather_bands, using("weather", f"""
         SELECT CAST(date AS VARCHAR) AS date, {BAND} AS temp_band,

@@ -301,7 +301,7 @@ QUERIES = {
     "accuracy_by_window": (accuracy, using("trips", f"WITH {ACCURACY} SELECT * FROM a")),
     "retrain_trigger": (
         lambda s, d: monitoring.retrain_signal(accuracy(s, d), 30.0, 1.2).select("window_start", "rmse", "retrain"),
-        using("trips", f"WITH {ACCURACY} SELECT window_start, rmse, rmse > 36 AS retrain FROM a")),
+        using("trips", f"WITH {ACCURACY} SELECT window_start, rmse, coalesce(rmse > 36, false) AS retrain FROM a")),
     "drift_psi": (drift_psi, psi_sql()),
     "stream_validate": (stream_validate, using("flagged", f"""
         SELECT CASE WHEN {' OR '.join(ROW_RULES)} THEN 'quarantine' ELSE 'clean' END AS outcome, {ROW_REASONS} AS reasons, count(*) AS n_rows

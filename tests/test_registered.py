@@ -15,6 +15,8 @@ def normal(df):
     for c in df.columns:
         if str(df[c].dtype).startswith("datetime"):
             df[c] = df[c].astype("datetime64[us]")
+        elif str(df[c].dtype).startswith("Int") and df[c].isna().any():
+            df[c] = df[c].astype("float64")  # as the other side's frames hold integers with nulls
         elif df[c].dtype == object:
             df[c] = df[c].map(lambda v: None if v is None or (isinstance(v, float) and math.isnan(v)) else str(v))
     return df.sort_values(list(df.columns)).reset_index(drop=True)

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripkit.functions.weather import holds
 from tripkit.operators.enrich import first_per_key
 from tripkit.operators.stats import histogram, value_ranges
 
@@ -49,8 +50,8 @@ def accuracy_by_window(
 
 
 def retrain_signal(windows: DataFrame, champion_rmse: float, factor: float = 1.2) -> DataFrame:
-    """Windows with a flag that says whether their error calls for retraining."""
-    return windows.withColumn("retrain", F.col("rmse") > F.lit(champion_rmse * factor))
+    """Windows with a flag that says whether their error calls for retraining; one without a known error does not."""
+    return windows.withColumn("retrain", holds(F.col("rmse") > F.lit(champion_rmse * factor)))
 
 
 def drift(
