@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -115,6 +116,68 @@ def test_vector_links(spark):
     assert [g[1] for g in got if 150 <= g[0] < 240] == [w[1] for w in want if 150 <= w[0] < 240]
 
 
+def cone(rng, n, spread, size=64):
+    """Directions about one axis; two of them differ by a cosine of about 1 / (1 + spread ** 2)."""
+    x = rng.standard_normal(size)
+    x = x / np.linalg.norm(x) + spread / np.sqrt(size) * rng.standard_normal((n, size))
+    return x / np.linalg.norm(x, axis=1)[:, None]
+
+
+def vector_table(spark, x):
+    return spark.createDataFrame(pa.table({"vec_id": np.arange(len(x)), "embedding": pa.array(list(x), pa.list_(pa.float64()))})).repartition(8)
+
+
+def counts_and_components(x, cosine=0.9):
+    degree, label = np.zeros(len(x), np.int64), np.arange(len(x))
+    for a in range(0, len(x), 1024):
+        linked = x[a : a + 1024] @ x.T >= cosine
+        degree[a : a + 1024] = linked.sum(axis=1) - 1
+        for k, row in enumerate(linked):
+            mine = np.unique(label[row | (np.arange(len(x)) == a + k)])
+            if len(mine) > 1:
+                label[np.isin(label, mine)] = mine[0]
+    return degree, label
+
+
+@pytest.mark.parametrize("n, spread", [(20000, 0.27), (3000, 0.33)])
+def test_dense_cones_lose_no_link(spark, n, spread):
+    rng = np.random.default_rng(n)
+    x = np.concatenate([cone(rng, n, spread), cone(rng, 300, 0.1), rng.standard_normal((700, 64))])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x = np.concatenate([x, x[:40]])  # equal vectors count as vectors of their own
+    degree, label = counts_and_components(x)
+    assert degree[:n].mean() > (n * 0.9 if spread < 0.3 else n * 0.1)
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in projection.near_duplicate_vectors(vector_table(spark, x)).collect())
+    links = np.array([g[1] for g in got])
+    assert (links <= degree).all() and links.sum() >= 0.98 * degree.sum()
+    assert np.mean([g[2] for g in got] == label) > 0.98
+
+
+def test_stripes_of_a_region(spark, monkeypatch):
+    monkeypatch.setattr(projection, "STEP", 50)
+    rng = np.random.default_rng(8)
+    x = np.concatenate([cone(rng, 300, 0.3, 16), cone(rng, 200, 0.35, 16)])
+    degree, label = counts_and_components(x)
+    for low, high in ((0, 0), (0, 1)):
+        stripe = np.zeros(500, np.int64) if low == high else np.arange(500) % 2
+        group = pa.table({"cid": np.arange(500), "radius": np.zeros(500), "n": np.ones(500, np.int64), "stripe": stripe,
+                          "low": np.full(500, low), "high": np.full(500, high), "unit": pa.array([v.tobytes() for v in x], pa.binary())})
+        rows = projection.striped(group, 0.9).to_pylist()
+        linked = (x @ x.T >= 0.9) & ~np.eye(500, dtype=bool)
+        if low != high:
+            linked &= stripe[:, None] != stripe[None, :]
+        assert {r["a_id"]: r["more"] for r in rows if r["kind"] == projection.COUNT} == {k: v for k, v in enumerate(linked.sum(axis=1)) if v}
+        edges = [(r["a_id"], r["b_id"]) for r in rows if r["kind"] == projection.LINK]
+        assert all(linked[a, b] for a, b in edges) and len(edges) < 500
+        assert least_reachable(500, edges) == least_reachable(500, list(zip(*np.nonzero(linked), strict=True)))
+
+
+def test_passes_grow_with_the_centres():
+    limit = float(np.arccos(0.9))
+    assert [projection.passes_for(n, limit) for n in (0, 1000, 10**5, 10**6)] == [16] * 4
+    assert 20 < projection.passes_for(10**7, limit) < projection.passes_for(10**8, limit) < projection.passes_for(10**9, limit) < 90
+
+
 def test_vectors_empty_and_null_ids(spark):
     vectors = spark.createDataFrame([(None, [1.0, 0.0]), (None, None), (3, [1.0, 0.0])], "vec_id bigint, embedding array<float>")
     assert projection.near_duplicate_vectors(vectors.limit(0)).collect() == []

@@ -64,7 +64,7 @@ def long_array(column: pa.Array) -> np.ndarray:
     return column.to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
 
 
-def per_group(df: DataFrame, key: str, task: Callable[..., pa.Table], schema: str, **fixed: Any) -> DataFrame:
+def per_group(df: DataFrame, key: str | list[str], task: Callable[..., pa.Table], schema: str, **fixed: Any) -> DataFrame:
     """``task(group, **fixed)`` for the rows of each key."""
 
     def run(group: pa.Table) -> pa.Table:
