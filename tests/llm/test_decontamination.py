@@ -10,10 +10,12 @@ from tripkit.llm import decontamination as d
 
 
 def brute(docs, items, threshold=0.8):
-    sets = [(k, d.shingles(d.normal_words((t or "").encode()), 5)) for k, t in docs]
+    parts = [(k, d.normal_words((t or "").encode())) for k, t in docs]
     found = []
     for item, text in items:
-        own = d.shingles(d.normal_words((text or "").encode()), 5)
+        words = d.normal_words((text or "").encode())
+        own = d.shingles(words, 5)
+        sets = [(k, d.shingles(p, min(5, len(words)))) for k, p in parts] if words else []
         for key, held in sets:
             if own and len(own & held) / len(own) >= threshold:
                 found.append((key, item, len(own), len(own & held), len(own & held) / len(own)))
@@ -58,6 +60,36 @@ def test_blocks_of_items_and_empty_tables(spark, monkeypatch):
     assert d.without_items(docs, bench.limit(0)).count() == 30
 
 
+def test_short_items_inside_long_documents(spark):
+    rng = random.Random(10)
+    items = [(1, "alpha"), (2, "Alpha, beta"), (3, "alpha beta gamma"), (4, "alpha beta gamma delta"), (5, "alpha beta gamma delta epsilon"), (6, "omega")]
+    rows = [(1, "x y z alpha beta gamma delta w v u"), (2, "alpha beta gamma delta epsilon"), (3, "alpha"), (4, "beta alpha"), (5, "gamma delta alpha beta"),
+            (6, words(rng, 3000) + " ALPHA; beta " + words(rng, 3000)), (7, "alphabet beta gamma delta"), (8, ""), (9, None), (10, words(rng, 4)), (11, "alpha " * 500)]
+    docs, bench = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    got = sorted((tuple(r) for r in d.contained_items(docs, bench).collect()), key=str)
+    assert got == brute(rows, items)
+    assert {(1, 4), (5, 2), (6, 2), (11, 1)} <= {g[:2] for g in got} and (1, 5) not in {g[:2] for g in got}
+    assert sorted(r.doc_id for r in d.without_items(docs, bench).collect()) == [7, 8, 9, 10]
+    own = spark.createDataFrame([(4, "alpha beta gamma delta")], "item_id bigint, text string")
+    assert sorted(r.doc_id for r in d.contained_items(docs, own).collect()) == [1, 2]
+
+
+def test_sql_takes_short_items_alike(spark):
+    import duckdb
+
+    from tripkit.llm.queries import OP7_SQL
+
+    rows = [(1, "x alpha beta gamma delta w v"), (2, "Alpha"), (3, None), (4, ""), (5, "alpha beta gamma delta epsilon zeta")]
+    items = [(1, "alpha"), (2, "alpha beta gamma delta"), (3, "alpha beta gamma delta epsilon"), (4, None)]
+    db = duckdb.connect()
+    for name, key, values in (("documents", "doc_id", rows), ("benchmark", "item_id", items)):
+        db.execute(f"CREATE TABLE {name} ({key} BIGINT, text VARCHAR)")
+        db.executemany(f"INSERT INTO {name} VALUES (?, ?)", values)
+    docs, bench = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    got = sorted(tuple(r) for r in d.contained_items(docs, bench).collect())
+    assert got == sorted(db.execute(OP7_SQL).fetchall()) == sorted(brute(rows, items))
+
+
 def test_shingle_hashes_follow_words():
     rng = random.Random(1)
     texts = [words(rng, n).encode() for n in (0, 1, 3, 5, 6, 40, 0, 12)]

@@ -7,7 +7,9 @@ random orders, that is k shingles drawn evenly from it. Such a shingle occurs in
 a probability equal to the containment, whatever the document's length, so k is set per
 partition to miss less than one pair in 10**9 at the threshold; an item no larger than k keeps
 all its shingles. A document is compared only with partitions whose items it is long enough to
-contain. Candidates are verified by exact containment of the shingles' words.
+contain. Candidates are verified by exact containment of the shingles' words. Items with fewer
+words than a shingle are a partition of their own: such an item is one shingle of its own length,
+and documents are hashed at that length too, only where such items exist.
 
 The documents are scanned where they lie, nothing is shuffled. Items are the query set: they are
 taken in blocks of bounded size, one scan each, so what a task holds does not grow with either table.
@@ -54,8 +56,8 @@ def shingles(parts: list[bytes], n: int) -> set[bytes]:
     return {b" ".join(parts[i : i + n]) for i in range(len(parts) - n + 1)}
 
 
-def shingle_hashes(data: np.ndarray, limits: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and text of every shingle of texts laid end to end."""
+def shingle_hashes(data: np.ndarray, limits: np.ndarray, n: int, shorter: frozenset[int] = frozenset()) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and text of every shingle of texts laid end to end; and of every run of ``shorter`` numbers of words."""
     plain = np.where(WORD[data], LOWER[data], np.uint8(32))
     inside = plain != 32
     before, after = np.zeros((2, len(data) + 1), bool)
@@ -68,16 +70,20 @@ def shingle_hashes(data: np.ndarray, limits: np.ndarray, n: int) -> tuple[np.nda
     counts = np.diff(first)
     values = word_values(plain, starts, ends)
     text = np.repeat(np.arange(len(counts)), counts)
-    at = np.flatnonzero(np.arange(len(starts)) + n <= first[text + 1])
-    hashes, owners = [mix(windows_hash(values, at, n, WORD_BASES[0]))] if len(at) else [], [text[at]]
-    for size in range(1, n):  # texts too short for a shingle are one
+    hashes, owners = [], [np.zeros(0, text.dtype)]
+    for size in (n, *sorted(shorter)):
+        at = np.flatnonzero(np.arange(len(starts)) + size <= first[text + 1])
+        if len(at):
+            hashes.append(mix(windows_hash(values, at, size, WORD_BASES[0])))
+            owners.append(text[at])
+    for size in set(range(1, n)) - shorter:  # texts too short for a shingle are one
         short = np.flatnonzero(counts == size)
         if len(short):
             hashes.append(mix(windows_hash(values, first[short], size, WORD_BASES[0])))
             owners.append(short)
     owner = np.concatenate(owners)
     order = np.argsort(owner, kind="stable")
-    return np.concatenate(hashes)[order], owner[order]
+    return np.concatenate([np.zeros(0, np.uint64), *hashes])[order], owner[order]
 
 
 class Index:
@@ -86,7 +92,10 @@ class Index:
     def __init__(self, items: list[tuple], n: int, threshold: float) -> None:
         self.n, self.threshold = n, threshold
         self.ids = [i for i, _ in items]
-        self.sets = [shingles(normal_words(t), n) for _, t in items]
+        words = [normal_words(t) for _, t in items]
+        self.sets = [shingles(w, n) for w in words]
+        self.sizes = [min(len(w), n) for w in words]
+        self.shorter = frozenset(self.sizes) - {0, n}
         signed: list[np.ndarray] = []
         owners: list[np.ndarray] = []
         for k, (_, text) in enumerate(items):
@@ -139,12 +148,15 @@ def contained(texts: pa.Array, index: Index) -> Iterator[tuple[int, int, int, in
     for first, last in pieces(limits, 1 << 20):
         part = limits[first : last + 1] - limits[first]
         block = data[limits[first] : limits[last]]
-        hashes, text = shingle_hashes(block, part, index.n)
-        sets: dict[int, set[bytes]] = {}
+        hashes, text = shingle_hashes(block, part, index.n, index.shorter)
+        held, sets = -1, {}
         for k, item in sorted(index.candidates(hashes, text, np.bincount(text, minlength=last - first))):
-            if k not in sets:
-                sets[k] = shingles(normal_words(block[part[k] : part[k + 1]].tobytes()), index.n)
-            n, shared = len(index.sets[item]), len(index.sets[item] & sets[k])
+            if k != held:
+                held, words, sets = k, normal_words(block[part[k] : part[k + 1]].tobytes()), {}
+            size = index.sizes[item]
+            if size not in sets:
+                sets[size] = shingles(words, size)
+            n, shared = len(index.sets[item]), len(index.sets[item] & sets[size])
             if shared / n >= index.threshold:
                 yield first + k, item, n, shared
 
@@ -198,9 +210,9 @@ def contained_items(docs: DataFrame, items: DataFrame, id_column: str = "doc_id"
                     threshold: float = 0.8) -> DataFrame:
     """(id, item, n_shingles, n_shared, containment) for items whose share in a document reaches ``threshold``.
 
-    Containment is the share of an item's distinct shingles that the document has. A text with
-    fewer words than a shingle is one shingle; without words, or null, it contains nothing and is
-    contained in nothing. Equal rows of either side are reported as often as they occur; null ids
+    Containment is the share of an item's distinct shingles that the document has. An item with
+    fewer words than a shingle is one shingle of its own length, which a document has if these words
+    stand in it in a row; a text without words, or null, contains nothing and is contained in nothing. Equal rows of either side are reported as often as they occur; null ids
     are passed on. Other columns are not read. With no items the result is empty.
     """
     item_type = items.select(item_column).limit(0).toArrow().schema.field(0).type

@@ -71,16 +71,20 @@ def op7_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontamination.contained_items(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
 
 
-#: Distinct shingles of a table's texts, words as in ``decontamination.normal_words``.
-SHINGLES = r"""
-    SELECT DISTINCT {id}, array_to_string(list_slice(w, i, i + 4), ' ') AS s
-    FROM (SELECT {id}, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM
+#: Words of a table's texts, as in ``decontamination.normal_words``; distinct runs of k of them.
+ITEM_WORDS = r"""
+    SELECT {id}, w, least(len(w), 5) AS k FROM
           (SELECT {id}, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                           '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w FROM {table}) WHERE len(w) > 0)"""
+                                           '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w FROM {table}) WHERE len(w) > 0"""
+RUNS = """
+    SELECT DISTINCT {id}, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS s
+    FROM (SELECT {id}, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM {words})"""
 OP7_SQL = f"""
-    WITH d AS ({SHINGLES.format(id="doc_id", table="documents")}), b AS ({SHINGLES.format(id="item_id", table="benchmark")}),
+    WITH dw AS ({ITEM_WORDS.format(id="doc_id", table="documents")}), bw AS ({ITEM_WORDS.format(id="item_id", table="benchmark")}),
+    b AS ({RUNS.format(id="item_id", words="bw")}),
+    d AS ({RUNS.format(id="doc_id", words="(SELECT doc_id, w, z.k FROM dw JOIN (SELECT DISTINCT k FROM bw) AS z ON z.k <= len(w))")}),
     n AS (SELECT item_id, count(*) AS n_shingles FROM b GROUP BY item_id),
-    j AS (SELECT doc_id, item_id, count(*) AS n_shared FROM d JOIN b USING (s) GROUP BY doc_id, item_id)
+    j AS (SELECT doc_id, item_id, count(*) AS n_shared FROM d JOIN b USING (k, s) GROUP BY doc_id, item_id)
     SELECT doc_id, item_id, n_shingles, n_shared, CAST(n_shared AS DOUBLE) / n_shingles AS containment
     FROM j JOIN n USING (item_id) WHERE CAST(n_shared AS DOUBLE) / n_shingles >= CAST(0.8 AS DOUBLE)"""
 
