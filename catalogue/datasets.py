@@ -11,17 +11,23 @@ from tripkit.operators.content import content_hash
 from tripkit.session import shared_path
 from tripkit.sources import derived, readers, tracking, versions
 
-HASHED = ["trip_id", "vendor_id", "pickup_datetime", "pickup_lat", "eta_minutes", "trip_duration_sec"]
-
-
 def trip_hash(spark, sf):
-    return content_hash(derived.trips(spark, sf), HASHED)
+    return content_hash(derived.trips(spark, sf))
 
 
 def lineitem_hash(spark, sf):
     return content_hash(lines(spark, sf, "*"))
 
 
+def appended_hash(spark, sf):
+    """The hash of all line items from the digests of three appends."""
+    base, table = shared_path(spark, "growing"), lines(spark, sf, "*")
+    early, late = F.col("l_shipdate") < F.lit("1996-01-01"), F.col("l_shipdate") >= F.lit("1999-01-01")
+    for part in (early, late, ~F.coalesce(early | late, F.lit(False))):
+        versions.append_rows(table.where(part), base)
+    return versions.appended_hash(spark, base)
+
+
 def cell(column: str, kind: str) -> str:
     text = {"time": f"CAST(epoch_us({column}) AS VARCHAR)", "plain": f"CAST({column} AS VARCHAR)"}[kind]
     return f"coalesce(length({text}) || ':' || {text}, '-')"
@@ -36,8 +42,9 @@ def hash_sql(cells: list[str], source: str) -> str:
 
 
 TRIP_CELLS = [
-    cell("trip_id", "plain"), cell("vendor_id", "plain"), cell("pickup_datetime", "time"),
-    cell("pickup_lat", "plain"), cell("eta_minutes", "plain"), cell("trip_duration_sec", "plain"),
+    cell(c, "time" if c.endswith("datetime") else "plain") for c in (
+        "row_ord", "trip_id", "vendor_id", "pickup_datetime", "dropoff_datetime", "passenger_count", "pickup_lon", "pickup_lat",
+        "dropoff_lon", "dropoff_lat", "store_and_fwd_flag", "trip_duration_sec", "eta_minutes")
 ]
 LINE_CELLS = [
     *[cell(c, "plain") for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")],
@@ -176,6 +183,7 @@ QUERIES = {
         SELECT {', '.join(f'CAST({c} AS VARCHAR) AS {c}' for c in HEAD)} FROM trips ORDER BY row_ord LIMIT 100""")),
     "content_hash": (trip_hash, using("trips", hash_sql(TRIP_CELLS, "trips"))),
     "content_hash_lineitem": (lineitem_hash, hash_sql(LINE_CELLS, "lineitem")),
+    "content_hash_appended": (appended_hash, hash_sql(LINE_CELLS, "lineitem")),
     "version_write_read": (version_write_read, using("flagged", f"""
         WITH s AS (SELECT eta_minutes, {split_of('trip_id')} AS split FROM clean)
         SELECT split, count(*) AS n_rows, round(sum(eta_minutes), 4) AS total, 'v1' AS version,

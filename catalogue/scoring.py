@@ -14,7 +14,7 @@ from tripkit.plans.prepare import FittedPrep, fit_prep
 from tripkit.plans.score import Scorer, load_scorer, register
 from tripkit.session import materialize, shared_path
 from tripkit.sources import derived
-from tripkit.sources.versions import write_version
+from tripkit.sources.versions import load_baseline, store_baseline, write_version
 from tripkit.streaming import jobs, partials
 
 # ----------------------------------------------------------------------- requests
@@ -182,11 +182,49 @@ a AS (SELECT CAST(date_trunc('day', pickup_datetime) AS TIMESTAMP) AS window_sta
       FROM j GROUP BY 1)"""
 
 
+DRIFTING = ["hour_of_day", "haversine_km", "eta_minutes"]
+
+
 def drift_psi(spark, sf):
     table = build_features(stored_clean(spark, sf))
     before = F.col("pickup_datetime") < F.lit("1999-01-01").cast("timestamp_ntz")
-    columns = ["hour_of_day", "haversine_km", "eta_minutes"]
-    return monitoring.drift(table.where(before), table.where(~before), columns)
+    return monitoring.drift(table.where(before), table.where(~before), DRIFTING)
+
+
+def drift_stored(spark, sf):
+    """The same drift from a baseline profile that was stored with a version."""
+    base = shared_path(spark, "baseline")
+    table = build_features(stored_clean(spark, sf))
+    before = F.col("pickup_datetime") < F.lit("1999-01-01").cast("timestamp_ntz")
+    store_baseline(monitoring.baseline_profile(table.where(before), DRIFTING), base, "v1")
+    return monitoring.drift_from(load_baseline(spark, base, "v1"), table.where(~before))
+
+
+def stream_drift(spark, sf):
+    """Drift of all trips per 30 days of a stream against the stored profile of the trips before 1999."""
+    path = shared_path(spark, "stream-drift")
+    before = build_features(derived.trips(spark, sf)).where(F.col("pickup_datetime") < F.lit("1999-01-01").cast("timestamp_ntz"))
+    store_baseline(monitoring.baseline_profile(materialize(before.select(*DRIFTING)), DRIFTING), path, "v1")
+    profile = load_baseline(spark, path, "v1")
+    partials.monitor_drift(build_features(trip_stream(spark, sf)), profile, "pickup_datetime", f"{path}/counts", "30 days").awaitTermination()
+    return partials.read_drift(spark, f"{path}/counts", profile)
+
+
+#: Trips without a pickup place have no distance, and count in no bin of it.
+STREAM_DRIFT_SQL = using("trips", f"""
+WITH f AS (SELECT time_bucket(INTERVAL 30 DAY, pickup_datetime, TIMESTAMP '1970-01-01') AS window_start, pickup_datetime < TIMESTAMP '1999-01-01' AS early,
+                  {HOUR} AS hour_of_day, {DISTANCE} AS haversine_km, eta_minutes FROM trips),
+t AS ({" UNION ALL ".join(f"SELECT window_start, early, '{c}' AS name, CAST({c} AS DOUBLE) AS v FROM f WHERE {c} IS NOT NULL" for c in DRIFTING)}),
+r AS (SELECT name, min(v) AS lo, max(v) AS hi FROM t WHERE early GROUP BY name),
+b AS (SELECT window_start, early, name, CAST(least(floor((least(greatest(v, lo), hi) - lo) * cast(10 as double) / (hi - lo)), 9) AS BIGINT) AS bin
+      FROM t JOIN r USING (name)),
+p AS (SELECT name, bin, count(*) / cast(sum(count(*)) OVER (PARTITION BY name) as double) AS share FROM b WHERE early GROUP BY name, bin),
+q AS (SELECT window_start, name, bin, count(*) / cast(sum(count(*)) OVER (PARTITION BY window_start, name) as double) AS share
+      FROM b GROUP BY window_start, name, bin),
+g AS (SELECT window_start, name, unnest(range(10)) AS bin FROM (SELECT DISTINCT window_start, name FROM q))
+SELECT window_start, name AS "column", round(sum((qs - ps) * ln(qs / ps)), 6) AS psi FROM (
+  SELECT g.window_start, g.name, greatest(coalesce(p.share, 0), cast(0.0001 as double)) AS ps, greatest(coalesce(q.share, 0), cast(0.0001 as double)) AS qs
+  FROM g LEFT JOIN p USING (name, bin) LEFT JOIN q USING (window_start, name, bin)) GROUP BY window_start, name""")
 
 
 def psi_sql() -> str:
@@ -199,7 +237,7 @@ def psi_sql() -> str:
             LEFT JOIN (SELECT bin, count(*) / cast(sum(count(*)) OVER () as double) AS share FROM b_{c} WHERE early GROUP BY bin) p USING (bin)
             LEFT JOIN (SELECT bin, count(*) / cast(sum(count(*)) OVER () as double) AS share FROM b_{c} WHERE NOT early GROUP BY bin) q USING (bin))"""
 
-    columns = ["hour_of_day", "haversine_km", "eta_minutes"]
+    columns = DRIFTING
     ranges = ", ".join(f"min({c}) FILTER (early) AS lo_{c}, max({c}) FILTER (early) AS hi_{c}" for c in columns)
     binned = ", ".join(
         f"b_{c} AS (SELECT early, CAST(least(floor((least(greatest({c}, lo_{c}), hi_{c}) - lo_{c}) * cast(10 as double)"
@@ -303,6 +341,8 @@ QUERIES = {
         lambda s, d: monitoring.retrain_signal(accuracy(s, d), 30.0, 1.2).select("window_start", "rmse", "retrain"),
         using("trips", f"WITH {ACCURACY} SELECT window_start, rmse, coalesce(rmse > 36, false) AS retrain FROM a")),
     "drift_psi": (drift_psi, psi_sql()),
+    "drift_stored": (drift_stored, psi_sql()),
+    "stream_drift": (stream_drift, STREAM_DRIFT_SQL),
     "stream_validate": (stream_validate, using("flagged", f"""
         SELECT CASE WHEN {' OR '.join(ROW_RULES)} THEN 'quarantine' ELSE 'clean' END AS outcome, {ROW_REASONS} AS reasons, count(*) AS n_rows
         FROM flagged GROUP BY 1, 2""")),

@@ -46,8 +46,19 @@ def digest_totals(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 def content_hash(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """One row: ``n_rows`` and a 16-digit ``content_hash``."""
+    return hash_of_totals(digest_totals(df, columns))
+
+
+def merged_totals(totals: DataFrame) -> DataFrame:
+    """Totals of a whole table from the totals of its parts; they add up."""
+    return totals.agg(*(F.coalesce(F.sum(F.col(c).cast("decimal(38,0)")), F.lit(0)).cast(kind).alias(c)
+                        for c, kind in (("n_rows", "bigint"), ("total", "decimal(38,0)"))))
+
+
+def hash_of_totals(totals: DataFrame) -> DataFrame:
+    """``n_rows`` and ``content_hash`` for each row of ``digest_totals``."""
     text = F.concat_ws(SEPARATOR, F.col("n_rows").cast("string"), F.col("total").cast("string"))
-    return digest_totals(df, columns).select("n_rows", F.substring(F.sha2(text, 256), 1, 16).alias("content_hash"))
+    return totals.select("n_rows", F.substring(F.sha2(text, 256), 1, 16).alias("content_hash"))
 
 
 def hash_text(df: DataFrame, columns: list[str] | None = None) -> str:

@@ -222,7 +222,7 @@ def histogram(
 
     Empty bins are left out. ``ranges`` fixes the edges, e.g. to those of a baseline.
     """
-    ranges = ranges or value_ranges(df, columns)
+    ranges = value_ranges(df, columns) if ranges is None else ranges
     known = [c for c in columns if ranges.get(c)]
     cells = [
         F.struct(

@@ -6,6 +6,7 @@ data, so a job that dies half way leaves nothing a reader would pick up.
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
@@ -94,6 +95,67 @@ def load_version(spark: SparkSession, base: str, version: str) -> dict:
     return {**splits, "data": data, "metadata": rows[0].asDict(recursive=True)}
 
 
+# ------------------------------------------------- baseline stored with a version
+
+
+def store_baseline(profile: DataFrame, base: str, version: str) -> None:
+    """Keep the profile that later data of a version are compared with; never overwrite."""
+    profile.coalesce(1).write.mode("errorifexists").parquet(f"{base}/{version}/baseline")
+
+
+def load_baseline(spark: SparkSession, base: str, version: str) -> DataFrame:
+    return spark.read.parquet(f"{base}/{version}/baseline")
+
+
+# -------------------------------------------------------------- growing tables
+
+APPEND_SCHEMA = "append_id string, columns array<string>, n_rows bigint, total decimal(38,0)"
+
+
+def read_appends(spark: SparkSession, base: str) -> DataFrame:
+    try:
+        return spark.read.schema(APPEND_SCHEMA).parquet(f"{base}/appends")
+    except AnalysisException:
+        return spark.createDataFrame([], APPEND_SCHEMA)
+
+
+def append_rows(df: DataFrame, base: str) -> str:
+    """Add rows to a growing table, with the digest of these rows alone; returns the append's name.
+
+    The digest is taken from the files written and listed after them: rows of a job that died half way
+    belong to no append, and no reader sees them. Columns must be those of the first append, in any order.
+    """
+    from tripkit.operators.content import digest_totals
+
+    spark = df.sparkSession
+    first = read_appends(spark, base).select("columns").first()
+    columns = first["columns"] if first else df.columns
+    if sorted(columns) != sorted(df.columns):
+        raise ValueError(f"columns {df.columns} differ from {columns} of the table below {base}")
+    name = uuid.uuid4().hex
+    path = f"{base}/rows/append_id={name}"
+    df.select(*columns).write.mode("errorifexists").parquet(path)
+    totals = digest_totals(spark.read.schema(df.select(*columns).schema).parquet(path)).first()
+    row = (name, columns, totals["n_rows"], totals["total"])
+    spark.createDataFrame([row], APPEND_SCHEMA).coalesce(1).write.mode("append").parquet(f"{base}/appends")
+    return name
+
+
+def read_appended(spark: SparkSession, base: str) -> DataFrame:
+    """All rows of the listed appends."""
+    names = [r["append_id"] for r in read_appends(spark, base).select("append_id").collect()]
+    if not names:
+        raise FileNotFoundError(f"no rows below {base}")
+    return spark.read.parquet(*(f"{base}/rows/append_id={n}" for n in names))
+
+
+def appended_hash(spark: SparkSession, base: str) -> DataFrame:
+    """Row count and content hash of a growing table from its digests; equal to ``content_hash`` of all of its rows."""
+    from tripkit.operators.content import hash_of_totals, merged_totals
+
+    return hash_of_totals(merged_totals(read_appends(spark, base)))
+
+
 # ----------------------------------------------------------- snapshot manifest
 
 SNAPSHOT_SCHEMA = T.StructType([

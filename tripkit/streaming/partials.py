@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tripkit.operators.monitoring import baseline_bin, population_stability, profile_ranges
 from tripkit.streaming.jobs import deduplicate, write_stream
 
 SUMS = ["n_rows", "total", "absolute", "squares"]
@@ -79,3 +80,44 @@ def monitor_windows(predictions: DataFrame, actuals: DataFrame, key: str, at: st
 def read_windows(spark, path: str, digits: int = 4) -> DataFrame:
     """All windows so far, the last ones too."""
     return merged_windows(spark.read.parquet(f"{path}/data"), digits)
+
+
+def _bin_counts(columns: list[str], bins: int):
+    """Function for ``mapInArrow``: rows per window, column and bin of a batch; built here for the same reason."""
+
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            start, *found = batch.columns
+            windows, owner = np.unique(start.cast(pa.int64()).to_numpy(zero_copy_only=False), return_inverse=True)
+            for name, column in zip(columns, found, strict=True):
+                known = np.flatnonzero(np.asarray(column.is_valid()))
+                cells = owner[known] * bins + column.drop_null().to_numpy(zero_copy_only=False)
+                n = np.bincount(cells, minlength=len(windows) * bins)
+                held = np.flatnonzero(n)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(windows[held // bins]).cast(start.type), pa.array([name] * len(held), pa.string()),
+                     pa.array((held % bins).astype(np.int32)), pa.array(n[held].astype(np.int64))],
+                    names=["window_start", "column", "bin", "n_rows"])
+
+    return counts
+
+
+def window_bins(table: DataFrame, profile: DataFrame, at: str, width: str = "1 day") -> DataFrame:
+    """Partial counts (window_start, column, bin, n_rows) over the bins of a stored profile; a batch or a stream.
+
+    Unknown values belong to no bin, a row without a time to no window.
+    """
+    ranges, bins = profile_ranges(profile)
+    start = F.window(F.col(at).cast("timestamp"), width)["start"].alias("window_start")
+    placed = table.where(F.col(at).isNotNull()).select(start, *(baseline_bin(c, ends, bins).alias(f"bin_{k}") for k, (c, ends) in enumerate(ranges.items())))
+    return placed.mapInArrow(_bin_counts(list(ranges), bins), "window_start timestamp, column string, bin int, n_rows bigint")
+
+
+def monitor_drift(stream: DataFrame, profile: DataFrame, at: str, path: str, width: str = "1 day") -> StreamingQuery:
+    """Append the counts of a stream below ``path``; each trigger reads its own rows and the few of the profile."""
+    return write_stream(window_bins(stream, profile, at, width), path)
+
+
+def read_drift(spark, path: str, profile: DataFrame) -> DataFrame:
+    """(window_start, column, psi) of all windows so far."""
+    return population_stability(profile, spark.read.parquet(f"{path}/data"), ["window_start"])
