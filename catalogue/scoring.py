@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 
 from catalogue.quality import stored_clean
 from catalogue.sql import DISTANCE, HOUR, split_of, using
-from tripkit.operators import monitoring, quality, scoring, splitting
+from tripkit.operators import enrich, monitoring, quality, scoring, splitting
 from tripkit.plans import training
 from tripkit.plans.features import build_features
-from tripkit.plans.prepare import FittedPrep, fit_prep
+from tripkit.plans.prepare import FittedPrep, fit_prep, prepare_and_version
 from tripkit.plans.score import Scorer, load_scorer, register
 from tripkit.session import materialize, shared_path
 from tripkit.sources import derived
-from tripkit.sources.versions import load_baseline, store_baseline, write_version
+from tripkit.sources.versions import load_baseline, load_version, store_baseline, write_version
 from tripkit.streaming import jobs, partials
 
 # ----------------------------------------------------------------------- requests
@@ -119,6 +119,28 @@ def stored_scorer(spark, sf):
     return load_scorer(spark, base)
 
 
+def whole_scorer(spark, sf):
+    """A scorer on all features with weather, trained on a stored version and loaded from the stores."""
+    base = shared_path(spark, "whole-scorer")
+    weather = materialize(derived.weather(spark, sf))
+    version, fitted = prepare_and_version(
+        enrich.enrich(stored_clean(spark, sf), weather), base, weather_fill=enrich.weather_fill(weather))
+    data = training.assemble(load_version(spark, base, version)["train"], fitted.feature_names)
+    model = LinearRegression(featuresCol="features", labelCol="label", solver="normal", regParam=0.01).fit(data)
+    register(model, base, spark, version)
+    return load_scorer(spark, base)
+
+
+def batch_score_whole(spark, sf):
+    """Every request answered by the scorer on all features; weather as given, looked up, or as stored with the version."""
+    return answers(whole_scorer(spark, sf), spark, sf)
+
+
+def stream_score_whole(spark, sf):
+    """A stream of trips scored on all features, with weather by date or as stored with the version."""
+    return scored_stream(whole_scorer(spark, sf), spark, sf)
+
+
 def batch_score(spark, sf):
     """Every request answered, by a prediction or by the reason it cannot be."""
     return answers(distance_scorer(spark, sf), spark, sf)
@@ -279,9 +301,13 @@ def stream_dedup(spark, sf):
 
 def stream_score(spark, sf):
     """Score a stream of trips with the same scorer as the batch."""
+    return scored_stream(distance_scorer(spark, sf), spark, sf)
+
+
+def scored_stream(scorer, spark, sf):
     path = shared_path(spark, "stream-score")
     good = jobs.validate(trip_stream(spark, sf)).where(F.col("outcome") == "clean").drop("reasons", "outcome")
-    scored = jobs.score(good, distance_scorer(spark, sf), derived.weather(spark, sf))
+    scored = jobs.score(good, scorer, derived.weather(spark, sf))
     jobs.write_stream(scored.select("row_ord", "prediction"), path).awaitTermination()
     return spark.read.parquet(f"{path}/data").select("row_ord", F.round("prediction", 4).alias("prediction"))
 
@@ -336,6 +362,8 @@ QUERIES = {
         FROM g""")),
     "batch_score": (batch_score, BATCH_SQL),
     "stored_model_score": (stored_model_score, BATCH_SQL),
+    "batch_score_whole": (batch_score_whole, None),
+    "stream_score_whole": (stream_score_whole, None),
     "accuracy_by_window": (accuracy, using("trips", f"WITH {ACCURACY} SELECT * FROM a")),
     "retrain_trigger": (
         lambda s, d: monitoring.retrain_signal(accuracy(s, d), 30.0, 1.2).select("window_start", "rmse", "retrain"),
