@@ -40,6 +40,54 @@ def test_all_families_can_be_built():
             training._with_params(family.estimator(), params)
 
 
+def test_rounds_to_keep():
+    falling = [9.0, 8.0, 7.0]
+    assert training.rounds_to_keep(falling, 2) == (3, False)
+    assert training.rounds_to_keep([*falling, 7.0, 7.5], 2) == (3, True)
+    assert training.rounds_to_keep([*falling, 7.5, 6.0, 7.0], 2) == (5, False)
+    assert training.rounds_to_keep([*falling, 7.5, 7.5, 1.0], 2) == (3, True)
+    assert training.rounds_to_keep([1.0, 2.0], 15) == (1, False)
+
+
+def noisy(spark, n=600):
+    """Labels that follow one feature, with noise that trees fit if they go on for long."""
+    rng = np.random.default_rng(7)
+    x = rng.uniform(0, 10, (n, 3))
+    y = np.sin(x[:, 0]) * 3 + rng.normal(0, 2.0, n)
+    df = spark.createDataFrame([(*map(float, r), float(v)) for r, v in zip(x, y)], "a double, b double, c double, y double")
+    return training.with_folds(training.assemble(df, ["a", "b", "c"], "y"), 3).persist()
+
+
+def test_boosting_stops_as_a_count_from_the_staged_errors(spark, tmp_path):
+    data = noisy(spark)
+    common = {"featuresCol": "features", "labelCol": "label", "seed": 3, "stepSize": 0.3, "maxDepth": 4, "maxIter": 80}
+    model = training.PatientBoosting(validationIndicatorCol="early_stop", **common).fit(data)
+    # brute force: all rounds on the unwatched rows, the sum of the first k trees on the watched ones
+    whole = GBTRegressor(**common).fit(data.where("NOT early_stop"))
+    held = data.where("early_stop").collect()
+    staged, total = [], np.zeros(len(held))
+    for tree, weight in zip(whole.trees, whole.treeWeights):
+        total = total + weight * np.array([tree.predict(r["features"]) for r in held])
+        staged.append(np.mean((total - np.array([r["label"] for r in held])) ** 2))
+    end = next(k for k in range(len(staged)) if k - int(np.argmin(staged[: k + 1])) >= training.PATIENCE)
+    want = int(np.argmin(staged[: end + 1])) + 1
+    assert model.getNumTrees == want < 60
+    first = [sum(w * t.predict(r["features"]) for t, w in list(zip(whole.trees, whole.treeWeights))[:want]) for r in held]
+    got = [r["prediction"] for r in model.transform(data.where("early_stop")).collect()]
+    np.testing.assert_allclose(np.sort(got), np.sort(first), rtol=1e-9)
+    assert len(model.featureImportances) == 3
+    model.write().save(str(tmp_path / "model"))
+    loaded = type(model).load(str(tmp_path / "model"))
+    assert loaded.getNumTrees == want and loaded.getFeaturesCol() == "features"
+
+
+def test_boosting_without_watched_rows_keeps_all_rounds(spark):
+    data = noisy(spark, 100).withColumn("early_stop", F.lit(False))
+    model = training.PatientBoosting(
+        validationIndicatorCol="early_stop", maxIter=3, maxDepth=2, featuresCol="features", labelCol="label").fit(data)
+    assert model.getNumTrees == 3
+
+
 def test_metrics_of_a_constant_label(spark):
     df = spark.createDataFrame([("m", 5.0, 4.0), ("m", 5.0, 6.0)], "model string, label double, prediction double")
     row = metrics.regression_metrics(df, ["model"]).first()
