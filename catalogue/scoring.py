@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from catalogue.quality import stored_clean
+from catalogue.quality import ANY_RULE, REASONS, stored_clean
 from catalogue.sql import DISTANCE, HOUR, split_of, using
 from tripkit.operators import enrich, monitoring, quality, scoring, splitting
 from tripkit.plans import training
@@ -15,7 +15,7 @@ from tripkit.plans.score import Scorer, load_scorer, register
 from tripkit.session import materialize, shared_path
 from tripkit.sources import derived
 from tripkit.sources.versions import load_baseline, load_version, store_baseline, write_version
-from tripkit.streaming import jobs, partials
+from tripkit.streaming import jobs, partials, repeats
 
 # ----------------------------------------------------------------------- requests
 
@@ -286,6 +286,14 @@ def stream_validate(spark, sf):
         "outcome", F.array_join("reasons", ",").alias("reasons")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def stream_quarantine(spark, sf):
+    """Trips as a stream, repeated ids included: the quarantined rows of the batch with their reasons."""
+    path = shared_path(spark, "stream-quarantine")
+    repeats.append_all(trip_stream(jobs.stateful_session(spark, 8), sf), path)
+    judged = repeats.read_judged(spark, path).where("outcome = 'quarantine'")
+    return judged.select("row_ord", "trip_id", F.array_join("reasons", ",").alias("reasons"))
+
+
 ROW_RULES = [r for r in quality.RULE_COUNTERS if r != "duplicate_trip_id"]
 ROW_REASONS = "concat_ws(',', " + ", ".join(f"CASE WHEN {r} THEN '{r}' END" for r in ROW_RULES) + ")"
 
@@ -374,6 +382,8 @@ QUERIES = {
     "stream_validate": (stream_validate, using("flagged", f"""
         SELECT CASE WHEN {' OR '.join(ROW_RULES)} THEN 'quarantine' ELSE 'clean' END AS outcome, {ROW_REASONS} AS reasons, count(*) AS n_rows
         FROM flagged GROUP BY 1, 2""")),
+    "stream_quarantine": (stream_quarantine, using(
+        "flagged", f"SELECT row_ord, trip_id, {REASONS} AS reasons FROM flagged WHERE {ANY_RULE}")),
     "stream_dedup": (stream_dedup, using("trips", "SELECT DISTINCT trip_id FROM trips")),
     "stream_score": (stream_score, STREAM_SCORE_SQL),
     "stream_monitor": (stream_monitor, STREAM_MONITOR_SQL),
