@@ -18,12 +18,51 @@ def test_published_split_sizes():
     assert splitting.split_sizes(9_979) == {"train": 6_985, "val": 998, "test": 1_996}
 
 
-def test_quotas_add_up():
-    counts = {0: 17, 1: 3, 2: 101, 3: 0}
-    test, val = splitting.stratum_quotas(counts, 0.2, 0.1)
-    sizes = splitting.split_sizes(121)
-    assert sum(test.values()) == sizes["test"] and sum(val.values()) == sizes["val"]
-    assert all(0 <= test[k] + val[k] <= counts[k] for k in counts)
+def shares(counts, take):
+    """Largest remainder on whole numbers of any size, equal ones by key."""
+    total = sum(counts.values())
+    if not total:
+        return dict.fromkeys(counts, 0)
+    found = {k: c * take // total for k, c in counts.items()}
+    for k in sorted(counts, key=lambda k: (-(counts[k] * take % total), k))[: take - sum(found.values())]:
+        found[k] += 1
+    return found
+
+
+@pytest.mark.parametrize("sizes", [
+    [17, 3, 101], [1], [2, 2, 2, 2, 2, 2], [10**12, 3 * 10**13 + 7, 10**17, 1], [k % 7 + 1 for k in range(400)],
+])
+def test_quotas_follow_the_largest_remainder(spark, sizes):
+    counts = dict(enumerate(sizes))
+    got = splitting.stratum_quotas(spark.createDataFrame(list(counts.items()), "stratum int, n bigint"), sum(sizes), 0.2, 0.1)
+    want = splitting.split_sizes(sum(sizes))
+    kept = shares(counts, want["train"] + want["val"])
+    train = shares(kept, want["train"])
+    rows = {r["stratum"]: (r["n_test"], r["n_val"]) for r in got.collect()}
+    assert rows == {k: (counts[k] - kept[k], kept[k] - train[k]) for k in counts}
+    assert sum(t for t, _ in rows.values()) == want["test"] and sum(v for _, v in rows.values()) == want["val"]
+
+
+def test_exact_split_of_a_hundred_thousand_strata(spark):
+    """All strata but one have one to three rows; the last one has a third of all."""
+    df = spark.range(300_000).select(
+        F.col("id").alias("row_ord"), F.col("id").cast("string").alias("trip_id"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), (F.col("id") % 100_003).cast("string"))).alias("stratum"))
+    split = splitting.exact_split(df, "trip_id").toPandas()
+    assert split["split"].value_counts().to_dict() == splitting.split_sizes(300_000)
+    assert split["row_ord"].nunique() == 300_000 and split["stratum"].nunique() > 90_000
+    counts = split.groupby("stratum").size().to_dict()
+    sizes = splitting.split_sizes(300_000)
+    kept = shares(counts, sizes["train"] + sizes["val"])
+    got = split[split["split"] == "test"].groupby("stratum").size()
+    assert {k: n for k, n in ((k, counts[k] - kept[k]) for k in counts) if n} == got.to_dict()
+
+
+def test_exact_split_without_rows_or_with_null_strata(spark):
+    assert splitting.exact_split(numbered(spark, 0), "trip_id").count() == 0
+    assert [r["split"] for r in splitting.exact_split(numbered(spark, 1), "trip_id").collect()] == ["test"]
+    with pytest.raises(ValueError, match="nulls"):
+        splitting.exact_split(numbered(spark, 9).withColumn("stratum", F.lit(None).cast("int")), "trip_id")
 
 
 @pytest.mark.parametrize("values", [

@@ -1,7 +1,8 @@
 """Train / validation / test splits: by strata, by hash, by time.
 
-The exact modes need the k-th smallest row hash of each stratum. It is found with
-``select_ranks``, so no stratum (a fifth of all rows) is ever sorted in one task.
+The exact modes need the k-th smallest row hash of each stratum. It is found with ``ranked_table``, so no stratum
+(a fifth of all rows) is ever sorted in one task. Strata, their quotas and their cut points are tables, joined to
+the rows at the end, however many strata there are.
 """
 
 from __future__ import annotations
@@ -12,7 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripkit.functions.keys import row_hash, row_uniform
-from tripkit.operators.selection import exact_quantiles, group_ranges, select_ranks
+from tripkit.operators.lookup import lookup_join
+from tripkit.operators.ordering import numbered
+from tripkit.operators.selection import exact_quantiles, group_ranges, ranked_table, ranges_table, select_ranks
 from tripkit.schema import ROW_ORDER, SEED, TARGET, TEST_SIZE, VAL_SIZE
 
 LAST = 2**63 - 1  # an input order no row exceeds
@@ -50,28 +53,27 @@ def split_sizes(n: int, test_size: float = TEST_SIZE, val_size: float = VAL_SIZE
     return {"train": rest - n_val, "val": n_val, "test": n_test}
 
 
-def proportional(counts: dict, take: int) -> dict:
-    """Integer shares of ``take`` proportional to counts, largest remainder first."""
-    total = sum(counts.values())
-    if total == 0:
-        return dict.fromkeys(counts, 0)
-    # integer arithmetic: floor and remainder of count * take / total
-    shares = {k: c * take // total for k, c in counts.items()}
-    left = take - sum(shares.values())
-    by_remainder = sorted(counts, key=lambda k: (-(counts[k] * take % total), k))
-    for k in by_remainder[:left]:
-        shares[k] += 1
-    return shares
+def proportional(counts: DataFrame, rows: str, total: int, take: int, share: str) -> DataFrame:
+    """Integer shares of ``take`` proportional to the column ``rows``, which adds up to ``total``: largest remainder
+    first, equal ones by stratum. ``counts`` has one row per ``stratum``; they are ranked by a distributed sort."""
+    product = F.col(rows).cast("decimal(18,0)") * F.lit(take).cast("decimal(18,0)")  # beyond 64 bits for 10^10 rows
+    divided = counts.withColumn("__product", product).withColumns({
+        share: F.expr(f"__product div {total}"), "__rest": F.expr(f"CAST(__product % {total} AS BIGINT)")}).drop("__product")
+    ranked = numbered(divided, F.desc("__rest"), F.col("stratum"))
+    left = take - ranked.agg(F.sum(share)).first()[0]
+    return ranked.withColumn(share, F.col(share) + (F.col("_pos") < left).cast("bigint")).drop("__rest", "_pos")
 
 
-def stratum_quotas(counts: dict, test_size: float, val_size: float) -> tuple[dict, dict]:
-    """Rows of each stratum that go to test and to validation."""
-    sizes = split_sizes(sum(counts.values()), test_size, val_size)
-    kept = proportional(counts, sizes["train"] + sizes["val"])
-    train = proportional(kept, sizes["train"])
-    test = {k: counts[k] - kept[k] for k in counts}
-    val = {k: kept[k] - train[k] for k in counts}
-    return test, val
+def stratum_quotas(counts: DataFrame, total: int, test_size: float, val_size: float) -> DataFrame:
+    """(stratum, n_test, n_val): rows of each stratum that go to test and to validation.
+
+    ``counts`` (stratum, n) has one row per stratum, whatever their number; their n add up to ``total``.
+    """
+    sizes = split_sizes(total, test_size, val_size)
+    kept = proportional(counts, "n", total, sizes["train"] + sizes["val"], "kept")
+    train = proportional(kept, "kept", sizes["train"] + sizes["val"], sizes["train"], "train") if sizes["train"] else (
+        kept.withColumn("train", F.lit(0).cast("bigint")))
+    return train.select("stratum", (F.col("n") - F.col("kept")).alias("n_test"), (F.col("kept") - F.col("train")).alias("n_val"))
 
 
 # ------------------------------------------------------------------------ splits
@@ -104,18 +106,19 @@ def exact_split(
     """Stratified split with exact sizes: the smallest hashes of a stratum go to test,
     the next ones to validation. Equal hashes are told apart by the unique ``order``."""
     hashed = df.withColumn("__hash", row_hash(F.col(key), seed))
-    ranges = group_ranges(hashed, ["__hash"], [stratum])
-    counts = {k: r["n"] for (k, _), r in ranges.items()}
-    if None in counts:
+    ranges = ranges_table(hashed, ["__hash"], [stratum]).persist()
+    total, nulls = ranges.agg(F.sum("n"), F.count_if(F.col("_k0").isNull())).first()
+    if nulls:
         raise ValueError(f"column {stratum} holds nulls")
-    test, val = stratum_quotas(counts, test_size, val_size)
-    ends = {k: (test[k], test[k] + val[k]) for k in counts}
-    cuts = _last_positions(hashed, stratum, order, ends, ranges)
+    if not total:
+        return df.withColumn("split", F.lit("train"))
+    quotas = stratum_quotas(ranges.select(F.col("_k0").alias("stratum"), "n"), total, test_size, val_size)
+    ends = quotas.select(F.col("stratum").alias("_k0"), F.posexplode(
+        F.array("n_test", F.col("n_test") + F.col("n_val"))).alias("_number", "_end"))
+    cuts = _last_positions(hashed, stratum, order, ends, ranges).withColumnRenamed("_k0", stratum)
     position = _position(F.col("__hash"), F.col(order))
-    split = F.when(position <= _cut_point(cuts, stratum, 0), "test").when(
-        position <= _cut_point(cuts, stratum, 1), "val"
-    ).otherwise("train")
-    return hashed.withColumn("split", split).drop("__hash")
+    split = F.when(position <= F.col("__cut0"), "test").when(position <= F.col("__cut1"), "val").otherwise("train")
+    return lookup_join(hashed, cuts, [stratum]).withColumn("split", split).drop("__hash", "__cut0", "__cut1")
 
 
 def _position(major: Column, minor: Column) -> Column:
@@ -123,46 +126,28 @@ def _position(major: Column, minor: Column) -> Column:
     return F.struct(major.cast("bigint").alias("major"), minor.cast("bigint").alias("minor"))
 
 
-def _last_positions(
-    df: DataFrame, stratum: str, order: str, ends: dict, ranges: dict
-) -> dict[tuple, tuple[int, int]]:
-    """(hash, order) of the last row before each end, keyed (stratum, number of the end).
+def _last_positions(df: DataFrame, stratum: str, order: str, ends: DataFrame, ranges: DataFrame) -> DataFrame:
+    """(_k0, __cut0, __cut1): per stratum the position of the last row before each end, below every row where that is 0.
 
-    ``ends`` counts rows from the smallest hash on; an end of 0 rows has no position.
+    ``ends`` (_k0, _number, _end) counts rows of the stratum from the smallest hash on.
     """
-    wanted = {(k, "__hash"): [e - 1 for e in es if e > 0] for k, es in ends.items()}
-    found = select_ranks(df, ["__hash"], wanted, ranges, [stratum])
+    wanted = ends.where("_end > 0").select("_k0", F.lit("__hash").alias("_col"), (F.col("_end") - 1).alias("_rank")).distinct()
+    found = ranked_table(df, ["__hash"], wanted, ranges, [stratum]).select(
+        "_k0", "_rank", F.col("value").alias("_hash"), "below", "equal")
     # where several rows share the hash at an end, their input order decides
-    shared = {(k, f.value) for ((k, _), _), f in found.items() if f.equal > 1}
-    ranked: dict = {}
-    if shared:
-        here = F.lit(False)
-        for k, value in shared:
-            here = here | ((F.col(stratum) == F.lit(k)) & (F.col("__hash") == F.lit(value)))
-        ties = df.where(here)
-        tie_ranks: dict = {}
-        for ((k, _), rank), f in found.items():
-            if f.equal > 1:
-                tie_ranks.setdefault((k, f.value, order), []).append(rank - f.below)
+    shared = found.where("equal > 1").select("_k0", F.col("_hash").alias("_k1"), (F.col("_rank") - F.col("below")).alias("_rank"))
+    last = found.withColumn("_tie", F.lit(LAST))
+    if not shared.isEmpty():
         by = [stratum, "__hash"]
-        ranked = select_ranks(ties, [order], tie_ranks, group_ranges(ties, [order], by), by)
-    positions = {}
-    for k, es in ends.items():
-        for number, end in enumerate(es):
-            if end > 0:
-                f = found[(k, "__hash"), end - 1]
-                tie = LAST if f.equal == 1 else ranked[(k, f.value, order), end - 1 - f.below].value
-                positions[k, number] = (f.value, tie)
-    return positions
-
-
-def _cut_point(cuts: dict, stratum: str, number: int) -> Column:
-    """Position literal of the row's stratum; below every row where the end is 0."""
-    point = _position(F.lit(-1), F.lit(0))
-    for (k, which), (value, tie) in cuts.items():
-        if which == number:
-            point = F.when(F.col(stratum) == F.lit(k), _position(F.lit(value), F.lit(tie))).otherwise(point)
-    return point
+        ties = lookup_join(df.select(*by, order), shared.select(F.col("_k0").alias(stratum), F.col("_k1").alias("__hash")).distinct(), by, "inner")
+        places = ranked_table(ties, [order], shared.withColumn("_col", F.lit(order)), ranges_table(ties, [order], by).persist(), by)
+        named = places.select(F.col("_k0").alias("_s"), F.col("_k1").alias("_h"), F.col("_rank").alias("_r"), F.col("value").alias("_place"))
+        at = (F.col("_k0") == F.col("_s")) & (F.col("_hash") == F.col("_h")) & (F.col("_rank") - F.col("below") == F.col("_r"))
+        last = found.join(named, at, "left").withColumn("_tie", F.coalesce("_place", F.lit(LAST)))
+    held = last.select(F.col("_k0").alias("_s"), F.col("_rank").alias("_r"), _position(F.col("_hash"), F.col("_tie")).alias("_cut"))
+    placed = ends.join(held, (F.col("_k0") == F.col("_s")) & (F.col("_end") - 1 == F.col("_r")), "left")
+    cut = F.coalesce("_cut", _position(F.lit(-1), F.lit(0)))
+    return placed.groupBy("_k0").agg(*(F.max(F.when(F.col("_number") == k, cut)).alias(f"__cut{k}") for k in (0, 1)))
 
 
 def time_split(
