@@ -64,6 +64,17 @@ def split_sizes(spark, sf):
     return splitting.split_counts(splitting.exact_split(stratified, "trip_id"))
 
 
+def split_cover(spark, sf):
+    """Keys of each part of the exact split, and whether parts overlap or leave rows out."""
+    stratified = splitting.add_strata(stored_clean(spark, sf))
+    return splitting.split_cover(stratified, splitting.exact_split(stratified, "trip_id"))
+
+
+COVER_SQL = EXACT_SQL.replace("SELECT row_ord, r.stratum, CASE", """
+SELECT split, count(*) AS n_keys, count(*) FILTER (parts > 1) AS n_shared, count(*) FILTER (row_ord NOT IN (SELECT row_ord FROM clean)) AS n_foreign
+FROM (SELECT row_ord, split, count(*) OVER (PARTITION BY row_ord) AS parts FROM (SELECT row_ord, CASE""") + ")) GROUP BY split"
+
+
 SIZES_SQL = using("flagged", """
 WITH n AS (SELECT count(*) AS n, CAST(ceil(cast(0.2 as double) * count(*)) AS BIGINT) AS n_test FROM clean),
 v AS (SELECT n, n_test, CAST(ceil(cast(0.125 as double) * (n - n_test)) AS BIGINT) AS n_val FROM n)
@@ -245,6 +256,7 @@ QUERIES = {
                round(sum(eta_minutes), 4) AS total FROM clean, e GROUP BY 1, 2""")),
     "stratified_split_exact": (stratified_split_exact, EXACT_SQL),
     "split_sizes": (split_sizes, SIZES_SQL),
+    "split_cover": (split_cover, COVER_SQL),
     "hash_split": (hash_split, using("trips", f"SELECT row_ord, {split_of('trip_id')} AS split FROM trips")),
     "time_split": (time_split, using("flagged", time_sql("pickup_datetime", "row_ord", "clean"))),
     "time_split_tied": (time_split_tied, time_sql("o_orderdate", "o_orderkey", "orders")),

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalogue.features import BAND
@@ -68,6 +70,23 @@ def skew_kurtosis(spark, sf):
     return rounded(stats.shape_statistics(derived.table(spark, sf, "events"), ["value"]), ["skewness", "kurtosis"])
 
 
+TYPED = ["orders", "lineitem", "events", "customer"]
+TYPE_NAMES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean", "DATE": "date",
+              "TIMESTAMP": "timestamp_ntz", "TIMESTAMP WITH TIME ZONE": "timestamp"}
+
+
+def column_types(spark, sf):
+    """Types of the columns of four tables."""
+    tables = [stats.column_types(derived.table(spark, sf, name)).withColumn("table", F.lit(name)) for name in TYPED]
+    return reduce(DataFrame.unionByName, tables)
+
+
+TYPES_SQL = " UNION ALL ".join(
+    f"SELECT '{name}' AS \"table\", column_name AS \"column\", CASE column_type "
+    + " ".join(f"WHEN '{theirs}' THEN '{ours}'" for theirs, ours in TYPE_NAMES.items())
+    + f" ELSE column_type END AS type FROM (DESCRIBE {name})" for name in TYPED)
+
+
 def corr_lower(spark, sf):
     wide = profile.calendar(stored_enriched(spark, sf))
     return rounded(stats.correlation_pairs(wide, PAIRED), ["corr"])
@@ -265,6 +284,7 @@ QUERIES = {
     "skew_kurtosis": (skew_kurtosis, """
         SELECT 'value' AS "column", round(skewness(value), 6) AS skewness, round(kurtosis(value), 6) AS kurtosis
         FROM events"""),
+    "column_types": (column_types, TYPES_SQL),
     "corr_lower": (corr_lower, CORR_SQL),
     "corr_lower_lineitem": (corr_lower_lineitem, corr_sql(LINE_NUMBERS, "lineitem")),
     "value_counts": (value_counts, counts_sql(["o_orderpriority", "o_orderstatus"], "orders")),

@@ -101,6 +101,13 @@ def test_exact_split_when_one_key_holds_a_third_of_the_rows(spark):
     assert spans["test"][1] < spans["val"][0] <= spans["val"][1] < spans["train"][0]
 
 
+def test_cover_tells_what_is_shared_foreign_or_missing(spark):
+    df = spark.createDataFrame([(1,), (2,), (3,), (None,)], "row_ord bigint")
+    split = spark.createDataFrame([(1, "train"), (1, "test"), (2, "train"), (2, "train"), (9, "val")], "row_ord bigint, split string")
+    rows = {r["split"]: tuple(r)[1:] for r in splitting.split_cover(df, split).collect()}
+    assert rows == {"train": (2, 1, 0), "test": (1, 1, 0), "val": (1, 0, 1), None: (2, 0, 0)}
+
+
 def test_time_split_breaks_ties_by_input_order(spark):
     df = spark.range(100).select(
         F.col("id").alias("row_ord"),

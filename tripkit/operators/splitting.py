@@ -186,3 +186,16 @@ def _micros(df: DataFrame, at: str) -> Column:
 
 def split_counts(df: DataFrame) -> DataFrame:
     return df.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def split_cover(df: DataFrame, split: DataFrame, key: str = ROW_ORDER) -> DataFrame:
+    """(split, n_keys, n_shared, n_foreign): keys of each part, how many of them other parts hold too, and how many are
+    not in ``df``; keys of ``df`` that no part holds stand under a null split. A disjoint cover has neither.
+
+    A key is gathered as counts and the names of its parts, so that one key may hold any number of rows.
+    """
+    given = df.select(F.col(key).alias("_key"), F.lit(None).cast("string").alias("split"), F.lit(1).alias("_given"))
+    found = split.select(F.col(key).alias("_key"), "split", F.lit(0).alias("_given"))
+    keys = given.unionByName(found).groupBy("_key").agg(F.max("_given").alias("_given"), F.collect_set("split").alias("_parts"))
+    return keys.select("_given", "_parts", F.explode_outer("_parts").alias("split")).groupBy("split").agg(
+        F.count(F.lit(1)).alias("n_keys"), F.count_if(F.size("_parts") > 1).alias("n_shared"), F.count_if(F.col("_given") == 0).alias("n_foreign"))
