@@ -200,3 +200,21 @@ def test_a_failing_value_stops_one_counted_table_only(spark):
     sources, failures = plan.counted_sources(trips, {"good": [good], "bad": [bad], "other": []}, {"other": "good"})
     assert list(failures) == ["bad"] and sources.keys() == {"good", "other"}
     assert [(r.family, r.n, r.s1) for r in sources["other"].collect()] == [("good", 2, 12.0)]
+
+
+def test_no_wide_row_is_tagged_cell_by_cell(spark, sf_dir, monkeypatch):
+    """Rows that one scan hands to the counters stay few; their sums do not depend on how cells are dealt to scans."""
+    from tripkit.plans import profile as plan
+    from tripkit.sources import derived
+
+    trips, given = derived.trips(spark, sf_dir), []
+    counters = plan.counters
+    monkeypatch.setattr(plan, "counters", lambda df, cells: given.append(len(cells)) or counters(df, cells))
+    tables, failures = profile(trips)
+    assert not failures and sum(given) <= 12 < len(trips.columns)
+    cells = [plan.cell(f"f{k}", part=F.col("vendor_id") % (k + 1), x=F.col("passenger_count") * k) for k in range(7)]
+    found = {}
+    for size in (1, 3, 7):
+        monkeypatch.setattr(plan, "CELLS", size)
+        found[size] = sorted((r.family, r.part, r.n, r.known, r.s1) for r in counters(trips, cells).collect())
+    assert found[1] == found[3] == found[7] and sum(r[2] for r in found[1]) == 7 * trips.count()

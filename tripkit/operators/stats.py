@@ -224,22 +224,19 @@ def histogram(
     """
     ranges = value_ranges(df, columns) if ranges is None else ranges
     known = [c for c in columns if ranges.get(c)]
-    cells = [
-        F.struct(
-            F.lit(c).alias("column"),
-            bin_number(F.col(c).cast("double"), F.lit(ranges[c][0]), F.lit(ranges[c][1]), bins).alias("bin"),
-        )
-        for c in known
-    ]
-    if not cells:
+    if not known:
         return df.sparkSession.createDataFrame(
             [], "column string, bin int, bin_low double, bin_high double, n_rows bigint"
         )
+    # numbers of columns and bins as keys: no string is built or hashed per value
+    tall = df.select(F.posexplode(F.array(*[F.col(c).cast("double") for c in known])).alias("_of", "_val"))
+    lo, hi = (F.get(F.array(*[F.lit(float(ranges[c][end])) for c in known]), "_of") for end in (0, 1))
     counted = (
-        df.select(F.inline(F.array(*cells)))
+        tall.select("_of", bin_number(F.col("_val"), lo, hi, bins).alias("bin"))
         .where(F.col("bin").isNotNull())
-        .groupBy("column", "bin")
+        .groupBy("_of", "bin")
         .agg(F.count(F.lit(1)).alias("n_rows"))
+        .select(F.get(F.array(*[F.lit(c) for c in known]), "_of").alias("column"), "bin", "n_rows")
     )
     return with_edges(counted, {c: ranges[c] for c in known}, bins)
 

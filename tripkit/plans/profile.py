@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,8 @@ from tripkit.session import materialize
 
 # Bin counts of the distribution tables and the hexagon grid.
 TARGET_BINS, NUMERIC_BINS, HEX_COLUMNS = 60, 40, 50
+#: Cells that one projection makes of a row.
+CELLS = 2
 
 
 def calendar(df: DataFrame) -> DataFrame:
@@ -46,8 +49,9 @@ def mean_by_temperature(df: DataFrame, target: str = TARGET) -> DataFrame:
 
 # ------------------------------------------------------------- tables from one scan
 #
-# Most tables count rows, or add up the target, per group or bin. Their rows are tagged with the table they
-# count for and go through one aggregation: tables read its few counters, not the trips.
+# Most tables count rows, or add up the target, per group. Their rows are tagged with the table they count for
+# and go through one aggregation: tables read its few counters, not the trips. Tables of one row, or of many columns
+# with plain numbers for groups, are not among them: tagging every cell of a wide row costs far more than a scan.
 
 
 def cell(family: str, column: str | None = None, part: Column | None = None, bin: Column | None = None,
@@ -60,11 +64,18 @@ def cell(family: str, column: str | None = None, part: Column | None = None, bin
 
 
 def counters(df: DataFrame, cells: list[Column]) -> DataFrame:
-    """n rows, known values of x and the sums of its first four powers, per family, column, part and bins; written once."""
+    """n rows, known values of x and their sum, per family, column, part and bins; written once, by one job.
+
+    ``CELLS`` cells at a time are counted beside each other: the code generated for many more in one projection is
+    too long for the JVM to compile, and is interpreted.
+    """
     x = F.col("x")
-    tagged = df.select(F.inline(F.array(*cells))).where("family IS NOT NULL")
-    return materialize(tagged.groupBy("family", "column", "part", "bin", "bin2").agg(
-        F.count(F.lit(1)).alias("n"), F.count(x).alias("known"), *(F.sum(F.pow(x, F.lit(k))).alias(f"s{k}") for k in range(1, 5))))
+    parts = []
+    for k in range(0, len(cells), CELLS):
+        tagged = df.select(F.inline(F.array(*cells[k : k + CELLS]))).where("family IS NOT NULL")
+        parts.append(tagged.groupBy("family", "column", "part", "bin", "bin2").agg(
+            F.count(F.lit(1)).alias("n"), F.count(x).alias("known"), F.sum(x).alias("s1")))
+    return materialize(reduce(DataFrame.unionByName, parts))
 
 
 @dataclass(frozen=True)
@@ -88,36 +99,13 @@ def means(key: str, kind: str) -> Callable[[DataFrame], DataFrame]:
     return lambda t: t.select(F.col("part").cast(kind).alias(key), F.try_divide("s1", "known").alias("mean_target"), F.col("known").alias("n_rows"))
 
 
-def shape_of_sums(target: str) -> Callable[[DataFrame], DataFrame]:
-    """Skewness and kurtosis from sums of powers of values about a middle that is near their mean."""
-    n, (m, m2, m3, m4) = F.col("known").cast("double"), (F.try_divide(f"s{k}", "known") for k in range(1, 5))
-    v = m2 - m * m
-    skew = F.try_divide(m3 - 3 * m * m2 + 2 * m * m * m, F.pow(v, F.lit(1.5)))
-    excess = F.try_divide(m4 - 4 * m * m3 + 6 * m * m * m2 - 3 * m * m * m * m, v * v) - 3
-    spread = v > m2 * 1e-12
-    return lambda t: t.select(
-        F.lit(target).alias("column"),
-        F.when((n > 2) & spread, skew * F.sqrt(n * (n - 1)) / F.nullif(n - 2, F.lit(0.0))).alias("skewness"),
-        F.when((n > 3) & spread, F.try_divide(n - 1, (n - 2) * (n - 3)) * ((n + 1) * excess + 6)).alias("kurtosis"))
-
-
-def counted_tables(df: DataFrame, wide: DataFrame, ranges: dict, middle: float, target: str) -> dict[str, Counted]:
+def counted_tables(df: DataFrame, wide: DataFrame, ranges: dict, target: str) -> dict[str, Counted]:
     """The tables that come from counters, by name. ``wide`` has the columns that cells refer to."""
     ts, y = F.col("pickup_datetime"), F.nanvl(F.col(target).cast("double"), F.lit(None).cast("double"))
-    names = df.sparkSession.createDataFrame([(c,) for c in df.columns], "column string")
-    plotted = [c for c in PROFILE_NUMERICS if c in wide.columns and c != "is_weekend"]
     categorical = [c for c in PROFILE_CATEGORICALS if c in df.columns]
     log = f"log1p_{target}"
     known = [~stats.missing(wide, c) for c in ("haversine_km", target)]
 
-    def missing(t: DataFrame) -> DataFrame:
-        found = t.groupBy("column").agg(F.sum(F.when(F.col("bin") == 1, F.col("n"))).alias("_n"))
-        return names.join(found, "column", "left").select("column", F.coalesce("_n", F.lit(0)).alias("n_missing"))
-
-    def shape(t: DataFrame) -> DataFrame:
-        rows = t.where(F.col("column") == df.columns[0]).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"))
-        return rows.withColumn("n_columns", F.lit(len(df.columns)))
-
     def edged(bins: int) -> Callable[[DataFrame], DataFrame]:
         return lambda t: stats.with_edges(t.select("column", F.col("bin").cast("int").alias("bin"), F.col("n").alias("n_rows")), ranges, bins)
 
@@ -136,12 +124,9 @@ def counted_tables(df: DataFrame, wide: DataFrame, ranges: dict, middle: float,
 
     band = weather.temperature_band(F.col("avg_temp_f"))
     tables = {
-        "missing": Counted(lambda: [cell("missing", c, bin=stats.missing(wide, c).cast("int")) for c in df.columns], missing),
-        "target_shape": Counted(lambda: [cell("target_shape", target, x=y - F.lit(middle))], shape_of_sums(target)),
         "target_histogram": Counted(lambda: binned_cells(wide, "target_histogram", [target], TARGET_BINS, ranges), edged(TARGET_BINS)),
         "target_log_histogram": Counted(
             lambda: binned_cells(wide, "target_log_histogram", [log], TARGET_BINS, ranges, lambda c: F.log1p(target)), edged(TARGET_BINS)),
-        "numeric_histograms": Counted(lambda: binned_cells(wide, "numeric_histograms", plotted, NUMERIC_BINS, ranges), edged(NUMERIC_BINS)),
         "value_counts": Counted(
             lambda: [cell("value_counts", c, part=F.col(c), where=F.col(c).isNotNull()) for c in categorical],
             lambda t: t.select("column", F.col("part").alias("value"), F.col("n").alias("n_rows")).orderBy("column", F.desc("n_rows"), "value")),
@@ -153,7 +138,6 @@ def counted_tables(df: DataFrame, wide: DataFrame, ranges: dict, middle: float,
         "mean_by_weekday": mean("mean_by_weekday", time.weekday_name(ts), lambda t: dense(means("weekday", "string")(t), "weekday", time.WEEKDAYS)),
         "mean_by_month": mean("mean_by_month", F.month(ts), means("month", "int")),
         "pickup_density": Counted(density, centres),
-        "shape": Counted(list, shape),
     }
     if "avg_temp_f" in df.columns:
         bands = [name for name, _, _ in weather.TEMPERATURE_BANDS]
@@ -165,12 +149,11 @@ def counted_tables(df: DataFrame, wide: DataFrame, ranges: dict, middle: float,
     return tables
 
 
-#: Tables that read the counters of another one.
-SHARED = {"shape": "missing"}
-
+def counted_sources(df: DataFrame, cells: dict[str, list[Column]], shared: dict[str, str] | None = None) -> tuple[dict[str, DataFrame], dict[str, str]]:
+    """Counters of each table, all from one scan, or from scans of their own if a cell fails on some value.
 
-def counted_sources(df: DataFrame, cells: dict[str, list[Column]], shared: dict[str, str]) -> tuple[dict[str, DataFrame], dict[str, str]]:
-    """Counters of each table, all from one scan, or from scans of their own if a cell fails on some value."""
+    ``shared`` names tables that read the counters of another one.
+    """
     try:
         counted = counters(df, [c for own in cells.values() for c in own])
         return dict.fromkeys(cells, counted), {}
@@ -182,15 +165,16 @@ def counted_sources(df: DataFrame, cells: dict[str, list[Column]], shared: dict[
                 sources[name] = counters(df, own)
         except Exception as error:
             failures[name] = str(error)
-    sources |= {name: sources[of] for name, of in shared.items() if name in cells and of in sources}
+    sources |= {name: sources[of] for name, of in (shared or {}).items() if name in cells and of in sources}
     return sources, failures
 
 
 def profile(df: DataFrame, target: str = TARGET) -> tuple[dict[str, DataFrame], dict[str, str]]:
     """All statistics of a clean trip table, by name, and the reason for each that could not be built.
 
-    One scan takes the ranges of all columns, a second one all counters. Quartiles (describe, boxes) are
-    narrowed by passes of their own, and pair sums of the correlations by one. A table whose cells cannot be
+    One scan takes the ranges of all columns, one job all counters, a few cells a scan; nulls, the target's moments and the
+    histograms of all columns have one each. Quartiles (describe, boxes) are narrowed by passes of their own, and
+    pair sums of the correlations by one. A table whose cells cannot be
     analysed is left out of the scan; should the scan fail, each table's counters are taken alone.
     """
     failures: dict[str, str] = {}
@@ -203,9 +187,10 @@ def profile(df: DataFrame, target: str = TARGET) -> tuple[dict[str, DataFrame],
     log = f"log1p_{target}"
     numeric = [c for c in PROFILE_NUMERICS if c in calendar(df).columns]
     spanned = list(dict.fromkeys([c for c in [*numeric, target, "pickup_lon", "pickup_lat"] if c in wide.columns]))
-    ranges, mean = stats.value_ranges(wide.withColumn(log, F.log1p(target)), [*spanned, log], F.avg(F.nanvl(F.col(target).cast("double"), F.lit(None).cast("double"))))
+    ranges = stats.value_ranges(wide.withColumn(log, F.log1p(target)), [*spanned, log])
+    plotted = [c for c in PROFILE_NUMERICS if c in wide.columns and c != "is_weekend"]
     tables: dict[str, DataFrame] = {}
-    found = counted_tables(df, wide, ranges, mean or 0.0, target)
+    found = counted_tables(df, wide, ranges, target)
     cells: dict[str, list[Column]] = {}
     for name, own in found.items():
         if name in failures:
@@ -216,12 +201,14 @@ def profile(df: DataFrame, target: str = TARGET) -> tuple[dict[str, DataFrame],
         except Exception as error:  # one failing part must not stop the others
             failures[name] = str(error)
             cells.pop(name, None)
-    sources, failed = counted_sources(wide, cells, SHARED)
+    sources, failed = counted_sources(wide, cells)
     failures |= failed
-    builders = {name: (lambda t=found[name].table, s=source, f=SHARED.get(name, name): t(s.where(F.col("family") == f)))
+    builders = {name: (lambda t=found[name].table, s=source, f=name: t(s.where(F.col("family") == f)))
                 for name, source in sources.items()}
     builders |= {
-        "types": lambda: stats.column_types(df), "describe": lambda: stats.describe(df),
+        "shape": lambda: stats.table_shape(df), "types": lambda: stats.column_types(df), "missing": lambda: stats.missing_counts(df),
+        "target_shape": lambda: stats.shape_statistics(df, [target]),
+        "numeric_histograms": lambda: stats.histogram(wide, plotted, NUMERIC_BINS, ranges), "describe": lambda: stats.describe(df),
         "correlation": lambda: stats.correlation_pairs(calendar(df), [*numeric, target]),
         "box_by_hour": lambda: stats.box_statistics(calendar(df), "hour_of_day", target),
     }
