@@ -218,3 +218,18 @@ def test_no_wide_row_is_tagged_cell_by_cell(spark, sf_dir, monkeypatch):
         monkeypatch.setattr(plan, "CELLS", size)
         found[size] = sorted((r.family, r.part, r.n, r.known, r.s1) for r in counters(trips, cells).collect())
     assert found[1] == found[3] == found[7] and sum(r[2] for r in found[1]) == 7 * trips.count()
+
+
+def test_aggregates_per_column_equal_those_side_by_side(spark):
+    from tripkit.operators import prep
+    from tripkit.operators.selection import per_column
+
+    columns = [f"c{k}" for k in range(40)]
+    wide = spark.range(200).select(*[F.when((F.col("id") + k) % 9 != 0, (F.col("id") * (k + 3) % 17).cast("float")).alias(c) for k, c in enumerate(columns)])
+    found = per_column(wide, {c: F.col(c) for c in columns}, [F.avg("_val").alias("mean"), F.count("_val").alias("n")])
+    direct = wide.agg(*[f(F.col(c).cast("double")).alias(f"{c}{n}") for c in columns for n, f in (("m", F.avg), ("n", F.count))]).first()
+    assert all(found[c]["n"] == direct[f"{c}n"] and abs(found[c]["mean"] - direct[f"{c}m"]) < 1e-12 for c in columns)
+    assert per_column(wide.limit(0), {"c0": F.col("c0")}, [F.avg("_val")]) == {}
+    for kind in ("standard", "minmax"):
+        assert prep.fit_scaler(wide.limit(0), columns[:2], kind) == dict.fromkeys(columns[:2], (0.0, 1.0))
+    assert prep.fit_scaler(wide, ["c0"], "minmax")["c0"] == (0.0, 16.0)
