@@ -7,6 +7,7 @@ import pytest
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
 from pyspark.sql import functions as F
 
+from catalogue import runs
 from test_preparation import trip_table
 from tripkit.operators import metrics, quality, scoring
 from tripkit.plans import end_to_end, first_generation, training
@@ -151,6 +152,51 @@ def test_whole_run(spark, finished):
     assert 0 < importance.count() <= 20
 
 
+class Asked(Exception):
+    """Carries what a run was asked for, in place of the run."""
+
+
+def test_whole_run_query_searches_the_published_budget(spark, tmp_path, monkeypatch):
+    orders = [(k, f"1995-01-{1 + k:02d}", 1000.0 * k) for k in range(20)]
+    spark.createDataFrame(orders, "o_orderkey long, o_orderdate string, o_totalprice double").withColumn(
+        "o_orderdate", F.to_timestamp("o_orderdate")).write.parquet(str(tmp_path / "orders.parquet"))
+
+    def ask(spark, base, trips, weather=None, **options):
+        raise Asked(options)
+
+    monkeypatch.setattr(end_to_end, "run", ask)
+    with pytest.raises(Asked) as asked:
+        runs.whole_run(spark, str(tmp_path))
+    options = {k: v for k, v in asked.value.args[0].items() if k != "minimum_pass_rate"}
+    assert not options.pop("skip_train", False) and not options.pop("skip_eda", False)
+
+    # the same search with every learner cut to one split, so that only its extent is held
+    tried = []
+
+    def stump(estimator, params):
+        tried.append(params)
+        small = {"maxDepth": 1, "maxIter": 1} if "maxDepth" in params else {}
+        return estimator.copy({estimator.getParam(k): v for k, v in small.items() if estimator.hasParam(k)})
+
+    monkeypatch.setattr(training, "_with_params", stump)
+    rng = np.random.default_rng(3)
+    rows = [(float(x), float(x + e), "val" if k % 5 == 0 else "train")
+            for k, (x, e) in enumerate(zip(rng.uniform(0, 9, 200), rng.normal(0, 1, 200)))]
+    table = spark.createDataFrame(rows, "a double, y double, split string")
+    comparison = training.compare(training.assemble(table, ["a"], "y", keep=["split"]), **options)
+    published = training.model_families()
+    assert [r.name for r in comparison.results] == list(published)
+    extent = {"linear_regression": 2, "decision_tree": 12, "gradient_boosting": 12}
+    for r in comparison.results:
+        want = training.draw_params(published[r.name].space)
+        trials = r.trials.collect()
+        assert sorted(t["params"] for t in trials) == sorted(map(str, want)) and len(trials) == extent.get(r.name, 12)
+        assert {c for c in r.trials.columns if c.startswith("split")} == {f"split{k}_test_score" for k in range(3)}
+    wanted = [p for f in published.values() for p in training.draw_params(f.space)]
+    assert all(tried.count(p) >= 3 for p in wanted)  # a fit per fold, and the best one again
+    assert len(tried) == 3 * len(wanted) + len(published)
+
+
 def test_scoring_with_the_stored_model(spark, finished):
     base, result = finished
     scorer = load_scorer(spark, base)
